@@ -240,3 +240,25 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 def hex_of(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """docs with one row of each component: that of its least doc_id; columns as they came.
+
+    Where that doc_id comes more than once, one of its rows stays.  A component whose ids are all null keeps one row.
+    """
+    found = near_duplicates(docs, bucket)
+    own = found.where("doc_id <=> component_id")
+    named = written(own.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies")), "kept")
+    mark = "simhash_copies"
+    kept = docs.join(named.withColumnRenamed("copies", mark), "doc_id")
+    out = kept.where(F.col(mark) == 1)
+    if not named.where("copies > 1").isEmpty():
+        out = out.union(kept.where(F.col(mark) > 1).dropDuplicates(["doc_id"]))
+    out = out.select(*docs.columns)
+    if not own.where("doc_id is null").isEmpty():  # their text tells such rows apart, by fingerprint
+        lost = written(docs.where("doc_id is null").withColumn("doc_id", F.monotonically_increasing_id()), "unnamed")
+        fps = fingerprints(lost).join(own.where("doc_id is null").select("fp").distinct(), "fp")
+        alone = fps.groupBy("fp").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+        out = out.union(lost.join(alone, "doc_id").withColumn("doc_id", F.lit(None).cast("long")).select(*docs.columns))
+    return out
