@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import packing, quality, secrets, simhash, toxicity
+from foliant.llm import packing, quality, secrets, sharding, simhash, toxicity, warc
 from foliant.llm.common import table
 
 
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.revisits(spark, table(spark, sf_dir, "pages"))
+
+
 def op2_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_report(table(spark, sf_dir, "documents"))
 
@@ -22,6 +26,10 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op9_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -30,6 +38,6 @@ def op10_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_markov, op4_quality_cascade, op7_simhash_near_dedup, op9_online_packing, op10_toxicity_ordinal)}
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_secret_markov, op4_quality_cascade, op7_simhash_near_dedup, op8_extendible_sharding, op9_online_packing, op10_toxicity_ordinal)}
 
-ORACLES = {"op4_quality_cascade": quality.QUALITY_SQL}
+ORACLES = {"op1_warc_revisits": warc.REVISIT_SQL, "op4_quality_cascade": quality.QUALITY_SQL, "op8_extendible_sharding": sharding.SHARD_SQL}
