@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -187,15 +188,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, r
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs without the rows that the model calls toxic; columns as they came, rows as often as they came."""
-    import pandas as pd
-
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
+    @F.pandas_udf("boolean")
     def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         of, m = shared.value.scorer(), shared.value
         for s in texts:
             yield pd.Series(m.over(np.array([of(t) for t in s], float))[:, 0] < threshold, dtype=bool)
 
-    clean.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return docs.where(F.pandas_udf(clean, "boolean")("text"))
+    return docs.where(clean("text"))
