@@ -1,6 +1,8 @@
-"""Registry: query name -> callable, and the SQL that must give the same rows."""
+"""All registered queries over the star-schema and document tables."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from foliant.plans import document_queries, grammar_queries, table_queries, vector_queries  # noqa: F401
+from foliant.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
