@@ -251,7 +251,8 @@ def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     own = found.where("doc_id <=> component_id")
     named = written(own.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies")), "kept")
     mark = "simhash_copies"
-    kept = docs.join(named.withColumnRenamed("copies", mark), "doc_id")
+    # the ids to keep grow with the corpus: they meet the texts in a shuffle at every size, never by broadcast
+    kept = docs.join(named.withColumnRenamed("copies", mark).hint("merge"), "doc_id")
     out = kept.where(F.col(mark) == 1)
     if not named.where("copies > 1").isEmpty():
         out = out.union(kept.where(F.col(mark) > 1).dropDuplicates(["doc_id"]))
