@@ -193,7 +193,8 @@ def pack(docs: DataFrame, length: int = LENGTH, windows: int = WINDOWS, fan: int
             full, rest = chain(pieces, length, last)
             out = [r for k, w in enumerate(full) for r in _rows(w, level << 58 | group << 33 | k, group)]
             out += _rows(rest, None, group) if rest else []
-            return pd.DataFrame(out, columns=_NAMES).astype({"doc_id": "Int64", "sequence_id": "Int64"})
+            # by way of objects: a column of large integers and nulls must not pass through floating point
+            return pd.DataFrame(out, columns=_NAMES, dtype=object).astype({c: "Int64" for c in _NAMES if c != "ids"})
 
         return one
 
