@@ -123,6 +123,8 @@ def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
 
 def order(docs: DataFrame, given: list[Rule], rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
     """(rule, seconds, share rejected), best rejections per second first; measured on a bounded sample."""
+    if not given:
+        return []
     part = sample(docs, rows)
     shares = part.agg(*[F.avg(F.coalesce(r.rejects, F.lit(False)).cast("int")).alias(f"r{i}") for i, r in enumerate(given)]).first()
     out = []
