@@ -6,7 +6,7 @@ for good if a keyed hash of seed, variant, unit and its place falls below the ra
 that stand side by side in no piece, so texts are cut there into units, each encoded on its own.
 
 The variant of a unit is a keyed hash of its number in the text, one of `VARIANTS`: so one word comes out in several
-ways within a text, while equal texts under one seed come out equal, and units can be remembered (at most `KNOWN`).
+ways within a text, while equal texts under one seed come out equal, and units can be remembered: up to `KNOWN` new ones, and as many from before.
 Characters without a piece, and a literal U+2581, become byte pieces: decoding gives back every text.
 """
 
@@ -24,10 +24,11 @@ from pyspark.sql import DataFrame
 
 from foliant.llm.common import small_batches
 
-RATE, SEED, VARIANTS, KNOWN = 0.1, 20_240_607, 2, 500_000
+RATE, SEED, VARIANTS, KNOWN = 0.1, 20_240_607, 2, 600_000
 SPACE = "▁"
 _LITERAL = "\udcff"  # stands for a literal U+2581: no valid text has it
 _SHORT = 48
+_BARE = 1 << 24  # marks a character without a piece
 
 
 class PieceCoder:
@@ -38,7 +39,7 @@ class PieceCoder:
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path("piece_bpe_32k.model"))
         n = sp.get_piece_size()
-        self.rank: dict[str, float] = {}  # lower is better
+        scores: dict[str, float] = {}
         self.ids: dict[str, int] = {}
         self.raw: list[bytes] = [b""] * n
         self.byte = [0] * 256
@@ -49,14 +50,22 @@ class PieceCoder:
                 self.raw[i] = bytes([int(p[3:5], 16)])
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 self.ids[p] = i
-                self.rank[p] = -sp.get_score(i)
+                scores[p] = sp.get_score(i)
                 self.raw[i] = p.replace(SPACE, " ").encode()
         if any(c in p[1:].lstrip(SPACE) for p in self.ids for c in (SPACE, "\n")) or any("\n" in p for p in self.ids):
             raise ValueError("a piece spans units")
+        # a piece goes by its rank, best score first; two neighbours by what they make
+        by_rank = sorted(scores, key=lambda p: (-scores[p], self.ids[p]))
+        rank = {p: r for r, p in enumerate(by_rank)}
+        self.word = [self.ids[p].to_bytes(4, "little") for p in by_rank]
+        self.char = {p: r for p, r in rank.items() if len(p) == 1}
+        self.pair = {rank[p[:k]] << 32 | rank[p[k:]]: r for p, r in rank.items() for k in range(1, len(p)) if p[:k] in rank and p[k:] in rank}
         self.beside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.rate, self.seed, self.variants = round(rate * 256), seed, variants if rate > 0 else 1
+        self.keys = [b"%d:%d" % (seed, v) for v in range(self.variants)]
         self.cycle = [self._mix(seed ^ (k * 0x9E3779B1)) % self.variants for k in range(4093)]
-        self.known: list[dict[str, tuple[int, ...]]] = [{} for _ in range(self.variants)]
+        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.older: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
 
     @staticmethod
     def _mix(x: int) -> int:
@@ -91,113 +100,106 @@ class PieceCoder:
 
     def encode(self, text: str) -> list[int]:
         """Piece ids; an empty text has none."""
-        out: list[int] = []
+        return np.frombuffer(self.packed(text), "<u4").tolist()
+
+    def packed(self, text: str) -> bytes:
+        """Piece ids as little-endian 32-bit words: units are remembered in this form, which no garbage search visits."""
         if not text:
-            return out
-        if sum(map(len, self.known)) > KNOWN:
-            for k in self.known:
-                k.clear()
-        units = self.units(text)
-        cycle, known = self.cycle, self.known
+            return b""
+        if sum(map(len, self.known)) > KNOWN:  # what is used again moves up, the rest goes
+            self.older, self.known = self.known, [{} for _ in range(self.variants)]
+        out: list[bytes] = []
+        units, cycle, known = self.units(text), self.cycle, self.known
         for at in range(0, len(units), len(cycle)):
             shift = self._mix(self.seed + at) % len(cycle) if at else 0
             order = cycle[shift:] + cycle[:shift] if shift else cycle
             for u, v in zip(units[at : at + len(cycle)], order):
                 ids = known[v].get(u)
                 if ids is None:
-                    ids = known[v][u] = self.unit(u, v)
-                out += ids
-        return out
+                    ids = known[v][u] = self.older[v].get(u) or self.unit(u, v)
+                out.append(ids)
+        return b"".join(out)
 
-    def unit(self, unit: str, variant: int) -> tuple[int, ...]:
+    def unit(self, unit: str, variant: int) -> bytes:
         """Ids of a unit; parts that no merge can join are looked up on their own."""
-        beside, cuts = self.beside, [0]
-        cuts += [k for k, (a, b) in enumerate(zip(unit, unit[1:]), 1) if a + b not in beside]
-        if len(cuts) == 1:
+        cuts = [0, *(k for k in range(1, len(unit)) if unit[k - 1 : k + 1] not in self.beside), len(unit)]
+        if len(cuts) == 2:
             return self._part(unit, variant)
-        cuts.append(len(unit))
-        out: list[int] = []
-        known = self.known[variant]
+        known, older, out = self.known[variant], self.older[variant], []
         for a, b in zip(cuts, cuts[1:]):
             part = unit[a:b]
             ids = known.get(part)
             if ids is None:
-                ids = known[part] = self._part(part, variant)
-            out += ids
-        return tuple(out)
-
-    def _part(self, part: str, variant: int) -> tuple[int, ...]:
-        symbols = [part] if len(part) == 1 else (self._merge_short if len(part) <= _SHORT else self._merge_long)(part, variant)
-        out: list[int] = []
-        for s in symbols:
-            i = self.ids.get(s)
-            if i is not None:
-                out.append(i)
-            else:
-                out += [self.byte[b] for b in (SPACE if s == _LITERAL else s).encode()]
-        return tuple(out)
+                ids = known[part] = older.get(part) or self._part(part, variant)
+            out.append(ids)
+        return b"".join(out)
+
+    def _part(self, part: str, variant: int) -> bytes:
+        char, word = self.char, self.word
+        symbols = [char[c] if c in char else _BARE | ord(c) for c in part]
+        if len(symbols) > 1:
+            symbols = (self._merge_short if len(symbols) <= _SHORT else self._merge_long)(symbols, part, variant)
+        return b"".join([word[s] if s < _BARE else self._bare(chr(s ^ _BARE)) for s in symbols])
+
+    def _bare(self, c: str) -> bytes:
+        """A character without a piece, by its bytes."""
+        return np.array([self.byte[b] for b in (SPACE if c == _LITERAL else c).encode()], "<u4").tobytes()
 
     def _key(self, part: str, variant: int) -> bytes:
         """64 bytes for a part; those of a candidate are read at a place that its bounds give."""
-        return hashlib.blake2b(part.encode("utf-8", "surrogatepass"), digest_size=64, key=b"%d:%d" % (self.seed, variant)).digest()
-
-    def _skip(self, key: bytes, left: int, mid: int, end: int) -> bool:
-        return key[left * 37 + mid * 59 + end * 101 & 63] < self.rate
-
-    def _merge_short(self, unit: str, variant: int) -> list[str]:
-        sym = list(unit)
-        none = float("inf")
-        rank = self.rank.get
-        pair = [rank(a + b, none) for a, b in zip(sym, sym[1:])]
-        ends = list(range(1, len(sym) + 1))
-        rate = self.rate
-        key = self._key(unit, variant) if rate else b""
-        while pair:
-            best = min(pair)
-            if best == none:
-                break
-            i = pair.index(best)
-            if rate and self._skip(key, ends[i] - len(sym[i]), ends[i], ends[i + 1]):
-                pair[i] = none
-                continue
-            sym[i] += sym.pop(i + 1)
-            del ends[i], pair[i]
+        return hashlib.blake2b(part.encode("utf-8", "surrogatepass"), digest_size=64, key=self.keys[variant]).digest()
+
+    def _merge_short(self, sym: list[int], part: str, variant: int) -> list[int]:
+        none = _BARE
+        pairs, rate = self.pair.get, self.rate
+        made = [pairs(a << 32 | b, none) for a, b in zip(sym, sym[1:])]
+        ends = list(range(len(sym) + 1))
+        key = b""
+        while made and (best := min(made)) != none:
+            i = made.index(best)
+            if rate:
+                key = key or self._key(part, variant)
+                if key[ends[i] * 37 + ends[i + 1] * 59 + ends[i + 2] * 101 & 63] < rate:
+                    made[i] = none
+                    continue
+            sym[i] = best
+            del sym[i + 1], ends[i + 1], made[i]
             if i:
-                pair[i - 1] = rank(sym[i - 1] + sym[i], none)
-            if i < len(pair):
-                pair[i] = rank(sym[i] + sym[i + 1], none)
+                made[i - 1] = pairs(sym[i - 1] << 32 | best, none)
+            if i < len(made):
+                made[i] = pairs(best << 32 | sym[i + 1], none)
         return sym
 
-    def _merge_long(self, unit: str, variant: int) -> list[str]:
-        """The same with a heap; symbols are (start, end) with links to their neighbours."""
-        n = len(unit)
+    def _merge_long(self, sym: list[int], part: str, variant: int) -> list[int]:
+        """The same with a heap and links to the neighbours."""
+        n = len(sym)
         end, prev, nxt = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         alive = [True] * n
-        key = self._key(unit, variant) if self.rate else b""
-        heap: list[tuple[float, int, int, int]] = []
+        key = self._key(part, variant) if self.rate else b""
+        heap: list[tuple[int, int, int, int]] = []
 
         def offer(i: int) -> None:
             j = nxt[i]
-            if j < n and (r := self.rank.get(unit[i : end[j]])) is not None:
+            if j < n and (r := self.pair.get(sym[i] << 32 | sym[j])) is not None:
                 heapq.heappush(heap, (r, i, end[i], end[j]))
 
         for i in range(n - 1):
             offer(i)
         while heap:
-            _, i, mid, last = heapq.heappop(heap)
+            best, i, mid, last = heapq.heappop(heap)
             if not alive[i] or end[i] != mid or mid >= n or end[mid] != last:
                 continue
-            if self.rate and self._skip(key, i, mid, last):
+            if self.rate and key[i * 37 + mid * 59 + last * 101 & 63] < self.rate:
                 continue
             j = nxt[i]
             alive[j] = False
-            end[i], nxt[i] = last, nxt[j]
+            sym[i], end[i], nxt[i] = best, last, nxt[j]
             if nxt[j] < n:
                 prev[nxt[j]] = i
             if prev[i] >= 0:
                 offer(prev[i])
             offer(i)
-        return [unit[i : end[i]] for i in range(n) if alive[i]]
+        return [sym[i] for i in range(n) if alive[i]]
 
     def decode(self, ids: list[int]) -> str:
         """The text that encode was given."""
@@ -221,7 +223,7 @@ def encode(docs: DataFrame, rate: float = RATE, seed: int = SEED, variants: int
         for b in batches:
             for at in range(0, len(b), 100):
                 part = b.slice(at, 100)
-                ids = [np.array(c.encode(t.as_py() or ""), np.int32) for t in part.column(1)]
+                ids = [np.frombuffer(c.packed(t.as_py() or ""), "<i4") for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
@@ -254,9 +256,9 @@ def report(docs: DataFrame, rate: float = RATE, seed: int = SEED, variants: int
             rows = []
             for doc_id, t in zip(b.column(0).to_pylist(), b.column(1)):
                 text = t.as_py() or ""
-                ids = c.encode(text)
-                back = c.decode(ids)
-                rows.append((doc_id, len(text), len(ids), crc32(np.array(ids, "<u4").tobytes()), hashlib.sha256(back.encode()).hexdigest(), back == text))
+                packed = c.packed(text)
+                back = c.decode(np.frombuffer(packed, "<u4").tolist())
+                rows.append((doc_id, len(text), len(packed) // 4, crc32(packed), hashlib.sha256(back.encode()).hexdigest(), back == text))
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows) if rows else [[]] * 6, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()))], names=names)
 
     return docs.select("doc_id", "text").mapInArrow(run, _REPORT)
