@@ -5,8 +5,8 @@ severity of a document is the sum of these probabilities over k; it is called to
 threshold.  x holds log(1 + count) of words and of word beginnings of `PREFIXES` letters (insults inflect).
 
 Grades.  The labels name toxic documents (0/1).  Grade 0 is a document labelled clean; a toxic one is graded 1 to
-3 by its share of marker words (words with a feature at least `MARKER_RATIO` times as frequent, by document, in
-toxic labelled documents as in clean ones): below `GRADE_SHARES[0]`, below `GRADE_SHARES[1]`, the rest.
+3 by its number of marker words (words with a feature at least `MARKER_RATIO` times as frequent, by document, in
+toxic labelled documents as in clean ones): below `GRADE_COUNTS[0]`, below `GRADE_COUNTS[1]`, the rest.
 
 Bounds.  The classifier is fitted on at most `TRAIN_ROWS` labelled rows, chosen by a hash of doc_id, with at most
 `FEATURES` features; only the counts of these features reach the driver.  The model is as large on any corpus.
@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from foliant.llm.common import small_batches, written
 
 TRAIN_ROWS, FEATURES, PREFIXES = 8_000, 4_000, (4, 5, 6, 7)
-MIN_DOCS, MIN_RATIO = 6, 4.0
+MIN_DOCS, MIN_SHARE, MIN_RATIO = 4, 0.015, 5.0
 THRESHOLD = 0.3
-MARKER_RATIO, GRADE_SHARES = 25.0, (0.01, 0.03)
+MARKER_RATIO, GRADE_COUNTS = 25.0, (4, 9)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -110,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> OrdinalMo
     ratio = (F.col("yes") / n[True]) / ((F.col("all") - F.col("yes") + 0.5) / n[False])
     # the most telling features: by how much more of the toxic rows than of the clean ones have them
     gain = F.col("yes") / n[True] - (F.col("all") - F.col("yes")) / n[False]
-    telling = by.where((F.col("yes") >= MIN_DOCS) & (ratio >= MIN_RATIO)).select("f", ratio.alias("ratio"), gain.alias("gain")).orderBy(F.desc("gain"), "f").limit(FEATURES).collect()
+    telling = by.where((F.col("yes") >= max(MIN_DOCS, MIN_SHARE * n[True])) & (ratio >= MIN_RATIO)).select("f", ratio.alias("ratio"), gain.alias("gain")).orderBy(F.desc("gain"), "f").limit(FEATURES).collect()
     used = {r.f: i for i, r in enumerate(telling)}
     marked = {r.f for r in telling if r.ratio >= MARKER_RATIO}
 
@@ -119,26 +119,26 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> OrdinalMo
             out = []
             for t in b.column("text"):
                 c = word_counts(t.as_py())
-                total, marks, x = sum(c.values()), 0, Counter()
+                marks, x = 0, Counter()
                 for w, k in c.items():
                     own = [f for f in features(w) if f in used]
                     marks += k * any(f in marked for f in own)
                     for f in own:
                         x[used[f]] += k
-                out.append((list(x), list(x.values()), marks / max(total, 1)))
+                out.append((list(x), list(x.values()), marks))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("toxic").cast(pa.int32()), pa.array([o[0] for o in out], pa.list_(pa.int32())), pa.array([o[1] for o in out], pa.list_(pa.int32())), pa.array([o[2] for o in out], pa.float64())],
-                names=["doc_id", "toxic", "at", "counts", "share"],
+                [b.column("doc_id"), b.column("toxic").cast(pa.int32()), pa.array([o[0] for o in out], pa.list_(pa.int32())), pa.array([o[1] for o in out], pa.list_(pa.int32())), pa.array([o[2] for o in out], pa.int32())],
+                names=["doc_id", "toxic", "at", "counts", "marks"],
             )
 
-    got = sorted((r.doc_id, r.toxic, r.share, sorted(zip(r.at, r.counts))) for r in sample.mapInArrow(counted, "doc_id long, toxic int, at array<int>, counts array<int>, share double").collect())
-    grades = np.array([0 if toxic <= 0 else 1 + sum(share >= g for g in GRADE_SHARES) for _, toxic, share, _ in got])
+    got = sorted((r.doc_id, r.toxic, r.marks, sorted(zip(r.at, r.counts))) for r in sample.mapInArrow(counted, "doc_id long, toxic int, at array<int>, counts array<int>, marks int").collect())
+    grades = np.array([0 if toxic <= 0 else 1 + sum(marks >= g for g in GRADE_COUNTS) for _, toxic, marks, _ in got])
     weights, cuts = train([p for *_, p in got], grades, len(used))
     names = list(used)
     return OrdinalModel({names[i]: float(weights[i]) for i in np.flatnonzero(weights)}, [float(c) for c in cuts])
 
 
-def train(pairs: list[list[tuple[int, int]]], grades: np.ndarray, size: int, steps: int = 800, l1: float = 2e-4) -> tuple[np.ndarray, np.ndarray]:
+def train(pairs: list[list[tuple[int, int]]], grades: np.ndarray, size: int, steps: int = 1500, l1: float = 5e-5) -> tuple[np.ndarray, np.ndarray]:
     """Proximal AdaGrad on the mean log-loss over all thresholds, with an L1 penalty.  pairs: (feature, count) by row."""
     levels = np.unique(grades[grades > 0])
     grades = np.searchsorted(levels, grades, side="right")  # grades that no row has need no threshold
