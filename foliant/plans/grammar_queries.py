@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliant.operators import glyphs, markdown, outline, papers, schemes, sittings
+from foliant.operators.shared import written
 from foliant.plans.registry import query, table
 from foliant.sources import readers
 
@@ -91,10 +92,12 @@ def scheme_entries(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sitting(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    qp, ms = markdown.elements(_paper_texts(spark, d)), markdown.elements(_scheme_texts(spark, d))
-    pair = lambda df: df.withColumn("pair", F.col("doc_id"))
-    entries = pair(schemes.entries(ms)).withColumn("ord", F.struct("number", "label"))
-    return pair(papers.papers(qp)), pair(schemes.schemes(ms)), pair(papers.questions(qp)), entries
+    """Papers, schemes, questions and entries; each side is read once and kept as a table, since all joins go over it."""
+    qp = written(papers.drafted(markdown.elements(_paper_texts(spark, d))).withColumn("pair", F.col("doc_id")), "papers")
+    ms = written(schemes.drafted(markdown.elements(_scheme_texts(spark, d))).withColumn("pair", F.col("doc_id")), "schemes")
+    questions = qp.select("pair", F.explode("questions").alias("q")).select("pair", "q.*")
+    entries = ms.select("pair", F.posexplode("entries").alias("ord", "e")).select("pair", "ord", "e.*")
+    return qp.drop("questions"), ms.drop("entries"), questions, entries
 
 
 @query(f"""
