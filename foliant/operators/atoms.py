@@ -12,9 +12,9 @@ from foliant.operators import gates
 from foliant.operators.perdoc import per_document
 
 # Furniture of layout pages, printed identity, and thresholds of page kinds.
-FURNITURE = ("blank page", "do not write in this area", "turn over", "pmt")
-FURNITURE_STARTS = ("leave blank", "answer all questions", "*p")
-TOTAL_ROW = r"(?i)^\(?total for question\s*\d{1,2}\s*(=|is)\s*\d{1,3}\s*marks?\)?$"
+FURNITURE = ("do not write in this area", "answer all questions.", "answer all questions", "turn over", "blank page", "pmt")
+FURNITURE_STARTS = ("do not write in this area", "some questions must be answered with a cross in a box", "if you change your mind, put a line through the box")
+TOTAL_ROW = r"(?i)^\(?total for question \d+\b.*\bmarks?\s*\.?\)?$"
 FOOTER_Y, SCANNED_COVERAGE, SCANNED_CHARS = 780.0, 0.55, 250
 REFERENCE = r"\b((?:W[A-Z]{2}[0-9]{2}|[0-9][A-Z]{2}[0-9])/[0-9]{1,2}[A-Z]{0,2})\b"
 
@@ -43,11 +43,11 @@ def drop_overlaps(blocks: DataFrame, key: list[str], share: float = 0.5) -> Data
 
 def furniture(text: Column) -> Column:
     """exact, prefix or total for furniture lines, null for content."""
-    low = F.lower(F.trim(text))
+    low = F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
     starts = F.lit(False)
     for p in FURNITURE_STARTS:
         starts = starts | low.startswith(p)
-    return F.when(low.isin(*FURNITURE), "exact").when(starts, "prefix").when(F.trim(text).rlike(TOTAL_ROW), "total")
+    return F.when(low.isin(*FURNITURE) | F.regexp_replace(low, r"\.+$", "").isin(*FURNITURE), "exact").when(starts, "prefix").when(F.trim(text).rlike(TOTAL_ROW), "total")
 
 
 def furniture_image(width: Column, height: Column) -> Column:

@@ -51,7 +51,7 @@ def pack_chunks(df: DataFrame, key: str, order: list[str], tokens: Column, targe
     """df with chunk: rows of a key packed greedily in order.
 
     A row above `most` stands alone; a chunk is closed when the next row would take it past `target`, or, with a
-    group column, when that changes.
+    group column, when that changes (a null group never closes one).
     """
     g = F.col(group) if group else F.lit(0)
     whole = F.struct(*[F.col(c) for c in df.columns])
@@ -62,7 +62,7 @@ def pack_chunks(df: DataFrame, key: str, order: list[str], tokens: Column, targe
 
     def step(s: Column, x: Column) -> Column:
         large = x._t > most
-        opens = (s.chunk == 0) | large | s.alone | (s.sum + x._t > target) | ~s.g.eqNullSafe(x._g)
+        opens = (s.chunk == 0) | large | s.alone | (s.sum + x._t > target) | F.coalesce(s.g != x._g, F.lit(False))
         chunk = s.chunk + F.when(opens, 1).otherwise(0)
         return F.struct(chunk.alias("chunk"), F.when(opens, x._t).otherwise(s.sum + x._t).alias("sum"), large.alias("alone"), x._g.alias("g"), F.concat(s.out, F.array(chunk)).alias("out"))
 

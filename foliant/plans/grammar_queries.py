@@ -148,9 +148,9 @@ SELECT CAST(c_custkey AS VARCHAR) AS k, CASE WHEN c_custkey % 4 = 0 THEN NULL EL
 """)
 def revision_notes(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
-    head = F.concat(F.lit("---\n"), F.when(k % 4 == 0, "").otherwise(_str("id: rn_", k, "\n")), _str("title: \"", F.col("c_name"), "\"\nsubject: ", F.col("c_mktsegment"), "\nqualification: A\nboard: B\ntopic: C\nsource_url: x\nupdated_at: "), F.when(k % 3 == 0, "soon").otherwise("2025-01-02"))
+    head = F.concat(F.lit("---\n"), F.when(k % 4 == 0, "").otherwise(_str("note_id: rn_", k, "\n")), _str("title: \"", F.col("c_name"), "\"\nsource: ", F.col("c_mktsegment"), "\npath: a/b\nspec_point_ids: [\"x\"]\nspec_point_codes: [\"y\"]\nguided_study: no\nupdated_at: "), F.when(k % 3 == 0, "soon").otherwise("2025-01-02"))
     docs = table(spark, d, "customer").select(k.alias("k"), F.concat(head, F.lit("\n---\n\n"), _str("Body of ", F.col("c_name"))).alias("text"))
-    return readers.notes(docs, "k").select("k", F.element_at("meta", "id").alias("note_id"), F.size("violations").alias("n_violations"), "body")
+    return readers.notes(docs, "k").select("k", F.element_at("meta", "note_id").alias("note_id"), F.size("violations").alias("n_violations"), "body")
 
 
 @query(r"""

@@ -12,7 +12,8 @@ from foliant.functions import identity
 from foliant.operators.perdoc import per_document
 
 # Front-matter keys that a revision note must have, and the chunk kinds of an engine's JSON.
-NOTE_KEYS = ("id", "title", "subject", "qualification", "board", "topic", "source_url", "updated_at")
+NOTE_KEYS = ("note_id", "title", "source", "path", "updated_at", "spec_point_ids", "spec_point_codes", "guided_study")
+NOTE_ID = re.compile(r"rn_[A-Za-z0-9]+")
 CHUNKS = {"heading": "heading", "paragraph": "paragraph", "list item": "list_item", "caption": "paragraph", "table": "table", "image": "figure", "picture": "figure", "formula": "equation"}
 
 
@@ -86,8 +87,8 @@ def _note(text: str | None) -> dict:
             v = value.strip()
             meta[name.strip()] = v[1:-1] if len(v) > 1 and v[0] == v[-1] and v[0] in "\"'" else v
     problems += [f"missing key {k}" for k in NOTE_KEYS if not meta.get(k)]
-    if meta.get("id") and not meta["id"].startswith("rn_"):
-        problems.append("id does not begin with rn_")
+    if meta.get("note_id") and not NOTE_ID.fullmatch(meta["note_id"]):
+        problems.append("note_id is not rn_ and letters or digits")
     if meta.get("updated_at") and not re.fullmatch(r"\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?", meta["updated_at"]):
         problems.append("updated_at is no ISO time")
     return {"meta": list(meta.items()), "body": "\n".join(lines[end + 1 :]).strip("\n"), "violations": problems}
@@ -105,7 +106,7 @@ def inline_list(value: Column) -> Column:
 
 def with_sidecar(notes_: DataFrame, sidecars: DataFrame, schema_tag: str) -> tuple[DataFrame, DataFrame]:
     """(notes with their sidecar, sidecars set aside): joined on the note's id; a wrong tag or an unknown id is set aside."""
-    ids = notes_.withColumn("note_id", F.element_at("meta", "id"))
+    ids = notes_.withColumn("note_id", F.element_at("meta", "note_id"))
     right = sidecars.where(F.col("schema") == schema_tag)
     lost = sidecars.where(~F.col("schema").eqNullSafe(F.lit(schema_tag))).withColumn("reason", F.lit("schema"))
     lone = right.join(ids.select("note_id").distinct(), "note_id", "left_anti").withColumn("reason", F.lit("note_id"))

@@ -138,11 +138,11 @@ def test_glyphs(spark):
 
 
 def test_notes_and_engine_json(spark):
-    good = "---\nid: rn_1\ntitle: \"T\"\nsubject: s\nqualification: q\nboard: b\ntopic: t\nsource_url: u\nupdated_at: 2025-01-01T10:00:00Z\n---\nbody"
-    df = spark.createDataFrame([("a", good), ("b", "none"), ("c", None), ("d", good.replace("rn_1", "x").replace("topic: t", "id: y"))], "k string, text string")
+    good = "---\nnote_id: rn_1\ntitle: \"T\"\nsource: s\npath: q\nspec_point_ids: b\nspec_point_codes: t\nguided_study: u\nupdated_at: 2025-01-01T10:00:00Z\n---\nbody"
+    df = spark.createDataFrame([("a", good), ("b", "none"), ("c", None), ("d", good.replace("rn_1", "x").replace("path: q", "note_id: y"))], "k string, text string")
     got = {r.k: r for r in readers.notes(df, "k").collect()}
     assert got["a"].violations == [] and got["a"].meta["title"] == "T" and got["a"].body == "body"
-    assert got["d"].violations == ["repeated key id", "missing key topic", "id does not begin with rn_"] and got["b"].violations and got["c"].violations
+    assert got["d"].violations == ["repeated key note_id", "missing key path", "note_id is not rn_ and letters or digits"] and got["b"].violations and got["c"].violations
     side = spark.createDataFrame([("rn_1", "v1", "p"), ("rn_9", "v1", "p"), ("rn_1", "v0", "p")], "note_id string, schema string, params string")
     joined, aside = readers.with_sidecar(readers.notes(df, "k").where("k = 'a'"), side, "v1")
     assert joined.first().sidecar == "p" and {r.reason for r in aside.collect()} == {"schema", "note_id"}
