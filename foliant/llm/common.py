@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: White space of the word rule: space and the five ASCII controls 9 to 13.
-BLANK = r"[\x20\x09-\x0D]+"
+from foliant.operators.shared import shared_dir, written
 
+__all__ = ["BLANK", "let", "shared_dir", "small_batches", "table", "words", "written"]
 
-_own: dict[str, str] = {}
+#: White space of the word rule: space and the five ASCII controls 9 to 13.
+BLANK = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,23 +27,6 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
             spark.conf.set(key, str(rows))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        app = spark.sparkContext.applicationId
-        found = _own.setdefault(app, f"file://{tempfile.mkdtemp(prefix='foliant-')}")
-    return found
-
-
-def written(df: DataFrame, what: str) -> DataFrame:
-    """Cut lineage: write df as a table in the shared folder, once, and read it back."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/foliant/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def let(value: Column, body) -> Column:
     """body(value) with value computed once per row, also where lambdas inside body mention it."""
     return F.element_at(F.transform(F.array(value), body), 1)
