@@ -64,7 +64,7 @@ def markdown_elements(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""
 WITH {_NUMBERED}
 SELECT CAST(k AS VARCHAR) AS doc_id, i AS number, CASE WHEN i % 3 = 0 THEN 'colon' WHEN i % 3 = 1 THEN 'space' ELSE 'dot' END AS style, 'Part ' || p || ' was shipped.' AS stem,
-  CASE WHEN f = 'R' AND q > 1 THEN 2 ELSE 0 END AS n_parts, CASE WHEN f = 'N' THEN 0 ELSE q END AS marks, f <> 'N' AS marks_known, CASE WHEN f = 'R' AND q > 1 THEN 0.75 WHEN f <> 'N' THEN 0.6 ELSE 0.45 END AS confidence FROM n
+  CASE WHEN f = 'R' AND q > 1 THEN 2 ELSE 0 END AS n_parts, CASE WHEN f = 'N' THEN 0 ELSE q END AS marks, f <> 'N' AS marks_known, CAST(CASE WHEN f = 'R' AND q > 1 THEN 0.75 WHEN f <> 'N' THEN 0.6 ELSE 0.45 END AS DOUBLE) AS confidence FROM n
 """)
 def paper_questions(spark: SparkSession, d: str) -> DataFrame:
     q = papers.questions(markdown.elements(_paper_texts(spark, d)))

@@ -213,3 +213,20 @@ def test_streams(spark, tmp_path):
         q = df.writeStream.format("memory").queryName(name).outputMode("append" if name == "copies" else "complete" if name == "wide" else "append").trigger(availableNow=True).start()
         q.awaitTermination()
         assert spark.table(name).count() <= want
+
+
+def test_bundle(spark, tmp_path):
+    from foliant.__main__ import main
+
+    (tmp_path / "in").mkdir()
+    for name, text in (("x-qp.md", PAPER), ("x-ms.md", SCHEME), ("y-qp.md", PAPER), ("notes.md", "z")):
+        (tmp_path / "in" / name).write_text(text)
+    out = str(tmp_path / "out")
+    assert main([str(tmp_path / "in"), out]) == 1
+    read = lambda t: spark.read.parquet(f"{out}/{t}")
+    assert read("status").first().status == "fail" and read("documents").count() == 2 and read("questions").count() == 3
+    assert read("unmatched").count() == 1 and read("violations").count() == 0 and read("marks").count() == 5
+    from foliant.plans import bundle
+
+    _, aside = bundle.build(spark, str(tmp_path / "in"))
+    assert {(r.path.rsplit("/", 1)[-1], r.reason) for r in aside.collect()} == {("notes.md", "name"), ("y-qp.md", "unpaired")}
