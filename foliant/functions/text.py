@@ -66,8 +66,10 @@ def map_chars(x: Column, table: dict[str, str]) -> Column:
     C0 controls but tab, line feed and return become a space, as in an intake normaliser.
     """
     keys = sorted(table, key=lambda k: (-len(k), k))
-    quoted = "|".join(r"\Q" + k + r"\E" for k in keys)
-    parts = F.regexp_extract_all(x, F.lit(f"(?s){quoted}|." if keys else "(?s)."), F.lit(0))
+    quoted = "".join(r"\Q" + k + r"\E|" for k in keys)
+    stops = "".join(sorted({rf"\x{{{ord(k[0]):X}}}" for k in keys}))
+    # a run of characters that begin no key and are no control goes as one piece
+    parts = F.regexp_extract_all(x, F.lit(rf"(?s){quoted}[^{stops}\x00-\x08\x0B\x0C\x0E-\x1F]+|."), F.lit(0))
     literal = F.create_map(*[F.lit(v) for k in keys for v in (k, table[k])]) if keys else F.create_map().cast("map<string,string>")
     one = lambda t: F.coalesce(F.element_at(literal, t), F.when(t.rlike(r"^[\x00-\x08\x0B\x0C\x0E-\x1F]$"), F.lit(" ")).otherwise(t))
     return F.array_join(F.transform(parts, one), "")

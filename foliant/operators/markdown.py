@@ -40,6 +40,7 @@ STEM = re.compile(r"\d{1,2}\s+[A-Za-z]{3,}")
 TOTAL = re.compile(r"\(?\s*Total for (question|paper)", re.I)
 
 ELEMENTS = "doc_id string, ord int, element_id string, kind string, level int, text string, rows array<array<string>>, url string, alt string, source_name string, format string, line_no int"
+_EMPTY = dict.fromkeys(c.split()[0] for c in ELEMENTS.split(", ")[1:])
 COUNTERS = ("entity_lines", "signed_urls", "open_tables", "orphan_fences", "open_divs", "mixed_math_lines")
 
 
@@ -83,7 +84,7 @@ class Elements:
 
     def add(self, kind: str, text: str | None = None, **more) -> None:
         n = len(self.rows)
-        self.rows.append({"ord": n, "element_id": f"e{n:06d}", "kind": kind, "text": text, "line_no": self.line_no} | more)
+        self.rows.append(_EMPTY | {"ord": n, "element_id": f"e{n:06d}", "kind": kind, "text": text, "line_no": self.line_no} | more)
 
 
 def _until(lines: list[str], start: int, closes, stops) -> tuple[int, bool]:

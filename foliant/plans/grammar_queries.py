@@ -67,7 +67,7 @@ SELECT CAST(k AS VARCHAR) AS doc_id, i AS number, CASE WHEN i % 3 = 0 THEN 'colo
   CASE WHEN f = 'R' AND q > 1 THEN 2 ELSE 0 END AS n_parts, CASE WHEN f = 'N' THEN 0 ELSE q END AS marks, f <> 'N' AS marks_known, CAST(CASE WHEN f = 'R' AND q > 1 THEN 0.75 WHEN f <> 'N' THEN 0.6 ELSE 0.45 END AS DOUBLE) AS confidence FROM n
 """)
 def paper_questions(spark: SparkSession, d: str) -> DataFrame:
-    q = papers.questions(markdown.elements(_paper_texts(spark, d)))
+    q = papers.drafted_texts(_paper_texts(spark, d)).select(F.explode("questions").alias("q")).select("q.*")
     return q.select("doc_id", "number", "style", "stem", F.size("parts").alias("n_parts"), "marks", "marks_known", "confidence")
 
 
@@ -76,7 +76,7 @@ WITH {_NUMBERED}
 SELECT CAST(k AS VARCHAR) AS doc_id, CAST(count(*) AS INTEGER) AS n_questions, CAST(count(CASE WHEN f <> 'N' THEN 1 END) AS INTEGER) AS n_totals, CAST(coalesce(sum(CASE WHEN f <> 'N' THEN q END), 0) AS INTEGER) AS total FROM n GROUP BY k
 """)
 def paper_totals(spark: SparkSession, d: str) -> DataFrame:
-    p = papers.papers(markdown.elements(_paper_texts(spark, d)))
+    p = papers.drafted_texts(_paper_texts(spark, d))
     return p.select("doc_id", "n_questions", F.size("totals").alias("n_totals"), F.aggregate(F.map_values("totals"), F.lit(0), lambda s, x: s + x).alias("total"))
 
 
@@ -87,14 +87,14 @@ UNION ALL SELECT CAST(k AS VARCHAR), i || '(b)', i, 'supplier ' || s, 0, 'ignore
 UNION ALL SELECT CAST(k AS VARCHAR), i || '', i, 'part ' || p || ' & more', 0, 'ecf', q, 'label row' FROM n WHERE NOT (f = 'R' AND q > 1)
 """)
 def scheme_entries(spark: SparkSession, d: str) -> DataFrame:
-    e = schemes.entries(markdown.elements(_scheme_texts(spark, d)))
+    e = schemes.drafted_texts(_scheme_texts(spark, d)).select(F.explode("entries").alias("e")).select("e.*")
     return e.select("doc_id", "label", "number", "answer", F.size("points").alias("n_points"), F.col("guidance")[0]["kind"].alias("kind"), "marks", "marks_source")
 
 
 def _sitting(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Papers, schemes, questions and entries; each side is read once and kept as a table, since all joins go over it."""
-    qp = written(papers.drafted(markdown.elements(_paper_texts(spark, d))).withColumn("pair", F.col("doc_id")), "papers")
-    ms = written(schemes.drafted(markdown.elements(_scheme_texts(spark, d))).withColumn("pair", F.col("doc_id")), "schemes")
+    qp = written(papers.drafted_texts(_paper_texts(spark, d)).withColumn("pair", F.col("doc_id")), "papers")
+    ms = written(schemes.drafted_texts(_scheme_texts(spark, d)).withColumn("pair", F.col("doc_id")), "schemes")
     questions = qp.select("pair", F.explode("questions").alias("q")).select("pair", "q.*")
     entries = ms.select("pair", F.posexplode("entries").alias("ord", "e")).select("pair", "ord", "e.*")
     return qp.drop("questions"), ms.drop("entries"), questions, entries
