@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from foliant.llm.common import small_batches
 
-TRAIN_PAGES, TREES, DEPTH, RATE, BINS = 700, 80, 4, 0.2, 32
+TRAIN_PAGES, TREES, DEPTH, RATE, BINS = 1_000, 100, 4, 0.2, 32
 
 # HTML element kinds and common words of class names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -37,7 +37,7 @@ CLOSES = {
 SCOPE = {"li": frozenset(["ul", "ol"]), "tr": frozenset(["table"]), "td": frozenset(["tr"]), "th": frozenset(["tr"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"])}
 NO_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 GOOD = frozenset("article articlebody body content entry main post story text page prose copy maincontent".split())
-BAD = frozenset("""ad ads adv advert advertisement banner bottom breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer discuss disqus
+BAD = frozenset("""ad ads alert announcement adv advert advertisement banner bottom breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies copyright dialog disclaimer discuss disqus
     foot footer form gdpr head header hidden legal links login masthead menu meta modal nav navbar navigation newsletter notice notification pager pagination popup popular privacy
     promo promotion recommended related replies reply respond search share sharing sidebar side signup skip social sponsor sponsored subscribe tag tags teaser toolbar top topbar trending warning widget widgets""".split())
 TAGS = ("p", "h1", "h2", "h3", "li", "ul", "ol", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "blockquote", "pre", "td", "figure", "body")
@@ -354,7 +354,7 @@ def labelled_page(rng: random.Random) -> str:
         return rng.choice([
             lambda: box("nav", named("main-nav", "menu") if rng.random() < 0.5 else "", "n", items("n", rng.randint(3, 9), link)),
             lambda: box("div", ' class="' + rng.choice(["menu", "navbar", "nav top", "breadcrumb"]) + '"', "n", " ".join(link() for _ in range(rng.randint(3, 8)))),
-            lambda: box("nav", "", "n", " | ".join(link(1, 1) for _ in range(rng.randint(3, 8))))])()
+            lambda: box("nav", "", "n", rng.choice([" | ", " ", ""]).join(link(1, 1) for _ in range(rng.randint(2, 8))))])()
 
     def header() -> str:
         inner = rng.choice([lambda: box("h1", "", "n", prose(1, 4)), lambda: box("div", ' class="logo"', "n", link()), lambda: box("p", "", "n", prose(3, 10))])()
@@ -371,7 +371,9 @@ def labelled_page(rng: random.Random) -> str:
 
     def notice() -> str:
         inner = rng.choice([lambda: prose(5, 40), lambda: box("p", "", "n", prose(8, 50)) + "<button>OK</button>"])()
-        return box("div", f' class="{rng.choice(["cookie", "cookie-notice", "notice", "consent", "gdpr-banner", "popup", "notification", "warning"])}"' + (' role="alert"' if rng.random() < 0.2 else ""), "n", inner)
+        if rng.random() < 0.2:
+            return box(rng.choice(["div", "p"]), f' role="{rng.choice(["alert", "dialog"])}"', "n", inner if "<p" not in inner else prose(4, 30))
+        return box("div", f' class="{rng.choice(["cookie", "cookie-notice", "notice", "consent", "gdpr-banner", "popup", "notification", "warning", "alert", "announcement"])}"', "n", inner)
 
     def aside() -> str:
         inner = rng.choice([
@@ -415,7 +417,9 @@ def labelled_page(rng: random.Random) -> str:
     within = talk if rng.random() < 0.4 else ""
     inner = body() + within
     r = rng.random()
-    if r < 0.45:
+    if r < 0.08:  # straight in the page
+        core = inner
+    elif r < 0.48:
         core = box("article", named("post", "article", "story") if rng.random() < 0.3 else "", "y", inner)
     elif r < 0.6:
         core = box("main", "", "y", inner if rng.random() < 0.5 else box("article", "", "y", inner))
@@ -429,10 +433,13 @@ def labelled_page(rng: random.Random) -> str:
     above = [f() for p, f in around if rng.random() < p]
     below = [f() for p, f in ((0.4, aside), (0.3, share), (0.3, ad), (0.25, form), (0.15, nav), (0.1, notice)) if rng.random() < p]
     rng.shuffle(above), rng.shuffle(below)
+    bare = rng.random() < 0.06  # nothing but the article
+    if bare:
+        above, below = [], []
     whole = "".join(above) + core + "".join(below)
     if rng.random() < 0.25:
         whole = f'<div class="{rng.choice(["wrapper", "container", "page", word()])}">{whole}</div>'
-    return f'<!DOCTYPE html><html><head><title>{prose(1, 9)}</title><style>p{{margin:0}}</style></head><body>{whole}{footer() if rng.random() < 0.85 else ""}</body></html>'
+    return f'<!DOCTYPE html><html><head><title>{prose(1, 9)}</title><style>p{{margin:0}}</style></head><body>{whole}{footer() if rng.random() < 0.85 and not bare else ""}</body></html>'
 
 
 @lru_cache(maxsize=2)
