@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from foliant.operators.shared import shared_dir, written
 
-__all__ = ["BLANK", "let", "shared_dir", "small_batches", "table", "words", "written"]
+__all__ = ["BLANK", "let", "shared_dir", "small_batches", "table", "texts", "words", "written"]
 
 #: White space of the word rule: space and the five ASCII controls 9 to 13.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) in the types that the Arrow functions declare."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of few rows: long texts must not add up in a worker."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

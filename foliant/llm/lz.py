@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import small_batches
+from foliant.llm.common import small_batches, texts
 
 BINS, DIGITS = 128, 4
 _MUL, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
@@ -100,7 +100,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             found = [text_of(Phrases().feed((t.as_py() or "").encode()).sketch()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.string())], names=["doc_id", "fingerprint"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fingerprint string")
+    return texts(docs).mapInArrow(run, "doc_id long, fingerprint string")
 
 
 _OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -146,6 +146,7 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = texts(docs)
     ids = docs.select("doc_id")
     splits = sorted(set(ids.approxQuantile("doc_id", [k / n for k in range(1, n)], 1 / (8 * n)))) if n > 1 else []
     shared = spark.sparkContext.broadcast(np.array(splits, np.float64))  # as many as partitions

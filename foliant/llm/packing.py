@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import small_batches, written
+from foliant.llm.common import small_batches, texts, written
 
 LENGTH, END, WINDOWS, FAN = 2048, 1, 16, 64
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, part long, ids binary"
@@ -198,7 +198,7 @@ def pack(docs: DataFrame, length: int = LENGTH, windows: int = WINDOWS, fan: int
 
         return one
 
-    packed = written(docs.select("doc_id", "text").mapInArrow(run, SCHEMA), "packed")
+    packed = written(texts(docs).mapInArrow(run, SCHEMA), "packed")
     out = [packed.where("sequence_id is not null")]
     left = packed.where("sequence_id is null")
     parts = (left.agg(F.max("part")).first()[0] or 0) + 1

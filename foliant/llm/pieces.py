@@ -22,7 +22,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from foliant.llm.common import small_batches
+from foliant.llm.common import small_batches, texts
 
 RATE, SEED, VARIANTS, KNOWN = 0.1, 20_240_607, 2, 600_000
 SPACE = "▁"
@@ -226,7 +226,7 @@ def encode(docs: DataFrame, rate: float = RATE, seed: int = SEED, variants: int
                 ids = [np.frombuffer(c.packed(t.as_py() or ""), "<i4") for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -261,4 +261,4 @@ def report(docs: DataFrame, rate: float = RATE, seed: int = SEED, variants: int
                 rows.append((doc_id, len(text), len(packed) // 4, crc32(packed), hashlib.sha256(back.encode()).hexdigest(), back == text))
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows) if rows else [[]] * 6, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()))], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, _REPORT)
+    return texts(docs).mapInArrow(run, _REPORT)

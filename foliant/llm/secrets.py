@@ -140,14 +140,15 @@ def markov_spans(text: Column, base: Column, model: list[int]) -> Column:
     return F.when(text.rlike(long_enough), free).otherwise(F.array().cast(EMPTY))
 
 
-def scan(docs: DataFrame, model: list[int]) -> DataFrame:
-    """docs with base_spans and all_spans, arrays of (s start, k kind number, e end) by start and kind.
+def scan(docs: DataFrame, model: list[int], base: str = "base_spans", every: str = "all_spans") -> DataFrame:
+    """docs with two more columns (named by the caller), arrays of (s start, k kind number, e end) by start and kind.
 
     Kind 3 is the Markov models'.  Null and empty texts have no spans; repeated rows are scanned alike.
     """
-    cleared = docs.withColumn("secret_text", clear(F.col("text")))
-    with_base = cleared.withColumn("base_spans", base_spans(F.col("secret_text")))
-    return with_base.withColumn("all_spans", F.sort_array(F.concat("base_spans", markov_spans(F.col("secret_text"), F.col("base_spans"), model)))).drop("secret_text")
+    work = f"{every}_text"
+    cleared = docs.withColumn(work, clear(F.col("text")))
+    with_base = cleared.withColumn(base, base_spans(F.col(work)))
+    return with_base.withColumn(every, F.sort_array(F.concat(base, markov_spans(F.col(work), F.col(base), model)))).drop(work)
 
 
 def joined(spans: Column) -> Column:
@@ -171,7 +172,8 @@ def redact(docs: DataFrame, model: list[int] | None = None, mask: str = "<SECRET
     Rows and columns stay; null texts stay null.
     """
     model = train(samples(docs.sparkSession, docs)) if model is None else model
-    found = scan(docs, model)
+    every = next(n for n in ("secret_spans" + "_" * k for k in range(1000)) if not {n, f"{n}_base", f"{n}_text"} & set(docs.columns))
+    found = scan(docs, model, f"{every}_base", every)
 
     def rebuilt(spans: Column) -> Column:
         start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("keep"))
@@ -181,8 +183,8 @@ def redact(docs: DataFrame, model: list[int] | None = None, mask: str = "<SECRET
             F.transform(a.keep, lambda x: F.substring(F.col("text"), x.s + 1, x.e - x.s)), F.array(F.substring(F.col("text"), a.at + 1, F.length("text")))))
         return F.array_join(parts, mask)
 
-    text = F.when(F.size("all_spans") > 0, rebuilt(F.col("all_spans"))).otherwise(F.col("text"))
+    text = F.when(F.size(every) > 0, rebuilt(F.col(every))).otherwise(F.col("text"))
     out = found.withColumn("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("all_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.size(every) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

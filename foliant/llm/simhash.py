@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import small_batches, written
+from foliant.llm.common import small_batches, texts, written
 from foliant.llm.graph import components
 
 SHINGLE, SEED, RADIUS, BUCKET = 3, 42, 2, 2048
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             fps = [_signed(fingerprint(t.as_py())) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return texts(docs).mapInArrow(run, "doc_id long, fp long")
 
 
 def _fields(level: int, fields: tuple[int, ...] = ()) -> list[list[int]]:
@@ -250,7 +250,7 @@ def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     found = near_duplicates(docs, bucket)
     own = found.where("doc_id <=> component_id")
     named = written(own.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies")), "kept")
-    mark = "simhash_copies"
+    mark = next(n for n in ("simhash_copies" + "_" * k for k in range(1000)) if n not in docs.columns)
     # the ids to keep grow with the corpus: they meet the texts in a shuffle at every size, never by broadcast
     kept = docs.join(named.withColumnRenamed("copies", mark).hint("merge"), "doc_id")
     out = kept.where(F.col(mark) == 1)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import small_batches, written
+from foliant.llm.common import small_batches, texts, written
 
 TRAIN_ROWS, FEATURES, PREFIXES = 8_000, 4_000, (4, 5, 6, 7)
 MIN_DOCS, MIN_SHARE, MIN_RATIO = 4, 0.015, 5.0
@@ -84,9 +84,10 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Data
 
     Null labels and ids are left out; a document labelled twice has its higher label; repeated documents count once.
     """
-    own = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
+    own = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    return texts(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> OrdinalModel:
@@ -178,7 +179,7 @@ def score(docs: DataFrame, model: OrdinalModel, threshold: float = THRESHOLD) ->
             cols = [b.column(0), pa.array(over.sum(axis=1)), pa.array((over > 0.5).sum(axis=1), pa.int32()), pa.array(over[:, 0] >= threshold)]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "expected_severity", "severity", "toxic"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, expected_severity double, severity int, toxic boolean")
+    return texts(docs).mapInArrow(run, "doc_id long, expected_severity double, severity int, toxic boolean")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = TRAIN_ROWS) -> DataFrame:

@@ -5,7 +5,7 @@ ODD = [
     (6, "same text here and there", "en", "a"), (None, "text without an id", "en", "a"), (None, None, None, None), (7, "\n\n \t\n", "en", "a"), (8, "x" * 50000, "en", "a"), (9, "é😀▁\x01\x00 end", "en", "a"),
 ]
 #: Names that operators use for columns of their own.
-CLASH = ["fp", "h", "row", "depth", "bytes", "n", "window", "part", "tail", "copies", "simhash_text", "ids", "spans", "words", "kept"]
+CLASH = ["fp", "h", "row", "depth", "bytes", "n", "window", "part", "tail", "copies", "simhash_text", "ids", "spans", "words", "kept", "all_spans", "base_spans", "secret_spans", "simhash_copies", "rejected_by"]
 
 
 @pytest.fixture

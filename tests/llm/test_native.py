@@ -120,7 +120,7 @@ def test_secrets_of_odd_rows(odd, none):
     got = secrets.secrets_report(odd, model).collect()
     assert len(got) == odd.count() and all(r.n_assign == 0 for r in got)
     clean = secrets.redact(odd, model)
-    assert clean.columns == odd.columns
+    assert clean.columns == odd.columns and clean.exceptAll(odd).count() == 0 and odd.exceptAll(clean).count() == 0
     assert secrets.secrets_report(none, model).count() == 0 and secrets.redact(none, model).count() == 0
     assert secrets.train(secrets.samples(odd.sparkSession, none).limit(0)) == [0] * secrets.SIZE**2
 
