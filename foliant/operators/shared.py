@@ -25,3 +25,10 @@ def written(df: DataFrame, what: str) -> DataFrame:
     path = f"{shared_dir(spark)}/foliant/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Delete the tables that written() left, once nothing reads them any more; any file system that Spark knows."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/foliant")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
