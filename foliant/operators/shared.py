@@ -19,16 +19,21 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def own_dir(spark: SparkSession) -> str:
+    """The application's own part of the shared folder, which other applications may use too."""
+    return f"{shared_dir(spark)}/foliant/{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """Cut lineage: write df as a table in the shared folder, once, and read it back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/foliant/{what}-{uuid.uuid4().hex}"
+    path = f"{own_dir(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_written(spark: SparkSession) -> None:
-    """Delete the tables that written() left, once nothing reads them any more; any file system that Spark knows."""
+    """Delete the tables that written() left in this application, once nothing reads them; any file system that Spark knows."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/foliant")
+    path = jvm.org.apache.hadoop.fs.Path(own_dir(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

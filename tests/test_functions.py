@@ -79,3 +79,13 @@ def test_vectors_and_names(spark):
     assert abs(got[0] - 0.5**0.5) < 1e-12 and got[1] == 0.0 and got[2] == 1.0
     assert len(register.register(spark)) == 4
     assert spark.sql("SELECT foliant_suffix('a-i'), foliant_estimated_tokens('abcde')").first()[:] == ("(a)(i)", 2)
+
+
+def test_written_tables(spark):
+    from foliant.operators.shared import own_dir, written
+
+    df = spark.createDataFrame([(1, None)], "id int, t string")
+    out = written(df, "x")
+    assert out.collect() == df.collect() and out.schema == df.schema
+    path = out.inputFiles()[0]
+    assert spark.sparkContext.applicationId in path and own_dir(spark).removeprefix("file://") in path
