@@ -262,19 +262,21 @@ def severity_rollup(spark: SparkSession, d: str) -> DataFrame:
     return gates.roll_up(joined.withColumn("severity", severity), ["lang"])
 
 
-@query("""
-WITH o AS (SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id % 10 <> 0),
-n AS (SELECT doc_id, CASE WHEN doc_id % 7 = 1 THEN upper(lang) ELSE lang END AS lang, source, CASE WHEN doc_id % 5 = 2 THEN n_chars + 1 ELSE n_chars END AS n_chars FROM documents WHERE doc_id % 10 <> 1),
+@query(r"""
+WITH o AS (SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
+n AS (SELECT doc_id, lang, source, CAST(length(regexp_replace(text, '\s+', ' ', 'g')) AS BIGINT) AS n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) = 1),
 j AS (SELECT coalesce(o.doc_id, n.doc_id) AS doc_id, CASE WHEN o.doc_id IS NULL THEN 'added' WHEN n.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change,
   CASE WHEN o.doc_id IS NULL OR n.doc_id IS NULL THEN '' ELSE concat_ws(',', CASE WHEN o.lang IS DISTINCT FROM n.lang THEN 'lang' END, CASE WHEN o.source IS DISTINCT FROM n.source THEN 'source' END, CASE WHEN o.n_chars IS DISTINCT FROM n.n_chars THEN 'n_chars' END) END AS columns
   FROM o FULL OUTER JOIN n ON o.doc_id = n.doc_id)
 SELECT doc_id, change, columns FROM j WHERE change <> 'changed' OR columns <> ''
 """)
 def revision_diff(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
-    new = docs.where("doc_id % 10 <> 1").select(
-        "doc_id", F.when(F.col("doc_id") % 7 == 1, F.upper("lang")).otherwise(F.col("lang")).alias("lang"), "source", F.when(F.col("doc_id") % 5 == 2, F.col("n_chars") + 1).otherwise(F.col("n_chars")).alias("n_chars"))
-    return gates.changes(docs.where("doc_id % 10 <> 0"), new, "doc_id", ["lang", "source", "n_chars"])
+    """The labelled documents against the documents without copies and with white space collapsed."""
+    docs = table(spark, d, "documents")
+    old = docs.select("doc_id", "lang", "source", "n_chars").join(table(spark, d, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    sized = docs.select("doc_id", "lang", "source", F.length(F.regexp_replace("text", r"\s+", " ")).cast("long").alias("n_chars"), F.sha2("text", 256).alias("digest"))
+    first = sized.groupBy("digest").agg(F.min_by(F.struct("doc_id", "lang", "source", "n_chars"), "doc_id").alias("r")).select("r.*")
+    return gates.changes(old, first, "doc_id", ["lang", "source", "n_chars"])
 
 
 @query(r"""

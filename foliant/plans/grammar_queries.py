@@ -183,11 +183,15 @@ def glyph_accounting(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND doc_id % 5 <> 0 THEN upper(lang) ELSE CASE WHEN doc_id % 5 = 0 THEN lang || '!' ELSE lang END END AS lang, doc_id % 3 = 0 AND doc_id % 5 = 0 AS conflict FROM documents
+WITH c AS (SELECT d.doc_id, d.lang, coalesce(l.toxic = 1, false) AS edited, coalesce(l.quality = 0, false) AS wanted FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT doc_id, CASE WHEN edited THEN lang || '!' WHEN wanted THEN upper(lang) ELSE lang END AS lang, edited AND wanted AS conflict FROM c
 """)
 def guarded_update(spark: SparkSession, d: str) -> DataFrame:
+    """Languages of poor documents are to be set in capitals; toxic ones were edited since the snapshot."""
     snapshot = table(spark, d, "documents").select("doc_id", "lang")
-    current = snapshot.withColumn("lang", F.when(F.col("doc_id") % 5 == 0, F.concat("lang", F.lit("!"))).otherwise(F.col("lang")))
-    update = snapshot.where("doc_id % 3 = 0").withColumn("lang", F.upper("lang"))
+    labels = table(spark, d, "labels")
+    edited = labels.where("toxic = 1").select("doc_id").withColumn("edited", F.lit(True))
+    current = snapshot.join(edited, "doc_id", "left").select("doc_id", F.when(F.col("edited"), F.concat("lang", F.lit("!"))).otherwise(F.col("lang")).alias("lang"))
+    update = snapshot.join(labels.where("quality = 0").select("doc_id"), "doc_id", "left_semi").withColumn("lang", F.upper("lang"))
     out, conflicts = glyphs.guarded_update(current, snapshot, update, "doc_id", "lang")
     return out.join(conflicts.withColumn("conflict", F.lit(True)), "doc_id", "left").select("doc_id", "lang", F.coalesce("conflict", F.lit(False)).alias("conflict"))
