@@ -286,10 +286,11 @@ SELECT d.doc_id, s.item_id, count(*) AS n_hits FROM documents d JOIN s ON contai
 def leakage_guard(spark: SparkSession, d: str) -> DataFrame:
     grams = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[^\s]+( [^\s]+){7}"), F.lit(0)))
     items = table(spark, d, "benchmark").select("item_id", F.explode(grams).alias("g"))
-    # a gram holds its own inner six words; documents meet grams on these, and only then is the text searched
-    inner = items.withColumn("k", F.array_join(F.slice(F.split("g", " "), 2, 6), " "))
+    # a gram holds its own inner six words; documents meet grams on a hash of these, and only then is the text searched
+    six = lambda w, i: F.xxhash64(*[F.element_at(w, i + k) for k in range(6)])
+    inner = items.withColumn("k", six(F.split("g", " "), F.lit(2)))
     words = F.split(F.lower("text"), r"\s")
-    runs = F.when(F.size("w") >= 6, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 5), lambda i: F.array_join(F.slice("w", i, 6), " ")))).otherwise(F.array().cast("array<string>"))
+    runs = F.when(F.size("w") >= 6, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 5), lambda i: six(F.col("w"), i)))).otherwise(F.array().cast("array<bigint>"))
     docs = table(spark, d, "documents").select("doc_id", F.lower("text").alias("t"), words.alias("w"))
     keys = docs.select("doc_id", F.explode(runs).alias("k"))
     met = keys.join(inner, "k").select("doc_id", "item_id", "g").distinct()
