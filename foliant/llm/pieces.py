@@ -2,11 +2,13 @@
 
 Encoding follows the merge-type algorithm: symbols are characters, an agenda holds the neighbouring pairs whose union
 is a piece, the best score (then the leftmost pair) is merged first.  With dropout, a pair that comes up is skipped
-for good if a keyed hash of seed, variant, unit and its place falls below the rate.  No merge can join two characters
-that stand side by side in no piece, so texts are cut there into units, each encoded on its own.
+for good with the probability of the rate.  No merge can join two characters that stand side by side in no piece, so
+texts are cut there into units, each encoded on its own.
 
-The variant of a unit is a keyed hash of its number in the text, one of `VARIANTS`: so one word comes out in several
-ways within a text, while equal texts under one seed come out equal, and units can be remembered: up to `KNOWN` new ones, and as many from before.
+The skips of a unit are a mask, bit k for the k-th pair that comes up: drawn from a generator keyed by a hash of seed
+and doc_id, at the unit's place in the text.  So every occurrence of a word has its own draw, and one document comes
+out the same in any partition.  What is remembered is the outcome of a unit for the skips that it met, exact for every
+mask that agrees on these: up to `KNOWN` new ones, and as many from before.  Long units are drawn without memory.
 Characters without a piece, and a literal U+2581, become byte pieces: decoding gives back every text.
 """
 
@@ -15,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Iterator
+from operator import add
 from zlib import crc32
 
 import numpy as np
@@ -24,21 +27,23 @@ from pyspark.sql import DataFrame
 
 from foliant.llm.common import small_batches, texts
 
-RATE, SEED, VARIANTS, KNOWN = 0.1, 20_240_607, 2, 600_000
+RATE, SEED, KNOWN = 0.1, 20_240_607, 600_000
 SPACE = "▁"
 _LITERAL = "\udcff"  # stands for a literal U+2581: no valid text has it
 _SHORT = 48
+_BITS = 64  # skips in a word of a mask
+_LOW = [(1 << k) - 1 for k in range(_BITS + 1)]
 _BARE = 1 << 24  # marks a character without a piece
 
 
 class PieceCoder:
     """Encoder and decoder of one model file; rate 0 gives the model's own segmentation."""
 
-    def __init__(self, path: str | None = None, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS) -> None:
+    def __init__(self, path: str | None = None, rate: float = RATE, seed: int = SEED) -> None:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path("piece_bpe_32k.model"))
-        n = sp.get_piece_size()
+        n, self.model = sp.get_piece_size(), sp
         scores: dict[str, float] = {}
         self.ids: dict[str, int] = {}
         self.raw: list[bytes] = [b""] * n
@@ -61,18 +66,23 @@ class PieceCoder:
         self.char = {p: r for p, r in rank.items() if len(p) == 1}
         self.pair = {rank[p[:k]] << 32 | rank[p[k:]]: r for p, r in rank.items() for k in range(1, len(p)) if p[:k] in rank and p[k:] in rank}
         self.beside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
-        self.rate, self.seed, self.variants = round(rate * 256), seed, variants if rate > 0 else 1
-        self.keys = [b"%d:%d" % (seed, v) for v in range(self.variants)]
-        self.cycle = [self._mix(seed ^ (k * 0x9E3779B1)) % self.variants for k in range(4093)]
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.older: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-
-    @staticmethod
-    def _mix(x: int) -> int:
-        x &= 0xFFFFFFFF
-        x = ((x ^ (x >> 16)) * 0x7FEB352D) & 0xFFFFFFFF
-        x = ((x ^ (x >> 15)) * 0x846CA68B) & 0xFFFFFFFF
-        return x ^ (x >> 16)
+        self.bytes = frozenset([*self.byte, sp.unk_id()])
+        self.rate, self.seed = round(rate * 256), seed
+        self.variants = 64 if rate > 0 else 1  # how many masks tell the first six decisions apart; encoding draws from all
+        self.known: dict[str | tuple[str, int], tuple[int, bytes]] = {}
+        self.older: dict[str | tuple[str, int], tuple[int, bytes]] = {}
+
+    def _masks(self, n: int, *key: object) -> np.ndarray:
+        """n words of 64 skips, each skip with the probability of the rate; the first words do not depend on n."""
+        if not 0 < self.rate < 256:
+            return np.full(n, -(self.rate > 0)).astype(np.uint64)
+        own = hashlib.blake2b(":".join(map(str, (self.seed, *key))).encode(), digest_size=16).digest()
+        bits = f"{self.rate:08b}".rstrip("0")[::-1]
+        raw = np.random.Philox(key=np.frombuffer(own, "<u8")).random_raw(n * len(bits)).reshape(n, -1)
+        out = raw[:, 0]
+        for k, bit in enumerate(bits[1:], 1):  # from the last binary place of the rate to its first
+            out = out | raw[:, k] if bit == "1" else out & raw[:, k]
+        return out
 
     def units(self, text: str) -> list[str]:
         """The text with its leading mark, cut before spaces and line breaks; a run of spaces goes with what follows."""
@@ -98,84 +108,135 @@ class PieceCoder:
             out.append(SPACE * pending)
         return out
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str, doc_id: int | None = None) -> list[int]:
         """Piece ids; an empty text has none."""
-        return np.frombuffer(self.packed(text), "<u4").tolist()
+        return np.frombuffer(self.packed(text, doc_id), "<u4").tolist()
 
-    def packed(self, text: str) -> bytes:
+    def packed(self, text: str, doc_id: int | None = None) -> bytes:
         """Piece ids as little-endian 32-bit words: units are remembered in this form, which no garbage search visits."""
         if not text:
             return b""
-        if sum(map(len, self.known)) > KNOWN:  # what is used again moves up, the rest goes
-            self.older, self.known = self.known, [{} for _ in range(self.variants)]
+        if len(self.known) > KNOWN:  # what is used again moves up, the rest goes
+            self.older, self.known = self.known, {}
         out: list[bytes] = []
-        units, cycle, known = self.units(text), self.cycle, self.known
-        for at in range(0, len(units), len(cycle)):
-            shift = self._mix(self.seed + at) % len(cycle) if at else 0
-            order = cycle[shift:] + cycle[:shift] if shift else cycle
-            for u, v in zip(units[at : at + len(cycle)], order):
-                ids = known[v].get(u)
-                if ids is None:
-                    ids = known[v][u] = self.older[v].get(u) or self.unit(u, v)
+        units, known = self.units(text), self.known
+        for at, (u, mask) in enumerate(zip(units, self._masks(len(units), doc_id).tolist())):
+            e = known.get(u)
+            if e is None or mask & e[0]:
+                e = self._look(u, mask, (doc_id, at))
+            out.append(e[1])
+        return b"".join(out)
+
+    def unit(self, unit: str, mask: int) -> bytes:
+        """Ids of a unit under a mask of any length."""
+        return self._run(unit, mask)[1]
+
+    def _cuts(self, unit: str) -> list[str]:
+        """Parts that no merge can join."""
+        joins = list(map(self.beside.__contains__, map(add, unit, unit[1:])))
+        if False not in joins:
+            return [unit]
+        cuts = [0, *(k for k, x in enumerate(joins, 1) if not x), len(unit)]
+        return [unit[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _plain(self, unit: str) -> tuple[int, bytes] | None:
+        """The entry of a unit without skips from the library, where each merge is a decision; None if it has other pieces."""
+        if unit[0] != SPACE or not 1 < len(unit) <= _BITS or unit[1] == SPACE or not unit.isprintable():
+            return None
+        ids = self.model.encode(unit[1:])
+        if any(map(self.bytes.__contains__, ids)):
+            return None
+        return _LOW[len(unit) - len(ids)], np.array(ids, "<u4").tobytes()
+
+    def _look(self, unit: str, mask: int, place: tuple = ()) -> tuple[int, bytes]:
+        """(mask of the decisions met, ids) of a unit, by way of what is remembered: entries go by the skips met."""
+        known, older, skips = self.known, self.older, 0
+        while True:
+            key = (unit, skips) if skips else unit
+            e = known.get(key)
+            if e is None:
+                e = older.get(key) or (None if skips else self._plain(unit))
+                if e is None:
+                    break
+                known[key] = e
+            more = mask & e[0] ^ skips
+            if not more:
+                return e
+            skips |= more & -more
+        parts = self._cuts(unit)
+        if place and 3 * (len(unit) - len(parts)) > _BITS:
+            return 0, self._long(parts, place)
+        if len(parts) == 1:
+            n, ids = self._part(unit, mask)
+            e = _LOW[n] if n <= _BITS else (1 << n) - 1, ids
+        else:
+            n, out = 0, []
+            for p in parts:
+                low, ids = self._look(p, mask >> n)
+                n += low.bit_length()
                 out.append(ids)
+            e = _LOW[n], b"".join(out)
+        if mask & e[0] == skips:
+            known[key] = e
+        return e
+
+    def _long(self, parts: list[str], place: tuple) -> bytes:
+        """Ids of a unit that may meet more decisions than a word holds: each part has words of its own."""
+        need = [max(1, -(-3 * (len(p) - 1) // _BITS)) for p in parts]
+        words, at, out = self._masks(sum(need), *place), 0, []
+        for p, n in zip(parts, need):
+            mask = int.from_bytes(words[at : at + n].astype("<u8").tobytes(), "little")
+            out.append((self._look(p, mask) if n == 1 else self._run(p, mask))[1])
+            at += n
         return b"".join(out)
 
-    def unit(self, unit: str, variant: int) -> bytes:
-        """Ids of a unit; parts that no merge can join are looked up on their own."""
-        cuts = [0, *(k for k in range(1, len(unit)) if unit[k - 1 : k + 1] not in self.beside), len(unit)]
-        if len(cuts) == 2:
-            return self._part(unit, variant)
-        known, older, out = self.known[variant], self.older[variant], []
-        for a, b in zip(cuts, cuts[1:]):
-            part = unit[a:b]
-            ids = known.get(part)
-            if ids is None:
-                ids = known[part] = older.get(part) or self._part(part, variant)
+    def _run(self, unit: str, mask: int) -> tuple[int, bytes]:
+        """(mask of the decisions met, ids) of a unit, afresh; its parts take their decisions in turn."""
+        out, met = [], 0
+        for part in self._cuts(unit):
+            n, ids = self._part(part, mask >> met)
+            met += n
             out.append(ids)
-        return b"".join(out)
+        return (1 << met) - 1, b"".join(out)
 
-    def _part(self, part: str, variant: int) -> bytes:
-        char, word = self.char, self.word
+    def _part(self, part: str, mask: int) -> tuple[int, bytes]:
+        """How many decisions a part meets, and its ids."""
+        char, word, n = self.char, self.word, 0
         symbols = [char[c] if c in char else _BARE | ord(c) for c in part]
         if len(symbols) > 1:
-            symbols = (self._merge_short if len(symbols) <= _SHORT else self._merge_long)(symbols, part, variant)
-        return b"".join([word[s] if s < _BARE else self._bare(chr(s ^ _BARE)) for s in symbols])
+            symbols, n = (self._merge_short if len(symbols) <= _SHORT else self._merge_long)(symbols, part, mask)
+        return n, b"".join([word[s] if s < _BARE else self._bare(chr(s ^ _BARE)) for s in symbols])
 
     def _bare(self, c: str) -> bytes:
         """A character without a piece, by its bytes."""
         return np.array([self.byte[b] for b in (SPACE if c == _LITERAL else c).encode()], "<u4").tobytes()
 
-    def _key(self, part: str, variant: int) -> bytes:
-        """64 bytes for a part; those of a candidate are read at a place that its bounds give."""
-        return hashlib.blake2b(part.encode("utf-8", "surrogatepass"), digest_size=64, key=self.keys[variant]).digest()
-
-    def _merge_short(self, sym: list[int], part: str, variant: int) -> list[int]:
-        none = _BARE
-        pairs, rate = self.pair.get, self.rate
+    def _merge_short(self, sym: list[int], part: str, mask: int) -> tuple[list[int], int]:
+        """Symbols after the merges, and how many pairs came up: at most 3 for each but one symbol."""
+        none, n = _BARE, 0
+        pairs = self.pair.get
         made = [pairs(a << 32 | b, none) for a, b in zip(sym, sym[1:])]
-        ends = list(range(len(sym) + 1))
-        key = b""
         while made and (best := min(made)) != none:
             i = made.index(best)
-            if rate:
-                key = key or self._key(part, variant)
-                if key[ends[i] * 37 + ends[i + 1] * 59 + ends[i + 2] * 101 & 63] < rate:
-                    made[i] = none
-                    continue
+            n += 1
+            if mask >> n - 1 & 1:
+                made[i] = none
+                continue
             sym[i] = best
-            del sym[i + 1], ends[i + 1], made[i]
+            del sym[i + 1], made[i]
             if i:
                 made[i - 1] = pairs(sym[i - 1] << 32 | best, none)
             if i < len(made):
                 made[i] = pairs(best << 32 | sym[i + 1], none)
-        return sym
+        return sym, n
 
-    def _merge_long(self, sym: list[int], part: str, variant: int) -> list[int]:
+    def _merge_long(self, sym: list[int], part: str, mask: int) -> tuple[list[int], int]:
         """The same with a heap and links to the neighbours."""
-        n = len(sym)
+        n, met = len(sym), 0
         end, prev, nxt = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         alive = [True] * n
-        key = self._key(part, variant) if self.rate else b""
+        size = max(3 * n, mask.bit_length()) // 8 + 1
+        skip = np.unpackbits(np.frombuffer(mask.to_bytes(size, "little"), np.uint8), bitorder="little").tobytes()
         heap: list[tuple[int, int, int, int]] = []
 
         def offer(i: int) -> None:
@@ -189,7 +250,8 @@ class PieceCoder:
             best, i, mid, last = heapq.heappop(heap)
             if not alive[i] or end[i] != mid or mid >= n or end[mid] != last:
                 continue
-            if self.rate and key[i * 37 + mid * 59 + last * 101 & 63] < self.rate:
+            met += 1
+            if skip[met - 1]:
                 continue
             j = nxt[i]
             alive[j] = False
@@ -199,7 +261,7 @@ class PieceCoder:
             if prev[i] >= 0:
                 offer(prev[i])
             offer(i)
-        return [sym[i] for i in range(n) if alive[i]]
+        return [sym[i] for i in range(n) if alive[i]], met
 
     def decode(self, ids: list[int]) -> str:
         """The text that encode was given."""
@@ -209,21 +271,21 @@ class PieceCoder:
 _coders: dict[tuple, PieceCoder] = {}
 
 
-def coder(path: str | None, rate: float, seed: int, variants: int) -> PieceCoder:
+def coder(path: str | None, rate: float, seed: int) -> PieceCoder:
     """One coder for each setting and process, so that tasks share what it remembers."""
-    return _coders.get((path, rate, seed, variants)) or _coders.setdefault((path, rate, seed, variants), PieceCoder(path, rate, seed, variants))
+    return _coders.get((path, rate, seed)) or _coders.setdefault((path, rate, seed), PieceCoder(path, rate, seed))
 
 
-def encode(docs: DataFrame, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS, path: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, rate: float = RATE, seed: int = SEED, path: str | None = None) -> DataFrame:
     """(doc_id, ids) of every row; null and empty texts have no ids."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = coder(path, rate, seed, variants)
+        c = coder(path, rate, seed)
         for b in batches:
             for at in range(0, len(b), 100):
                 part = b.slice(at, 100)
-                ids = [np.frombuffer(c.packed(t.as_py() or ""), "<i4") for t in part.column(1)]
+                ids = [np.frombuffer(c.packed(t.as_py() or "", d), "<i4") for d, t in zip(part.column(0).to_pylist(), part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
@@ -234,7 +296,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     small_batches(encoded.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = coder(path, 0.0, SEED, 1)
+        c = coder(path, 0.0, SEED)
         for b in batches:
             texts = [None if x is None else c.decode(x) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
@@ -245,18 +307,18 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 _REPORT = "doc_id long, n_chars long, n_pieces long, ids_crc32 long, decoded_sha256 string, lossless boolean"
 
 
-def report(docs: DataFrame, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS, path: str | None = None) -> DataFrame:
+def report(docs: DataFrame, rate: float = RATE, seed: int = SEED, path: str | None = None) -> DataFrame:
     """Encode and decode every row: counts, a digest of the ids (little-endian unsigned 32-bit) and of the decoded text."""
     small_batches(docs.sparkSession)
     names = [c.split()[0] for c in _REPORT.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = coder(path, rate, seed, variants)
+        c = coder(path, rate, seed)
         for b in batches:
             rows = []
             for doc_id, t in zip(b.column(0).to_pylist(), b.column(1)):
                 text = t.as_py() or ""
-                packed = c.packed(text)
+                packed = c.packed(text, doc_id)
                 back = c.decode(np.frombuffer(packed, "<u4").tolist())
                 rows.append((doc_id, len(text), len(packed) // 4, crc32(packed), hashlib.sha256(back.encode()).hexdigest(), back == text))
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows) if rows else [[]] * 6, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()))], names=names)
