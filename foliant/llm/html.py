@@ -27,6 +27,7 @@ from foliant.llm.common import small_batches
 TRAIN_PAGES, TREES, DEPTH, RATE, BINS = 1_000, 100, 4, 0.2, 32
 
 # HTML element kinds and common words of class names.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title head html".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 HIDDEN = frozenset("head button select option datalist input object canvas audio video map area embed".split())
@@ -43,7 +44,8 @@ BAD = frozenset("""ad ads alert announcement adv advert advertisement banner bot
 TAGS = ("p", "h1", "h2", "h3", "li", "ul", "ol", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "blockquote", "pre", "td", "figure", "body")
 
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|title|xmp)\b[^>]*>.*?(?:</\1\s*>|\Z)"""
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<svg(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*+(?<=/)>"""
+    r"""|<(script|style|noscript|template|svg|iframe|textarea|title|xmp)(?=[\s/>])(?:(?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*>).*?(?:</\1(?=[\s/>])[^>]*>|\Z)"""
     r"""|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-z][^\s/>]*)[^>]*>|<[!?/][^>]*>""", re.S | re.I)
 _ATTR = re.compile(r"""\b(class|id|role|itemprop|aria-label|hidden|style)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -126,8 +128,16 @@ def parse(html: str | None, marks: bool = False) -> Page:
             hidden -= name in HIDDEN
         del stack[to:]
 
+    def leave_head() -> None:
+        for k, (n, _) in enumerate(stack):
+            if n == "head":
+                close(k)
+                break
+
     last = 0
     for m in _TOKEN.finditer(html):
+        if m.start() > last and hidden and stack[-1][0] == "head" and html[last : m.start()].strip():
+            leave_head()  # so does text
         if m.start() > last and not hidden:
             part = html[last : m.start()]
             text.append((unescape(part) if "&" in part else part, links > 0))
@@ -152,6 +162,8 @@ def parse(html: str | None, marks: bool = False) -> Page:
                         close(k)
                         break
             continue
+        if hidden and name not in HEAD:
+            leave_head()
         if name in INLINE:
             if name == "br" or name == "img":
                 if not hidden:
@@ -165,11 +177,6 @@ def parse(html: str | None, marks: bool = False) -> Page:
                 stack.append((name, -1))
                 hidden += 1
             continue
-        if name == "body":
-            for k, (n, _) in enumerate(stack):
-                if n == "head":
-                    close(k)
-                    break
         flush()
         shut = CLOSES.get(name, frozenset()) | (frozenset(["p"]) if name in NO_P else frozenset())
         stop = SCOPE.get(name, frozenset())
@@ -183,6 +190,8 @@ def parse(html: str | None, marks: bool = False) -> Page:
         if name in VOID:
             continue
         stack.append((name, node(name, m[4] or "")))
+    if last < len(html) and hidden and stack[-1][0] == "head" and html[last:].strip():
+        leave_head()
     if last < len(html) and not hidden:
         part = html[last:]
         text.append((unescape(part), links > 0))

@@ -297,3 +297,13 @@ def test_toxicity_of_odd_rows(spark, odd, none):
     assert toxicity.drop_toxic(odd, labels).columns == odd.columns
     assert toxicity.toxicity(none, labels).count() == 0
     assert not any(r.toxic for r in toxicity.toxicity(odd, labels.limit(0)).collect())
+
+
+@pytest.mark.parametrize("page", [
+    '<p>one</p><svg class="x"/><p>two</p><p>three</p>', '<p>one</p><svg-icon name="a"></svg-icon><p>two</p><p>three</p>', "<p>one</p><title-bar>two</title-bar><p>three</p>",
+    "<p>one</p><template-x></template-x><style-x>two</style-x><p>three</p>", "<p>one</p><!--><p>two</p><!---><p>three</p><!-- no -->", "<p>one</p><svg><title>no</title></svg ><p>two</p><p>three</p>",
+    "<html><head><meta charset=x><title>no</title><p>one</p><p>two</p><p>three</p>", "<head><title>no</title>one<p>two</p>three", "<head><link rel=x><script>no</script><b>one</b> two<p>three",
+    "<p>one</p><svg a='>' /><p>two</p><script>no</script x><p>three</p>",
+])
+def test_pages_are_read_to_their_end(page):
+    assert " ".join(t for _, t in html.parse(page).segments).split() == ["one", "two", "three"]
