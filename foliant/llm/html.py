@@ -245,7 +245,7 @@ class Batch:
         order = np.arange(n)
         firsts = np.full(n + len(self.starts), n)
         np.minimum.at(firsts, group, order)
-        rank = (order - firsts[group]) / np.maximum(nodes[np.where(has, up, 0)], 1)
+        rank = (order - firsts[group]) / np.where(has, nodes[up], np.bincount(self.page)[self.page])
         cols = [
             self.depth, self.good > 0, self.bad > 0, self.down(self.good > 0) > 0, np.minimum(self.down(self.bad > 0), 3),
             self.chars, self.words, self.stops / np.maximum(self.words, 1), self.linked / np.maximum(self.chars, 1), self.chars / np.maximum(self.words, 1),

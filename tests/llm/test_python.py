@@ -307,3 +307,10 @@ def test_toxicity_of_odd_rows(spark, odd, none):
 ])
 def test_pages_are_read_to_their_end(page):
     assert " ".join(t for _, t in html.parse(page).segments).split() == ["one", "two", "three"]
+
+
+def test_features_do_not_depend_on_other_pages():
+    own = html.parse("<p>one two</p><div><p>three</p></div><p>four</p>")
+    alone = html.Batch([own]).features()
+    for other in ("<p>x", "<div>" + "<p>y</p>" * 40 + "</div>"):
+        assert np.array_equal(html.Batch([html.parse(other), own]).features()[-len(alone):], alone)
