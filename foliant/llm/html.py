@@ -20,17 +20,22 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from foliant.llm.common import small_batches
 
 TRAIN_PAGES, TREES, DEPTH, RATE, BINS = 1_000, 100, 4, 0.2, 32
+BATCH_BYTES = 2 << 20  # of html whose nodes are held in arrays at a time
 
 # HTML element kinds and common words of class names.
-HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title head html".split())
+HEAD = frozenset("base basefont bgsound link meta noembed noframes noscript script style template title head html".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-HIDDEN = frozenset("head button select option datalist input object canvas audio video map area embed".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label map mark math menclose mfrac mi mn mo mover mrow ms msqrt msub msubsup msup mtext munder meter noscript output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+HIDDEN = frozenset("head button select option datalist input object canvas audio video area embed svg template".split())
+RAW = frozenset("script style iframe noembed noframes textarea title xmp plaintext".split())
+BREAKS = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup
+    table tt u ul var""".split())  # end an open svg
 CLOSES = {
     "p": frozenset(["p"]), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
     "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"]),
@@ -43,13 +48,23 @@ BAD = frozenset("""ad ads alert announcement adv advert advertisement banner bot
     promo promotion recommended related replies reply respond search share sharing sidebar side signup skip social sponsor sponsored subscribe tag tags teaser toolbar top topbar trending warning widget widgets""".split())
 TAGS = ("p", "h1", "h2", "h3", "li", "ul", "ol", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "blockquote", "pre", "td", "figure", "body")
 
-_TOKEN = re.compile(
-    r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<svg(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*+(?<=/)>"""
-    r"""|<(script|style|noscript|template|svg|iframe|textarea|title|xmp)(?=[\s/>])(?:(?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*>).*?(?:</\1(?=[\s/>])[^>]*>|\Z)"""
-    r"""|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-z][^\s/>]*)[^>]*>|<[!?/][^>]*>""", re.S | re.I)
-_ATTR = re.compile(r"""\b(class|id|role|itemprop|aria-label|hidden|style)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# Attributes as browsers read them: a quote delimits a value only behind "=".  Every part is possessive, so a tag is
+# read once; only the end of the page can make it fail.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|["'][^\s>]*+)?+"""
+_TAG = re.compile(rf"""</?+([a-z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+{_VALUE})?+)*+)>""", re.I)
+_PLAIN_TAG = re.compile(r"</?+([a-z][^\s/>]*+)([^>]*+)>", re.I)
+_ATTR = re.compile(r"""([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+""")
+_COMMENT_END = re.compile(r"--!?>")
+_NAMED = frozenset("class id role itemprop aria-label hidden style".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_LONG_NUMBER = re.compile(r"&#\d{8,}+;?")
+_BARE_COMMENT = re.compile(r"<!--(?:-?+>)")
 _TAG_NO = {t: i for i, t in enumerate(TAGS)}
+_NONE, _P = frozenset(), frozenset(["p"])
+_WALLS = frozenset("table td article section div blockquote figure body".split())
+TITLES, CHOICES = frozenset("h1 h2 h3 h4 h5 h6".split()), frozenset(["button", "select", "datalist"])
+LOOSE = -2  # stands for the node of a button or list without an end tag: the next block ends it
+MAX_OPEN = 512  # open elements; browsers have the same bound
 
 
 @dataclass
@@ -61,7 +76,6 @@ class Page:
     depth: list[int] = field(default_factory=list)
     good: list[int] = field(default_factory=list)
     bad: list[int] = field(default_factory=list)
-    names: list[str] = field(default_factory=list)
     chars: list[int] = field(default_factory=list)
     linked: list[int] = field(default_factory=list)
     words: list[int] = field(default_factory=list)
@@ -74,6 +88,8 @@ def _tokens(attrs: str) -> tuple[int, int]:
     good = bad = 0
     for name, value in _ATTR.findall(attrs):
         name = name.lower()
+        if name not in _NAMED:
+            continue
         if name == "style":
             bad += bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))
         elif name == "hidden":
@@ -86,32 +102,123 @@ def _tokens(attrs: str) -> tuple[int, int]:
     return good, bad
 
 
+def _decoded(part: str) -> str:
+    """Text with its character references decoded."""
+    if "&" not in part:
+        return part
+    try:
+        return unescape(part)
+    except ValueError:  # a number of thousands of digits, which is no character
+        return unescape(_LONG_NUMBER.sub("�", part))
+
+
+def _empty(attrs: str) -> bool:
+    """Whether a tag with these attributes closes itself: a slash at its end that is no part of a value."""
+    if not attrs.endswith("/"):
+        return False
+    value = attrs.rsplit(None, 1)[-1].partition("=")[2]
+    return not value or value == "/" or value[0] in "\"'"
+
+
+class Tags:
+    """The page cut into text, comments, tags and raw text by one walk from `<` to `<`, in time linear in its length."""
+
+    def __init__(self, html: str) -> None:
+        self.html, self.last, self.plain = html, html.rfind(">"), False
+        self.ends: dict[str, int] = {}
+
+    def closes(self, name: str, at: int) -> bool:
+        """Whether an end tag of this name comes behind at; each name's last end tag is looked up once."""
+        if name not in self.ends:
+            self.ends[name] = max((m.start() for m in _closing(name).finditer(self.html)), default=-1)
+        return self.ends[name] >= at
+
+    def pairs(self, name: str, at: int) -> bool:
+        """Whether the next tag of this name is an end tag."""
+        return self.closes(name, at) and (m := _either(name).search(self.html, at)) is not None and m[1] == "/"
+
+    def after(self, name: str, at: int) -> tuple[int, int]:
+        """Raw text of an element from at on: where it ends, and where its end tag does."""
+        m = _closing(name).search(self.html, at) if self.closes(name, at) else None
+        if m is None:
+            return len(self.html), len(self.html)
+        return m.start(), (self.html.find(">", m.end()) + 1) or len(self.html)
+
+    def next(self, at: int) -> tuple[int, int, str, str] | None:
+        """(start, end, name, attributes) of the next markup from at on: name is empty for comments, starts with / for
+        end tags.  A `<` that starts no markup, or that no `>` follows, is text."""
+        html = self.html
+        while True:
+            lt = html.find("<", at)
+            if lt < 0:
+                return None
+            if html.startswith("<!--", lt):
+                m = _BARE_COMMENT.match(html, lt) or _COMMENT_END.search(html, lt + 4)
+                return lt, m.end() if m else len(html), "", ""
+            at = lt + 1
+            if lt > self.last:
+                continue
+            c = html[lt + 1]
+            if c.isascii() and c.isalpha() or c == "/" and html[lt + 2].isascii() and html[lt + 2].isalpha():
+                m = None if self.plain else _TAG.match(html, lt)
+                if m is None:  # a quote is open to the end of the page: from here on quotes count for nothing
+                    self.plain = True
+                    m = _PLAIN_TAG.match(html, lt)
+                return lt, m.end(), ("/" if c == "/" else "") + m[1].lower(), m[2]
+            if c in "!?/":
+                return lt, html.index(">", lt) + 1, "", ""
+
+
+@lru_cache(maxsize=64)
+def _closing(name: str) -> re.Pattern:
+    return re.compile(rf"</{name}(?=[\s/>])", re.I)
+
+
+@lru_cache(maxsize=64)
+def _either(name: str) -> re.Pattern:
+    return re.compile(rf"<(/?+){name}(?=[\s/>])", re.I)
+
+
 def parse(html: str | None, marks: bool = False) -> Page:
-    """Nodes and segments of a page; any input gives a result."""
+    """Nodes and segments of a page; any input gives a result, in time linear in its length.
+
+    Tags that may be left out are implied: content closes an open head, a block closes an open button.  An element
+    whose content is hidden and whose end tag never comes is taken as empty, so that it hides nothing of the page.
+    """
     page, html = Page(), html or ""
     stack: list[tuple[str, int]] = []  # open elements; node -1: inline
+    blocks: list[int] = []  # nodes of the open blocks
+    count: dict[str, int] = {}  # open elements by name
     text: list[tuple[str, bool]] = []
     links = hidden = 0
 
     def node(tag: str, attrs: str) -> int:
         good, bad = _tokens(attrs) if attrs else (0, 0)
-        up = next((n for _, n in reversed(stack) if n >= 0), -1)
-        for c, v in ((page.tag, _TAG_NO.get(tag, len(TAGS))), (page.parent, up), (page.depth, page.depth[up] + 1 if up >= 0 else 0), (page.good, good), (page.bad, bad), (page.chars, 0), (page.linked, 0), (page.words, 0), (page.stops, 0)):
+        up = blocks[-1] if blocks else -1
+        for c, v in ((page.tag, _TAG_NO.get(tag, len(TAGS))), (page.parent, up), (page.depth, page.depth[up] + 1 if up >= 0 else 0), (page.good, good), (page.bad, bad),
+                     (page.chars, 0), (page.linked, 0), (page.words, 0), (page.stops, 0)):
             c.append(v)
-        page.names.append(tag)
         if marks:
             page.mark.append(m[1] if (m := re.search(r'data-y="(\w)"', attrs)) else "")
         return len(page.tag) - 1
 
+    def push(name: str, at: int) -> None:
+        stack.append((name, at))
+        count[name] = count.get(name, 0) + 1
+        if at >= 0:
+            blocks.append(at)
+
     def flush() -> None:
         if not text:
             return
         joined = " ".join("".join(t for t, _ in text).split())
         if joined:
-            at = next((n for _, n in reversed(stack) if n >= 0), -1)
-            if at < 0:
+            if not blocks:  # text outside of any block: the page itself
                 at = node("body", "")
                 stack.insert(0, ("body", at))
+                count["body"] = count.get("body", 0) + 1
+                blocks.append(at)
+            at = blocks[-1]
             page.segments.append((at, joined))
             page.chars[at] += len(joined)
             page.words[at] += joined.count(" ") + 1
@@ -120,81 +227,119 @@ def parse(html: str | None, marks: bool = False) -> Page:
         text.clear()
 
     def close(to: int) -> None:
+        """Close the open elements from place to on."""
         nonlocal links, hidden
         if any(n >= 0 for _, n in stack[to:]):
             flush()
-        for name, _ in stack[to:]:
+        for name, n in stack[to:]:
             links -= name == "a"
             hidden -= name in HIDDEN
+            count[name] -= 1
+            if n >= 0:
+                blocks.pop()
         del stack[to:]
 
-    def leave_head() -> None:
-        for k, (n, _) in enumerate(stack):
-            if n == "head":
+    def last_open(names) -> int:
+        return next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in names), -1)
+
+    def add(part: str, raw: bool = False) -> None:
+        if count.get("head") and stack[-1][0] == "head" and part.strip():
+            close(last_open(("head",)))  # text is no content of a head
+        if not hidden:
+            text.append((part if raw else _decoded(part), links > 0))
+
+    def end(name: str) -> None:
+        if name == "br" and not hidden:
+            text.append((" ", False))
+        if name in TITLES and not count.get(name):  # the end of one heading ends another
+            name = next((x for x, _ in reversed(stack) if x in TITLES), name)
+        if not count.get(name):
+            return
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k][0] == name:
                 close(k)
-                break
-
-    last = 0
-    for m in _TOKEN.finditer(html):
-        if m.start() > last and hidden and stack[-1][0] == "head" and html[last : m.start()].strip():
-            leave_head()  # so does text
-        if m.start() > last and not hidden:
-            part = html[last : m.start()]
-            text.append((unescape(part) if "&" in part else part, links > 0))
-        last = m.end()
-        name = m[3] or m[6]
-        if not name:
-            continue
-        name = name.lower()
-        if m[2] or m[5]:
-            if name in INLINE:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        close(k)
-                        break
-                    if stack[k][1] >= 0:
-                        break
-                else:
-                    continue
-            else:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        close(k)
-                        break
-            continue
-        if hidden and name not in HEAD:
-            leave_head()
+                return
+            if name in INLINE and stack[k][1] >= 0:
+                return
+
+    def start(name: str, attrs: str, to: int) -> int:
+        """Take a start tag that ends at to; gives where reading goes on."""
+        nonlocal links, hidden
+        if name not in HEAD and count.get("head"):
+            close(last_open(("head",)))
+        if name in RAW:
+            if name == "plaintext":
+                flush()
+                add(html[to:], raw=True)
+                return len(html)
+            if name in ("title", "textarea") and not tags.closes(name, to):
+                return to
+            if count.get("svg") and _empty(attrs):
+                return to
+            begin, (stop, to) = to, tags.after(name, to)
+            if name == "xmp":
+                flush()
+                push(name, node("pre", attrs))
+                add(html[begin:stop], raw=True)
+                close(len(stack) - 1)
+            return to
+        if name in BREAKS and count.get("svg") and not count.get("foreignobject"):
+            close(last_open(("svg",)))
+        if name in NO_P and any(map(count.get, CHOICES)) and stack[k := last_open(CHOICES)][1] == LOOSE:
+            close(k)
+        if name in HIDDEN:
+            if name == "head":
+                push(name, -1)
+                hidden += 1
+            elif name in VOID or name == "option" or name == "svg" and _empty(attrs):
+                pass
+            elif name in CHOICES:
+                if count.get(name):
+                    close(last_open((name,)))
+                push(name, -1 if tags.pairs(name, to) else LOOSE)
+                hidden += 1
+            elif tags.closes(name, to) and len(stack) < MAX_OPEN:
+                push(name, -1)
+                hidden += 1
+            return to
         if name in INLINE:
             if name == "br" or name == "img":
                 if not hidden:
                     text.append((" ", False))
-            elif name not in VOID and not (m[4] or "").endswith("/"):
-                stack.append((name, -1))
+            elif name not in VOID and len(stack) < MAX_OPEN and not _empty(attrs):
+                push(name, -1)
                 links += name == "a"
-            continue
-        if name in HIDDEN:
-            if name == "head" or (name not in VOID and name != "option"):
-                stack.append((name, -1))
-                hidden += 1
-            continue
+            return to
         flush()
-        shut = CLOSES.get(name, frozenset()) | (frozenset(["p"]) if name in NO_P else frozenset())
-        stop = SCOPE.get(name, frozenset())
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in shut:
-                close(k)
-                if not (name in NO_P and name != "p" and stack and any(n in shut for n, _ in stack)):
+        shut = CLOSES.get(name, _NONE) | (_P if name in NO_P else _NONE)
+        if any(map(count.get, shut)):
+            stop = SCOPE.get(name, _NONE)
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] in shut:
+                    close(k)
+                    if name == "p" or name not in NO_P or not any(map(count.get, shut)):
+                        break
+                elif stack[k][0] in stop or stack[k][0] in _WALLS:
                     break
-            elif stack[k][0] in stop or stack[k][0] in ("table", "td", "article", "section", "div", "blockquote", "figure", "body"):
-                break
         if name in VOID:
-            continue
-        stack.append((name, node(name, m[4] or "")))
-    if last < len(html) and hidden and stack[-1][0] == "head" and html[last:].strip():
-        leave_head()
-    if last < len(html) and not hidden:
-        part = html[last:]
-        text.append((unescape(part), links > 0))
+            return to
+        if len(stack) >= MAX_OPEN:  # as browsers do: beyond a depth, elements stand side by side
+            close(len(stack) - 1)
+        push(name, node(name, attrs))
+        return to
+
+    tags, at = Tags(html), 0
+    while (found := tags.next(at)) is not None:
+        begin, stop, name, attrs = found
+        if begin > at:
+            add(html[at:begin])
+        at = stop
+        if name[:1] == "/":
+            end(name[1:])
+        elif name:
+            at = start(name, attrs, stop)
+    if at < len(html):
+        add(html[at:])
     flush()
     return page
 
@@ -227,9 +372,23 @@ class Batch:
         return out
 
     def features(self) -> np.ndarray:
+        """A row for each node."""
+        return self._stacked(self.columns(), 0, len(self.tag))
+
+    def scores(self, trees: Trees, rows: int = 1 << 15) -> np.ndarray:
+        """Scores of the nodes; the matrix is made for so many at a time."""
+        cols, n = self.columns(), len(self.tag)
+        return np.concatenate([trees.score(self._stacked(cols, a, min(a + rows, n))) for a in range(0, n, rows)] or [np.zeros(0)])
+
+    @staticmethod
+    def _stacked(cols: list[np.ndarray], a: int, b: int) -> np.ndarray:
+        return np.stack([c[a:b].astype(float) for c in cols], axis=1) if cols else np.zeros((0, 1))
+
+    def columns(self) -> list[np.ndarray]:
+        """The features one by one, kinds and ancestors as Booleans."""
         n = len(self.tag)
         if not n:
-            return np.zeros((0, 1))
+            return []
         up = np.maximum(self.parent, 0)
         has = self.parent >= 0
         total = np.bincount(self.page, self.chars, minlength=len(self.starts))[self.page]
@@ -257,7 +416,7 @@ class Batch:
         cols += [self.tag == i for i in range(len(TAGS))]
         for t in ("article", "main", "nav", "header", "footer", "aside", "form", "ul", "p", "section"):
             cols.append(self.down(self.tag == _TAG_NO[t]) > 0)
-        return np.stack([np.asarray(c, float) for c in cols], axis=1)
+        return cols
 
 
 @dataclass
@@ -470,10 +629,22 @@ def texts(htmls: list[str | None], trees: Trees) -> list[str]:
     batch = Batch(pages)
     if not len(batch.tag):
         return [""] * len(htmls)
-    keep = decode(batch, trees.score(batch.features()))
+    keep = decode(batch, batch.scores(trees))
     return ["\n".join(t for n, t in p.segments if keep[s + n]) for p, s in zip(pages, batch.starts)]
 
 
+def portions(sizes: list[int], total: int = BATCH_BYTES, rows: int = 200) -> Iterator[tuple[int, int]]:
+    """(first, number) of consecutive rows whose sizes add up to at most total; a larger row is alone."""
+    first = held = 0
+    for i, size in enumerate(sizes):
+        if i > first and (held + size > total or i - first >= rows):
+            yield first, i - first
+            first, held = i, 0
+        held += size
+    if first < len(sizes):
+        yield first, len(sizes) - first
+
+
 def extract(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
     """page_id, url, text, n_chars (code points) of every row; null, empty and markup-free input give what text there is kept."""
     spark = pages.sparkSession
@@ -482,8 +653,8 @@ def extract(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, len(b), 200):
-                part = b.slice(at, 200)
+            for at, n in portions(pc.coalesce(pc.binary_length(b.column(2)), 0).to_pylist()):
+                part = b.slice(at, n)
                 found = texts(part.column(2).to_pylist(), shared.value)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
