@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import contextlib
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.operators.shared import shared_dir, written
 
-__all__ = ["BLANK", "let", "shared_dir", "small_batches", "table", "texts", "words", "written"]
+__all__ = ["BLANK", "let", "portions", "shared_dir", "table", "texts", "words", "written"]
 
 #: White space of the word rule: space and the five ASCII controls 9 to 13.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -24,12 +24,16 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of few rows: long texts must not add up in a worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    with contextlib.suppress(Exception):
-        if int(spark.conf.get(key)) > rows:
-            spark.conf.set(key, str(rows))
+def portions(sizes: list[int], total: int, rows: int = 200) -> Iterator[tuple[int, int]]:
+    """(first, number) of consecutive rows whose sizes add up to at most total; a larger row is alone."""
+    first = held = 0
+    for i, size in enumerate(sizes):
+        if i > first and (held + size > total or i - first >= rows):
+            yield first, i - first
+            first, held = i, 0
+        held += size
+    if first < len(sizes):
+        yield first, len(sizes) - first
 
 
 def let(value: Column, body) -> Column:

@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from foliant.llm.common import small_batches
+from foliant.llm.common import portions
 
 TRAIN_PAGES, TREES, DEPTH, RATE, BINS = 1_000, 100, 4, 0.2, 32
 BATCH_BYTES = 2 << 20  # of html whose nodes are held in arrays at a time
@@ -633,27 +633,14 @@ def texts(htmls: list[str | None], trees: Trees) -> list[str]:
     return ["\n".join(t for n, t in p.segments if keep[s + n]) for p, s in zip(pages, batch.starts)]
 
 
-def portions(sizes: list[int], total: int = BATCH_BYTES, rows: int = 200) -> Iterator[tuple[int, int]]:
-    """(first, number) of consecutive rows whose sizes add up to at most total; a larger row is alone."""
-    first = held = 0
-    for i, size in enumerate(sizes):
-        if i > first and (held + size > total or i - first >= rows):
-            yield first, i - first
-            first, held = i, 0
-        held += size
-    if first < len(sizes):
-        yield first, len(sizes) - first
-
-
 def extract(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
     """page_id, url, text, n_chars (code points) of every row; null, empty and markup-free input give what text there is kept."""
     spark = pages.sparkSession
-    small_batches(spark)
     shared = spark.sparkContext.broadcast(trees or model())  # TREES trees of fixed depth
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at, n in portions(pc.coalesce(pc.binary_length(b.column(2)), 0).to_pylist()):
+            for at, n in portions(pc.coalesce(pc.binary_length(b.column(2)), 0).to_pylist(), BATCH_BYTES):
                 part = b.slice(at, n)
                 found = texts(part.column(2).to_pylist(), shared.value)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], names=["page_id", "url", "text", "n_chars"])

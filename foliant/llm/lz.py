@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import small_batches, texts
+from foliant.llm.common import texts
 
 BINS, DIGITS = 128, 4
 _MUL, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
@@ -93,7 +93,6 @@ def edit(text: str, other: str) -> str:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint) of every row; null text counts as empty."""
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -144,7 +143,6 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     is its own next.  Null text counts as empty.  Empty input: no rows.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = texts(docs)
     ids = docs.select("doc_id")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import small_batches, texts, written
+from foliant.llm.common import texts, written
 from foliant.llm.graph import components
 
 SHINGLE, SEED, RADIUS, BUCKET = 3, 42, 2, 2048
@@ -52,7 +52,6 @@ def _signed(x: int) -> int:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp) of every row of docs; fp is the fingerprint as a signed long.  Null text: no words."""
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

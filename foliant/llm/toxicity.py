@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import small_batches, texts, written
+from foliant.llm.common import texts, written
 
 TRAIN_ROWS, FEATURES, PREFIXES = 8_000, 4_000, (4, 5, 6, 7)
 MIN_DOCS, MIN_SHARE, MIN_RATIO = 4, 0.015, 5.0
@@ -92,7 +92,6 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Data
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> OrdinalModel:
     """Train on a bounded labelled sample.  Without both classes (or rows) the model calls nothing toxic."""
-    small_batches(docs.sparkSession)
     sample = written(labelled(docs, labels, rows), "labelled")
     n = {bool(r.toxic): r.n for r in sample.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
@@ -169,7 +168,6 @@ def score(docs: DataFrame, model: OrdinalModel, threshold: float = THRESHOLD) ->
 
     Null or empty text has the severity of a text without words.  Equal texts score alike; empty input: no rows.
     """
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FEATURES weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +187,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, r
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs without the rows that the model calls toxic; columns as they came, rows as often as they came."""
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     @F.pandas_udf("boolean")

@@ -6,6 +6,7 @@ import tracemalloc
 import pytest
 
 from foliant.llm import html
+from foliant.llm.common import portions
 
 ONE = "The council voted on Tuesday to rebuild the old stone bridge, which was closed after the spring floods damaged two of its piers."
 TWO = "Work is to begin in early autumn; the engineers expect that traffic can return within eighteen months, if the weather holds."
@@ -89,11 +90,11 @@ def test_time_is_linear(unit, tail):
 def test_large_pages_are_held_a_few_at_a_time():
     pages = ["<article>" + "<p>some words, here</p>" * 45_000 + "</article>"] * 6  # of about 1 MB
     sizes = [len(p) for p in pages]
-    assert [n for _, n in html.portions(sizes)] == [2, 2, 2] and list(html.portions([])) == []
-    assert [n for _, n in html.portions([5] * 500)] == [200, 200, 100] and [n for _, n in html.portions([html.BATCH_BYTES + 1] * 2)] == [1, 1]
+    assert [n for _, n in portions(sizes, html.BATCH_BYTES)] == [2, 2, 2] and list(portions([], 9)) == []
+    assert [n for _, n in portions([5] * 500, 1 << 20)] == [200, 200, 100] and [n for _, n in portions([9, 9], 8)] == [1, 1]
     trees = html.model()
     tracemalloc.start()
-    got = [t for at, n in html.portions(sizes) for t in html.texts(pages[at : at + n], trees)]
+    got = [t for at, n in portions(sizes, html.BATCH_BYTES) for t in html.texts(pages[at : at + n], trees)]
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(set(got)) == 1 and got[0].count("\n") == 44_999 and peak < 250 << 20
