@@ -12,6 +12,8 @@ pattern matches either.
 from __future__ import annotations
 
 import math
+import random
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,25 +28,63 @@ HEX = r"[0-9a-f]+"
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 TOKEN = r"[A-Za-z0-9+/_=-]+"
-MIN_TOKEN, MARGIN = 16, 6_000
-TRAIN_DOCS, TRAIN_STRINGS, PRIOR = 1_000, 6_000, 0.5
+MIN_TOKEN, MARGIN = 16, 10_000
+TRAIN_DOCS, TRAIN_STRINGS, PRIOR = 1_000, 3_000, 0.5
 SIZE = 128
 EDGE = "\x02"  # stands for the start and the end of a string
 MARK = "\x01"
+BLOCK = 1024  # characters
+CODE_MODULES = ("os", "string", "logging", "unittest", "http", "http.client", "email.message", "threading", "socket", "subprocess", "argparse", "datetime", "decimal", "calendar", "csv", "json", "zipfile", "tarfile",
+                "urllib.request", "xml.dom.minidom", "sqlite3", "statistics", "inspect", "html.entities", "pyspark.sql.functions", "pyspark.sql", "pyarrow.compute", "pandas", "numpy")
+CODE_TIMES = 20
 EMPTY = "array<struct<s:int,k:int,e:int>>"
 
 
-def _prefix_sums(lengths: Column) -> Column:
-    """Exclusive running sums of an array of ints, in blocks of 64, so that long arrays stay cheap."""
-    zero = F.array().cast("array<int>")
+def before(values: Column, join, levels: int = 3) -> Column:
+    """For each place of an array of ints, 0 and all values before it joined by join(a, b), which is associative.
+
+    Values are taken in blocks of 64, the blocks' results again, so that the cost of long arrays grows with their length.
+    """
+    none = F.array().cast("array<int>")
 
     def run(a: Column) -> Column:
-        step = F.aggregate(a, F.struct(F.lit(0).alias("n"), zero.alias("out")), lambda s, x: F.struct((s.n + x).alias("n"), F.concat(s.out, F.array(s.n)).alias("out")))
+        step = F.aggregate(a, F.struct(F.lit(0).alias("n"), none.alias("out")), lambda s, x: F.struct(join(s.n, x).alias("n"), F.concat(s.out, F.array(s.n)).alias("out")))
         return step.getField("out")
 
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / 64).cast("int")), lambda b: F.slice(lengths, b * 64 + 1, 64))
-    total = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + x)
-    return let(blocks, lambda bs: F.flatten(F.zip_with(F.transform(bs, run), run(F.transform(bs, total)), lambda own, off: F.transform(own, lambda x: x + off))))
+    if levels == 1:
+        return run(values)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / 64).cast("int")), lambda b: F.slice(values, b * 64 + 1, 64))
+    whole = lambda a: F.aggregate(a, F.lit(0), join)
+    return let(blocks, lambda bs: let(F.transform(bs, whole), lambda totals: F.flatten(
+        F.zip_with(F.transform(bs, run), before(totals, join, levels - 1), lambda own, off: F.transform(own, lambda x: join(off, x))))))
+
+
+def gaps(spans: Column, length: Column) -> Column:
+    """(s, e) of what lies between spans, which are sorted by start; spans that touch or overlap leave nothing between.
+
+    The first gap starts at 0 and the last ends at length; both may be empty.
+    """
+    far = let(spans, lambda xs: let(before(F.transform(xs, lambda x: x.e), lambda a, b: F.greatest(a, b)), lambda reach: F.filter(
+        F.zip_with(xs, F.transform(reach, lambda r, i: F.struct(r.alias("r"), i.alias("i"))), lambda x, y: F.when((x.s > y.r) | (y.i == 0), F.struct(y.r.alias("s"), x.s.alias("e")))),
+        lambda g: g.isNotNull())))
+    end = F.aggregate(spans, F.lit(0), lambda a, x: F.greatest(a, x.e))
+    return F.when(F.size(spans) == 0, F.array(F.struct(F.lit(0).alias("s"), length.alias("e")))).otherwise(F.concat(far, F.array(F.struct(end.alias("s"), length.alias("e")))))
+
+
+def cut(text: Column, places: Column, then) -> Column:
+    """then(piece, i, places) for each (s, e) of an array of places in text.
+
+    The text is cut once into blocks, so that a piece costs its length and a block or two, wherever it lies.
+    """
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def piece(bs: Column, g: Column) -> Column:
+        a, z = F.floor(g.s / BLOCK).cast("int"), F.floor((g.e - 1) / BLOCK).cast("int")
+        block = lambda k: F.get(bs, k)
+        return F.when(g.s >= g.e, F.lit("")).when(a == z, F.substring(block(a), g.s % BLOCK + 1, g.e - g.s)).otherwise(F.concat(
+            F.substring(block(a), g.s % BLOCK + 1, F.lit(BLOCK)), F.array_join(F.slice(bs, a + 2, F.greatest(z - a - 1, F.lit(0))), ""), F.substring(block(z), F.lit(1), g.e - z * BLOCK)))
+
+    return let(blocks, lambda bs: let(places, lambda gs: F.transform(gs, lambda g, i: then(piece(bs, g), i, gs))))
 
 
 def matches(text: Column, pattern: str, kind: int, good) -> Column:
@@ -52,7 +92,7 @@ def matches(text: Column, pattern: str, kind: int, good) -> Column:
     pieces = F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK)
 
     def spans(p: Column) -> Column:
-        starts = _prefix_sums(F.transform(p, lambda x: F.length(x)))
+        starts = before(F.transform(p, lambda x: F.length(x)), lambda a, b: a + b)
         each = F.zip_with(p, starts, lambda x, s: F.struct(s.alias("s"), F.lit(kind).alias("k"), (s + F.length(x)).alias("e"), x.alias("x")))
         found = F.filter(each, lambda y, i: (i % 2 == 1) & good(y.x))
         return F.transform(found, lambda y: F.struct(y.s.alias("s"), y.k.alias("k"), y.e.alias("e")))
@@ -78,30 +118,73 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(assign, access, hexed))
 
 
+def random_strings(spark: SparkSession, strings: int = TRAIN_STRINGS, salt: str = "") -> DataFrame:
+    """(form, string): `strings` seeded random strings of 16 to 64 characters in each of the forms that keys have."""
+    i = F.col("id").cast("string")
+    digest = lambda s: F.sha2(F.concat(F.lit(s + salt), i), 512)
+    plain = lambda s: F.regexp_replace(F.base64(F.unhex(digest(s))), "[+/=\r\n]", "")
+    n = (16 + F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(49))).cast("int")
+    b64 = F.regexp_replace(F.base64(F.unhex(digest("b"))), "[=\r\n]", "")
+    hexed = digest("u")
+    dashed = F.concat_ws("-", *(F.substring(hexed, at, size) for at, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+    forms = {
+        "hex": F.substring(digest("h"), F.lit(1), n), "HEX": F.upper(F.substring(digest("H"), F.lit(1), n)), "base64": F.substring(b64, F.lit(1), n), "url": F.translate(F.substring(b64, F.lit(9), n), "+/", "-_"),
+        "letters": F.substring(plain("l"), F.lit(1), n), "lower": F.lower(F.substring(plain("w"), F.lit(1), n)),
+        "base32": F.substring(F.translate(F.upper(plain("c")), "0189", "2345"), F.lit(1), n), "uuid": dashed,
+    }
+    made = spark.range(strings, numPartitions=4).select(F.explode(F.map_from_arrays(F.array(*map(F.lit, forms)), F.array(*forms.values()))).alias("form", "string"))
+    return made
+
+
+def joined_names(words: Column) -> Column:
+    """Identifiers as code and addresses have them, made of three words in a row at every third place."""
+    threes = F.filter(F.transform(words, lambda x, k: F.when(k % 3 == 0, F.slice(words, k + 1, 3))), lambda x: x.isNotNull())
+    lower = lambda ws: F.transform(ws, lambda w: F.lower(w))
+    big = lambda ws: F.transform(ws, lambda w: F.initcap(w))
+    made = F.transform(threes, lambda ws, k: F.when(k % 7 == 0, F.array_join(big(ws), "")).when(k % 7 == 1, F.array_join(lower(ws), "_")).when(k % 7 == 2, F.upper(F.array_join(ws, "_")))
+                       .when(k % 7 == 3, F.array_join(lower(ws), "-")).when(k % 7 == 4, F.concat(F.lit("/"), F.array_join(lower(ws), "/"))).when(k % 7 == 5, F.array_join(lower(ws), ""))
+                       .otherwise(F.concat(F.array_join(lower(ws), "_"), (k * 37 % 1000).cast("string"))))
+    return made
+
+
+def names_of_code(times: int = CODE_TIMES) -> list[list[str]]:
+    """Words of the public names in modules of Python's library, in `times` seeded orders: what identifiers are made of."""
+    import importlib
+
+    found = set()
+    for module in CODE_MODULES:
+        m = importlib.import_module(module)
+        for name in dir(m):
+            inner = dir(getattr(m, name)) if isinstance(getattr(m, name), type) else []
+            for n in (name, *inner):
+                found.update(w.lower() for w in re.findall("[A-Z]?[a-z]+", n) if len(w) > 2)
+    words = sorted(found)
+    return [random.Random(k).sample(words, len(words)) for k in range(times)]
+
+
 def samples(spark: SparkSession, docs: DataFrame, rows: int = TRAIN_DOCS, strings: int = TRAIN_STRINGS) -> DataFrame:
-    """(string, random): labelled samples.
+    """(string, random): labelled samples, the same for the same documents, however they are laid out.
 
-    random = 1: `strings` seeded random strings each of lower-case hex, base-64, letters with digits, and capitals
-    with digits.  random = 0: the tokens of about `rows` documents without what the three kinds match, pairs of
-    them joined as identifiers, and numbers.
+    random = 1: random_strings.  random = 0: the tokens of `rows` documents, those of the least hashes of doc_id,
+    without what the three kinds match; words of names in code; identifiers made of both; numbers, dates and rules.
     """
-    i = F.col("id").cast("string")
-    digest = lambda salt: F.sha2(F.concat(F.lit(salt), i), 256)
-    n = (20 + F.pmod(F.xxhash64("id"), F.lit(30))).cast("int")
-    b64 = F.base64(F.unhex(digest("b")))
+    i = F.col("id")
     made = spark.range(strings, numPartitions=4)
-    random = made.select(F.explode(F.array(
-        F.substring(digest("h"), F.lit(1), n), F.substring(b64, F.lit(1), n), F.substring(F.regexp_replace(b64, "[+/=]", ""), F.lit(1), n),
-        F.substring(F.upper(F.regexp_replace(F.base64(F.unhex(digest("c"))), "[+/=]", "")), F.lit(1), n))).alias("string"), F.lit(1).alias("random"))
-    numbers = made.select(F.substring(F.translate(digest("n"), "abcdef", "012345"), F.lit(1), n).alias("string"), F.lit(0).alias("random"))
-    count = docs.count()
-    t = clear(F.col("text"))
+    n = (3 + F.pmod(F.xxhash64("id"), F.lit(30))).cast("int")
+    numbers = made.select(F.explode(F.array(
+        F.substring(F.translate(F.sha2(F.concat(F.lit("n"), i.cast("string")), 256), "abcdef", "012345"), F.lit(1), n),
+        F.concat_ws("-", (1970 + i % 80).cast("string"), F.lpad((1 + i % 12).cast("string"), 2, "0"), F.lpad((1 + i % 28).cast("string"), 2, "0")),
+        F.repeat(F.element_at(F.array(*map(F.lit, "-=_/+")), (1 + i % 5).cast("int")), n))).alias("string"), F.lit(0).alias("random"))
+    h = F.xxhash64(F.col("doc_id").cast("string"))
+    least = docs.select(h.alias("h")).distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    part = docs.where(h <= F.lit(least if least is not None else 0)).groupBy(h.alias("h")).agg(F.min("text").alias("t"))  # one text for each id
+    t = clear(F.col("t"))
     for pattern in (ASSIGN, f"AKIA[A-Z0-9]{{{MIN_ACCESS - 4},}}", f"[0-9a-f]{{{MIN_HEX},}}"):
         t = F.regexp_replace(t, pattern, " ")
-    part = docs.select(t.alias("t")).sample(min(1.0, rows / count) if count else 1.0, seed=29)
-    ordinary = part.select(F.regexp_extract_all("t", F.lit(TOKEN), F.lit(0)).alias("w")).select(F.explode(F.concat(
-        "w", F.transform("w", lambda x, k: F.when(k % 7 == 0, F.concat_ws("_", x, F.lower(x)))))).alias("string")).where("length(string) > 2").withColumn("random", F.lit(0))
-    return random.union(numbers).union(ordinary)
+    own = part.select(F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0)).alias("w"))
+    code = spark.createDataFrame([(w,) for w in names_of_code(CODE_TIMES if strings else 0)], "w array<string>")
+    ordinary = own.union(code).select(F.explode(F.concat("w", joined_names(F.col("w")))).alias("string")).where("length(string) > 2").withColumn("random", F.lit(0))
+    return random_strings(spark, strings).select("string", F.lit(1).alias("random")).union(numbers).union(ordinary)
 
 
 def train(labelled: DataFrame) -> list[int]:
@@ -133,11 +216,12 @@ def ratio(token: Column, model: list[int]) -> Column:
 
 
 def markov_spans(text: Column, base: Column, model: list[int]) -> Column:
-    """Spans of tokens that the models call random and that touch no base span."""
+    """Spans of what the models call random among the tokens outside of the base spans, which cut tokens."""
     long_enough = f"[A-Za-z0-9+/_=-]{{{MIN_TOKEN}}}"
-    found = matches(text, f"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}", len(KINDS), lambda x: ratio(x, model) > MARGIN)
-    free = F.filter(found, lambda c: ~F.exists(base, lambda b: (b.s < c.e) & (b.e > c.s)))
-    return F.when(text.rlike(long_enough), free).otherwise(F.array().cast(EMPTY))
+    hide = lambda piece, i, gs: F.concat(piece, F.when(i + 1 < F.size(gs), F.repeat(F.lit(EDGE), F.get(gs, i + 1).s - F.get(gs, i).e)).otherwise(F.lit("")))
+    outside = F.when(F.size(base) == 0, text).otherwise(F.array_join(cut(text, gaps(base, F.length(text)), hide), ""))
+    found = let(outside, lambda t: matches(t, f"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}", len(KINDS), lambda x: ratio(x, model) > MARGIN))
+    return F.when(text.rlike(long_enough), found).otherwise(F.array().cast(EMPTY))
 
 
 def scan(docs: DataFrame, model: list[int], base: str = "base_spans", every: str = "all_spans") -> DataFrame:
@@ -176,12 +260,7 @@ def redact(docs: DataFrame, model: list[int] | None = None, mask: str = "<SECRET
     found = scan(docs, model, f"{every}_base", every)
 
     def rebuilt(spans: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("keep"))
-        kept = F.aggregate(spans, start, lambda a, x: F.struct(
-            F.greatest(a.at, x.e).alias("at"), F.when((x.s > a.at) | (F.size(a.keep) == 0), F.concat(a.keep, F.array(F.struct(a.at.alias("s"), x.s.alias("e"))))).otherwise(a.keep).alias("keep")))
-        parts = let(kept, lambda a: F.concat(
-            F.transform(a.keep, lambda x: F.substring(F.col("text"), x.s + 1, x.e - x.s)), F.array(F.substring(F.col("text"), a.at + 1, F.length("text")))))
-        return F.array_join(parts, mask)
+        return F.array_join(cut(F.col("text"), gaps(spans, F.length("text")), lambda piece, i, gs: piece), mask)
 
     text = F.when(F.size(every) > 0, rebuilt(F.col(every))).otherwise(F.col("text"))
     out = found.withColumn("text", text)
