@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from foliant.operators.shared import shared_dir, written
 
-__all__ = ["BLANK", "let", "portions", "shared_dir", "table", "texts", "words", "written"]
+__all__ = ["BLANK", "free", "let", "portions", "shared_dir", "table", "texts", "words", "written"]
 
 #: White space of the word rule: space and the five ASCII controls 9 to 13.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -36,6 +36,14 @@ def portions(sizes: list[int], total: int, rows: int = 200) -> Iterator[tuple[in
         yield first, len(sizes) - first
 
 
+def free(name: str, taken: list[str]) -> str:
+    """The name, with as many underscores behind it as it takes to be none of the taken ones."""
+    held = {t.lower() for t in taken}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value computed once per row, also where lambdas inside body mention it."""
     return F.element_at(F.transform(F.array(value), body), 1)
