@@ -226,6 +226,6 @@ def flat_diff(a: DataFrame, b: DataFrame, key: str, content: str = "json") -> Da
 
         return [{"k": k, "path": p, "v": v} for p, v in walk("$", json.loads(text))] if text else []
 
-    flat = lambda df, name: per_document(df.withColumn("_k", F.col(key).cast("string")), ["_k", content], leaves, "k string, path string, v string").withColumnRenamed("v", name)
+    flat = lambda df, name: per_document(df, [F.col(key).cast("string"), content], leaves, "k string, path string, v string").withColumnRenamed("v", name)
     both = flat(a, "expected").join(flat(b, "actual"), ["k", "path"], "full_outer")
     return both.where(~F.col("expected").eqNullSafe(F.col("actual"))).withColumnRenamed("k", key)

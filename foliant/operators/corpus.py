@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions.identity import set_id
@@ -87,3 +87,37 @@ def rollback(current: DataFrame, before: DataFrame, key: str, columns: list[str]
     old = before.select(key, F.struct(*columns).alias("_b"))
     joined = current.join(old, key, "left")
     return joined.withColumns({c: F.when(F.col("_b").isNotNull(), F.col(f"_b.{c}")).otherwise(F.col(c)) for c in columns}).select(*current.columns)
+
+
+#: Rows of windows of items that are sent to every executor, some 50 MB; beyond that, documents' windows are shuffled.
+SENT = 1_000_000
+
+
+def shared_passages(docs: DataFrame, items: DataFrame, key: str, item: str, size: int = 8, text: str = "text") -> DataFrame:
+    """(key, item, n_hits): how many different windows of `size` words of an item a document holds.
+
+    Words are lower-cased and parted by any white space; windows overlap; an item of fewer words is one window.  Two
+    hashes, 128 bits together, stand for a window.  Documents look their windows up in the items', where these are few
+    enough to be sent, so that neither texts nor windows are shuffled.
+    """
+    bare = lambda c: F.array_remove(F.split(F.lower(F.coalesce(c, F.lit(""))), r"[\x20\x09-\x0D]+"), "")
+
+    def windows(ws: str, n: Column) -> Column:
+        gram = lambda i: F.array_join(F.slice(ws, i, n), " ")
+        both = F.transform(F.sequence(F.lit(1), F.size(ws) - n + 1), lambda i: F.struct(F.xxhash64(gram(i)).alias("a"), F.xxhash64(gram(i), F.lit("second")).alias("b")))
+        return F.array_distinct(F.when((n > 0) & (F.size(ws) >= n), both).otherwise(F.array().cast("array<struct<a:bigint,b:bigint>>")))
+
+    own = items.select(item, bare(F.col(text)).alias("_w")).withColumn("_n", F.least(F.size("_w"), F.lit(size)))
+    wanted = own.select(item, "_n", F.explode(windows("_w", F.col("_n"))).alias("_g")).distinct()
+    sizes = sorted(r[0] for r in wanted.select("_n").distinct().collect())  # at most `size`
+    few = wanted.limit(SENT + 1).count() <= SENT
+    split = docs.select(key, bare(F.col(text)).alias("_w"))
+    out = None
+    for n in sizes:
+        held = split.select(key, F.explode(windows("_w", F.lit(n))).alias("_g"))
+        of = wanted.where(F.col("_n") == n).select(item, "_g")
+        found = held.join(F.broadcast(of) if few else of, "_g").select(key, item)
+        out = found if out is None else out.union(found)
+    if out is None:
+        return docs.select(key, F.lit(None).cast(dict(items.dtypes)[item]).alias(item), F.lit(0).cast("long").alias("n_hits")).limit(0)
+    return out.groupBy(key, item).agg(F.count(F.lit(1)).alias("n_hits"))

@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from foliant.operators.shared import written
+
 SEVERITIES = ("ok", "review", "fail")
 
 
-def findings(df: DataFrame, subject: Column, check: str, severity: Column | str, detail: Column) -> DataFrame:
+def findings(df: DataFrame, subject: Column, check: str, severity: Column | str, detail: Column, *more: Column) -> DataFrame:
+    """Findings, with more columns behind the four where a check has them."""
     s = F.lit(severity) if isinstance(severity, str) else severity
-    return df.select(subject.cast("string").alias("subject"), F.lit(check).alias("check_id"), s.alias("severity"), detail.cast("string").alias("detail"))
+    return df.select(subject.cast("string").alias("subject"), F.lit(check).alias("check_id"), s.alias("severity"), detail.cast("string").alias("detail"), *more)
 
 
 def all_findings(parts: list[DataFrame]) -> DataFrame:
@@ -80,8 +83,20 @@ def bijection(left: DataFrame, right: DataFrame, key: str, order_left: str, orde
 
 
 def batches(df: DataFrame, key: list[str], order: str, size: int = 400) -> DataFrame:
-    """df with batch: rows of a key numbered in order, `size` to a batch."""
-    return df.withColumn("batch", F.floor((F.row_number().over(W.partitionBy(*key).orderBy(order)) - 1) / size).cast("int"))
+    """df with batch: rows of a key numbered in order, `size` to a batch.
+
+    Rows are dealt in ranges of key and order, so a key with many rows is spread over many partitions.  A row's number
+    is its place in its partition, less the key's first place there, plus what earlier partitions hold of the key.
+    """
+    names = {c: f"_{c}_" + "_" * sum(x.startswith(f"_{c}_") for x in df.columns) for c in ("part", "at", "first", "before")}
+    part, at, first, before = names.values()
+    dealt = df.repartitionByRange(*key, order).sortWithinPartitions(*key, order)
+    placed = written(dealt.withColumn(part, F.spark_partition_id()).withColumn(at, F.monotonically_increasing_id()), "dealt")
+    held = placed.groupBy(*key, part).agg(F.min(at).alias(first), F.count(F.lit(1)).alias(before))
+    ahead = held.withColumn(before, F.coalesce(F.sum(before).over(W.partitionBy(*key).orderBy(part).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    null_safe = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in [*key, part]]
+    joined = placed.alias("a").join(ahead.alias("b"), null_safe)
+    return joined.select(*[F.col(f"a.{c}") for c in df.columns], F.floor((F.col(f"b.{before}") + F.col(f"a.{at}") - F.col(f"b.{first}")) / size).cast("int").alias("batch"))
 
 
 def capped_sum(df: DataFrame, key: str, marks: str, pool: Column, cap: int) -> DataFrame:

@@ -66,3 +66,16 @@ def guarded_update(current: DataFrame, snapshot: DataFrame, update: DataFrame, k
 def control_group(df: DataFrame, key: str, n: int, seed: int = 7) -> DataFrame:
     """n rows by a seeded hash of the key: the same rows on every run."""
     return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+
+
+def rendered(text: Column, table: dict[str, str], dropped: list[str], furniture: list[str] | None = None) -> Column:
+    """struct(text, n_dropped, loss) of one block as it is shown: mapped, without the glyphs that cannot be.
+
+    Blocks that are null, blank or furniture show nothing and lose nothing; loss tells that glyphs went.
+    """
+    bare = t.strip(F.coalesce(text, F.lit("")))
+    shown = F.when(bare.isin(*(furniture or [""])), F.lit("")).otherwise(bare)
+    quoted = "[" + "".join(rf"\x{{{ord(c):X}}}" for c in dropped) + "]" if dropped else "(?!)"
+    n = F.regexp_count(shown, F.lit(quoted)).cast("int")
+    kept = F.translate(F.regexp_replace(shown, quoted, ""), "".join(table), "".join(table.values())) if all(len(k) == len(v) == 1 for k, v in table.items()) else t.map_chars(F.regexp_replace(shown, quoted, ""), table)
+    return F.struct(t.strip(kept).alias("text"), n.alias("n_dropped"), (n > 0).alias("loss"))

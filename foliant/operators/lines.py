@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,16 +27,25 @@ def islands(df: DataFrame, key: str, order: list[str], opens: Column, name: str
     return df.withColumn(name, F.sum(F.when(opens, 1).otherwise(0)).over(w))
 
 
-def sections(lines: DataFrame, key: str, heading: Column) -> DataFrame:
+def split_lines(text: Column) -> Column:
+    r"""Lines of a text as explode_lines gives them."""
+    return F.transform(F.split(text, "\n", -1), lambda x: F.regexp_replace(x, "\r$", ""))
+
+
+def sections(docs: DataFrame, key: str, heading: Callable[[Column], Column], text: str = "text") -> DataFrame:
     """(key, section, heading, first_line, n_lines, body): a heading opens a section, later lines belong to it.
 
-    Lines before the first heading and blank lines are left out; a heading without lines has an empty body.
+    heading(line) tells headings.  Lines before the first heading and blank lines are left out; a heading without lines
+    has an empty body.  A document's sections are made in its row: nothing is shuffled.
     """
-    marked = islands(lines.withColumn("is_heading", heading), key, ["line_no"], F.col("is_heading"), "section").where("section > 0")
-    body = ~F.col("is_heading") & (F.trim("raw") != "")
-    return marked.groupBy(key, "section").agg(
-        F.max(F.when(F.col("is_heading"), F.col("raw"))).alias("heading"), F.min("line_no").alias("first_line"), F.count(F.when(body, 1)).alias("n_lines"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(body, F.struct("line_no", "raw")))), lambda x: x.raw), "\n").alias("body"))
+    held = docs.select(key, split_lines(F.col(text)).alias("_lines")).withColumn("_at", F.filter(F.transform("_lines", lambda x, i: F.when(heading(x), i)), lambda i: i.isNotNull()))
+
+    def one(at: Column, k: Column) -> Column:
+        end = F.coalesce(F.get("_at", k + 1), F.size("_lines"))
+        body = F.filter(F.slice("_lines", at + 2, end - at - 1), lambda x: F.trim(x) != "")
+        return F.struct((k + 1).cast("long").alias("section"), F.get("_lines", at).alias("heading"), at.alias("first_line"), F.size(body).cast("long").alias("n_lines"), F.array_join(body, "\n").alias("body"))
+
+    return held.select(key, F.explode(F.transform("_at", one)).alias("s")).select(key, "s.*")
 
 
 def greedy_sequence(df: DataFrame, key: str, order: list[str], number: str) -> DataFrame:
@@ -57,15 +69,21 @@ def pack_chunks(df: DataFrame, key: str, order: list[str], tokens: Column, targe
     whole = F.struct(*[F.col(c) for c in df.columns])
     items = F.array_sort(F.collect_list(F.struct(*order, tokens.cast("int").alias("_t"), g.alias("_g"), whole.alias("_row"))))
     grouped = df.groupBy(key).agg(items.alias("_items"))
-    kind = df.select(g.alias("_g")).schema["_g"].dataType
-    start = F.struct(F.lit(0).alias("chunk"), F.lit(0).alias("sum"), F.lit(False).alias("alone"), F.lit(None).cast(kind).alias("g"), F.array().cast("array<int>").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        large = x._t > most
-        opens = (s.chunk == 0) | large | s.alone | (s.sum + x._t > target) | F.coalesce(s.g != x._g, F.lit(False))
-        chunk = s.chunk + F.when(opens, 1).otherwise(0)
-        return F.struct(chunk.alias("chunk"), F.when(opens, x._t).otherwise(s.sum + x._t).alias("sum"), large.alias("alone"), x._g.alias("g"), F.concat(s.out, F.array(chunk)).alias("out"))
 
-    folded = grouped.withColumn("_chunks", F.aggregate("_items", start, step).getField("out"))
+    @F.pandas_udf("array<int>")
+    def chunks(tokens: pd.Series, groups: pd.Series) -> pd.Series:
+        def pack(ts, gs) -> list[int]:
+            out, chunk, held, alone, last = [], 0, 0, False, None
+            for n, own in zip(ts, gs):
+                large = n > most
+                opens = chunk == 0 or large or alone or held + n > target or (last is not None and own is not None and last != own)
+                chunk, held = chunk + opens, n if opens else held + n
+                alone, last = large, own
+                out.append(chunk)
+            return out
+
+        return pd.Series([pack(ts, gs) for ts, gs in zip(tokens, groups)])
+
+    folded = grouped.withColumn("_chunks", chunks(F.transform("_items", lambda x: x._t), F.transform("_items", lambda x: x._g.cast("string"))))
     rows = folded.select(F.explode(F.arrays_zip(F.col("_items._row").alias("row"), F.col("_chunks").alias("chunk"))).alias("z"))
     return rows.select("z.row.*", "z.chunk")

@@ -167,13 +167,13 @@ def with_id(docs: DataFrame, content: str = "content") -> DataFrame:
 
 def elements(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each element of each document, in reading order (ord from 0, element_id of the same number)."""
-    return per_document(docs.withColumn("_key", F.col(key).cast("string")), ["_key", text], lambda k, t: ({"doc_id": k} | r for r in parse(t).rows), ELEMENTS)
+    return per_document(docs, [F.col(key).cast("string"), text], lambda k, t: ({"doc_id": k} | r for r in parse(t).rows), ELEMENTS)
 
 
 def provenance(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, source_lines, counters): what the parser met in each document."""
     make = lambda k, t: [{"doc_id": k, "source_lines": (t or "").count("\n") + 1} | {c: n for c, n in parse(t).counts.items()} | {c: 0 for c in COUNTERS if c not in parse(t).counts}]
-    return per_document(docs.withColumn("_key", F.col(key).cast("string")), ["_key", text], make, "doc_id string, source_lines int, " + ", ".join(f"{c} int" for c in COUNTERS))
+    return per_document(docs, [F.col(key).cast("string"), text], make, "doc_id string, source_lines int, " + ", ".join(f"{c} int" for c in COUNTERS))
 
 
 def sections(found: DataFrame, kinds: tuple[str, ...] = ("paragraph", "list_item"), with_heading: bool = False) -> DataFrame:

@@ -69,7 +69,7 @@ def parse(body: str | None) -> list[dict]:
 
 
 def elements(notes: DataFrame, key: str, body: str = "body") -> DataFrame:
-    return per_document(notes.withColumn("_k", F.col(key).cast("string")), ["_k", body], lambda k, t: ({"doc_id": k} | r for r in parse(t)), ELEMENTS)
+    return per_document(notes, [F.col(key).cast("string"), body], lambda k, t: ({"doc_id": k} | r for r in parse(t)), ELEMENTS)
 
 
 def statistics(notes: DataFrame, key: str, body: str = "body") -> DataFrame:

@@ -11,9 +11,14 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
+    """spark.checkpoint.dir; where that is unset, a folder of our own in local mode, and an error on a cluster.
+
+    On a cluster a folder of one machine would be written in parts by each executor and read in parts by others.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         found = _own.setdefault(app, f"file://{tempfile.mkdtemp(prefix='foliant-')}")
     return found

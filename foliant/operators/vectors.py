@@ -10,70 +10,114 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Queries of one pass over the table: a bound on what is broadcast.
-BLOCK = 2048
+#: Bytes of queries that one pass over the table sends to every executor, and queries compared at a time.
+SENT, BLOCK, LANES = 64 << 20, 2048, 64
+
+
+def _query_blocks(queries: DataFrame, id_col: str, vec: str, most: int) -> Iterator[list]:
+    """Rows of queries by ascending id, about `most` at a time; rows of one id stay together, null ids are left out."""
+    last = None
+    known = queries.select(id_col, vec).where(F.col(id_col).isNotNull() & F.col(vec).isNotNull())
+    while True:
+        part = known if last is None else known.where(F.col(id_col) > last)
+        block = part.orderBy(id_col).limit(most + 1).collect()
+        if not block:
+            return
+        if len(block) > most:  # the last id may go on behind the block
+            cut = block[-1][0]
+            kept = [r for r in block if r[0] != cut]
+            block = kept or known.where(F.col(id_col) == cut).collect()
+        last = block[-1][0]
+        yield block
 
 
 def nearest(rows: DataFrame, queries: DataFrame, id_col: str, vec: str, k: int = 10) -> DataFrame:
     """(query_id, neighbour_id, rank, distance): exact k nearest by cosine distance, itself left out, ids break ties.
 
-    Queries go in blocks of at most BLOCK; each block is broadcast, each partition keeps its k best for a query, and
-    a window over these (k rows for each partition and query) ranks them.  Vectors without length are at distance 1.
+    One pass takes as many queries as fit in SENT bytes; these are broadcast, each partition keeps its k best for a
+    query, and two windows rank them: over groups of partitions first, so that no query's candidates grow with the
+    number of partitions.  Vectors without length are at distance 1; rows and queries without id or vector are left out.
     """
     spark = rows.sparkSession
+    size = queries.where(F.col(vec).isNotNull()).select(F.size(vec)).limit(1).collect()
+    most = max(BLOCK, SENT // (8 * max(size[0][0], 1))) if size else BLOCK
     out = None
-    last = None
-    while True:
-        part = queries if last is None else queries.where(F.col(id_col) > last)
-        block = part.select(id_col, vec).orderBy(id_col).limit(BLOCK).collect()
-        if not block:
-            break
-        last = block[-1][0]
+    for block in _query_blocks(queries, id_col, vec, most):
         q = np.array([r[1] for r in block], np.float64)
         shared = spark.sparkContext.broadcast((np.array([r[0] for r in block], np.int64), q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)))
 
         def best(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+
             ids, q = shared.value
-            held: list[list[tuple]] = [[] for _ in ids]
+            near_d, near_id = np.full((len(ids), k), np.inf), np.full((len(ids), k), -1, np.int64)
             for b in batches:
-                own = np.array(b.column(0).to_pylist(), np.int64)
-                m = np.array(b.column(1).to_pylist(), np.float64)
-                if not len(own):
-                    continue
-                dist = 1 - q @ (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)).T
-                for i in range(len(ids)):
-                    d = np.where(own == ids[i], np.inf, dist[i])
-                    near = np.lexsort((own, np.round(d, 12)))[: k + 1]
-                    held[i] = sorted(held[i] + [(round(float(d[j]), 12), int(own[j])) for j in near if np.isfinite(d[j])])[:k]
-            flat = [(int(ids[i]), n, d) for i, h in enumerate(held) for d, n in h]
-            yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in flat], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], names=["query_id", "neighbour_id", "distance"])
-
-        found = rows.where(F.col(vec).isNotNull()).select(F.col(id_col).cast("long"), vec).mapInArrow(best, "query_id long, neighbour_id long, distance double")
+                for at in range(0, b.num_rows, BLOCK):
+                    part = b.slice(at, BLOCK)
+                    own = np.array(part.column(0).to_pylist(), np.int64)
+                    m = np.array(part.column(1).to_pylist(), np.float64)
+                    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+                    for lo in range(0, len(ids), BLOCK):
+                        hi = min(lo + BLOCK, len(ids))
+                        dist = np.round(1 - q[lo:hi] @ m.T, 12)
+                        dist[ids[lo:hi, None] == own[None, :]] = np.inf
+                        d, n = np.hstack([near_d[lo:hi], dist]), np.hstack([near_id[lo:hi], np.broadcast_to(own, dist.shape)])
+                        # the k-th least distance first; then only what is no farther is put in order
+                        edge = np.partition(d, k - 1, axis=1)[:, k - 1 : k]
+                        width = int((d <= edge).sum(axis=1).max())
+                        if width < d.shape[1]:
+                            keep = np.argpartition(np.where(d <= edge, 0, 1), width - 1, axis=1)[:, :width]
+                            d, n = np.take_along_axis(d, keep, 1), np.take_along_axis(n, keep, 1)
+                        order = np.lexsort((n, d), axis=1)[:, :k]
+                        near_d[lo:hi], near_id[lo:hi] = np.take_along_axis(d, order, 1), np.take_along_axis(n, order, 1)
+            q_at, r_at = np.nonzero(np.isfinite(near_d))
+            lane = np.full(len(q_at), TaskContext.get().partitionId() % LANES, np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[q_at]), pa.array(near_id[q_at, r_at]), pa.array(near_d[q_at, r_at]), pa.array(lane)], names=["query_id", "neighbour_id", "distance", "lane"])
+
+        known = rows.where(F.col(vec).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), vec)
+        found = known.mapInArrow(best, "query_id long, neighbour_id long, distance double, lane int")
         out = found if out is None else out.union(found)
-        if len(block) < BLOCK:
-            break
     if out is None:
         return spark.createDataFrame([], "query_id long, neighbour_id long, rank int, distance double")
-    w = W.partitionBy("query_id").orderBy("distance", "neighbour_id")
-    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "neighbour_id", "rank", "distance")
+    order = ["distance", "neighbour_id"]
+    lanes = out.withColumn("rank", F.row_number().over(W.partitionBy("query_id", "lane").orderBy(*order))).where(F.col("rank") <= k)
+    return lanes.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= k).select("query_id", "neighbour_id", "rank", "distance")
 
 
 def drift(df: DataFrame, similarity: str, least_median: float = 0.85) -> DataFrame:
     """Median, minimum and the element at a tenth of the sorted similarities; passed if the median is high enough.
 
-    The tenth is by rank, not interpolated; it comes from counts of rounded values, not from one collected list.
+    Similarities are rounded to six places, so they have two million values at most, counted before they meet.  The
+    elements by rank come from the counts of bins of a thousandth, at most 2,001 rows, then from within two or three bins.
     """
-    counts = df.groupBy(F.round(similarity, 6).alias("s")).count()
-    total = df.agg(F.count(similarity).alias("n"), F.median(similarity).alias("median"), F.min(similarity).alias("low"))
-    running = counts.where("s is not null").groupBy(F.floor(F.col("s") * 1000).alias("bin")).agg(F.sum("count").alias("c"))
-    # the bin that holds the element, then the element within the bin: each a bounded window
-    bins = running.withColumn("upto", F.sum("c").over(W.orderBy("bin").rowsBetween(W.unboundedPreceding, 0)))
-    want = total.select(F.floor(F.col("n") / 10).cast("long").alias("want"))
-    hit = bins.join(F.broadcast(want)).where((F.col("upto") > F.col("want")) & (F.col("upto") - F.col("c") <= F.col("want"))).select("bin", (F.col("want") - F.col("upto") + F.col("c")).alias("skip"))
-    within = counts.withColumn("bin", F.floor(F.col("s") * 1000)).join(F.broadcast(hit), "bin")
-    place = within.withColumn("upto", F.sum("count").over(W.partitionBy("bin").orderBy("s").rowsBetween(W.unboundedPreceding, 0)))
-    tenth = place.where((F.col("upto") > F.col("skip")) & (F.col("upto") - F.col("count") <= F.col("skip"))).select(F.col("s").alias("p10"))
-    return total.join(F.broadcast(tenth), how="left").select("n", F.round("median", 6).alias("median_similarity"), F.round("low", 6).alias("min_similarity"), "p10", (F.col("median") >= least_median).alias("passed"))
+    spark = df.sparkSession
+    counts = df.where(F.col(similarity).isNotNull()).groupBy(F.round(similarity, 6).alias("s")).count()
+    counts = counts.withColumn("bin", F.floor(F.col("s") * 1000))
+    bins = sorted((r.bin, r.n) for r in counts.groupBy("bin").agg(F.sum("count").alias("n")).collect())
+    n = sum(c for _, c in bins)
+    wanted = sorted({(n - 1) // 2, n // 2, n // 10, 0}) if n else []
+    spots: dict[int, tuple[int, int]] = {}
+    before = 0
+    for b, c in bins:
+        spots |= {w: (b, w - before) for w in wanted if before <= w < before + c}
+        before += c
+    held: dict[int, list] = {}
+    for r in counts.where(F.col("bin").isin(sorted({b for b, _ in spots.values()}) or [None])).collect():  # at most a thousand values a bin
+        held.setdefault(r.bin, []).append((r.s, r["count"]))
+
+    def at(rank: int) -> float:
+        b, skip = spots[rank]
+        for s, c in sorted(held[b]):
+            if skip < c:
+                return float(s)
+            skip -= c
+        raise AssertionError
+
+    schema = "n long, median_similarity double, min_similarity double, p10 double, passed boolean"
+    if not n:
+        return spark.createDataFrame([(0, None, None, None, None)], schema)
+    median = (at((n - 1) // 2) + at(n // 2)) / 2
+    return spark.createDataFrame([(n, round(median, 6), at(0), at(n // 10), median >= least_median)], schema)
 
 
 def fingerprint(df: DataFrame, id_col: str, vec: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.functions import identity, text
-from foliant.operators import gates, lines, reconcile
+from foliant.operators import corpus, gates, lines, reconcile
 from foliant.plans.registry import query, table
 
 _WORDS = "list_sort([{}], lambda x: -length(x))"
@@ -30,8 +30,8 @@ SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(list_filter(ls, lamb
   CAST(list_max(list_transform(ls, lambda x: length(x))) AS INTEGER) AS longest FROM l
 """)
 def line_explode_stats(spark: SparkSession, d: str) -> DataFrame:
-    rows = lines.explode_lines(table(spark, d, "documents"), "doc_id")
-    return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.trim("raw") == "").alias("n_blank"), F.max(F.length("raw")).alias("longest"))
+    ls = table(spark, d, "documents").select("doc_id", lines.split_lines(F.col("text")).alias("ls"))
+    return ls.select("doc_id", F.size("ls").cast("long").alias("n_lines"), F.size(F.filter("ls", lambda x: F.trim(x) == "")).cast("long").alias("n_blank"), F.array_max(F.transform("ls", lambda x: F.length(x))).alias("longest"))
 
 
 _DECODED = "replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&apos;', ''''), '&amp;', '&')"
@@ -79,8 +79,7 @@ SELECT doc_id, CAST(s AS BIGINT) AS section, max(CASE WHEN h THEN raw END) AS he
   coalesce(string_agg(CASE WHEN NOT h AND trim(raw) <> '' THEN raw END, chr(10) ORDER BY line_no), '') AS body FROM m WHERE s > 0 GROUP BY doc_id, s
 """)
 def page_sections(spark: SparkSession, d: str) -> DataFrame:
-    rows = lines.explode_lines(table(spark, d, "documents"), "doc_id")
-    return lines.sections(rows, "doc_id", F.length("raw").between(1, 40))
+    return lines.sections(table(spark, d, "documents"), "doc_id", lambda x: F.length(x).between(1, 40))
 
 
 @query(r"""
@@ -280,22 +279,15 @@ def revision_diff(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""
-WITH s AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(lower(text), '[^\s]+( [^\s]+){7}'))) AS g FROM benchmark)
-SELECT d.doc_id, s.item_id, count(*) AS n_hits FROM documents d JOIN s ON contains(lower(d.text), s.g) GROUP BY d.doc_id, s.item_id
+WITH w AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM benchmark),
+s AS (SELECT item_id, least(len(ws), 8) AS k, unnest(list_distinct(list_transform(range(1, greatest(len(ws) - 6, 2)), lambda i: array_to_string(ws[i:i + 7], ' ')))) AS g FROM w WHERE len(ws) > 0),
+d AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS g FROM d, (SELECT DISTINCT k FROM s))
+SELECT doc_id, item_id, count(*) AS n_hits FROM g JOIN s USING (k, g) GROUP BY doc_id, item_id
 """)
 def leakage_guard(spark: SparkSession, d: str) -> DataFrame:
-    grams = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[^\s]+( [^\s]+){7}"), F.lit(0)))
-    items = table(spark, d, "benchmark").select("item_id", F.explode(grams).alias("g"))
-    # a gram holds its own inner six words; documents meet grams on a hash of these, and only then is the text searched
-    six = lambda w, i: F.xxhash64(*[F.element_at(w, i + k) for k in range(6)])
-    inner = items.withColumn("k", six(F.split("g", " "), F.lit(2)))
-    words = F.split(F.lower("text"), r"\s")
-    runs = F.when(F.size("w") >= 6, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 5), lambda i: six(F.col("w"), i)))).otherwise(F.array().cast("array<bigint>"))
-    docs = table(spark, d, "documents").select("doc_id", F.lower("text").alias("t"), words.alias("w"))
-    keys = docs.select("doc_id", F.explode(runs).alias("k"))
-    met = keys.join(inner, "k").select("doc_id", "item_id", "g").distinct()
-    hit = met.join(docs.select("doc_id", "t"), "doc_id").where(F.contains("t", F.col("g")))
-    return hit.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_hits"))
+    """Benchmark passages of eight words in a row, or whole shorter items, that documents hold, whatever the white space."""
+    return corpus.shared_passages(table(spark, d, "documents"), table(spark, d, "benchmark"), "doc_id", "item_id")
 
 
 @query(r"""

@@ -91,10 +91,17 @@ def scheme_entries(spark: SparkSession, d: str) -> DataFrame:
     return e.select("doc_id", "label", "number", "answer", F.size("points").alias("n_points"), F.col("guidance")[0]["kind"].alias("kind"), "marks", "marks_source")
 
 
-def _sitting(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Papers, schemes, questions and entries; each side is read once and kept as a table, since all joins go over it."""
-    qp = written(papers.drafted_texts(_paper_texts(spark, d)).withColumn("pair", F.col("doc_id")), "papers")
-    ms = written(schemes.drafted_texts(_scheme_texts(spark, d)).withColumn("pair", F.col("doc_id")), "schemes")
+def _sitting(spark: SparkSession, d: str, numbers_only: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Papers, schemes, questions and entries; each side is read once and kept as a table, since all joins go over it.
+
+    numbers_only keeps of questions and entries what gates on marks read.
+    """
+    qp, ms = papers.drafted_texts(_paper_texts(spark, d)), schemes.drafted_texts(_scheme_texts(spark, d))
+    if numbers_only:
+        part = lambda p: F.struct(p.label.alias("label"), p.marks.alias("marks"))
+        qp = qp.select("doc_id", "session", "reference", "paper_total", "totals", "n_questions", F.transform("questions", lambda q: F.struct(q.number.alias("number"), F.transform(q.parts, part).alias("parts"))).alias("questions"))
+        ms = ms.select("doc_id", "session", "reference", "paper_total", "totals", F.transform("entries", lambda e: F.struct(e.number.alias("number"))).alias("entries"))
+    qp, ms = (written(x.withColumn("pair", F.col("doc_id")), n) for x, n in ((qp, "papers"), (ms, "schemes")))
     questions = qp.select("pair", F.explode("questions").alias("q")).select("pair", "q.*")
     entries = ms.select("pair", F.posexplode("entries").alias("ord", "e")).select("pair", "ord", "e.*")
     return qp.drop("questions"), ms.drop("entries"), questions, entries
@@ -116,7 +123,7 @@ WITH {_NUMBERED}, j AS (SELECT k, i, CASE WHEN f <> 'N' THEN q END AS a, q + CAS
 SELECT CASE WHEN a IS NULL THEN 'ms-only' WHEN a = b THEN 'match' ELSE 'mismatch' END AS severity, count(*) AS n, CAST(sum(b) AS BIGINT) AS ms_marks FROM j GROUP BY 1
 """)
 def sitting_findings(spark: SparkSession, d: str) -> DataFrame:
-    found = sittings.mark_findings(*_sitting(spark, d))
+    found = sittings.mark_findings(*_sitting(spark, d, True))
     return found.groupBy("severity").agg(F.count(F.lit(1)).alias("n"), F.sum("ms_marks").alias("ms_marks"))
 
 
@@ -125,7 +132,7 @@ WITH {_NUMBERED}, g AS (SELECT CAST(k AS VARCHAR) AS pair, max(CASE WHEN f <> 'N
 SELECT pair, CASE WHEN bad = 1 THEN 'fail' ELSE 'review' END AS status FROM g
 """)
 def sitting_health(spark: SparkSession, d: str) -> DataFrame:
-    return sittings.pair_status(sittings.health(*_sitting(spark, d))).select("pair", "status")
+    return sittings.pair_status(sittings.health(*_sitting(spark, d, True))).select("pair", "status")
 
 
 @query("""
@@ -154,13 +161,17 @@ def revision_notes(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""
-WITH n AS (SELECT page_id, split_part(regexp_replace(url, '[?#].*$', ''), '/', 3) AS host, regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '/$', ''), '^.*/', '') AS name, page_id % 7 AS f FROM pages),
-u AS (SELECT *, row_number() OVER (PARTITION BY f, name ORDER BY page_id) AS i FROM n)
-SELECT page_id, CASE WHEN i = 1 THEN name ELSE regexp_replace(name, '\.[^.]*$', '') || '-' || i || regexp_extract(name, '(\.[^.]*)$', 1) END AS unique_name FROM u
+WITH RECURSIVE n AS (SELECT page_id, page_id // 50 AS f, regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '/$', ''), '^.*/', '') AS name,
+             row_number() OVER (PARTITION BY page_id // 50 ORDER BY page_id) AS i FROM pages),
+s AS (SELECT f, CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS page_id, CAST([] AS VARCHAR[]) AS used FROM (SELECT DISTINCT f FROM n)
+  UNION ALL SELECT s.f, n.i, n.page_id, list_append(used, CASE WHEN NOT list_contains(used, name) THEN name WHEN NOT list_contains(used, 'p' || n.i || '_' || name) THEN 'p' || n.i || '_' || name
+    ELSE 'crop_' || n.i || '.bin' END) FROM s JOIN n ON n.f = s.f AND n.i = s.i + 1)
+SELECT page_id, used[len(used)] AS unique_name FROM s WHERE i > 0
 """)
 def unique_names(spark: SparkSession, d: str) -> DataFrame:
+    """Last parts of addresses as names of images, fifty pages to a folder."""
     name = F.regexp_replace(F.regexp_replace(F.regexp_replace("url", "[?#].*$", ""), "/$", ""), "^.*/", "")
-    rows = table(spark, d, "pages").select("page_id", name.alias("name"), (F.col("page_id") % 7).alias("f"))
+    rows = table(spark, d, "pages").select("page_id", name.alias("name"), F.floor(F.col("page_id") / 50).alias("f"))
     return readers.unique_names(rows, "f", "name", "page_id").select("page_id", "unique_name")
 
 

@@ -43,21 +43,28 @@ def paced(items: Iterable, per_minute: float, clock: Callable[[], float] = time.
         yield x
 
 
-def fetch(requests: DataFrame, key: str, payload: str, transport: Callable[[], Transport], attempts: int = 4, per_minute: float = 90) -> DataFrame:
-    """(key, status, body, attempts) of each request row; transport() makes a partition's transport.
+def fetch(requests: DataFrame, key: str, payload: str, transport: Callable[[], Transport], attempts: int = 4, per_minute: float = 90, lanes: int = 1) -> DataFrame:
+    """(key, status, body, attempts) of each request row; transport() makes a lane's transport.
 
-    Failures are rows too, so that a later run can take up what is left.
+    Requests are dealt over `lanes` partitions, each with its share of the rate, so that all of them together keep to
+    per_minute.  Failures are rows too (status -1, or -2 for a payload above MAX_BYTES, which is not sent), so that a
+    later run can take up what is left.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         send = transport()
+        wait = paced(iter(int, 1), per_minute / lanes)  # one clock for all batches
         for b in batches:
             out = []
-            for k, p in paced(zip(b.column(0).to_pylist(), b.column(1).to_pylist()), per_minute):
+            for k, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if len((p or "").encode()) > MAX_BYTES:
+                    out.append((k, -2, f"payload above {MAX_BYTES} bytes", 0))
+                    continue
+                next(wait)
                 try:
                     out.append((k, *call(send, {"key": k, "payload": p}, attempts)))
-                except OSError as e:
-                    out.append((k, -1, str(e), attempts))
+                except Exception as e:  # noqa: BLE001 - whatever a transport raises is that request's row
+                    out.append((k, -1, f"{type(e).__name__}: {e}", attempts))
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.string(), pa.int32(), pa.string(), pa.int32()))], names=["key", "status", "body", "attempts"])
 
-    return requests.select(requests[key].cast("string").alias("key"), payload).mapInArrow(run, "key string, status int, body string, attempts int")
+    return requests.select(requests[key].cast("string").alias("key"), requests[payload].cast("string").alias("payload")).repartition(lanes).mapInArrow(run, "key string, status int, body string, attempts int")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliant.functions import identity
@@ -96,7 +97,7 @@ def _note(text: str | None) -> dict:
 
 def notes(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, meta, body, violations) of revision notes."""
-    return per_document(docs.withColumn("_k", F.col(key).cast("string")), ["_k", text], lambda k, t: [{key: k} | _note(t)], f"{key} string, meta map<string,string>, body string, violations array<string>")
+    return per_document(docs, [F.col(key).cast("string"), text], lambda k, t: [{key: k} | _note(t)], f"{key} string, meta map<string,string>, body string, violations array<string>")
 
 
 def inline_list(value: Column) -> Column:
@@ -105,12 +106,21 @@ def inline_list(value: Column) -> Column:
 
 
 def with_sidecar(notes_: DataFrame, sidecars: DataFrame, schema_tag: str) -> tuple[DataFrame, DataFrame]:
-    """(notes with their sidecar, sidecars set aside): joined on the note's id; a wrong tag or an unknown id is set aside."""
+    """(notes with their sidecar, sidecars set aside): joined on the note's id.
+
+    A wrong tag, an unknown id, and all sidecars of a note but the first by text are set aside with a reason.
+    """
+    rank = "_rank" + "_" * sum(c.startswith("_rank") for c in sidecars.columns)
     ids = notes_.withColumn("note_id", F.element_at("meta", "note_id"))
     right = sidecars.where(F.col("schema") == schema_tag)
     lost = sidecars.where(~F.col("schema").eqNullSafe(F.lit(schema_tag))).withColumn("reason", F.lit("schema"))
     lone = right.join(ids.select("note_id").distinct(), "note_id", "left_anti").withColumn("reason", F.lit("note_id"))
-    return ids.join(right.select("note_id", F.col("params").alias("sidecar")), "note_id", "left"), lost.unionByName(lone)
+    params = dict(sidecars.dtypes)["params"]
+    text = F.to_json("params") if params.startswith(("struct", "map", "array")) else F.col("params").cast("string")
+    ranked = right.withColumn(rank, F.row_number().over(Window.partitionBy("note_id").orderBy(text)))
+    more = ranked.where(F.col(rank) > 1).drop(rank).join(ids.select("note_id").distinct(), "note_id", "left_semi").withColumn("reason", F.lit("repeated"))
+    one = ranked.where(F.col(rank) == 1).select("note_id", F.col("params").alias("sidecar"))
+    return ids.join(one, "note_id", "left"), lost.unionByName(lone).unionByName(more)
 
 
 def _walk(doc: dict | None) -> tuple[list[dict], list[str]]:
@@ -139,11 +149,11 @@ def _walk(doc: dict | None) -> tuple[list[dict], list[str]]:
 def engine_json(docs: DataFrame, key: str, content: str = "json") -> DataFrame:
     """Elements of an engine's JSON tree, depth first; unknown kinds are passed over, what is below them is not."""
     schema = f"{key} string, ord int, element_id string, kind string, level int, text string, rows array<array<string>>, page int, source_name string, box struct<x:double,y:double,width:double,height:double>, confidence double"
-    return per_document(docs.withColumn("_k", F.col(key).cast("string")), ["_k", content], lambda k, t: ({key: k} | r for r in _walk(json.loads(t) if t else None)[0]), schema)
+    return per_document(docs, [F.col(key).cast("string"), content], lambda k, t: ({key: k} | r for r in _walk(json.loads(t) if t else None)[0]), schema)
 
 
 def skipped_kinds(docs: DataFrame, key: str, content: str = "json") -> DataFrame:
-    return per_document(docs.withColumn("_k", F.col(key).cast("string")), ["_k", content], lambda k, t: [{key: k, "skipped": _walk(json.loads(t) if t else None)[1]}], f"{key} string, skipped array<string>")
+    return per_document(docs, [F.col(key).cast("string"), content], lambda k, t: [{key: k, "skipped": _walk(json.loads(t) if t else None)[1]}], f"{key} string, skipped array<string>")
 
 
 def crop_urls(markdown: Column, *more: Column) -> Column:
@@ -152,10 +162,46 @@ def crop_urls(markdown: Column, *more: Column) -> Column:
     return F.array_distinct(F.concat(*[F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(p), F.lit(1)) for c in (markdown, *more) for p in patterns]))
 
 
+def reserve(names: list[str]) -> list[str]:
+    """A name of its own for each, in order: itself, else with its place before it (p2_), else by its place alone."""
+    used: set[str] = set()
+    out = []
+    for place, name in enumerate(names, 1):
+        free = next(x for x in itertools.chain((name, f"p{place}_{name}", f"crop_{place}.bin"), (f"crop_{place}_{k}.bin" for k in itertools.count(1))) if x not in used)
+        used.add(free)
+        out.append(free)
+    return out
+
+
 def unique_names(df: DataFrame, folder: str, name: str, order: str) -> DataFrame:
-    """df with unique_name: a name that came before in its folder gets its number before the ending."""
-    from pyspark.sql import Window as W
+    """(folder, order, unique_name) for each row: no two names of a folder are the same.
+
+    A folder holds the images of one document (or pair), so its names are one row's work.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    listed = df.groupBy(F.col(folder).alias("f")).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(name).alias("n")))).alias("rows"))
+
+    def make(f, rows):
+        return [{folder: f, order: r["o"], "unique_name": n} for r, n in zip(rows, reserve([r["n"] for r in rows]))]
 
-    n = F.row_number().over(W.partitionBy(folder, name).orderBy(order))
-    stem, ending = F.regexp_replace(name, r"\.[^.]*$", ""), F.regexp_extract(name, r"(\.[^.]*)$", 1)
-    return df.withColumn("_n", n).withColumn("unique_name", F.when(F.col("_n") == 1, F.col(name)).otherwise(F.concat(stem, F.lit("-"), F.col("_n").cast("string"), ending))).drop("_n")
+    return per_document(listed, ["f", "rows"], make, f"`{folder}` {kinds[folder]}, `{order}` {kinds[order]}, unique_name string")
+
+
+def engine_version(version: Column) -> Column:
+    """The version that an engine gives, trimmed; unknown where it gives none."""
+    return F.coalesce(F.nullif(F.trim(version), F.lit("")), F.lit("unknown"))
+
+
+def response_markdown(response: Column) -> Column:
+    """struct(text, pages, problem) of a recognition service's JSON: md_results is a text or a list of pages.
+
+    A response without it, with another kind of value, or with blank text is a problem, never an empty document.
+    """
+    raw = F.get_json_object(response, "$.md_results")
+    listed = F.from_json(F.concat(F.lit('{"x":'), F.get_json_object(response, "$.md_results"), F.lit("}")), "struct<x:array<string>>").getField("x")
+    kind = F.regexp_extract(response, r'"md_results"\s*:\s*(["\[{tfn0-9-])', 1)
+    none = F.array().cast("array<string>")
+    pages = F.when(kind == "[", F.coalesce(listed, none)).otherwise(none)
+    text = F.when(kind == '"', raw).when(kind == "[", F.array_join(F.coalesce(listed, none), "\n\n"))
+    problem = (F.when(F.coalesce(kind, F.lit("")).isin("", "n"), "no md_results").when(~kind.isin('"', "["), "unexpected type").when(F.coalesce(F.trim(F.regexp_replace(text, r"\s+", " ")), F.lit("")) == "", "empty"))
+    return F.struct(F.when(problem.isNull(), text).alias("text"), F.when(problem.isNull(), pages).otherwise(none).alias("pages"), problem.alias("problem"))
