@@ -153,4 +153,4 @@ def test_fetch_keeps_failures(spark):
         return send
 
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string")
-    assert {(r.key, r.status, r.body) for r in connectors.fetch(df, "id", "p", transport, per_minute=1e6).collect()} == {("1", 200, "A"), ("2", -1, "down")}
+    assert {(r.key, r.status, r.body) for r in connectors.fetch(df, "id", "p", transport, per_minute=1e6).collect()} == {("1", 200, "A"), ("2", -1, "OSError: down")}

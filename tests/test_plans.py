@@ -7,9 +7,9 @@ import pytest
 from foliant.plans.catalog import QUERIES
 
 #: One-row sides only: a total and the place of one element.
-ONE_ROW = {"drift_gate"}
+ONE_ROW: set[str] = set()
 #: These run jobs while the plan is made.
-EAGER = {"sitting_bind", "sitting_findings", "sitting_health", "knn_top10", "neighbour_jaccard"}
+EAGER = {"sitting_bind", "sitting_findings", "sitting_health", "knn_top10", "neighbour_jaccard", "drift_gate", "batch_keys_400", "leakage_guard", "applied_embeddings"}
 
 
 def plan(df):
