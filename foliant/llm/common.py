@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliant.operators.perdoc import portions
 from foliant.operators.shared import shared_dir, written
 
 __all__ = ["BLANK", "free", "let", "portions", "shared_dir", "table", "texts", "words", "written"]
@@ -24,18 +23,6 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def portions(sizes: list[int], total: int, rows: int = 200) -> Iterator[tuple[int, int]]:
-    """(first, number) of consecutive rows whose sizes add up to at most total; a larger row is alone."""
-    first = held = 0
-    for i, size in enumerate(sizes):
-        if i > first and (held + size > total or i - first >= rows):
-            yield first, i - first
-            first, held = i, 0
-        held += size
-    if first < len(sizes):
-        yield first, len(sizes) - first
-
-
 def free(name: str, taken: list[str]) -> str:
     """The name, with as many underscores behind it as it takes to be none of the taken ones."""
     held = {t.lower() for t in taken}

@@ -39,7 +39,7 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(table(spark, sf_dir, "documents"))
+    return sharding.shard(table(spark, sf_dir, "documents"), limit=sharding.QUERY_BYTES)
 
 
 def op9_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from foliant.llm.common import written
 
-BITS, STEP, SHARD_BYTES = 60, 6, 1 << 20
+BITS, STEP, SHARD_BYTES = 60, 6, 256 << 20
+QUERY_BYTES = 1 << 20  # of the query, whose tables are small
 
 
 def hash60(key: Column) -> Column:
@@ -103,8 +104,8 @@ WITH r AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
 e AS (SELECT *, h >> (60 - d) AS p FROM r, (SELECT unnest(range(0, 61)) AS d) t),
 n AS (SELECT d, p, sum(n_bytes) AS b, count(*) AS c, min(h) AS lo, max(h) AS hi FROM e GROUP BY d, p),
 f AS (SELECT doc_id, n_bytes, h, min(e.d) AS d FROM e JOIN n ON e.d = n.d AND e.p = n.p
-      WHERE n.b <= {SHARD_BYTES} OR n.lo = n.hi GROUP BY doc_id, n_bytes, h)
+      WHERE n.b <= {QUERY_BYTES} OR n.lo = n.hi GROUP BY doc_id, n_bytes, h)
 SELECT doc_id, n_bytes, concat(f.d, ':', h >> (60 - f.d)) AS shard, CAST(f.d AS INTEGER) AS shard_depth,
-       CAST(n.b AS BIGINT) AS shard_bytes, n.c AS shard_docs, n.b > {SHARD_BYTES} AS oversized
+       CAST(n.b AS BIGINT) AS shard_bytes, n.c AS shard_docs, n.b > {QUERY_BYTES} AS oversized
 FROM f JOIN n ON f.d = n.d AND h >> (60 - f.d) = n.p
 """

@@ -260,5 +260,5 @@ def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
         lost = written(docs.where("doc_id is null").withColumn("doc_id", F.monotonically_increasing_id()), "unnamed")
         fps = fingerprints(lost).join(own.where("doc_id is null").select("fp").distinct(), "fp")
         alone = fps.groupBy("fp").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-        out = out.union(lost.join(alone, "doc_id").withColumn("doc_id", F.lit(None).cast("long")).select(*docs.columns))
+        out = out.union(lost.join(alone, "doc_id").withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType)).select(*docs.columns))
     return out

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from foliant.llm.common import written
+
 DAY = 86_400
 # Header fields that a 304 response may update, and query parameters that only track.
 PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
@@ -32,24 +34,35 @@ def canonical_url(url: Column) -> Column:
     return F.concat(host, F.when(path == "", "/").otherwise(path), F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
 
 
+def lower_names(headers: Column) -> Column:
+    """Headers under lower-case names; of names that differ in case only, the value of the last one by name counts."""
+    entries = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e.key).alias("key"), e.value.alias("value")))
+    ordered = F.array_sort(entries)
+    last = F.filter(ordered, lambda e, i: F.get(ordered, i + 1).isNull() | (F.get(ordered, i + 1).key != e.key))
+    return F.map_from_entries(last)
+
+
 def resolve(records: DataFrame) -> DataFrame:
     """An answer for each record of kind revisit.
 
-    records: record_id, kind (response or revisit), url, t (seconds), etag, last_modified, headers (lower-case
-    names), digest.  status is
+    records: record_id, kind (response or revisit), url, t (seconds), etag, last_modified, headers (names in any
+    case), digest.  status is
       no_earlier          no full response of the canonical URL is strictly earlier (also for a null URL or time),
       no_validator        the revisit has neither validator,
       validator_mismatch  its entity tag (weak comparison), or without one its last-modified, differs,
       resolved            it matches: headers are the response's, with the permitted ones of the revisit put over them.
     Of responses in the same second the greatest record_id counts; repeated revisits are each answered.
     """
-    r = records.withColumn("canonical_url", canonical_url(F.col("url")))
+    fields = ("record_id", "kind", "url", "t", "etag", "last_modified", "digest")
+    r = records.select(*fields, lower_names(F.col("headers")).alias("headers"), canonical_url(F.col("url")).alias("canonical_url"))
     full = (r.where("kind = 'response' and t is not null and canonical_url is not null").groupBy("canonical_url", "t")
             .agg(F.max_by(F.struct("record_id", "etag", "last_modified", "headers", "digest"), "record_id").alias("full")))
-    asked = r.where("kind = 'revisit'")
+    placed = "t is not null and canonical_url is not null"
+    asked = r.where(f"kind = 'revisit' and {placed}")
+    lost = r.where(f"kind = 'revisit' and not ({placed})")  # no join: they would all share one key
     day = F.floor(F.col("t") / DAY).cast("long").alias("day")
     instants = full.select("canonical_url", "t", F.col("t").alias("ref")).union(
-        asked.where("t is not null and canonical_url is not null").select("canonical_url", "t").distinct().withColumn("ref", F.lit(None).cast("long"))).withColumn("day", day)
+        asked.select("canonical_url", "t").distinct().withColumn("ref", F.lit(None).cast("long"))).withColumn("day", day)
     before = W.partitionBy("canonical_url", "day").orderBy("t").rangeBetween(W.unboundedPreceding, -1)
     within = instants.withColumn("own", F.max("ref").over(before)).where("ref is null").select("canonical_url", "t", "day", "own")
     days = instants.groupBy("canonical_url", "day").agg(F.max("ref").alias("last"))
@@ -67,9 +80,11 @@ def resolve(records: DataFrame) -> DataFrame:
     none = F.create_map().cast("map<string,string>")
     update = F.map_filter(F.coalesce("headers", none), lambda k, v: k.isin(*PERMITTED))
     merged = F.map_concat(F.map_filter(F.coalesce(f.headers, none), lambda k, v: ~F.map_contains_key(update, k)), update)
-    return both.withColumn("status", status).select(
+    found = both.withColumn("status", status).select(
         "record_id", "canonical_url", "status", f.record_id.alias("response_id"),
         F.when(F.col("status") == "resolved", f.digest).alias("digest"), F.when(F.col("status") == "resolved", merged).alias("headers"))
+    text = F.lit(None).cast("string")
+    return found.union(lost.select("record_id", "canonical_url", F.lit("no_earlier"), text, text, F.lit(None).cast("map<string,string>")))
 
 
 def captures(pages: DataFrame) -> DataFrame:
@@ -109,8 +124,11 @@ def captures(pages: DataFrame) -> DataFrame:
 
 
 def revisits(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """The answers for the captures of pages, headers as name: value lines in order of name."""
-    found = resolve(captures(pages))
+    """The answers for the captures of pages, headers as name: value lines in order of name.
+
+    The captures are written once, since the join reads them four times; pages and their digests are read once.
+    """
+    found = resolve(written(captures(pages), "captures"))
     lines = F.array_join(F.transform(F.array_sort(F.map_entries("headers")), lambda x: F.concat_ws(": ", x.key, x.value)), "\n")
     return found.select("record_id", "canonical_url", "status", "response_id", "digest", lines.alias("headers"))
 
