@@ -93,3 +93,17 @@ def loose_points(rows: DataFrame) -> DataFrame:
     said = F.when(said > 0, said)
     n = F.row_number().over(W.partitionBy("doc_id", "ref").orderBy("line_no"))
     return referred.select("doc_id", "line_no", "ref", n.alias("ordinal"), F.col("body").alias("text"), F.coalesce(said, F.lit(1)).alias("marks"), F.when(said.isNull(), 0.55).otherwise(0.7).alias("confidence"))
+
+
+def cell_lines(elements: DataFrame) -> DataFrame:
+    """(doc_id, ord, cell, line, text): the printed lines of tables' cells, in reading order, blank ones left out."""
+    cells = elements.where("kind = 'table'").select("doc_id", "ord", F.posexplode(F.flatten("rows")).alias("cell", "said"))
+    return cells.select("doc_id", "ord", "cell", F.posexplode(F.split("said", "\n")).alias("line", "text")).withColumn("text", strip(F.col("text"))).where("text <> ''")
+
+
+def line_stream(elements: DataFrame) -> DataFrame:
+    """(doc_id, line_no, raw): texts, and rows of tables as their cells set apart by a blank, as one stream of lines."""
+    texts = F.when(F.col("kind") == "table", F.transform("rows", lambda r: F.regexp_replace(F.array_join(r, " "), r"\s+", " "))).otherwise(F.split(F.coalesce("text", F.lit("")), "\n"))
+    rows = elements.select("doc_id", "ord", F.posexplode(texts).alias("at", "raw")).withColumn("raw", strip(F.col("raw"))).where("raw <> ''")
+    place = F.row_number().over(W.partitionBy("doc_id").orderBy("ord", "at")) - 1
+    return rows.withColumn("line_no", place).select("doc_id", "line_no", "raw")

@@ -29,10 +29,10 @@ def idempotent(df: DataFrame, column: str, table: dict[str, str]) -> DataFrame:
 def census(df: DataFrame, key: str, column: str, table: dict[str, str] | None = None) -> DataFrame:
     """(key, kind, code_point, n): private-use characters that the table lacks, and controls."""
     kinds = F.array(F.struct(F.lit("private").alias("kind"), t.private_use(F.col(column)).alias("cs")), F.struct(F.lit("control").alias("kind"), t.controls(F.col(column)).alias("cs")))
-    rows = df.select(key, F.explode(kinds).alias("k")).select(key, "k.kind", F.explode("k.cs").alias("c"))
+    rows = df.select(F.col(key).alias("_key"), F.explode(kinds).alias("_kind")).select("_key", "_kind.kind", F.explode("_kind.cs").alias("c"))
     known = [k for k in (table or {}) if len(k) == 1]
     left = rows.where(~F.col("c").isin(*known)) if known else rows
-    return left.groupBy(key, "kind", F.ascii("c").alias("code_point")).agg(F.count(F.lit(1)).alias("n"))
+    return left.groupBy(F.col("_key").alias(key), "kind", F.ascii("c").alias("code_point")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def gate(df: DataFrame, key: str, column: str, batch: Column) -> DataFrame:
@@ -79,3 +79,19 @@ def rendered(text: Column, table: dict[str, str], dropped: list[str], furniture:
     n = F.regexp_count(shown, F.lit(quoted)).cast("int")
     kept = F.translate(F.regexp_replace(shown, quoted, ""), "".join(table), "".join(table.values())) if all(len(k) == len(v) == 1 for k, v in table.items()) else t.map_chars(F.regexp_replace(shown, quoted, ""), table)
     return F.struct(t.strip(kept).alias("text"), n.alias("n_dropped"), (n > 0).alias("loss"))
+
+
+def post_gates(before: DataFrame, after: DataFrame, expected: DataFrame, control: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, problem) after an update: glyphs that are left, rows lost or come anew, rows that are not as expected, and
+    rows of the control group (keys) that changed at all."""
+    b, a = (df.select(key, F.col(column).alias(n)) for df, n in ((before, "old"), (after, "new")))
+    both = b.withColumn("ib", F.lit(True)).join(a.withColumn("ia", F.lit(True)), key, "full_outer")
+    want = expected.select(key, F.col(column).alias("want"), F.lit(True).alias("iw"))
+    held = both.join(want, key, "left").join(control.select(key).distinct().withColumn("ic", F.lit(True)), key, "left")
+    left = F.size(t.private_use(F.coalesce("new", F.lit("")))) + F.size(t.controls(F.coalesce("new", F.lit(""))))
+    same = F.col("old").eqNullSafe(F.col("new"))
+    checks = [
+        (F.col("ia").isNull(), "lost"), (F.col("ib").isNull(), "new"), (F.col("ia").isNotNull() & (left > 0), "residual"), (F.col("iw") & ~F.col("want").eqNullSafe(F.col("new")), "unexpected"),
+        (F.col("iw").isNull() & F.col("ia").isNotNull() & F.col("ib").isNotNull() & ~same, "unplanned"), (F.col("ic") & ~same, "control")]
+    found = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for c, n in checks]))
+    return held.select(key, F.explode(found).alias("problem"))

@@ -172,7 +172,10 @@ def elements(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 def provenance(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, source_lines, counters): what the parser met in each document."""
-    make = lambda k, t: [{"doc_id": k, "source_lines": (t or "").count("\n") + 1} | {c: n for c, n in parse(t).counts.items()} | {c: 0 for c in COUNTERS if c not in parse(t).counts}]
+
+    def make(k: str, t: str | None) -> list[dict]:
+        return [{"doc_id": k, "source_lines": (t or "").count("\n") + 1} | dict.fromkeys(COUNTERS, 0) | parse(t).counts]
+
     return per_document(docs, [F.col(key).cast("string"), text], make, "doc_id string, source_lines int, " + ", ".join(f"{c} int" for c in COUNTERS))
 
 

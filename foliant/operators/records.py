@@ -141,3 +141,27 @@ def apply_embeddings(bank: DataFrame, fresh: DataFrame, key: str, dimension: int
     new = fresh.select(key, F.col("embedding").alias("_e"))
     joined = bank.join(new, key, "left")
     return joined.withColumn("embedding", F.coalesce("_e", "embedding")).withColumn("embed_rev", F.when(F.col("_e").isNotNull(), F.lit(revision)).otherwise(F.col("embed_rev"))).select(*bank.columns), found
+
+
+def reading_order(documents: DataFrame, arrays: list[str]) -> DataFrame:
+    """(doc_id, ord, element_id, kind) of documents whose elements lie in an array for each kind, as one list by order."""
+
+    def of(kind: str) -> Column:
+        own = F.coalesce(kind, F.array().cast("array<struct<ord:int,element_id:string>>"))
+        return F.transform(own, lambda x: F.struct(x.ord.alias("ord"), x.element_id.alias("element_id"), F.lit(kind).alias("kind")))
+
+    return documents.select("doc_id", F.explode(F.array_sort(F.concat(*map(of, arrays)))).alias("e")).select("doc_id", "e.*")
+
+
+def draft_points(points: DataFrame, pools: DataFrame, guidance: DataFrame) -> DataFrame:
+    """Points of a draft: alternatives merged, a pool's rule before the text of its first point, guidance with the question's first.
+
+    points: key, part, sub, ord, marks, text; pools: key, ord, rule; guidance: key, text (array).
+    """
+    from foliant.operators.atoms import merge_alternatives
+
+    merged = merge_alternatives(points).join(pools.select("key", "ord", "rule"), ["key", "ord"], "left").join(guidance.select("key", F.col("text").alias("said")), "key", "left")
+    first = F.row_number().over(W.partitionBy("key").orderBy("ord")) == 1
+    said = F.when(first, F.coalesce("said", F.array().cast("array<string>"))).otherwise(F.array().cast("array<string>"))
+    text = F.when(F.col("rule").isNotNull(), F.concat(F.lit("["), "rule", F.lit("] "), "text")).otherwise(F.col("text"))
+    return merged.select("key", "part", "sub", "ord", "marks", text.alias("text"), "alternatives", said.alias("guidance"))

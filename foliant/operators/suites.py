@@ -243,3 +243,49 @@ def scheme_elements(questions: DataFrame, points: DataFrame) -> DataFrame:
     place = F.row_number().over(W.partitionBy("doc_id").orderBy("number", "place", "at")) - 1
     rows = head.unionByName(body).withColumn("ord", place)
     return rows.select("doc_id", "ord", F.concat(F.lit("e"), F.lpad(F.col("ord").cast("string"), 6, "0")).alias("element_id"), "role", "text", "page", s("q", n).alias("group_key"))
+
+
+def atoms(documents: DataFrame, questions: DataFrame, parts: DataFrame, points: DataFrame, references: DataFrame, files: DataFrame) -> DataFrame:
+    """The validator of atoms: schema, closure, census and assets in both directions.
+
+    questions: doc_id, number, total, sum; parts: doc_id, number, part_id, marks; points: doc_id, number, marks, text;
+    references and files: doc_id, path.
+      schema        nulls where a value must be, marks below nought (one finding for each row),
+      closure       parts with marks all known must make the question's total, and so must the points' sum,
+      census        numbers are 1 to n and no part id comes twice,
+      assets        a reference without a file, and a file that nothing refers to.
+    """
+    at = F.concat_ws("/", "doc_id", F.col("number").cast("string"))
+    bad = lambda c: F.coalesce(F.col(c) < 0, F.lit(False))
+    out = [
+        gates.findings(questions.where(F.col("number").isNull() | bad("total")), at, "schema:question", "fail", F.col("total")),
+        gates.findings(parts.where(F.col("part_id").isNull() | bad("marks")), at, "schema:part", "fail", F.col("part_id")),
+        gates.findings(points.where(F.col("marks").isNull() | bad("marks") | (F.coalesce(F.trim("text"), F.lit("")) == "")), at, "schema:point", "fail", F.col("text"))]
+    known = parts.groupBy("doc_id", "number").agg(F.sum("marks").alias("made"), F.count_if(F.col("marks").isNull()).alias("open"))
+    whole = questions.join(known, ["doc_id", "number"]).where((F.col("open") == 0) & ~F.col("made").eqNullSafe(F.col("total")))
+    out.append(gates.findings(whole, at, "closure:parts", "fail", F.concat_ws("/", "made", "total")))
+    out.append(gates.findings(questions.where(~F.col("sum").eqNullSafe(F.col("total"))), at, "closure:points", "fail", F.concat_ws("/", "sum", "total")))
+    order = _per_document(documents, gates.continuity(questions, "doc_id", "number")).where(~F.coalesce("continuous", F.lit(False)))
+    out.append(gates.findings(order, F.col("doc_id"), "census:numbers", "fail", F.col("n")))
+    out.append(gates.findings(gates.repeated_keys(parts.dropna(subset=["part_id"]), ["doc_id", "part_id"]), F.concat_ws("/", "doc_id", "part_id"), "census:parts", "fail", F.col("count")))
+    key = ["doc_id", "path"]
+    place = F.concat_ws("/", *key)
+    out.append(gates.findings(references.distinct().join(files, key, "left_anti"), place, "assets:missing", "fail", F.lit("")))
+    out.append(gates.findings(files.distinct().join(references, key, "left_anti"), place, "assets:unused", "review", F.lit("")))
+    return gates.all_findings(out)
+
+
+def corpus(pairs: DataFrame, manifest: DataFrame, files: DataFrame, anchors: DataFrame) -> DataFrame:
+    """The check of a corpus: every pair has both files, files are as the manifest says, cleaned files have their raw one.
+
+    pairs: key, qp, ms (paths, null if missing); manifest and files: path, sha256; anchors: path, raw_path.
+    """
+    from foliant.operators.corpus import verify_files
+
+    lone = pairs.where(F.col("qp").isNull() | F.col("ms").isNull())
+    listed = files.select(F.col("path").alias("raw_path")).distinct()
+    adrift = anchors.join(listed, "raw_path", "left_anti")
+    moved = verify_files(manifest, files)
+    return gates.all_findings([
+        gates.findings(lone, F.col("key"), "pair", "fail", F.when(F.col("qp").isNull(), "no paper").otherwise("no scheme")), gates.findings(moved, F.col("path"), "file", F.when(F.col("problem") == "stray", "review").otherwise("fail"), F.col("problem")),
+        gates.findings(adrift, F.col("path"), "anchor", "fail", F.col("raw_path"))])

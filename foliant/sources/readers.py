@@ -205,3 +205,10 @@ def response_markdown(response: Column) -> Column:
     text = F.when(kind == '"', raw).when(kind == "[", F.array_join(F.coalesce(listed, none), "\n\n"))
     problem = (F.when(F.coalesce(kind, F.lit("")).isin("", "n"), "no md_results").when(~kind.isin('"', "["), "unexpected type").when(F.coalesce(F.trim(F.regexp_replace(text, r"\s+", " ")), F.lit("")) == "", "empty"))
     return F.struct(F.when(problem.isNull(), text).alias("text"), F.when(problem.isNull(), pages).otherwise(none).alias("pages"), problem.alias("problem"))
+
+
+def figure_name(url: Column) -> Column:
+    """struct(source_name, format) of an address: the last part of its decoded path; an address that is none stays whole."""
+    path = F.try_url_decode(F.replace(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1), F.lit("+"), F.lit("%2B")))
+    name = base_name(F.coalesce(F.nullif(path, F.lit("")), url))
+    return F.struct(name.alias("source_name"), F.nullif(F.lower(F.regexp_extract(name, r"\.([^.]+)$", 1)), F.lit("")).alias("format"))
