@@ -37,10 +37,11 @@ def build(spark: SparkSession, path: str) -> tuple[dict[str, DataFrame], DataFra
     entries = ms.select("pair", F.posexplode("entries").alias("ord", "e")).select("pair", "ord", "e.*")
     p, s = qp.drop("questions"), ms.drop("entries")
     parts, whole, unmatched = sittings.bind(questions, entries)
-    findings = sittings.health(p, s, questions, entries)
+    findings, marks = sittings.health(p, s, questions, entries), sittings.mark_findings(p, s, questions, entries)
     tables = {
         "documents": own.drop("text"), "elements": elements, "sections": markdown.sections(elements), "violations": markdown.violations(elements), "papers": p, "questions": questions, "schemes": s, "entries": entries,
-        "parts": parts, "question_entries": whole.select("pair", "number", "question_id", "entry"), "unmatched": unmatched, "marks": sittings.mark_findings(p, s, questions, entries), "findings": findings, "status": sittings.pair_status(findings)}
+        "parts": parts, "question_entries": whole.select("pair", "number", "question_id", "entry"), "unmatched": unmatched, "marks": marks, "findings": findings, "status": sittings.pair_status(findings),
+        "review": sittings.review_queue(findings, marks)}
     return tables, aside
 
 

@@ -135,6 +135,17 @@ def sitting_health(spark: SparkSession, d: str) -> DataFrame:
     return sittings.pair_status(sittings.health(*_sitting(spark, d, True))).select("pair", "status")
 
 
+@query(f"""
+WITH {_NUMBERED}, x AS (SELECT 'totals_agree' AS code, 'fail' AS severity FROM n WHERE f <> 'N' AND p % 5 = 0 UNION ALL SELECT 'mismatch', 'fail' FROM n WHERE f <> 'N' AND p % 5 = 0
+  UNION ALL SELECT 'ms-only', 'review' FROM n WHERE f = 'N' UNION ALL SELECT DISTINCT 'paper_total', 'review' FROM n WHERE false)
+SELECT code, severity, count(*) AS n FROM x GROUP BY ALL UNION ALL SELECT 'paper_total', 'review', count(DISTINCT k) FROM n
+""")
+def review_queue(spark: SparkSession, d: str) -> DataFrame:
+    sides = _sitting(spark, d, True)
+    queue = sittings.review_queue(sittings.health(*sides), sittings.mark_findings(*sides))
+    return queue.groupBy("code", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""
 WITH n AS (SELECT *, row_number() OVER (ORDER BY n_nationkey) AS t FROM nation)
 SELECT 1 AS level, 'U' || (r_regionkey + 1) AS code, CAST(NULL AS VARCHAR) AS parent, r_name AS title FROM region
