@@ -35,9 +35,29 @@ def test_oracles_are_of_queries():
     assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_other_queries_run(spark, sf, name):
-    assert QUERIES[name](spark, sf).count() >= 0
+def test_queries_without_sql_have_a_test_of_their_own():
+    assert set(QUERIES) - set(ORACLES) == {"greedy_fuzzy_pair", "vector_fingerprint"}
+
+
+def test_greedy_pairs_by_hand(spark):
+    sf = "/root/testdata/sf0.01"  # no two names are alike enough in the smaller tables
+    from collections import defaultdict
+    from difflib import SequenceMatcher
+
+    from foliant.plans.registry import table
+
+    folders = defaultdict(lambda: ([], []))
+    for r in table(spark, sf, "part").collect():
+        folders[f"{r.p_brand}/{r.p_type}/{r.p_size}"][r.p_partkey % 2].append(r.p_name)
+    want = []
+    for folder, (left, right) in folders.items():
+        free = sorted(right)
+        for x in sorted(left):
+            scored = [(-SequenceMatcher(None, x, y).ratio(), k) for k, y in enumerate(free)]
+            if scored and -min(scored)[0] >= 0.5:
+                want.append((folder, x, free.pop(min(scored)[1])))
+    got = sorted((r.folder, r.left, r.right) for r in QUERIES["greedy_fuzzy_pair"](spark, sf).collect())
+    assert got == sorted(want) and len(got) > 0
 
 
 def test_fuzzy_pairs_are_greedy(spark):
@@ -58,7 +78,7 @@ def test_vector_digest(spark, sf):
     from foliant.plans.registry import table
 
     got = {r.id: r.sha256 for r in QUERIES["vector_fingerprint"](spark, sf).collect()}
-    for r in table(spark, sf, "embeddings").limit(5).collect():
+    for r in table(spark, sf, "embeddings").collect():
         assert got[r.vec_id] == hashlib.sha256(struct.pack(f"<{len(r.embedding)}f", *r.embedding)).hexdigest()
 
 
