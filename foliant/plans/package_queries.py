@@ -104,7 +104,7 @@ def parsed_by_media_type(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 WITH c AS (SELECT c_custkey AS k, c_custkey % 3 AS a, c_custkey % 4 AS b FROM customer)
-SELECT k, 'private' AS kind, 57344 + k % 5 AS code_point, a AS n FROM c WHERE a > 0 AND k % 5 <> 0 UNION ALL SELECT k, 'control', 1 + k % 7, b FROM c WHERE b > 0
+SELECT k, 'private' AS kind, CAST(57344 + k % 5 AS INTEGER) AS code_point, a AS n FROM c WHERE a > 0 AND k % 5 <> 0 UNION ALL SELECT k, 'control', CAST(1 + k % 7 AS INTEGER), b FROM c WHERE b > 0
 """)
 def glyph_census(spark: SparkSession, d: str) -> DataFrame:
     """Private-use characters that a table lacks, and controls, by text."""
