@@ -41,7 +41,8 @@ def _step(name: str) -> Callable[[DataFrame], DataFrame]:
 
 
 #: What --dump can show: (doc_id, text) -> rows.
-DUMPS: dict[str, Callable[[DataFrame], DataFrame]] = {"canonical": _step("canonical"), "qp": _step("qp"), "ms": _step("ms"), "points": _points, "glyphs": _glyphs}
+DUMPS: dict[str, Callable[[DataFrame], DataFrame]] = {"canonical": _step("canonical"), "qp": _step("qp"),
+    "ms": _step("ms"), "points": _points, "glyphs": _glyphs}
 
 
 def dump(spark: SparkSession, mode: str, path: str, output: str) -> None:
@@ -53,7 +54,8 @@ def dump(spark: SparkSession, mode: str, path: str, output: str) -> None:
     rows = DUMPS[mode](docs)
     line = F.to_json(F.struct(*rows.columns))
     order = [c for c in ("doc_id", "ord", "label") if c in rows.columns]
-    rows.select(*order, line.alias("value")).repartitionByRange(*order, "value").sortWithinPartitions(*order, "value").select("value").write.mode("overwrite").text(output)
+    rows.select(*order, line.alias("value")).repartitionByRange(*order, "value").sortWithinPartitions(*order,
+        "value").select("value").write.mode("overwrite").text(output)
 
 
 def main(args: list[str]) -> int:

@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 
 # Entity names, command words by tier, kinds of guidance and of notes by their beginning, in order.
 ENTITIES = {"gt": ">", "lt": "<", "amp": "&", "quot": '"', "apos": "'"}
-LOW = ("state", "name", "give", "identify", "label", "complete", "draw", "write", "plot", "circle", "tick", "put a cross", "select", "choose", "which")
-MIDDLE = ("describe", "explain", "calculate", "deduce", "determine", "estimate", "predict", "sketch", "outline", "measure", "comment", "show that", "show", "find", "convert", "balance", "refer to", "look at")
-HIGH = ("discuss", "justify", "evaluate", "compare", "contrast", "analyse", "analyze", "suggest", "interpret", "assess", "consider")
-GUIDANCE = (("allow", "allow"), ("ignore", "ignore"), ("example calculation", "example-calculation"), ("example diagram", "example-diagram"), ("example graph", "example-diagram"), ("ecf", "ecf"))
-NOTES = (("do not accept", "reject"), ("do not allow", "reject"), ("reject", "reject"), ("accept", "allow"), ("allow", "allow"), ("ignore", "ignore"))
+LOW = ("state", "name", "give", "identify", "label", "complete", "draw", "write", "plot", "circle", "tick",
+    "put a cross", "select", "choose", "which")
+MIDDLE = ("describe", "explain", "calculate", "deduce", "determine", "estimate", "predict", "sketch", "outline",
+    "measure", "comment", "show that", "show", "find", "convert", "balance", "refer to", "look at")
+HIGH = ("discuss", "justify", "evaluate", "compare", "contrast", "analyse", "analyze", "suggest", "interpret", "assess",
+    "consider")
+GUIDANCE = (("allow", "allow"), ("ignore", "ignore"), ("example calculation", "example-calculation"),
+    ("example diagram", "example-diagram"), ("example graph", "example-diagram"), ("ecf", "ecf"))
+NOTES = (("do not accept", "reject"), ("do not allow", "reject"), ("reject", "reject"), ("accept", "allow"),
+    ("allow", "allow"), ("ignore", "ignore"))
 PART_LABEL = r"^\(?[a-h]\)\s*"
 ROMAN_LABEL = r"^\(?(?:i{1,3}|iv|v|vi{1,3}|ix|x)\)\s*"
 
@@ -39,7 +44,8 @@ def code_point(cp: Column) -> Column:
     tail = lambda s: byte((F.call_function("shiftright", cp, F.lit(s)) % 64) + 128)
     lead = lambda s, base: byte(F.call_function("shiftright", cp, F.lit(s)) + base)
     raw = (F.when(cp < 0x80, byte(cp)).when(cp < 0x800, F.concat(lead(6, 0xC0), tail(0)))
-           .when(cp < 0x10000, F.concat(lead(12, 0xE0), tail(6), tail(0))).otherwise(F.concat(lead(18, 0xF0), tail(12), tail(6), tail(0))))
+           .when(cp < 0x10000, F.concat(lead(12, 0xE0), tail(6), tail(0))).otherwise(F.concat(lead(18, 0xF0), tail(12),
+           tail(6), tail(0))))
     return F.when((cp >= 0) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF), F.decode(raw, "UTF-8"))
 
 
@@ -49,12 +55,14 @@ def decode_entities(x: Column) -> Column:
     References to surrogates or beyond Unicode stay as they are.
     """
     names = "|".join(ENTITIES)
-    parts = F.regexp_extract_all(x, F.lit(rf"(?s)&#[xX][0-9a-fA-F]{{1,8}};|&#[0-9]{{1,9}};|&(?:{names});|[^&]+|&"), F.lit(0))
+    parts = F.regexp_extract_all(x, F.lit(rf"(?s)&#[xX][0-9a-fA-F]{{1,8}};|&#[0-9]{{1,9}};|&(?:{names});|[^&]+|&"),
+        F.lit(0))
     named = F.create_map(*[v for k, c in ENTITIES.items() for v in (F.lit(f"&{k};"), F.lit(c))])
 
     def one(t: Column) -> Column:
         hexed = F.conv(F.regexp_extract(t, "^&#[xX]([0-9a-fA-F]+);", 1), 16, 10)
-        number = F.when(F.lower(F.substring(t, 3, 1)) == "x", hexed).otherwise(F.regexp_extract(t, "^&#([0-9]+);", 1)).try_cast("long")
+        number = F.when(F.lower(F.substring(t, 3, 1)) == "x",
+            hexed).otherwise(F.regexp_extract(t, "^&#([0-9]+);", 1)).try_cast("long")
         return F.coalesce(F.when(t.startswith("&#"), code_point(number)).otherwise(F.element_at(named, t)), t)
 
     return F.when(F.contains(x, F.lit("&")), F.array_join(F.transform(parts, one), "")).otherwise(x)
@@ -70,8 +78,10 @@ def map_chars(x: Column, table: dict[str, str]) -> Column:
     stops = "".join(sorted({rf"\x{{{ord(k[0]):X}}}" for k in keys}))
     # a run of characters that begin no key and are no control goes as one piece
     parts = F.regexp_extract_all(x, F.lit(rf"(?s){quoted}[^{stops}\x00-\x08\x0B\x0C\x0E-\x1F]+|."), F.lit(0))
-    literal = F.create_map(*[F.lit(v) for k in keys for v in (k, table[k])]) if keys else F.create_map().cast("map<string,string>")
-    one = lambda t: F.coalesce(F.element_at(literal, t), F.when(t.rlike(r"^[\x00-\x08\x0B\x0C\x0E-\x1F]$"), F.lit(" ")).otherwise(t))
+    literal = F.create_map(*[F.lit(v) for k in keys
+        for v in (k, table[k])]) if keys else F.create_map().cast("map<string,string>")
+    one = lambda t: F.coalesce(F.element_at(literal, t),
+        F.when(t.rlike(r"^[\x00-\x08\x0B\x0C\x0E-\x1F]$"), F.lit(" ")).otherwise(t))
     return F.array_join(F.transform(parts, one), "")
 
 
@@ -99,7 +109,8 @@ def command_word(x: Column) -> Column:
     """The command word that a sentence begins with, of the first sentence that does; the longest; null if none."""
     pattern = "^(" + "|".join(w for w, _ in command_words()) + ")(?:[ ,]|$)"
     bare = F.regexp_replace(F.regexp_replace(strip(x), PART_LABEL, ""), ROMAN_LABEL, "")
-    hits = F.filter(F.transform(sentences(bare), lambda s: F.regexp_extract(F.lower(strip(s)), pattern, 1)), lambda w: w != "")
+    hits = F.filter(F.transform(sentences(bare), lambda s: F.regexp_extract(F.lower(strip(s)), pattern, 1)),
+        lambda w: w != "")
     return F.get(hits, F.lit(0))
 
 
@@ -110,7 +121,8 @@ def command_tier(word: Column) -> Column:
 def summary_hint(x: Column, most: int = 200) -> Column:
     """First sentence, at most `most` characters, cut at the last space among these; null if there is none."""
     first = strip(F.get(sentences(strip(x)), F.lit(0)))
-    return let(first, lambda s: F.nullif(F.when(F.length(s) <= most, s).otherwise(strip(F.regexp_replace(F.substring(s, 1, most), r"(?s) [^ ]*$", ""))), F.lit("")))
+    return let(first, lambda s: F.nullif(F.when(F.length(s) <= most,
+        s).otherwise(strip(F.regexp_replace(F.substring(s, 1, most), r"(?s) [^ ]*$", ""))), F.lit("")))
 
 
 def guidance_kind(x: Column) -> Column:
@@ -138,7 +150,8 @@ def split_marks(x: Column, marker: str = r"\(([0-9]{1,2})\)") -> Column:
     texts, marks = F.split(x, marker, -1), F.regexp_extract_all(x, F.lit(marker), F.lit(1))
     zipped = F.zip_with(texts, marks, lambda t, m: F.struct(strip(t).alias("raw"), m.cast("int").alias("marks")))
     kept = F.filter(zipped, lambda p: p.raw != "")
-    points = F.transform(kept, lambda p, i: F.struct((i + 1).alias("ordinal"), p.raw.alias("raw"), p.marks.alias("marks")))
+    points = F.transform(kept, lambda p, i: F.struct((i + 1).alias("ordinal"), p.raw.alias("raw"),
+        p.marks.alias("marks")))
     unsplit = F.size(F.filter(kept, lambda p: p.marks.isNotNull())) == 0
     return F.when(unsplit, F.array().cast("array<struct<ordinal:int,raw:string,marks:int>>")).otherwise(points)
 
@@ -154,11 +167,16 @@ def mark_points(x: Column) -> Column:
 
     def point(p: Column) -> Column:
         refs = F.array_distinct(F.flatten(F.transform(
-            F.regexp_extract_all(p.raw, F.lit(r"(?i)dependent on\s+([^)]*)"), F.lit(1)), lambda d: F.transform(F.regexp_extract_all(d, F.lit(r"(?i)\bMP\s?(\d+)"), F.lit(1)), lambda n: F.concat(F.lit("MP"), n)))))
+            F.regexp_extract_all(p.raw, F.lit(r"(?i)dependent on\s+([^)]*)"), F.lit(1)),
+            lambda d: F.transform(F.regexp_extract_all(d, F.lit(r"(?i)\bMP\s?(\d+)"), F.lit(1)),
+            lambda n: F.concat(F.lit("MP"), n)))))
         alts = alternatives(p.raw)
         return F.struct(
-            p.ordinal.alias("ordinal"), F.get(alts, F.lit(0)).alias("text"), p.marks.alias("marks"), refs.alias("dependent_on"), p.raw.rlike(r"(?i)\becf\b").alias("ecf"),
-            F.slice(alts, 2, F.greatest(F.size(alts) - 1, F.lit(0))).alias("alternatives"), p.raw.rlike(r"(?i)any\s+two\s+from").alias("any_two"), p.raw.rlike(r"(?i)do\s+not\s+accept|is\s+insufficient").alias("reject"), p.raw.alias("raw"))
+            p.ordinal.alias("ordinal"), F.get(alts, F.lit(0)).alias("text"), p.marks.alias("marks"),
+            refs.alias("dependent_on"), p.raw.rlike(r"(?i)\becf\b").alias("ecf"),
+            F.slice(alts, 2, F.greatest(F.size(alts) - 1, F.lit(0))).alias("alternatives"),
+            p.raw.rlike(r"(?i)any\s+two\s+from").alias("any_two"),
+            p.raw.rlike(r"(?i)do\s+not\s+accept|is\s+insufficient").alias("reject"), p.raw.alias("raw"))
 
     return F.transform(split_marks(x), point)
 
@@ -188,5 +206,7 @@ def suffix(label: Column) -> Column:
 
 def correct_letter(x: Column) -> Column:
     """The letter that an answer names as correct, alone or in one of three phrases; null if none."""
-    phrases = (r"^\(?([A-Ea-e])\)?[.:]?$", r"(?i)^(?:the\s+)?(?:only\s+)?correct\s+(?:answer\s+)?is[:\s]*\(?([A-E])\)?\)?[.:]?$", r"(?i)^(?:the\s+)?answer\s+is[:\s]*\(?([A-E])\)?\)?[.:]?$")
+    phrases = (r"^\(?([A-Ea-e])\)?[.:]?$",
+        r"(?i)^(?:the\s+)?(?:only\s+)?correct\s+(?:answer\s+)?is[:\s]*\(?([A-E])\)?\)?[.:]?$",
+        r"(?i)^(?:the\s+)?answer\s+is[:\s]*\(?([A-E])\)?\)?[.:]?$")
     return F.coalesce(*[F.nullif(F.regexp_extract(strip(x), p, 1), F.lit("")) for p in phrases])

@@ -13,7 +13,8 @@ from foliant.operators.perdoc import per_document
 
 # Furniture of layout pages, printed identity, and thresholds of page kinds.
 FURNITURE = ("do not write in this area", "answer all questions.", "answer all questions", "turn over", "blank page", "pmt")
-FURNITURE_STARTS = ("do not write in this area", "some questions must be answered with a cross in a box", "if you change your mind, put a line through the box")
+FURNITURE_STARTS = ("do not write in this area", "some questions must be answered with a cross in a box",
+    "if you change your mind, put a line through the box")
 TOTAL_ROW = r"(?i)^\(?total for question \d+\b.*\bmarks?\s*\.?\)?$"
 FOOTER_Y, SCANNED_COVERAGE, SCANNED_CHARS = 780.0, 0.55, 250
 REFERENCE = r"\b((?:W[A-Z]{2}[0-9]{2}|[0-9][A-Z]{2}[0-9])/[0-9]{1,2}[A-Z]{0,2})\b"
@@ -36,7 +37,8 @@ def drop_overlaps(blocks: DataFrame, key: list[str], share: float = 0.5) -> Data
     kept = tables.join(gone, "id", "left_anti")
     t = kept.alias("t")
     lines = blocks.where("kind <> 'table'").alias("l")
-    inside = (F.col("l.x0") >= F.col("t.x0")) & (F.col("l.x1") <= F.col("t.x1")) & (F.col("l.y0") >= F.col("t.y0")) & (F.col("l.y1") <= F.col("t.y1")) & ~F.coalesce(F.col("l.text").rlike(TOTAL_ROW), F.lit(False))
+    inside = (F.col("l.x0") >= F.col("t.x0")) & (F.col("l.x1") <= F.col("t.x1")) & (F.col("l.y0") >= F.col("t.y0")) & (F.col("l.y1") <= F.col("t.y1")) & ~F.coalesce(F.col("l.text").rlike(TOTAL_ROW),
+        F.lit(False))
     free = lines.join(t, [*[F.col(f"l.{k}") == F.col(f"t.{k}") for k in key], inside], "left_anti")
     return kept.unionByName(free)
 
@@ -47,7 +49,8 @@ def furniture(text: Column) -> Column:
     starts = F.lit(False)
     for p in FURNITURE_STARTS:
         starts = starts | low.startswith(p)
-    return F.when(low.isin(*FURNITURE) | F.regexp_replace(low, r"\.+$", "").isin(*FURNITURE), "exact").when(starts, "prefix").when(F.trim(text).rlike(TOTAL_ROW), "total")
+    return F.when(low.isin(*FURNITURE) | F.regexp_replace(low, r"\.+$", "").isin(*FURNITURE), "exact").when(starts,
+        "prefix").when(F.trim(text).rlike(TOTAL_ROW), "total")
 
 
 def furniture_image(width: Column, height: Column) -> Column:
@@ -59,7 +62,8 @@ def furniture_image(width: Column, height: Column) -> Column:
 def page_kinds(pages: DataFrame) -> DataFrame:
     """(doc_id, n_pages, n_scanned, scanned): a page is scanned if images cover most of it and it has few characters."""
     one = (F.col("coverage") > SCANNED_COVERAGE) & (F.col("n_chars") < SCANNED_CHARS)
-    return pages.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pages"), F.count_if(one).alias("n_scanned")).withColumn("scanned", F.col("n_scanned") * 2 > F.col("n_pages"))
+    return pages.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pages"),
+        F.count_if(one).alias("n_scanned")).withColumn("scanned", F.col("n_scanned") * 2 > F.col("n_pages"))
 
 
 def _segments(doc_id: str, lines: list[dict]) -> list[dict]:
@@ -73,7 +77,8 @@ def _segments(doc_id: str, lines: list[dict]) -> list[dict]:
             else:
                 orphans[int(m[1])] = int(m[2])
         elif (m := re.match(r"\*?(\d{1,2})\s+\S", text)) and int(m[1]) == expected:
-            open_ = {"doc_id": doc_id, "number": expected, "first_page": x["page"], "last_page": x["page"], "total": None, "n_lines": 1}
+            open_ = {"doc_id": doc_id, "number": expected, "first_page": x["page"], "last_page": x["page"],
+                "total": None, "n_lines": 1}
             out.append(open_)
             expected += 1
         elif open_:
@@ -91,13 +96,17 @@ def segments(lines: DataFrame) -> DataFrame:
     """
     row = F.struct("page", "y0", "x0", "text")
     docs = lines.where(F.col("y0") <= FOOTER_Y).groupBy("doc_id").agg(F.sort_array(F.collect_list(row)).alias("lines"))
-    return per_document(docs, ["doc_id", "lines"], _segments, "doc_id string, number int, first_page int, last_page int, total int, n_lines int")
+    return per_document(docs, ["doc_id", "lines"], _segments,
+        "doc_id string, number int, first_page int, last_page int, total int, n_lines int")
 
 
 def cross_check(a: DataFrame, b: DataFrame) -> DataFrame:
     """(doc_id, number, problem): where two segmentations of the same papers disagree."""
-    both = a.select("doc_id", "number", F.col("total").alias("ta"), F.lit(1).alias("ia")).join(b.select("doc_id", "number", F.col("total").alias("tb"), F.lit(1).alias("ib")), ["doc_id", "number"], "full_outer")
-    problem = F.when(F.col("ib").isNull(), "first_only").when(F.col("ia").isNull(), "second_only").when(~F.col("ta").eqNullSafe(F.col("tb")), "total")
+    both = a.select("doc_id", "number", F.col("total").alias("ta"),
+        F.lit(1).alias("ia")).join(b.select("doc_id", "number", F.col("total").alias("tb"), F.lit(1).alias("ib")),
+        ["doc_id", "number"], "full_outer")
+    problem = F.when(F.col("ib").isNull(), "first_only").when(F.col("ia").isNull(),
+        "second_only").when(~F.col("ta").eqNullSafe(F.col("tb")), "total")
     return both.withColumn("problem", problem).where("problem is not null").select("doc_id", "number", "problem")
 
 
@@ -109,11 +118,14 @@ def close_parts(parts: DataFrame, points: DataFrame) -> DataFrame:
     exact = points.groupBy("key", "part", "sub").agg(F.sum("marks").alias("_exact"))
     letter = points.groupBy("key", "part").agg(F.sum("marks").alias("_letter"), F.countDistinct("sub").alias("_subs"))
     p, e = parts.alias("p"), exact.alias("e")
-    joined = p.join(e, (F.col("p.key") == F.col("e.key")) & (F.col("p.part") == F.col("e.part")) & F.col("p.sub").eqNullSafe(F.col("e.sub")), "left").select("p.*", "_exact").join(letter, ["key", "part"], "left")
-    filled = joined.withColumn("marks", F.coalesce("marks", "_exact", F.when(F.col("_subs") == 0, F.col("_letter")), F.when(F.col("sub").isNotNull(), F.lit(1)).otherwise(F.coalesce("_letter", F.lit(1)))))
+    joined = p.join(e, (F.col("p.key") == F.col("e.key")) & (F.col("p.part") == F.col("e.part"))
+        & F.col("p.sub").eqNullSafe(F.col("e.sub")), "left").select("p.*", "_exact").join(letter, ["key", "part"], "left")
+    filled = joined.withColumn("marks", F.coalesce("marks", "_exact", F.when(F.col("_subs") == 0, F.col("_letter")),
+        F.when(F.col("sub").isNotNull(), F.lit(1)).otherwise(F.coalesce("_letter", F.lit(1)))))
     subs = filled.where("sub is not null").groupBy("key", "part").agg(F.sum("marks").alias("_sum"))
     out = filled.join(subs, ["key", "part"], "left")
-    return out.withColumn("marks", F.when(F.col("sub").isNull() & F.col("_sum").isNotNull(), F.col("_sum")).otherwise(F.col("marks"))).select(*parts.columns)
+    return out.withColumn("marks", F.when(F.col("sub").isNull() & F.col("_sum").isNotNull(),
+        F.col("_sum")).otherwise(F.col("marks"))).select(*parts.columns)
 
 
 def pool_sum(points: DataFrame, pools: DataFrame) -> DataFrame:
@@ -123,10 +135,13 @@ def pool_sum(points: DataFrame, pools: DataFrame) -> DataFrame:
     the first pool that it fits.
     """
     a, b = points.alias("a"), pools.alias("b")
-    fits = (F.col("a.key") == F.col("b.key")) & (F.col("a.part") == F.col("b.part")) & (F.col("b.sub").isNull() | F.col("a.sub").eqNullSafe(F.col("b.sub")))
-    member = a.join(b, fits, "left").groupBy("a.key", "a.id").agg(F.first("a.marks").alias("marks"), F.min("b.pool").alias("pool"), F.min_by("b.cap", "b.pool").alias("cap"))
+    fits = (F.col("a.key") == F.col("b.key")) & (F.col("a.part") == F.col("b.part")) & (F.col("b.sub").isNull()
+        | F.col("a.sub").eqNullSafe(F.col("b.sub")))
+    member = a.join(b, fits, "left").groupBy("a.key", "a.id").agg(F.first("a.marks").alias("marks"),
+        F.min("b.pool").alias("pool"), F.min_by("b.cap", "b.pool").alias("cap"))
     g = member.groupBy("key", "pool").agg(F.sum("marks").alias("s"), F.max("cap").alias("cap"))
-    return g.groupBy("key").agg(F.sum(F.when(F.col("pool").isNull(), F.col("s")).otherwise(F.least("s", "cap"))).alias("closable"))
+    return g.groupBy("key").agg(F.sum(F.when(F.col("pool").isNull(),
+        F.col("s")).otherwise(F.least("s", "cap"))).alias("closable"))
 
 
 def align_pages(texts: DataFrame, pages: DataFrame) -> DataFrame:
@@ -142,12 +157,14 @@ def align_pages(texts: DataFrame, pages: DataFrame) -> DataFrame:
         at, out = 0, []
         for x in ts:
             own = " ".join((x["text"] or "").split())
-            hit = next((k for k in range(at, len(flat)) if own and (own in flat[k][1] or (flat[k][1] and flat[k][1] in own))), None)
+            hit = next((k for k in range(at, len(flat)) if own
+                and (own in flat[k][1] or (flat[k][1] and flat[k][1] in own))), None)
             at = at if hit is None else hit
             out.append({"doc_id": doc_id, "ord": x["ord"], "page": flat[hit][0] if hit is not None else None})
         return out
 
-    return per_document(t.join(p, "doc_id", "left"), ["doc_id", "texts", "pages"], make, "doc_id string, ord int, page int")
+    return per_document(t.join(p, "doc_id", "left"), ["doc_id", "texts", "pages"], make,
+        "doc_id string, ord int, page int")
 
 
 def identity_gate(pages: DataFrame, expected: DataFrame) -> DataFrame:
@@ -155,9 +172,11 @@ def identity_gate(pages: DataFrame, expected: DataFrame) -> DataFrame:
 
     fail: other references only; ok: it is printed; flag: printed beside others; indeterminate: none is readable.
     """
-    found = pages.where("page <= 2").groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list(F.regexp_extract_all("text", F.lit(REFERENCE), F.lit(1))))).alias("refs"))
+    found = pages.where("page <= 2").groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list(F.regexp_extract_all("text",
+        F.lit(REFERENCE), F.lit(1))))).alias("refs"))
     has = F.array_contains("refs", F.col("reference"))
-    status = F.when(F.coalesce(F.size("refs"), F.lit(0)) <= 0, "indeterminate").when(has & (F.size("refs") == 1), "ok").when(has, "flag").otherwise("fail")
+    status = F.when(F.coalesce(F.size("refs"), F.lit(0)) <= 0, "indeterminate").when(has & (F.size("refs") == 1),
+        "ok").when(has, "flag").otherwise("fail")
     return expected.join(found, "doc_id", "left").select("doc_id", status.alias("status"))
 
 
@@ -168,12 +187,19 @@ def integrity_gate(questions: DataFrame, points: DataFrame, witnesses: DataFrame
     """
     at = F.concat_ws("/", "doc_id", F.col("question").cast("string"))
     sums = questions.join(points.groupBy("doc_id", "question").agg(F.sum("marks").alias("s")), ["doc_id", "question"], "left")
-    out = [gates.findings(sums, at, "question_sum", F.when(F.col("total").isNull(), "review").when(F.col("s").eqNullSafe(F.col("total")), "ok").otherwise("fail"), F.concat_ws("/", "s", "total"))]
+    out = [gates.findings(sums, at, "question_sum",
+        F.when(F.col("total").isNull(), "review").when(F.col("s").eqNullSafe(F.col("total")), "ok").otherwise("fail"),
+        F.concat_ws("/", "s", "total"))]
     order = gates.continuity(questions, "doc_id", "question")
-    out.append(gates.findings(order, F.col("doc_id"), "continuity", F.when(F.col("continuous"), "ok").otherwise("fail"), F.col("n")))
-    whole = questions.groupBy("doc_id").agg(F.sum("total").alias("sum")).join(witnesses.groupBy("doc_id").agg(F.collect_set("total").alias("seen")), "doc_id", "left")
-    out.append(gates.findings(whole, F.col("doc_id"), "witness", F.when(F.col("seen").isNull(), "review").when(F.array_contains("seen", F.col("sum")), "ok").otherwise("fail"), F.col("sum")))
-    out.append(gates.findings(points.where("coalesce(trim(text), '') = '' or marks is null"), at, "incomplete_point", "fail", F.col("text")))
+    out.append(gates.findings(order, F.col("doc_id"), "continuity", F.when(F.col("continuous"), "ok").otherwise("fail"),
+        F.col("n")))
+    whole = questions.groupBy("doc_id").agg(F.sum("total").alias("sum")).join(witnesses.groupBy("doc_id").agg(F.collect_set("total").alias("seen")),
+        "doc_id", "left")
+    out.append(gates.findings(whole, F.col("doc_id"), "witness",
+        F.when(F.col("seen").isNull(), "review").when(F.array_contains("seen", F.col("sum")), "ok").otherwise("fail"),
+        F.col("sum")))
+    out.append(gates.findings(points.where("coalesce(trim(text), '') = '' or marks is null"), at, "incomplete_point",
+        "fail", F.col("text")))
     return gates.all_findings(out)
 
 
@@ -183,7 +209,8 @@ def label_accounting(pages: DataFrame, points: DataFrame, other: DataFrame) -> D
     printed = pages.groupBy("doc_id").agg(F.sum(F.regexp_count("text", F.lit(f"(?m){label}"))).alias("printed"))
     used = points.where("label is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("a"))
     rest = other.groupBy("doc_id").agg(F.sum(F.regexp_count("text", F.lit(f"(?m){label}"))).alias("b"))
-    out = printed.join(used, "doc_id", "left").join(rest, "doc_id", "left").select("doc_id", "printed", (F.coalesce("a", F.lit(0)) + F.coalesce("b", F.lit(0))).alias("used"))
+    out = printed.join(used, "doc_id", "left").join(rest, "doc_id", "left").select("doc_id", "printed",
+        (F.coalesce("a", F.lit(0)) + F.coalesce("b", F.lit(0))).alias("used"))
     return out.withColumn("accounted", F.col("printed") == F.col("used"))
 
 
@@ -194,18 +221,25 @@ def merge_alternatives(points: DataFrame) -> DataFrame:
     """
     w = W.partitionBy("key", "part", "sub")
     first = F.min(F.when(F.col("marks") > 0, F.col("ord"))).over(w)
-    marked = points.withColumn("_o", F.when((F.coalesce("marks", F.lit(0)) == 0) & first.isNotNull(), first).otherwise(F.col("ord")))
+    marked = points.withColumn("_o", F.when((F.coalesce("marks", F.lit(0)) == 0) & first.isNotNull(),
+        first).otherwise(F.col("ord")))
     texts = F.sort_array(F.collect_list(F.when(F.col("ord") != F.col("_o"), F.struct("ord", "text"))))
     return marked.groupBy("key", "part", "sub", F.col("_o").alias("ord")).agg(
-        F.max(F.when(F.col("ord") == F.col("_o"), F.col("marks"))).alias("marks"), F.max(F.when(F.col("ord") == F.col("_o"), F.col("text"))).alias("text"), F.transform(texts, lambda x: x.text).alias("alternatives"))
+        F.max(F.when(F.col("ord") == F.col("_o"), F.col("marks"))).alias("marks"),
+        F.max(F.when(F.col("ord") == F.col("_o"), F.col("text"))).alias("text"),
+        F.transform(texts, lambda x: x.text).alias("alternatives"))
 
 
 def render_points(points: DataFrame) -> DataFrame:
     """(key, markdown): a line for each point with its label, marks and notes, in order."""
-    at = F.concat_ws("", F.when(F.col("part").isNotNull(), F.concat(F.lit("("), "part", F.lit(")"))), F.when(F.col("sub").isNotNull(), F.concat(F.lit("("), "sub", F.lit(")"))))
+    at = F.concat_ws("", F.when(F.col("part").isNotNull(), F.concat(F.lit("("), "part", F.lit(")"))),
+        F.when(F.col("sub").isNotNull(), F.concat(F.lit("("), "sub", F.lit(")"))))
     notes = F.when(F.size("notes") > 0, F.concat(F.lit(" — "), F.array_join("notes", "; "))).otherwise("")
-    line = F.concat(F.lit("- "), F.when(at != "", F.concat(at, F.lit(" "))).otherwise(""), "text", F.when(F.col("marks").isNotNull(), F.concat(F.lit(" ["), F.col("marks").cast("string"), F.lit("]"))).otherwise(""), notes)
-    return points.groupBy("key").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ord", line.alias("l")))), lambda x: x.l), "\n").alias("markdown"))
+    line = F.concat(F.lit("- "), F.when(at != "", F.concat(at, F.lit(" "))).otherwise(""), "text",
+        F.when(F.col("marks").isNotNull(), F.concat(F.lit(" ["), F.col("marks").cast("string"),
+        F.lit("]"))).otherwise(""), notes)
+    return points.groupBy("key").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ord",
+        line.alias("l")))), lambda x: x.l), "\n").alias("markdown"))
 
 
 def flat_diff(a: DataFrame, b: DataFrame, key: str, content: str = "json") -> DataFrame:
@@ -226,6 +260,7 @@ def flat_diff(a: DataFrame, b: DataFrame, key: str, content: str = "json") -> Da
 
         return [{"k": k, "path": p, "v": v} for p, v in walk("$", json.loads(text))] if text else []
 
-    flat = lambda df, name: per_document(df, [F.col(key).cast("string"), content], leaves, "k string, path string, v string").withColumnRenamed("v", name)
+    flat = lambda df, name: per_document(df, [F.col(key).cast("string"), content], leaves,
+        "k string, path string, v string").withColumnRenamed("v", name)
     both = flat(a, "expected").join(flat(b, "actual"), ["k", "path"], "full_outer")
     return both.where(~F.col("expected").eqNullSafe(F.col("actual"))).withColumnRenamed("k", key)

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 def explode_lines(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     r"""(key, line_no, raw): a row for each \n-line, trailing empty ones kept, one \r at the end taken off."""
-    return docs.select(key, F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "raw")).withColumn("raw", F.regexp_replace("raw", "\r$", ""))
+    return docs.select(key, F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "raw")).withColumn("raw",
+        F.regexp_replace("raw", "\r$", ""))
 
 
 def carry_forward(df: DataFrame, key: str, order: list[str], value: Column, name: str) -> DataFrame:
@@ -38,12 +39,14 @@ def sections(docs: DataFrame, key: str, heading: Callable[[Column], Column], tex
     heading(line) tells headings.  Lines before the first heading and blank lines are left out; a heading without lines
     has an empty body.  A document's sections are made in its row: nothing is shuffled.
     """
-    held = docs.select(key, split_lines(F.col(text)).alias("_lines")).withColumn("_at", F.filter(F.transform("_lines", lambda x, i: F.when(heading(x), i)), lambda i: i.isNotNull()))
+    held = docs.select(key, split_lines(F.col(text)).alias("_lines")).withColumn("_at",
+        F.filter(F.transform("_lines", lambda x, i: F.when(heading(x), i)), lambda i: i.isNotNull()))
 
     def one(at: Column, k: Column) -> Column:
         end = F.coalesce(F.get("_at", k + 1), F.size("_lines"))
         body = F.filter(F.slice("_lines", at + 2, end - at - 1), lambda x: F.trim(x) != "")
-        return F.struct((k + 1).cast("long").alias("section"), F.get("_lines", at).alias("heading"), at.alias("first_line"), F.size(body).cast("long").alias("n_lines"), F.array_join(body, "\n").alias("body"))
+        return F.struct((k + 1).cast("long").alias("section"), F.get("_lines", at).alias("heading"),
+            at.alias("first_line"), F.size(body).cast("long").alias("n_lines"), F.array_join(body, "\n").alias("body"))
 
     return held.select(key, F.explode(F.transform("_at", one)).alias("s")).select(key, "s.*")
 
@@ -53,13 +56,15 @@ def greedy_sequence(df: DataFrame, key: str, order: list[str], number: str) -> D
 
     An ordered fold per key; a key is one document's numbered lines.
     """
-    rows = F.transform(F.array_sort(F.collect_list(F.struct(*order, F.col(number).cast("long").alias("_n")))), lambda x: x._n)
+    rows = F.transform(F.array_sort(F.collect_list(F.struct(*order, F.col(number).cast("long").alias("_n")))),
+        lambda x: x._n)
     grouped = df.groupBy(key).agg(rows.alias("_all"))
     last = F.aggregate("_all", F.lit(0).cast("long"), lambda s, x: F.when(x == s + 1, x).otherwise(s))
     return grouped.select(key, F.size("_all").cast("long").alias("n_lines"), last.alias("accepted"))
 
 
-def pack_chunks(df: DataFrame, key: str, order: list[str], tokens: Column, target: int = 300, most: int = 800, group: str | None = None) -> DataFrame:
+def pack_chunks(df: DataFrame, key: str, order: list[str], tokens: Column, target: int = 300, most: int = 800,
+        group: str | None = None) -> DataFrame:
     """df with chunk: rows of a key packed greedily in order.
 
     A row above `most` stands alone; a chunk is closed when the next row would take it past `target`, or, with a
@@ -67,7 +72,8 @@ def pack_chunks(df: DataFrame, key: str, order: list[str], tokens: Column, targe
     """
     g = F.col(group) if group else F.lit(0)
     whole = F.struct(*[F.col(c) for c in df.columns])
-    items = F.array_sort(F.collect_list(F.struct(*order, tokens.cast("int").alias("_t"), g.alias("_g"), whole.alias("_row"))))
+    items = F.array_sort(F.collect_list(F.struct(*order, tokens.cast("int").alias("_t"), g.alias("_g"),
+        whole.alias("_row"))))
     grouped = df.groupBy(key).agg(items.alias("_items"))
 
     @F.pandas_udf("array<int>")
@@ -76,7 +82,8 @@ def pack_chunks(df: DataFrame, key: str, order: list[str], tokens: Column, targe
             out, chunk, held, alone, last = [], 0, 0, False, None
             for n, own in zip(ts, gs):
                 large = n > most
-                opens = chunk == 0 or large or alone or held + n > target or (last is not None and own is not None and last != own)
+                opens = chunk == 0 or large or alone or held + n > target or (last is not None and own is not None
+                    and last != own)
                 chunk, held = chunk + opens, n if opens else held + n
                 alone, last = large, own
                 out.append(chunk)
@@ -84,6 +91,8 @@ def pack_chunks(df: DataFrame, key: str, order: list[str], tokens: Column, targe
 
         return pd.Series([pack(ts, gs) for ts, gs in zip(tokens, groups)])
 
-    folded = grouped.withColumn("_chunks", chunks(F.transform("_items", lambda x: x._t), F.transform("_items", lambda x: x._g.cast("string"))))
-    rows = folded.select(F.explode(F.arrays_zip(F.col("_items._row").alias("row"), F.col("_chunks").alias("chunk"))).alias("z"))
+    folded = grouped.withColumn("_chunks", chunks(F.transform("_items", lambda x: x._t),
+        F.transform("_items", lambda x: x._g.cast("string"))))
+    rows = folded.select(F.explode(F.arrays_zip(F.col("_items._row").alias("row"),
+        F.col("_chunks").alias("chunk"))).alias("z"))
     return rows.select("z.row.*", "z.chunk")

@@ -84,7 +84,8 @@ class Elements:
 
     def add(self, kind: str, text: str | None = None, **more) -> None:
         n = len(self.rows)
-        self.rows.append(_EMPTY | {"ord": n, "element_id": f"e{n:06d}", "kind": kind, "text": text, "line_no": self.line_no} | more)
+        self.rows.append(_EMPTY | {"ord": n, "element_id": f"e{n:06d}", "kind": kind, "text": text,
+            "line_no": self.line_no} | more)
 
 
 def _until(lines: list[str], start: int, closes, stops) -> tuple[int, bool]:
@@ -114,9 +115,11 @@ def parse(text: str | None) -> Elements:
             out.counts["signed_urls"] += "Signature=" in m[1] and "Expires=" in m[1]
             path = unquote(urlsplit(m[1]).path) or m[1]
             name = path.rsplit("/", 1)[-1]
-            out.add("figure", url=m[1], alt=m[2] or "", source_name=name, format=name.rsplit(".", 1)[-1].lower() if "." in name else None)
+            out.add("figure", url=m[1], alt=m[2] or "", source_name=name, format=name.rsplit(".", 1)[-1].lower()
+                if "." in name else None)
         elif line.startswith("<table"):
-            end, closed = (at - 1, True) if "</table>" in line else _until(lines, at, lambda x: "</table>" in x, outside)
+            end, closed = (at - 1, True) if "</table>" in line else _until(lines, at, lambda x: "</table>" in x,
+                outside)
             last = end if closed else max((k for k in range(at - 1, end) if "</tr>" in lines[k]), default=-1)
             out.counts["open_tables"] += not closed
             if last >= 0:
@@ -162,12 +165,14 @@ def parse(text: str | None) -> Elements:
 def with_id(docs: DataFrame, content: str = "content") -> DataFrame:
     """docs with doc_id (from checksum, engine and version) and text (UTF-8) of a binary content column."""
     sha = F.sha2(content, 256)
-    return docs.withColumn("checksum", sha).withColumn("doc_id", document_id(sha, F.lit(ENGINE), F.lit(VERSION))).withColumn("text", F.decode(content, "UTF-8"))
+    return docs.withColumn("checksum", sha).withColumn("doc_id",
+        document_id(sha, F.lit(ENGINE), F.lit(VERSION))).withColumn("text", F.decode(content, "UTF-8"))
 
 
 def elements(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each element of each document, in reading order (ord from 0, element_id of the same number)."""
-    return per_document(docs, [F.col(key).cast("string"), text], lambda k, t: ({"doc_id": k} | r for r in parse(t).rows), ELEMENTS)
+    return per_document(docs, [F.col(key).cast("string"), text], lambda k,
+        t: ({"doc_id": k} | r for r in parse(t).rows), ELEMENTS)
 
 
 def provenance(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -176,10 +181,12 @@ def provenance(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     def make(k: str, t: str | None) -> list[dict]:
         return [{"doc_id": k, "source_lines": (t or "").count("\n") + 1} | dict.fromkeys(COUNTERS, 0) | parse(t).counts]
 
-    return per_document(docs, [F.col(key).cast("string"), text], make, "doc_id string, source_lines int, " + ", ".join(f"{c} int" for c in COUNTERS))
+    return per_document(docs, [F.col(key).cast("string"), text], make,
+        "doc_id string, source_lines int, " + ", ".join(f"{c} int" for c in COUNTERS))
 
 
-def sections(found: DataFrame, kinds: tuple[str, ...] = ("paragraph", "list_item"), with_heading: bool = False) -> DataFrame:
+def sections(found: DataFrame, kinds: tuple[str, ...] = ("paragraph", "list_item"),
+        with_heading: bool = False) -> DataFrame:
     """(doc_id, section, heading, level, element_ids): a heading opens a section of the elements up to the next one.
 
     with_heading also lists the heading, and elements of every kind when kinds is empty.
@@ -190,13 +197,19 @@ def sections(found: DataFrame, kinds: tuple[str, ...] = ("paragraph", "list_item
     is_heading = F.col("kind") == "heading"
     member = (F.col("kind").isin(*kinds) if kinds else ~is_heading) | (F.lit(with_heading) & is_heading)
     marked = found.withColumn("section", F.sum(is_heading.cast("int")).over(w)).where("section > 0")
-    ids = F.transform(F.array_sort(F.collect_list(F.when(member, F.struct("ord", "element_id")))), lambda x: x.element_id)
-    return marked.groupBy("doc_id", "section").agg(F.max(F.when(is_heading, F.col("text"))).alias("heading"), F.max(F.when(is_heading, F.col("level"))).alias("level"), ids.alias("element_ids"))
+    ids = F.transform(F.array_sort(F.collect_list(F.when(member, F.struct("ord", "element_id")))),
+        lambda x: x.element_id)
+    return marked.groupBy("doc_id", "section").agg(F.max(F.when(is_heading, F.col("text"))).alias("heading"),
+        F.max(F.when(is_heading, F.col("level"))).alias("level"), ids.alias("element_ids"))
 
 
 def violations(found: DataFrame) -> DataFrame:
     """(doc_id, check_id, detail): repeated ids or orders, gaps, and elements without what their kind needs."""
-    repeats = lambda c: found.groupBy("doc_id", c).count().where("count > 1").select("doc_id", F.lit(f"repeated_{c}").alias("check_id"), F.col(c).cast("string").alias("detail"))
-    gaps = found.groupBy("doc_id").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi"), F.countDistinct("ord").alias("n")).where("lo <> 0 or hi + 1 <> n").select("doc_id", F.lit("order_gap"), F.concat_ws("-", "lo", "hi"))
+    repeats = lambda c: found.groupBy("doc_id", c).count().where("count > 1").select("doc_id",
+        F.lit(f"repeated_{c}").alias("check_id"), F.col(c).cast("string").alias("detail"))
+    gaps = found.groupBy("doc_id").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi"),
+        F.countDistinct("ord").alias("n")).where("lo <> 0 or hi + 1 <> n").select("doc_id", F.lit("order_gap"),
+        F.concat_ws("-", "lo", "hi"))
     empty = found.where("(kind = 'table' and rows is null) or (kind = 'figure' and url is null) or (kind in ('heading', 'paragraph', 'list_item') and coalesce(text, '') = '') or (kind = 'heading' and level is null)")
-    return repeats("ord").union(repeats("element_id")).union(gaps).union(empty.select("doc_id", F.concat(F.lit("incomplete_"), "kind"), "element_id"))
+    return repeats("ord").union(repeats("element_id")).union(gaps).union(empty.select("doc_id",
+        F.concat(F.lit("incomplete_"), "kind"), "element_id"))

@@ -33,7 +33,8 @@ def parse(body: str | None) -> list[dict]:
 
     def flush() -> None:
         if table:
-            add("table", rows=[[c.strip() for c in t.strip().strip("|").split("|")] for t in table if not TABLE_RULE.fullmatch(t)])
+            add("table", rows=[[c.strip() for c in t.strip().strip("|").split("|")] for t in table
+                if not TABLE_RULE.fullmatch(t)])
             table.clear()
         if run:
             add("paragraph", "\n".join(run))
@@ -59,7 +60,8 @@ def parse(body: str | None) -> list[dict]:
             add("heading", m[2], level=len(m[1]))
         elif kind == "figure":
             name = re.split(r"[/\\]", m[2])[-1]
-            add("figure", url=m[2], alt=m[1], source_name=name or m[2], format=name.rsplit(".", 1)[1] if "." in name and not name.endswith(".") else None)
+            add("figure", url=m[2], alt=m[1], source_name=name or m[2], format=name.rsplit(".", 1)[1] if "." in name
+                and not name.endswith(".") else None)
         elif kind == "quote":
             add("paragraph", m[1], spec_point=SPEC_POINT in m[1])
         else:
@@ -69,10 +71,14 @@ def parse(body: str | None) -> list[dict]:
 
 
 def elements(notes: DataFrame, key: str, body: str = "body") -> DataFrame:
-    return per_document(notes, [F.col(key).cast("string"), body], lambda k, t: ({"doc_id": k} | r for r in parse(t)), ELEMENTS)
+    return per_document(notes, [F.col(key).cast("string"), body], lambda k, t: ({"doc_id": k} | r for r in parse(t)),
+        ELEMENTS)
 
 
 def statistics(notes: DataFrame, key: str, body: str = "body") -> DataFrame:
     """(key, inline_math, spec_points) of each body."""
-    found = elements(notes, key, body).groupBy(F.col("doc_id").alias(key)).agg(F.count_if("spec_point").alias("spec_points"))
-    return notes.select(F.col(key).cast("string").alias(key), inline_math_count(F.col(body)).alias("inline_math")).join(found, key, "left").withColumn("spec_points", F.coalesce("spec_points", F.lit(0)))
+    found = elements(notes, key,
+        body).groupBy(F.col("doc_id").alias(key)).agg(F.count_if("spec_point").alias("spec_points"))
+    return notes.select(F.col(key).cast("string").alias(key),
+        inline_math_count(F.col(body)).alias("inline_math")).join(found, key, "left").withColumn("spec_points",
+        F.coalesce("spec_points", F.lit(0)))

@@ -40,7 +40,8 @@ def _printed(doc_id: str, elements: list[dict]) -> list[dict]:
         elif (m := SUBTOPIC.fullmatch(text)) and unit and m[1] == topic and m[1] + m[2] not in subs:
             subs.add(m[1] + m[2])
             out.append((3, f"U{unit}-T{topic}-S{m[1]}{m[2]}", m[1] + m[2], f"U{unit}-T{topic}", _title(m[3]), 0.85))
-    return [dict(zip(("doc_id", "level", "code", "number", "parent", "title", "confidence"), (doc_id, *r))) for r in out]
+    return [dict(zip(("doc_id", "level", "code", "number", "parent", "title", "confidence"), (doc_id, *r)))
+        for r in out]
 
 
 def printed_outline(elements: DataFrame) -> DataFrame:
@@ -62,11 +63,14 @@ def _levels(doc_id: str, elements: list[dict], levels: dict[str, int]) -> list[d
         counts[parent] = counts.get(parent, 0) + 1
         code = (f"{parent}-" if parent else "") + "UTS"[level - 1] + str(counts[parent])
         stack.append(code)
-        out.append({"doc_id": doc_id, "level": level, "code": code, "number": str(counts[parent]), "parent": parent, "title": _title(e["text"] or ""), "confidence": 0.5})
+        out.append({"doc_id": doc_id, "level": level, "code": code, "number": str(counts[parent]), "parent": parent,
+            "title": _title(e["text"] or ""), "confidence": 0.5})
     return out
 
 
 def heading_outline(elements: DataFrame) -> DataFrame:
     """A tree of three levels from heading levels; a deeper heading goes below the last one, one level at a time."""
-    with_level = elements.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("ord", "element_id", "kind", "text", "level"))).alias("elements"))
-    return per_document(with_level, ["doc_id", "elements"], lambda k, es: _levels(k, es, {e["element_id"]: e["level"] for e in es}), _OUT)
+    with_level = elements.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("ord", "element_id", "kind",
+        "text", "level"))).alias("elements"))
+    return per_document(with_level, ["doc_id", "elements"], lambda k,
+        es: _levels(k, es, {e["element_id"]: e["level"] for e in es}), _OUT)

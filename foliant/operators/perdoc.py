@@ -39,7 +39,8 @@ def _sizes(batch: pa.RecordBatch) -> list[int]:
     return out.tolist()
 
 
-def per_document(df: DataFrame, columns: list[str | Column], make: Callable[..., Iterable[dict]], schema: str) -> DataFrame:
+def per_document(df: DataFrame, columns: list[str | Column], make: Callable[..., Iterable[dict]],
+        schema: str) -> DataFrame:
     """make(value of each column) -> rows, for each row of df; documents are independent, so nothing is shuffled.
 
     Spark hands over batches of so many bytes (spark.sql.execution.arrow.maxBytesPerBatch); of these, ROWS documents or

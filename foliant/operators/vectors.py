@@ -44,7 +44,8 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str, vec: str, k: int =
     out = None
     for block in _query_blocks(queries, id_col, vec, most):
         q = np.array([r[1] for r in block], np.float64)
-        shared = spark.sparkContext.broadcast((np.array([r[0] for r in block], np.int64), q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)))
+        shared = spark.sparkContext.broadcast((np.array([r[0] for r in block], np.int64),
+            q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)))
 
         def best(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
@@ -61,7 +62,8 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str, vec: str, k: int =
                         hi = min(lo + BLOCK, len(ids))
                         dist = np.round(1 - q[lo:hi] @ m.T, 12)
                         dist[ids[lo:hi, None] == own[None, :]] = np.inf
-                        d, n = np.hstack([near_d[lo:hi], dist]), np.hstack([near_id[lo:hi], np.broadcast_to(own, dist.shape)])
+                        d, n = np.hstack([near_d[lo:hi], dist]), np.hstack([near_id[lo:hi],
+                            np.broadcast_to(own, dist.shape)])
                         # the k-th least distance first; then only what is no farther is put in order
                         edge = np.partition(d, k - 1, axis=1)[:, k - 1 : k]
                         width = int((d <= edge).sum(axis=1).max())
@@ -72,7 +74,8 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str, vec: str, k: int =
                         near_d[lo:hi], near_id[lo:hi] = np.take_along_axis(d, order, 1), np.take_along_axis(n, order, 1)
             q_at, r_at = np.nonzero(np.isfinite(near_d))
             lane = np.full(len(q_at), TaskContext.get().partitionId() % LANES, np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[q_at]), pa.array(near_id[q_at, r_at]), pa.array(near_d[q_at, r_at]), pa.array(lane)], names=["query_id", "neighbour_id", "distance", "lane"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[q_at]), pa.array(near_id[q_at, r_at]),
+                pa.array(near_d[q_at, r_at]), pa.array(lane)], names=["query_id", "neighbour_id", "distance", "lane"])
 
         known = rows.where(F.col(vec).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), vec)
         found = known.mapInArrow(best, "query_id long, neighbour_id long, distance double, lane int")
@@ -80,8 +83,11 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str, vec: str, k: int =
     if out is None:
         return spark.createDataFrame([], "query_id long, neighbour_id long, rank int, distance double")
     order = ["distance", "neighbour_id"]
-    lanes = out.withColumn("rank", F.row_number().over(W.partitionBy("query_id", "lane").orderBy(*order))).where(F.col("rank") <= k)
-    return lanes.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= k).select("query_id", "neighbour_id", "rank", "distance")
+    lanes = out.withColumn("rank", F.row_number().over(W.partitionBy("query_id",
+        "lane").orderBy(*order))).where(F.col("rank") <= k)
+    return lanes.withColumn("rank",
+        F.row_number().over(W.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= k).select("query_id",
+        "neighbour_id", "rank", "distance")
 
 
 def drift(df: DataFrame, similarity: str, least_median: float = 0.85) -> DataFrame:
@@ -102,7 +108,8 @@ def drift(df: DataFrame, similarity: str, least_median: float = 0.85) -> DataFra
         spots |= {w: (b, w - before) for w in wanted if before <= w < before + c}
         before += c
     held: dict[int, list] = {}
-    for r in counts.where(F.col("bin").isin(sorted({b for b, _ in spots.values()}) or [None])).collect():  # at most a thousand values a bin
+    for r in counts.where(F.col("bin").isin(sorted({b for b, _ in spots.values()})
+        or [None])).collect():  # at most a thousand values a bin
         held.setdefault(r.bin, []).append((r.s, r["count"]))
 
     def at(rank: int) -> float:
@@ -126,7 +133,8 @@ def fingerprint(df: DataFrame, id_col: str, vec: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            digests = [None if v is None else hashlib.sha256(np.array(v, "<f4").tobytes()).hexdigest() for v in b.column(1).to_pylist()]
+            digests = [None if v is None else hashlib.sha256(np.array(v, "<f4").tobytes()).hexdigest()
+                for v in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digests, pa.string())], names=["id", "sha256"])
 
     return df.select(F.col(id_col).cast("long").alias("id"), vec).mapInArrow(run, "id long, sha256 string")

@@ -23,13 +23,18 @@ SELECT check_id, count(*) AS n FROM (SELECT 'schema:point' AS check_id FROM n WH
 def atoms_validator(spark: SparkSession, d: str) -> DataFrame:
     x = _lines(spark, d).withColumn("doc_id", F.col("k")).withColumn("number", F.col("i"))
     q, i, p, s = F.col("q"), F.col("i"), F.col("p"), F.col("s")
-    questions = x.where("not (k % 6 = 0 and i = 2)").select("doc_id", "number", (q + F.when(p % 30 == 0, 1).otherwise(0)).alias("total"), q.alias("sum"))
-    parts = x.select("doc_id", "number", F.when(s % 21 != 0, _str("p", F.least(i, F.lit(4)))).alias("part_id"), F.when(F.col("f") != "N", q).alias("marks"))
-    points = x.select("doc_id", "number", F.when(s % 33 != 0, q).alias("marks"), F.when(s % 40 == 0, " ").otherwise("t").alias("text"))
-    refs = x.where(p % 17 != 0).select("doc_id", _str("a", i).alias("path")).union(x.where((p % 17 == 0) & (p % 13 == 0)).select("doc_id", _str("a", i)))
+    questions = x.where("not (k % 6 = 0 and i = 2)").select("doc_id", "number",
+        (q + F.when(p % 30 == 0, 1).otherwise(0)).alias("total"), q.alias("sum"))
+    parts = x.select("doc_id", "number", F.when(s % 21 != 0, _str("p", F.least(i, F.lit(4)))).alias("part_id"),
+        F.when(F.col("f") != "N", q).alias("marks"))
+    points = x.select("doc_id", "number", F.when(s % 33 != 0, q).alias("marks"),
+        F.when(s % 40 == 0, " ").otherwise("t").alias("text"))
+    refs = x.where(p % 17 != 0).select("doc_id",
+        _str("a", i).alias("path")).union(x.where((p % 17 == 0) & (p % 13 == 0)).select("doc_id", _str("a", i)))
     files = x.where(p % 13 != 0).select("doc_id", _str("a", i).alias("path"))
     docs = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"))
-    return suites.atoms(docs, questions, parts, points, refs, files).groupBy("check_id").agg(F.count(F.lit(1)).alias("n"))
+    return suites.atoms(docs, questions, parts, points, refs,
+        files).groupBy("check_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""
@@ -44,10 +49,12 @@ def corpus_verification(spark: SparkSession, d: str) -> DataFrame:
     path = _str("f/", p)
     pairs = part.select(p.alias("key"), F.when(p % 9 != 0, "a").alias("qp"), F.when(p % 8 != 0, "b").alias("ms"))
     manifest = part.where(p % 10 != 1).select(path.alias("path"), F.lit("00").alias("sha256"))
-    files = part.where(p % 11 != 2).select(path.alias("path"), F.when(p % 12 == 0, "11").otherwise("00").alias("sha256"))
+    files = part.where(p % 11 != 2).select(path.alias("path"),
+        F.when(p % 12 == 0, "11").otherwise("00").alias("sha256"))
     anchors = part.select(_str("clean/", p).alias("path"), path.alias("raw_path"))
     found = suites.corpus(pairs, manifest, files, anchors)
-    return found.withColumn("detail", F.when(F.col("check_id") == "anchor", "x").otherwise(F.col("detail"))).groupBy("check_id", "severity", "detail").agg(F.count(F.lit(1)).alias("n"))
+    return found.withColumn("detail", F.when(F.col("check_id") == "anchor",
+        "x").otherwise(F.col("detail"))).groupBy("check_id", "severity", "detail").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""
@@ -63,9 +70,11 @@ def post_gates(spark: SparkSession, d: str) -> DataFrame:
     before = base.where("k % 25 <> 1 or k % 20 = 0")
     planned = F.concat(F.lit("new "), "t")
     x = F.col("k")
-    now = F.when(x % 7 == 0, F.concat("t", F.lit("\ue010"))).when(x % 11 == 0, F.lit("other")).when(x % 2 == 0, planned).otherwise(F.col("t"))
+    now = F.when(x % 7 == 0, F.concat("t", F.lit("\ue010"))).when(x % 11 == 0, F.lit("other")).when(x % 2 == 0,
+        planned).otherwise(F.col("t"))
     after = base.where("k % 20 <> 0").withColumn("t", now)
-    found = glyphs.post_gates(before, after, base.where("k % 2 = 0").withColumn("t", planned), base.where("k % 3 = 0"), "k", "t")
+    found = glyphs.post_gates(before, after, base.where("k % 2 = 0").withColumn("t", planned), base.where("k % 3 = 0"),
+        "k", "t")
     return found.groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -73,7 +82,9 @@ def _mixed(spark: SparkSession, d: str) -> DataFrame:
     """R lines are tables of two rows, A lines texts of two lines, N lines blank."""
     f, i, p = F.col("f"), F.col("i"), F.col("p")
     cells = F.array(F.array(_str("a ", i, "\n x"), F.lit("")), F.array(_str("part ", p)))
-    return _lines(spark, d).select(F.col("k").alias("doc_id"), i.alias("ord"), F.when(f == "R", "table").otherwise("paragraph").alias("kind"), F.when(f == "R", cells).alias("rows"), _case((f == "A", _str("one ", i, "\n two"))).alias("text"))
+    return _lines(spark, d).select(F.col("k").alias("doc_id"), i.alias("ord"),
+        F.when(f == "R", "table").otherwise("paragraph").alias("kind"), F.when(f == "R", cells).alias("rows"),
+        _case((f == "A", _str("one ", i, "\n two"))).alias("text"))
 
 
 @query(f"""
@@ -98,7 +109,8 @@ WITH {_NUMBERED} SELECT k AS doc_id, i AS ord, 'e' || i AS element_id, CASE f WH
 def reading_order(spark: SparkSession, d: str) -> DataFrame:
     e = F.struct(F.col("i").cast("int").alias("ord"), _str("e", F.col("i")).alias("element_id"))
     of = lambda f: F.collect_list(F.when(F.col("f") == f, e))
-    docs = _lines(spark, d).groupBy(F.col("k").alias("doc_id")).agg(of("R").alias("texts"), of("A").alias("tables"), of("N").alias("figures")).withColumn("equations", F.lit(None).cast("array<struct<ord:int,element_id:string>>"))
+    docs = _lines(spark, d).groupBy(F.col("k").alias("doc_id")).agg(of("R").alias("texts"), of("A").alias("tables"),
+        of("N").alias("figures")).withColumn("equations", F.lit(None).cast("array<struct<ord:int,element_id:string>>"))
     return records.reading_order(docs, ["texts", "tables", "figures", "equations"])
 
 
@@ -109,11 +121,13 @@ SELECT k AS key, part, sub, ord, CASE WHEN ord % 3 = 0 THEN '[any two] ' ELSE ''
 """)
 def draft_points(spark: SparkSession, d: str) -> DataFrame:
     x = _parted(spark, d)
-    points = x.select("key", "part", "sub", F.col("i").alias("ord"), F.when(F.col("f") == "N", 0).otherwise(F.col("q")).alias("marks"), _str("point ", F.col("i")).alias("text"))
+    points = x.select("key", "part", "sub", F.col("i").alias("ord"),
+        F.when(F.col("f") == "N", 0).otherwise(F.col("q")).alias("marks"), _str("point ", F.col("i")).alias("text"))
     pools = x.where("i % 3 = 0").select("key", F.col("i").alias("ord"), F.lit("any two").alias("rule"))
     guidance = x.where("key % 2 = 0").select("key").distinct().select("key", F.array(F.lit("see below")).alias("text"))
     found = records.draft_points(points, pools, guidance)
-    return found.select("key", "part", "sub", "ord", "text", F.size("alternatives").cast("long").alias("n_alternatives"), F.size("guidance").alias("n_guidance"))
+    return found.select("key", "part", "sub", "ord", "text",
+        F.size("alternatives").cast("long").alias("n_alternatives"), F.size("guidance").alias("n_guidance"))
 
 
 @query(f"""
@@ -122,7 +136,8 @@ SELECT x.k AS question_id, i, CASE WHEN q % 4 = 0 THEN NULL ELSE x.part END AS p
 """)
 def linked_points(spark: SparkSession, d: str) -> DataFrame:
     x = _parted(spark, d)
-    parts = x.where("f <> 'N'").select(F.col("key").alias("question_id"), F.col("part").alias("anchor"), _str("id", F.col("i")).alias("question_part_id"))
+    parts = x.where("f <> 'N'").select(F.col("key").alias("question_id"), F.col("part").alias("anchor"),
+        _str("id", F.col("i")).alias("question_part_id"))
     points = x.select(F.col("key").alias("question_id"), "i", F.when(F.col("q") % 4 != 0, F.col("part")).alias("part"))
     return package.linked_points(points, parts).select("question_id", "i", "part", "question_part_id")
 
@@ -133,5 +148,7 @@ SELECT p_partkey AS p, CASE p_partkey % 5 WHEN 0 THEN 'im ' || p_partkey || '.PN
 """)
 def figure_names(spark: SparkSession, d: str) -> DataFrame:
     p = F.col("p_partkey")
-    url = _case((p % 5 == 0, _str("https://h.example/x/im%20", p, ".PNG?Signature=a/b.c")), (p % 5 == 1, _str("crops/", p, ".jpg#top")), (p % 5 == 2, _str("http://h/a+b", p, ".gif")), (p % 5 == 3, _str("plain", p)), other="bad%zz.png")
+    url = _case((p % 5 == 0, _str("https://h.example/x/im%20", p, ".PNG?Signature=a/b.c")),
+        (p % 5 == 1, _str("crops/", p, ".jpg#top")), (p % 5 == 2, _str("http://h/a+b", p, ".gif")),
+        (p % 5 == 3, _str("plain", p)), other="bad%zz.png")
     return table(spark, d, "part").select(p.alias("p"), readers.figure_name(url).alias("r")).select("p", "r.*")

@@ -22,25 +22,32 @@ def build(spark: SparkSession, path: str) -> tuple[dict[str, DataFrame], DataFra
     found = readers.files(spark, path, "*.md")
     name = readers.base_name(F.col("path"))
     folder = F.regexp_replace("path", "/[^/]*$", "")
-    docs = markdown.with_id(found).withColumn("role", F.regexp_extract(name, ROLE, 2)).withColumn("pair", F.concat_ws("/", folder, F.regexp_extract(name, ROLE, 1)))
+    docs = markdown.with_id(found).withColumn("role", F.regexp_extract(name, ROLE, 2)).withColumn("pair",
+        F.concat_ws("/", folder, F.regexp_extract(name, ROLE, 1)))
     keyed = written(docs.where("role <> ''").select("doc_id", "pair", "role", "path", "checksum", "text"), "documents")
-    counts = keyed.groupBy("pair").agg(F.count_if(F.col("role") == "qp").alias("nq"), F.count_if(F.col("role") == "ms").alias("nm"))
+    counts = keyed.groupBy("pair").agg(F.count_if(F.col("role") == "qp").alias("nq"),
+        F.count_if(F.col("role") == "ms").alias("nm"))
     paired = counts.where("nq = 1 and nm = 1").select("pair")
     aside = (docs.where("role = ''").select("path", F.lit("name").alias("reason"))
              .union(keyed.join(paired, "pair", "left_anti").select("path", F.lit("unpaired"))))
     own = keyed.join(paired, "pair")
     elements = written(markdown.elements(own.select("doc_id", "text").dropDuplicates(["doc_id"])), "elements")
     of = lambda role: own.where(F.col("role") == role).select("doc_id", "pair")
-    qp = written(papers.drafted(elements.join(of("qp").select("doc_id").distinct(), "doc_id", "left_semi")).join(of("qp"), "doc_id"), "papers")
-    ms = written(schemes.drafted(elements.join(of("ms").select("doc_id").distinct(), "doc_id", "left_semi")).join(of("ms"), "doc_id"), "schemes")
+    qp = written(papers.drafted(elements.join(of("qp").select("doc_id").distinct(), "doc_id",
+        "left_semi")).join(of("qp"), "doc_id"), "papers")
+    ms = written(schemes.drafted(elements.join(of("ms").select("doc_id").distinct(), "doc_id",
+        "left_semi")).join(of("ms"), "doc_id"), "schemes")
     questions = qp.select("pair", F.explode("questions").alias("q")).select("pair", "q.*")
     entries = ms.select("pair", F.posexplode("entries").alias("ord", "e")).select("pair", "ord", "e.*")
     p, s = qp.drop("questions"), ms.drop("entries")
     parts, whole, unmatched = sittings.bind(questions, entries)
     findings, marks = sittings.health(p, s, questions, entries), sittings.mark_findings(p, s, questions, entries)
     tables = {
-        "documents": own.drop("text"), "elements": elements, "sections": markdown.sections(elements), "violations": markdown.violations(elements), "papers": p, "questions": questions, "schemes": s, "entries": entries,
-        "parts": parts, "question_entries": whole.select("pair", "number", "question_id", "entry"), "unmatched": unmatched, "marks": marks, "findings": findings, "status": sittings.pair_status(findings),
+        "documents": own.drop("text"), "elements": elements, "sections": markdown.sections(elements),
+        "violations": markdown.violations(elements), "papers": p, "questions": questions, "schemes": s,
+        "entries": entries,
+        "parts": parts, "question_entries": whole.select("pair", "number", "question_id", "entry"),
+        "unmatched": unmatched, "marks": marks, "findings": findings, "status": sittings.pair_status(findings),
         "review": sittings.review_queue(findings, marks)}
     return tables, aside
 

@@ -11,7 +11,8 @@ from foliant.plans.registry import query, table
 
 _WORDS = "list_sort([{}], lambda x: -length(x))"
 _COMMANDS = "|".join(w for w, _ in text.command_words())
-_TIERS = " ".join(f"WHEN w IN ({', '.join(repr(x) for x in ws)}) THEN '{t}'" for t, ws in (("low", text.LOW), ("middle", text.MIDDLE), ("high", text.HIGH)))
+_TIERS = " ".join(f"WHEN w IN ({', '.join(repr(x) for x in ws)}) THEN '{t}'" for t,
+    ws in (("low", text.LOW), ("middle", text.MIDDLE), ("high", text.HIGH)))
 
 
 @query(r"""
@@ -21,7 +22,8 @@ SELECT doc_id, checksum, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || su
 """)
 def doc_identity(spark: SparkSession, d: str) -> DataFrame:
     sha = F.sha2("text", 256)
-    return table(spark, d, "documents").select("doc_id", sha.alias("checksum"), identity.document_id(sha, F.lit("foliant"), F.lit("1")).alias("document_id"))
+    return table(spark, d, "documents").select("doc_id", sha.alias("checksum"),
+        identity.document_id(sha, F.lit("foliant"), F.lit("1")).alias("document_id"))
 
 
 @query(r"""
@@ -31,7 +33,9 @@ SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(list_filter(ls, lamb
 """)
 def line_explode_stats(spark: SparkSession, d: str) -> DataFrame:
     ls = table(spark, d, "documents").select("doc_id", lines.split_lines(F.col("text")).alias("ls"))
-    return ls.select("doc_id", F.size("ls").cast("long").alias("n_lines"), F.size(F.filter("ls", lambda x: F.trim(x) == "")).cast("long").alias("n_blank"), F.array_max(F.transform("ls", lambda x: F.length(x))).alias("longest"))
+    return ls.select("doc_id", F.size("ls").cast("long").alias("n_lines"),
+        F.size(F.filter("ls", lambda x: F.trim(x) == "")).cast("long").alias("n_blank"),
+        F.array_max(F.transform("ls", lambda x: F.length(x))).alias("longest"))
 
 
 _DECODED = "replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&apos;', ''''), '&amp;', '&')"
@@ -51,7 +55,8 @@ SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, re
 """)
 def html_title_h1_extract(spark: SparkSession, d: str) -> DataFrame:
     title, h1 = F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1), F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1)
-    return table(spark, d, "pages").select("page_id", title.alias("title"), h1.alias("h1"), h1.startswith(title).alias("title_leads"))
+    return table(spark, d, "pages").select("page_id", title.alias("title"), h1.alias("h1"),
+        h1.startswith(title).alias("title_leads"))
 
 
 @query(r"""
@@ -68,7 +73,8 @@ def html_list_items(spark: SparkSession, d: str) -> DataFrame:
 SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS plain FROM pages
 """)
 def html_strip_text(spark: SparkSession, d: str) -> DataFrame:
-    bare = F.regexp_replace(F.regexp_replace("html", "(?s)<(script|style)[^>]*>.*?</(script|style)>", " "), "(?s)<[^>]+>", " ")
+    bare = F.regexp_replace(F.regexp_replace("html", "(?s)<(script|style)[^>]*>.*?</(script|style)>", " "),
+        "(?s)<[^>]+>", " ")
     return table(spark, d, "pages").select("page_id", F.trim(F.regexp_replace(bare, r"\s+", " ")).alias("plain"))
 
 
@@ -97,7 +103,8 @@ WITH c AS (SELECT unnest(regexp_extract_all(text, '[^\x00-\x7F]')) AS ch FROM do
 SELECT ch, count(*) AS n, unicode(ch) AS code_point FROM c GROUP BY ch
 """)
 def artifact_census(spark: SparkSession, d: str) -> DataFrame:
-    found = table(spark, d, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"[^\x00-\x7F]"), F.lit(0))).alias("ch"))
+    found = table(spark, d, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"[^\x00-\x7F]"),
+        F.lit(0))).alias("ch"))
     return found.groupBy("ch").agg(F.count(F.lit(1)).alias("n")).withColumn("code_point", F.ascii("ch"))
 
 
@@ -107,9 +114,11 @@ WITH t AS (SELECT 'all' AS batch, count(*) AS n_texts, sum(len(regexp_extract_al
 SELECT batch, n_texts, CAST(n_private AS BIGINT) AS n_private, CAST(n_controls AS BIGINT) AS n_controls, n_private + n_controls = 0 AS passed FROM t
 """)
 def intake_gate(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "documents").select(F.size(text.private_use(F.col("text"))).alias("p"), F.size(text.controls(F.col("text"))).alias("c"))
+    t = table(spark, d, "documents").select(F.size(text.private_use(F.col("text"))).alias("p"),
+        F.size(text.controls(F.col("text"))).alias("c"))
     g = t.agg(F.count(F.lit(1)).alias("n_texts"), F.sum("p").alias("n_private"), F.sum("c").alias("n_controls"))
-    return g.select(F.lit("all").alias("batch"), "n_texts", "n_private", "n_controls", ((F.col("n_private") + F.col("n_controls")) == 0).alias("passed"))
+    return g.select(F.lit("all").alias("batch"), "n_texts", "n_private", "n_controls",
+        ((F.col("n_private") + F.col("n_controls")) == 0).alias("passed"))
 
 
 _SENTENCES = r"string_split(regexp_replace({}, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))"
@@ -121,7 +130,8 @@ s AS (SELECT conv_id, turn, role, list_filter(list_transform({_SENTENCES.format(
 SELECT conv_id, turn, w AS command_word, CASE {_TIERS} END AS tier FROM s
 """)
 def command_words(spark: SparkSession, d: str) -> DataFrame:
-    t = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("State "), "text")).otherwise(F.concat("text", F.lit(". Show that "), "role"))
+    t = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("State "), "text")).otherwise(F.concat("text",
+        F.lit(". Show that "), "role"))
     found = table(spark, d, "conversations").select("conv_id", "turn", text.command_word(t).alias("command_word"))
     return found.withColumn("tier", text.command_tier(F.col("command_word")))
 
@@ -141,9 +151,11 @@ SELECT conv_id, turn, CASE WHEN lower(t) LIKE 'do not accept%' OR lower(t) LIKE
   regexp_replace(t, '(?i)^(?:do not accept|do not allow|reject|accept|allow|ignore)[ :—-]*', '') AS note FROM t
 """)
 def note_classifier(spark: SparkSession, d: str) -> DataFrame:
-    lead = F.element_at(F.array(*[F.lit(x) for x in ("Do not accept: ", "Allow ", "IGNORE - ", "Reject ", "")]), (F.col("turn") % 5 + 1).cast("int"))
+    lead = F.element_at(F.array(*[F.lit(x) for x in ("Do not accept: ", "Allow ", "IGNORE - ", "Reject ", "")]),
+        (F.col("turn") % 5 + 1).cast("int"))
     t = F.concat(lead, "text")
-    return table(spark, d, "conversations").select("conv_id", "turn", text.note_kind(t).alias("kind"), text.note_text(t).alias("note"))
+    return table(spark, d, "conversations").select("conv_id", "turn", text.note_kind(t).alias("kind"),
+        text.note_text(t).alias("note"))
 
 
 @query(r"""
@@ -156,7 +168,8 @@ n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS o, count(m
 SELECT doc_id, CAST(o AS INTEGER) AS ordinal, raw, CAST(m AS INTEGER) AS marks FROM n WHERE c > 0
 """)
 def marker_split(spark: SparkSession, d: str) -> DataFrame:
-    t = F.regexp_replace(F.col("text"), F.lit(r"\."), F.concat(F.lit(" ("), (F.col("doc_id") % 9 + 1).cast("string"), F.lit(")")))
+    t = F.regexp_replace(F.col("text"), F.lit(r"\."),
+        F.concat(F.lit(" ("), (F.col("doc_id") % 9 + 1).cast("string"), F.lit(")")))
     rows = table(spark, d, "documents").select("doc_id", F.explode(text.split_marks(t)).alias("p"))
     return rows.select("doc_id", "p.ordinal", "p.raw", "p.marks")
 
@@ -167,7 +180,8 @@ SELECT doc_id, len(xs[1]) AS lead_chars, CAST(len(list_filter(xs[2:], lambda x:
 """)
 def alternatives_split(spark: SparkSession, d: str) -> DataFrame:
     found = table(spark, d, "documents").select("doc_id", text.alternatives(F.col("text")).alias("a"))
-    return found.select("doc_id", F.length(F.get("a", F.lit(0))).cast("long").alias("lead_chars"), (F.size("a") - 1).alias("n_alternatives"))
+    return found.select("doc_id", F.length(F.get("a", F.lit(0))).cast("long").alias("lead_chars"),
+        (F.size("a") - 1).alias("n_alternatives"))
 
 
 @query("""
@@ -191,7 +205,8 @@ g AS (SELECT fingerprint, min(CASE WHEN role = 's' THEN url END) AS a, min(CASE
 SELECT fingerprint, CASE WHEN na = 1 AND nb = 1 THEN a END AS first, CASE WHEN na = 1 AND nb = 1 THEN b END AS second, CASE WHEN na = 1 AND nb = 1 THEN 'paired' WHEN na > 1 OR nb > 1 THEN 'ambiguous' ELSE 'unpaired' END AS status FROM g
 """)
 def fingerprint_pairing(spark: SparkSession, d: str) -> DataFrame:
-    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("url", "[?#].*$", ""), r"^https?://(www\.|m\.|blog\.)?", ""), r"[0-9]+(\.html)?/?$", "")
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("url", "[?#].*$", ""), r"^https?://(www\.|m\.|blog\.)?",
+        ""), r"[0-9]+(\.html)?/?$", "")
     role = F.when(F.col("url").startswith("https"), "s").otherwise("p")
     return reconcile.unique_pairs(table(spark, d, "pages"), bare, role, "url", ("s", "p"))
 
@@ -207,7 +222,8 @@ SELECT conv_id, turn, CAST(chunk AS INTEGER) AS chunk FROM r
 """)
 def chunk_pack(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "conversations").select("conv_id", "turn", "text")
-    return lines.pack_chunks(rows, "conv_id", ["turn"], text.estimated_tokens(F.col("text"))).select("conv_id", "turn", "chunk")
+    return lines.pack_chunks(rows, "conv_id", ["turn"], text.estimated_tokens(F.col("text"))).select("conv_id", "turn",
+        "chunk")
 
 
 @query("""
@@ -221,7 +237,8 @@ SELECT conv_id, turn, CAST(chunk AS INTEGER) AS chunk FROM r
 """)
 def chunk_pack_grouped(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
-    return lines.pack_chunks(rows, "conv_id", ["turn"], text.estimated_tokens(F.col("text")), group="role").select("conv_id", "turn", "chunk")
+    return lines.pack_chunks(rows, "conv_id", ["turn"], text.estimated_tokens(F.col("text")),
+        group="role").select("conv_id", "turn", "chunk")
 
 
 @query(r"""
@@ -235,7 +252,8 @@ def token_grounding(spark: SparkSession, d: str) -> DataFrame:
     known = table(spark, d, "benchmark").select(F.explode(tokens()).alias("w")).distinct().withColumn("hit", F.lit(1))
     docs = table(spark, d, "documents").select("doc_id", tokens().alias("ts"))
     rows = docs.select("doc_id", F.explode_outer("ts").alias("w")).join(known, "w", "left")
-    g = rows.groupBy("doc_id").agg(F.count("w").cast("int").alias("n_tokens"), F.count_if(F.col("w").isNotNull() & F.col("hit").isNull()).cast("int").alias("n_ungrounded"))
+    g = rows.groupBy("doc_id").agg(F.count("w").cast("int").alias("n_tokens"),
+        F.count_if(F.col("w").isNotNull() & F.col("hit").isNull()).cast("int").alias("n_ungrounded"))
     return g.withColumn("grounded", F.col("n_ungrounded") == 0)
 
 
@@ -247,7 +265,9 @@ def line_coverage(spark: SparkSession, d: str) -> DataFrame:
     rows = lines.explode_lines(table(spark, d, "documents"), "doc_id").where(F.trim("raw") != "")
     per = rows.groupBy(F.sha2("raw", 256).alias("line"), "doc_id").agg(F.count(F.lit(1)).alias("c"))
     owners = per.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
-    return per.join(owners, "line").groupBy("doc_id").agg(F.sum("c").alias("n_lines"), F.coalesce(F.sum(F.when(F.col("n") == 1, F.col("c"))), F.lit(0)).alias("n_own"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("c"))), F.lit(0)).alias("n_shared"))
+    return per.join(owners, "line").groupBy("doc_id").agg(F.sum("c").alias("n_lines"),
+        F.coalesce(F.sum(F.when(F.col("n") == 1, F.col("c"))), F.lit(0)).alias("n_own"),
+        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("c"))), F.lit(0)).alias("n_shared"))
 
 
 @query("""
@@ -256,8 +276,10 @@ SELECT lang, CASE WHEN count(CASE WHEN s = 'fail' THEN 1 END) > 0 THEN 'fail' WH
   count(CASE WHEN s = 'ok' THEN 1 END) AS n_ok, count(CASE WHEN s = 'review' THEN 1 END) AS n_review, count(CASE WHEN s = 'fail' THEN 1 END) AS n_fail FROM f GROUP BY lang
 """)
 def severity_rollup(spark: SparkSession, d: str) -> DataFrame:
-    joined = table(spark, d, "documents").select("doc_id", "lang").join(table(spark, d, "labels").withColumn("has", F.lit(1)), "doc_id", "left")
-    severity = F.when(F.col("has").isNull(), "review").when(F.col("toxic") == 1, "fail").when(F.col("quality") == 0, "review").otherwise("ok")
+    joined = table(spark, d, "documents").select("doc_id",
+        "lang").join(table(spark, d, "labels").withColumn("has", F.lit(1)), "doc_id", "left")
+    severity = F.when(F.col("has").isNull(), "review").when(F.col("toxic") == 1, "fail").when(F.col("quality") == 0,
+        "review").otherwise("ok")
     return gates.roll_up(joined.withColumn("severity", severity), ["lang"])
 
 
@@ -272,9 +294,13 @@ SELECT doc_id, change, columns FROM j WHERE change <> 'changed' OR columns <> ''
 def revision_diff(spark: SparkSession, d: str) -> DataFrame:
     """The labelled documents against the documents without copies and with white space collapsed."""
     docs = table(spark, d, "documents")
-    old = docs.select("doc_id", "lang", "source", "n_chars").join(table(spark, d, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
-    sized = docs.select("doc_id", "lang", "source", F.length(F.regexp_replace("text", r"\s+", " ")).cast("long").alias("n_chars"), F.sha2("text", 256).alias("digest"))
-    first = sized.groupBy("digest").agg(F.min_by(F.struct("doc_id", "lang", "source", "n_chars"), "doc_id").alias("r")).select("r.*")
+    old = docs.select("doc_id", "lang", "source", "n_chars").join(table(spark, d, "labels").select("doc_id").distinct(),
+        "doc_id", "left_semi")
+    sized = docs.select("doc_id", "lang", "source",
+        F.length(F.regexp_replace("text", r"\s+", " ")).cast("long").alias("n_chars"),
+        F.sha2("text", 256).alias("digest"))
+    first = sized.groupBy("digest").agg(F.min_by(F.struct("doc_id", "lang", "source", "n_chars"),
+        "doc_id").alias("r")).select("r.*")
     return gates.changes(old, first, "doc_id", ["lang", "source", "n_chars"])
 
 
@@ -296,4 +322,6 @@ SELECT doc_id, regexp_replace(regexp_replace(lower(trim(source)), '^src', 'Sourc
 """)
 def retrieval_metadata(spark: SparkSession, d: str) -> DataFrame:
     series = F.regexp_replace(F.regexp_replace(F.lower(F.trim("source")), "^src", "Source "), r"\s+", " ")
-    return table(spark, d, "documents").select("doc_id", series.alias("series"), F.floor(F.regexp_count("text", F.lit(r"\$")) / 2).cast("long").alias("inline_math"), text.estimated_tokens(F.col("text")).cast("long").alias("tokens"), F.md5("text").alias("md5"))
+    return table(spark, d, "documents").select("doc_id", series.alias("series"),
+        F.floor(F.regexp_count("text", F.lit(r"\$")) / 2).cast("long").alias("inline_math"),
+        text.estimated_tokens(F.col("text")).cast("long").alias("tokens"), F.md5("text").alias("md5"))

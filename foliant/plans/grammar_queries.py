@@ -15,7 +15,8 @@ from foliant.sources import readers
 def _numbered(spark: SparkSession, d: str) -> DataFrame:
     """Lines of each order numbered from 1: a line is a question, its quantity the marks."""
     w = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    return table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int").alias("q"), "l_returnflag", F.row_number().over(w).alias("i"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
+        F.col("l_quantity").cast("int").alias("q"), "l_returnflag", F.row_number().over(w).alias("i"))
 
 
 _NUMBERED = """n AS (SELECT l_orderkey AS k, l_partkey AS p, l_suppkey AS s, CAST(l_quantity AS INTEGER) AS q, l_returnflag AS f,
@@ -23,7 +24,8 @@ _NUMBERED = """n AS (SELECT l_orderkey AS k, l_partkey AS p, l_suppkey AS s, CAS
 
 
 def _joined(df: DataFrame, key: str, text: Column, order: str = "i") -> DataFrame:
-    lines = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order), text.alias("t")))), lambda x: x.t), "\n")
+    lines = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order), text.alias("t")))),
+        lambda x: x.t), "\n")
     return df.groupBy(F.col(key).cast("string").alias("doc_id")).agg(lines.alias("text"))
 
 
@@ -35,21 +37,29 @@ def _paper_texts(spark: SparkSession, d: str) -> DataFrame:
     """Questions in three numbering styles; returned lines have two parts, of q - 1 and 1 marks, else the total alone."""
     i, q = F.col("i"), F.col("q")
     opener = F.when(i % 3 == 0, _str(i, ": ")).when(i % 3 == 1, _str(i, " ")).otherwise(_str(i, ". "))
-    parts = F.when((F.col("l_returnflag") == "R") & (q > 1), _str("\n(a) State part ", F.col("l_partkey"), ".\n(", q - 1, ")\n(b) Name supplier ", F.col("l_suppkey"), ".\n(1)")).otherwise("")
+    parts = F.when((F.col("l_returnflag") == "R") & (q > 1),
+        _str("\n(a) State part ", F.col("l_partkey"), ".\n(", q - 1, ")\n(b) Name supplier ", F.col("l_suppkey"),
+        ".\n(1)")).otherwise("")
     total = F.when(F.col("l_returnflag") != "N", _str("\n(Total for Question ", i, " = ", q, " marks)")).otherwise("")
-    return _joined(_numbered(spark, d), "l_orderkey", F.concat(opener, _str("Part ", F.col("l_partkey"), " was shipped."), parts, total))
+    return _joined(_numbered(spark, d), "l_orderkey",
+        F.concat(opener, _str("Part ", F.col("l_partkey"), " was shipped."), parts, total))
 
 
 def _scheme_texts(spark: SparkSession, d: str) -> DataFrame:
     """A table for each order; the printed totals differ by one where the part number divides by five."""
     i, q = F.col("i"), F.col("q")
-    row = lambda label, answer, note, marks: F.concat(F.lit("<tr><td>"), label, F.lit("</td><td>"), answer, F.lit("</td><td>"), note, F.lit("</td><td>"), marks.cast("string"), F.lit("</td></tr>"))
+    row = lambda label, answer, note, marks: F.concat(F.lit("<tr><td>"), label, F.lit("</td><td>"), answer,
+        F.lit("</td><td>"), note, F.lit("</td><td>"), marks.cast("string"), F.lit("</td></tr>"))
     split = (F.col("l_returnflag") == "R") & (q > 1)
-    rows = F.when(split, F.concat(row(_str(i, "(a)"), _str("part ", F.col("l_partkey"), " (1) or number"), F.lit("Allow other"), q - 1), row(_str("(b)"), _str("supplier ", F.col("l_suppkey")), F.lit("Ignore case"), F.lit(1)))).otherwise(
+    rows = F.when(split, F.concat(row(_str(i, "(a)"), _str("part ", F.col("l_partkey"), " (1) or number"),
+        F.lit("Allow other"), q - 1), row(_str("(b)"), _str("supplier ", F.col("l_suppkey")), F.lit("Ignore case"),
+        F.lit(1)))).otherwise(
         row(_str(i), _str("part ", F.col("l_partkey"), " &amp; more"), F.lit("ECF"), q))
-    total = F.concat(F.lit("<tr><td>Total for question "), i.cast("string"), F.lit("</td><td></td><td>"), (q + F.when(F.col("l_partkey") % 5 == 0, 1).otherwise(0)).cast("string"), F.lit("</td></tr>"))
+    total = F.concat(F.lit("<tr><td>Total for question "), i.cast("string"), F.lit("</td><td></td><td>"),
+        (q + F.when(F.col("l_partkey") % 5 == 0, 1).otherwise(0)).cast("string"), F.lit("</td></tr>"))
     made = _joined(_numbered(spark, d), "l_orderkey", F.concat(rows, total))
-    return made.withColumn("text", F.concat(F.lit("# Mark Scheme\n<table>"), F.regexp_replace("text", "\n", ""), F.lit("</table>")))
+    return made.withColumn("text", F.concat(F.lit("# Mark Scheme\n<table>"), F.regexp_replace("text", "\n", ""),
+        F.lit("</table>")))
 
 
 @query("""
@@ -58,7 +68,8 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, count(*) AS n_elements, count(CASE WHE
 """)
 def markdown_elements(spark: SparkSession, d: str) -> DataFrame:
     e = markdown.elements(table(spark, d, "documents"))
-    return e.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_elements"), F.count_if(F.col("kind") == "heading").alias("n_headings"))
+    return e.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_elements"),
+        F.count_if(F.col("kind") == "heading").alias("n_headings"))
 
 
 @query(f"""
@@ -68,7 +79,8 @@ SELECT CAST(k AS VARCHAR) AS doc_id, i AS number, CASE WHEN i % 3 = 0 THEN 'colo
 """)
 def paper_questions(spark: SparkSession, d: str) -> DataFrame:
     q = papers.drafted_texts(_paper_texts(spark, d)).select(F.explode("questions").alias("q")).select("q.*")
-    return q.select("doc_id", "number", "style", "stem", F.size("parts").alias("n_parts"), "marks", "marks_known", "confidence")
+    return q.select("doc_id", "number", "style", "stem", F.size("parts").alias("n_parts"), "marks", "marks_known",
+        "confidence")
 
 
 @query(f"""
@@ -77,7 +89,8 @@ SELECT CAST(k AS VARCHAR) AS doc_id, CAST(count(*) AS INTEGER) AS n_questions, C
 """)
 def paper_totals(spark: SparkSession, d: str) -> DataFrame:
     p = papers.drafted_texts(_paper_texts(spark, d))
-    return p.select("doc_id", "n_questions", F.size("totals").alias("n_totals"), F.aggregate(F.map_values("totals"), F.lit(0), lambda s, x: s + x).alias("total"))
+    return p.select("doc_id", "n_questions", F.size("totals").alias("n_totals"),
+        F.aggregate(F.map_values("totals"), F.lit(0), lambda s, x: s + x).alias("total"))
 
 
 @query(f"""
@@ -88,10 +101,12 @@ UNION ALL SELECT CAST(k AS VARCHAR), i || '', i, 'part ' || p || ' & more', 0, '
 """)
 def scheme_entries(spark: SparkSession, d: str) -> DataFrame:
     e = schemes.drafted_texts(_scheme_texts(spark, d)).select(F.explode("entries").alias("e")).select("e.*")
-    return e.select("doc_id", "label", "number", "answer", F.size("points").alias("n_points"), F.col("guidance")[0]["kind"].alias("kind"), "marks", "marks_source")
+    return e.select("doc_id", "label", "number", "answer", F.size("points").alias("n_points"),
+        F.col("guidance")[0]["kind"].alias("kind"), "marks", "marks_source")
 
 
-def _sitting(spark: SparkSession, d: str, numbers_only: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def _sitting(spark: SparkSession, d: str, numbers_only: bool = False) -> tuple[DataFrame, DataFrame, DataFrame,
+        DataFrame]:
     """Papers, schemes, questions and entries; each side is read once and kept as a table, since all joins go over it.
 
     numbers_only keeps of questions and entries what gates on marks read.
@@ -99,8 +114,11 @@ def _sitting(spark: SparkSession, d: str, numbers_only: bool = False) -> tuple[D
     qp, ms = papers.drafted_texts(_paper_texts(spark, d)), schemes.drafted_texts(_scheme_texts(spark, d))
     if numbers_only:
         part = lambda p: F.struct(p.label.alias("label"), p.marks.alias("marks"))
-        qp = qp.select("doc_id", "session", "reference", "paper_total", "totals", "n_questions", F.transform("questions", lambda q: F.struct(q.number.alias("number"), F.transform(q.parts, part).alias("parts"))).alias("questions"))
-        ms = ms.select("doc_id", "session", "reference", "paper_total", "totals", F.transform("entries", lambda e: F.struct(e.number.alias("number"))).alias("entries"))
+        qp = qp.select("doc_id", "session", "reference", "paper_total", "totals", "n_questions",
+            F.transform("questions", lambda q: F.struct(q.number.alias("number"),
+            F.transform(q.parts, part).alias("parts"))).alias("questions"))
+        ms = ms.select("doc_id", "session", "reference", "paper_total", "totals",
+            F.transform("entries", lambda e: F.struct(e.number.alias("number"))).alias("entries"))
     qp, ms = (written(x.withColumn("pair", F.col("doc_id")), n) for x, n in ((qp, "papers"), (ms, "schemes")))
     questions = qp.select("pair", F.explode("questions").alias("q")).select("pair", "q.*")
     entries = ms.select("pair", F.posexplode("entries").alias("ord", "e")).select("pair", "ord", "e.*")
@@ -153,12 +171,16 @@ UNION ALL SELECT 2, 'U' || (n_regionkey + 1) || '-T' || (n_nationkey + 1), 'U' |
 UNION ALL SELECT 3, 'U' || (n_regionkey + 1) || '-T' || (n_nationkey + 1) || '-S' || (n_nationkey + 1) || 'A', 'U' || (n_regionkey + 1) || '-T' || (n_nationkey + 1), 'About ' || n_name FROM n
 """)
 def printed_outline(spark: SparkSession, d: str) -> DataFrame:
-    units = table(spark, d, "region").select(F.col("r_regionkey").alias("r"), F.lit(-1).alias("t"), F.lit(0).alias("s"), _str("# Unit ", F.col("r_regionkey") + 1, ": ", F.col("r_name")).alias("line"))
+    units = table(spark, d, "region").select(F.col("r_regionkey").alias("r"), F.lit(-1).alias("t"), F.lit(0).alias("s"),
+        _str("# Unit ", F.col("r_regionkey") + 1, ": ", F.col("r_name")).alias("line"))
     nations = table(spark, d, "nation")
-    topics = nations.select("n_regionkey", "n_nationkey", F.lit(0), _str("## Topic ", F.col("n_nationkey") + 1, " ", F.col("n_name")))
-    subs = nations.select("n_regionkey", "n_nationkey", F.lit(1), _str(F.col("n_nationkey") + 1, "A About ", F.col("n_name")))
+    topics = nations.select("n_regionkey", "n_nationkey", F.lit(0),
+        _str("## Topic ", F.col("n_nationkey") + 1, " ", F.col("n_name")))
+    subs = nations.select("n_regionkey", "n_nationkey", F.lit(1),
+        _str(F.col("n_nationkey") + 1, "A About ", F.col("n_name")))
     text = units.union(topics).union(subs).withColumn("i", F.struct("r", "t", "s")).withColumn("k", F.lit("syllabus"))
-    return outline.printed_outline(markdown.elements(_joined(text, "k", F.col("line")))).select("level", "code", "parent", "title")
+    return outline.printed_outline(markdown.elements(_joined(text, "k", F.col("line")))).select("level", "code",
+        "parent", "title")
 
 
 @query("""
@@ -166,9 +188,14 @@ SELECT CAST(c_custkey AS VARCHAR) AS k, CASE WHEN c_custkey % 4 = 0 THEN NULL EL
 """)
 def revision_notes(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
-    head = F.concat(F.lit("---\n"), F.when(k % 4 == 0, "").otherwise(_str("note_id: rn_", k, "\n")), _str("title: \"", F.col("c_name"), "\"\nsource: ", F.col("c_mktsegment"), "\npath: a/b\nspec_point_ids: [\"x\"]\nspec_point_codes: [\"y\"]\nguided_study: no\nupdated_at: "), F.when(k % 3 == 0, "soon").otherwise("2025-01-02"))
-    docs = table(spark, d, "customer").select(k.alias("k"), F.concat(head, F.lit("\n---\n\n"), _str("Body of ", F.col("c_name"))).alias("text"))
-    return readers.notes(docs, "k").select("k", F.element_at("meta", "note_id").alias("note_id"), F.size("violations").alias("n_violations"), "body")
+    head = F.concat(F.lit("---\n"), F.when(k % 4 == 0, "").otherwise(_str("note_id: rn_", k, "\n")),
+        _str("title: \"", F.col("c_name"), "\"\nsource: ", F.col("c_mktsegment"),
+        "\npath: a/b\nspec_point_ids: [\"x\"]\nspec_point_codes: [\"y\"]\nguided_study: no\nupdated_at: "),
+        F.when(k % 3 == 0, "soon").otherwise("2025-01-02"))
+    docs = table(spark, d, "customer").select(k.alias("k"),
+        F.concat(head, F.lit("\n---\n\n"), _str("Body of ", F.col("c_name"))).alias("text"))
+    return readers.notes(docs, "k").select("k", F.element_at("meta", "note_id").alias("note_id"),
+        F.size("violations").alias("n_violations"), "body")
 
 
 @query(r"""
@@ -193,7 +220,8 @@ SELECT doc_id, CAST(len(xs) AS BIGINT) AS n_pages, CAST(coalesce(list_sum(list_t
 """)
 def layout_pages(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", F.replace("text", F.lit(". "), F.lit("\f")).alias("text"))
-    return readers.layout_pages(docs, "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pages"), F.sum(F.length("text")).alias("n_chars"))
+    return readers.layout_pages(docs, "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pages"),
+        F.sum(F.length("text")).alias("n_chars"))
 
 
 @query("""
@@ -213,7 +241,10 @@ def guarded_update(spark: SparkSession, d: str) -> DataFrame:
     snapshot = table(spark, d, "documents").select("doc_id", "lang")
     labels = table(spark, d, "labels")
     edited = labels.where("toxic = 1").select("doc_id").withColumn("edited", F.lit(True))
-    current = snapshot.join(edited, "doc_id", "left").select("doc_id", F.when(F.col("edited"), F.concat("lang", F.lit("!"))).otherwise(F.col("lang")).alias("lang"))
-    update = snapshot.join(labels.where("quality = 0").select("doc_id"), "doc_id", "left_semi").withColumn("lang", F.upper("lang"))
+    current = snapshot.join(edited, "doc_id", "left").select("doc_id",
+        F.when(F.col("edited"), F.concat("lang", F.lit("!"))).otherwise(F.col("lang")).alias("lang"))
+    update = snapshot.join(labels.where("quality = 0").select("doc_id"), "doc_id", "left_semi").withColumn("lang",
+        F.upper("lang"))
     out, conflicts = glyphs.guarded_update(current, snapshot, update, "doc_id", "lang")
-    return out.join(conflicts.withColumn("conflict", F.lit(True)), "doc_id", "left").select("doc_id", "lang", F.coalesce("conflict", F.lit(False)).alias("conflict"))
+    return out.join(conflicts.withColumn("conflict", F.lit(True)), "doc_id", "left").select("doc_id", "lang",
+        F.coalesce("conflict", F.lit(False)).alias("conflict"))

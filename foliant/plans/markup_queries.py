@@ -15,16 +15,22 @@ from foliant.sources import readers
 
 def _customers(spark: SparkSession, d: str, *parts) -> DataFrame:
     """(doc_id, text): a text of parts for each customer."""
-    return table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("doc_id"), _str(*parts).alias("text"))
+    return table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("doc_id"),
+        _str(*parts).alias("text"))
 
 
 def _markup(spark: SparkSession, d: str) -> DataFrame:
     """Headings, paragraphs, lists, centred blocks, figures, tables, display mathematics, references; open ones too."""
     c, name = F.col("c_custkey"), F.col("c_name")
-    odd = _case((c % 4 == 0, "$$\nopen\n## After"), (c % 4 == 1, "<div align='center'>\nlost\n## After"), (c % 4 == 2, "<table><tr><td>cut</td></tr>\n<tr><td>off\n## After"), other="## After")
+    odd = _case((c % 4 == 0, "$$\nopen\n## After"), (c % 4 == 1, "<div align='center'>\nlost\n## After"),
+        (c % 4 == 2, "<table><tr><td>cut</td></tr>\n<tr><td>off\n## After"), other="## After")
     return _customers(
-        spark, d, "# ", name, "\n\nfirst &lt;", c, "&gt; &#65;\n- item\n* star\n<div align=\"center\">\n## Mid\nin the middle\n</div>\n$$\nx = ", c, "\n$$\n$$a$$ $$b$$\nsay $$c$$ here\n",
-        "<div style=\"text-align: center;\"><img src='https://h/p/im%20", c, ".PNG?Signature=s&Expires=1' alt='pic' /></div>\n<table border=1>\n<tr><th>h &amp; i</th><td>", c, "<br/>z</td></tr>\n<tr></tr></table>\n", odd)
+        spark, d, "# ", name, "\n\nfirst &lt;", c,
+        "&gt; &#65;\n- item\n* star\n<div align=\"center\">\n## Mid\nin the middle\n</div>\n$$\nx = ", c,
+        "\n$$\n$$a$$ $$b$$\nsay $$c$$ here\n",
+        "<div style=\"text-align: center;\"><img src='https://h/p/im%20", c,
+        ".PNG?Signature=s&Expires=1' alt='pic' /></div>\n<table border=1>\n<tr><th>h &amp; i</th><td>", c,
+        "<br/>z</td></tr>\n<tr></tr></table>\n", odd)
 
 
 @query("""
@@ -39,7 +45,8 @@ SELECT CAST(c AS VARCHAR) AS doc_id, CAST(ord AS INTEGER) AS ord, kind, said, le
 """)
 def markup_elements(spark: SparkSession, d: str) -> DataFrame:
     rows = F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), "/")
-    return markdown.elements(_markup(spark, d)).select("doc_id", "ord", "kind", F.coalesce("text", rows).alias("said"), "level", "source_name", "format")
+    return markdown.elements(_markup(spark, d)).select("doc_id", "ord", "kind", F.coalesce("text", rows).alias("said"),
+        "level", "source_name", "format")
 
 
 @query("""
@@ -57,7 +64,8 @@ SELECT CAST(c AS VARCHAR) AS doc_id, unnest([1, 2, 3]) AS section, unnest([name,
 def markup_sections(spark: SparkSession, d: str) -> DataFrame:
     """Paragraphs and list items below each heading; what an open fence, block or table leaves is one more below the second."""
     found = markdown.sections(markdown.elements(_markup(spark, d)))
-    return found.select("doc_id", F.col("section").cast("int").alias("section"), "heading", "level", F.size("element_ids").alias("n"))
+    return found.select("doc_id", F.col("section").cast("int").alias("section"), "heading", "level",
+        F.size("element_ids").alias("n"))
 
 
 @query("""
@@ -74,7 +82,8 @@ def markup_violations(spark: SparkSession, d: str) -> DataFrame:
     at = F.when(i == 3, 2).otherwise(i) - 1
     kind = F.when(i % 3 == 0, "table").when(i % 3 == 1, "figure").otherwise("heading")
     found = _lines(spark, d).select(
-        F.col("k").alias("doc_id"), at.alias("ord"), _str("e", at).alias("element_id"), kind.alias("kind"), F.lit("t").alias("text"), F.when(whole, 1).alias("level"),
+        F.col("k").alias("doc_id"), at.alias("ord"), _str("e", at).alias("element_id"), kind.alias("kind"),
+        F.lit("t").alias("text"), F.when(whole, 1).alias("level"),
         F.when(whole, F.array(F.array(F.lit("a")))).alias("rows"), F.when(whole, "u").alias("url"))
     return markdown.violations(found).groupBy("check_id").agg(F.count(F.lit(1)).alias("n"))
 
@@ -84,8 +93,11 @@ def _papers(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("c_custkey")
     choice = F.when(c % 2 == 0, "A red\nB blue\nC green\nD grey").otherwise("A red\nB blue")
     return _customers(
-        spark, d, "Paper Reference 4CH1/", c % 2 + 1, "C\n# Section A\n*1 Which is it, ", c, "?\n", choice, "\n(Total for Question 1 = 1 marks)\n2. Look.\n(a) Say.\n(2)\nb) Half.\n(i) Roman.\nmass =\n(1)\n(Source: © Somebody)\n",
-        "# Section B\n# 3 From a heading\nA\nB\n9 Gap\n# Odd heading\n(Total for Question 2 = ", F.when(c % 3 == 0, 3).otherwise(4), " marks)\nTOTAL FOR SECTION A = 9 MARKS\nTOTAL FOR PAPER = ", c % 50 + 10, " MARKS")
+        spark, d, "Paper Reference 4CH1/", c % 2 + 1, "C\n# Section A\n*1 Which is it, ", c, "?\n", choice,
+        "\n(Total for Question 1 = 1 marks)\n2. Look.\n(a) Say.\n(2)\nb) Half.\n(i) Roman.\nmass =\n(1)\n(Source: © Somebody)\n",
+        "# Section B\n# 3 From a heading\nA\nB\n9 Gap\n# Odd heading\n(Total for Question 2 = ",
+        F.when(c % 3 == 0, 3).otherwise(4), " marks)\nTOTAL FOR SECTION A = 9 MARKS\nTOTAL FOR PAPER = ", c % 50 + 10,
+        " MARKS")
 
 
 @query("""
@@ -97,8 +109,10 @@ UNION ALL SELECT CAST(c AS VARCHAR), 3, 'space', 'B', 'From a heading 9 Gap', fa
 """)
 def paper_forms(spark: SparkSession, d: str) -> DataFrame:
     q = papers.drafted_texts(_papers(spark, d)).select(F.explode("questions").alias("q")).select("q.*")
-    part = lambda p: F.concat(p.label, F.lit("="), F.coalesce(p.marks.cast("string"), F.lit("")), F.when(F.size(p.prompts) > 0, F.concat(F.lit(" "), F.array_join(p.prompts, ","))).otherwise(""))
-    return q.select("doc_id", "number", "style", "section", "stem", "mcq", "qwc", F.size("options").alias("n_options"), F.array_join(F.transform("parts", part), "|").alias("parts"), "marks", "marks_known", "confidence")
+    part = lambda p: F.concat(p.label, F.lit("="), F.coalesce(p.marks.cast("string"), F.lit("")),
+        F.when(F.size(p.prompts) > 0, F.concat(F.lit(" "), F.array_join(p.prompts, ","))).otherwise(""))
+    return q.select("doc_id", "number", "style", "section", "stem", "mcq", "qwc", F.size("options").alias("n_options"),
+        F.array_join(F.transform("parts", part), "|").alias("parts"), "marks", "marks_known", "confidence")
 
 
 @query("""
@@ -107,17 +121,23 @@ SELECT CAST(c_custkey AS VARCHAR) AS doc_id, '4CH1/' || (c_custkey % 2 + 1) || '
 """)
 def paper_headers(spark: SparkSession, d: str) -> DataFrame:
     p = papers.drafted_texts(_papers(spark, d))
-    return p.select("doc_id", "reference", "paper_total", F.element_at("section_totals", "A").alias("section_a"), F.element_at("totals", F.lit(2)).alias("total_2"), "n_questions", F.size("warnings").alias("n_warnings"))
+    return p.select("doc_id", "reference", "paper_total", F.element_at("section_totals", "A").alias("section_a"),
+        F.element_at("totals", F.lit(2)).alias("total_2"), "n_questions", F.size("warnings").alias("n_warnings"))
 
 
 def _schemes(spark: SparkSession, d: str) -> DataFrame:
     """A starred entry, a part that carries on, a choice, marks in a row of their own, totals in three forms."""
     c = F.col("c_custkey")
-    row = lambda *cells: F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), x if not isinstance(x, str) else F.lit(x), F.lit("</td>")) for x in cells], F.lit("</tr>"))
+    row = lambda *cells: F.concat(F.lit("<tr>"),
+        *[F.concat(F.lit("<td>"), x if not isinstance(x, str) else F.lit(x), F.lit("</td>")) for x in cells],
+        F.lit("</tr>"))
     rows = F.concat(
-        row("*1(a)", _str("first (1) or other ", c, " (2)"), "Allow x", "3"), row("(ii)", "any two from: p (1) q (1)", "MP2 dependent on MP1\nno ecf", "2"), row("2", _str("The only correct answer is ", F.when(c % 2 == 0, "B").otherwise("C")), "", "1"),
+        row("*1(a)", _str("first (1) or other ", c, " (2)"), "Allow x", "3"),
+        row("(ii)", "any two from: p (1) q (1)", "MP2 dependent on MP1\nno ecf", "2"),
+        row("2", _str("The only correct answer is ", F.when(c % 2 == 0, "B").otherwise("C")), "", "1"),
         row("3", "long", "note", ""), row(F.when(c % 3 == 0, "4").otherwise("2")), row("Total", "", "5"))
-    return _customers(spark, d, "# Mark Scheme\nJune 2019\n<table>", rows, "</table>\nTotal for question 1 = 5 marks\nTOTAL FOR PAPER = ", c % 40 + 11, " MARKS")
+    return _customers(spark, d, "# Mark Scheme\nJune 2019\n<table>", rows,
+        "</table>\nTotal for question 1 = 5 marks\nTOTAL FOR PAPER = ", c % 40 + 11, " MARKS")
 
 
 @query("""
@@ -129,8 +149,11 @@ UNION ALL SELECT CAST(c AS VARCHAR), '3', 3, 'long', CASE WHEN c % 3 = 0 THEN 4
 """)
 def scheme_forms(spark: SparkSession, d: str) -> DataFrame:
     e = schemes.drafted_texts(_schemes(spark, d)).select(F.explode("entries").alias("e")).select("e.*")
-    point = lambda p: F.concat(p.marks.cast("string"), F.lit(":"), F.array_join(p.alternatives, ","), F.lit(":"), F.when(p.any_two, "two").otherwise(""))
-    return e.select("doc_id", "label", "number", "answer", "marks", "marks_source", "qwc", "correct", F.array_join(F.transform("points", point), "|").alias("points"), F.array_join(F.transform("guidance", lambda g: g.kind), ",").alias("kinds"), "confidence")
+    point = lambda p: F.concat(p.marks.cast("string"), F.lit(":"), F.array_join(p.alternatives, ","), F.lit(":"),
+        F.when(p.any_two, "two").otherwise(""))
+    return e.select("doc_id", "label", "number", "answer", "marks", "marks_source", "qwc", "correct",
+        F.array_join(F.transform("points", point), "|").alias("points"),
+        F.array_join(F.transform("guidance", lambda g: g.kind), ",").alias("kinds"), "confidence")
 
 
 @query("""
@@ -138,7 +161,8 @@ SELECT CAST(c_custkey AS VARCHAR) AS doc_id, 'June 2019' AS session, CAST(c_cust
 """)
 def scheme_headers(spark: SparkSession, d: str) -> DataFrame:
     s = schemes.drafted_texts(_schemes(spark, d))
-    return s.select("doc_id", "session", "paper_total", F.element_at("totals", F.lit(1)).alias("total_1"), F.element_at("totals", F.lit(3)).alias("total_3"))
+    return s.select("doc_id", "session", "paper_total", F.element_at("totals", F.lit(1)).alias("total_1"),
+        F.element_at("totals", F.lit(3)).alias("total_3"))
 
 
 @query("""
@@ -150,11 +174,18 @@ SELECT p, CASE p % 5 WHEN 0 THEN 'B' WHEN 1 THEN 'C' WHEN 2 THEN 'D' WHEN 3 THEN
 def text_scalars(spark: SparkSession, d: str) -> DataFrame:
     p, name = F.col("p_partkey"), F.col("p_name")
     return table(spark, d, "part").select(
-        p.alias("p"), text.correct_letter(_case((p % 5 == 0, " (B) "), (p % 5 == 1, "The only correct answer is C"), (p % 5 == 2, "answer is: D."), (p % 5 == 3, "e"), other="B or C")).alias("letter"),
-        text.collapse_spaced(F.when(p % 2 == 0, "a b  c d").otherwise("a b word")).alias("closed"), text.inline_math_count(F.concat(F.lit("cost \\$"), F.repeat(F.lit(" $x$"), (p % 4).cast("int")))).alias("formulas"),
-        text.suffix(_case((p % 4 == 0, "3(a)(i)"), (p % 4 == 1, "b-ii"), (p % 4 == 2, "*14"), other="(C)")).alias("suffix"),
-        text.guidance_kind(_case((p % 6 == 0, " Allow this"), (p % 6 == 1, "IGNORE that"), (p % 6 == 2, "Example graph below"), (p % 6 == 3, "ecf from a"), (p % 6 == 4, "MP2 is dependent on MP1"), other="see a")).alias("guidance"),
-        text.note_text(_case((p % 4 == 0, _str("do not accept: ", name, ".")), (p % 4 == 1, _str("Allow — the ", name)), (p % 4 == 2, _str("ignore ", name)), other=_str("plain ", name))).alias("note"))
+        p.alias("p"), text.correct_letter(_case((p % 5 == 0, " (B) "), (p % 5 == 1, "The only correct answer is C"),
+        (p % 5 == 2, "answer is: D."), (p % 5 == 3, "e"), other="B or C")).alias("letter"),
+        text.collapse_spaced(F.when(p % 2 == 0, "a b  c d").otherwise("a b word")).alias("closed"),
+        text.inline_math_count(F.concat(F.lit("cost \\$"),
+        F.repeat(F.lit(" $x$"), (p % 4).cast("int")))).alias("formulas"),
+        text.suffix(_case((p % 4 == 0, "3(a)(i)"), (p % 4 == 1, "b-ii"), (p % 4 == 2, "*14"),
+        other="(C)")).alias("suffix"),
+        text.guidance_kind(_case((p % 6 == 0, " Allow this"), (p % 6 == 1, "IGNORE that"),
+        (p % 6 == 2, "Example graph below"), (p % 6 == 3, "ecf from a"), (p % 6 == 4, "MP2 is dependent on MP1"),
+        other="see a")).alias("guidance"),
+        text.note_text(_case((p % 4 == 0, _str("do not accept: ", name, ".")), (p % 4 == 1, _str("Allow — the ", name)),
+        (p % 4 == 2, _str("ignore ", name)), other=_str("plain ", name))).alias("note"))
 
 
 @query("""
@@ -163,7 +194,9 @@ SELECT c_custkey AS c, unnest(['u/' || c_custkey || '.png', 'v/' || c_custkey ||
 def crop_addresses(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("c_custkey")
     body = _str("![a](u/", c, ".png) <img alt='x' src=\"v/", c, ".jpg\"> ![b](u/", c, ".png)")
-    return table(spark, d, "customer").select(c.alias("c"), F.posexplode(readers.crop_urls(body, _str("see https://h/crop", c, ".webp?x=1 now"))).alias("at", "url")).select("c", "url", "at")
+    return table(spark, d, "customer").select(c.alias("c"),
+        F.posexplode(readers.crop_urls(body, _str("see https://h/crop", c, ".webp?x=1 now"))).alias("at",
+        "url")).select("c", "url", "at")
 
 
 @query("""
@@ -173,7 +206,8 @@ def canonical_json(spark: SparkSession, d: str) -> DataFrame:
     from foliant.sources import sinks
 
     c = F.col("c_custkey")
-    rows = table(spark, d, "customer").select(c.alias("c"), c.alias("b"), F.col("c_name").alias("a"), F.when(c % 2 == 0, F.lit("2024-01-02 03:04:05").cast("timestamp")).alias("t"))
+    rows = table(spark, d, "customer").select(c.alias("c"), c.alias("b"), F.col("c_name").alias("a"),
+        F.when(c % 2 == 0, F.lit("2024-01-02 03:04:05").cast("timestamp")).alias("t"))
     return rows.select("c", sinks.canonical_json(rows, ["b", "a", "t"]).alias("json"))
 
 
@@ -187,10 +221,15 @@ def binding_gaps(spark: SparkSession, d: str) -> DataFrame:
 
     x = _lines(spark, d).select(F.col("k").cast("string").alias("pair"), F.col("i").alias("number"), "f")
     part = F.struct(F.lit("a").alias("label"), F.lit("text").alias("text"), F.lit(1).alias("marks"))
-    questions = x.select("pair", "number", _str("q", F.col("number")).alias("question_id"), F.lit("stem").alias("stem"), F.array(part).alias("parts"))
+    questions = x.select("pair", "number", _str("q", F.col("number")).alias("question_id"), F.lit("stem").alias("stem"),
+        F.array(part).alias("parts"))
     entries = x.where("f <> 'N'").select(
-        "pair", "number", F.col("number").alias("ord"), _str("e", F.col("number")).alias("entry_id"), _str(F.col("number"), F.when(F.col("f") == "R", "(a)").otherwise("(z)")).alias("label"), F.lit("x").alias("answer"),
-        F.array().cast("array<string>").alias("points"), F.array().cast("array<string>").alias("guidance"), F.lit(1).alias("marks"), F.lit(0.5).alias("confidence"))
+        "pair", "number", F.col("number").alias("ord"), _str("e", F.col("number")).alias("entry_id"),
+        _str(F.col("number"), F.when(F.col("f") == "R", "(a)").otherwise("(z)")).alias("label"),
+        F.lit("x").alias("answer"),
+        F.array().cast("array<string>").alias("points"), F.array().cast("array<string>").alias("guidance"),
+        F.lit(1).alias("marks"), F.lit(0.5).alias("confidence"))
     bound, _, unmatched = sittings.bind(questions, entries)
     lone = F.col("warning").startswith("Q")
-    return sittings.binding_warnings(bound, unmatched).groupBy("pair").agg(F.count_if(lone).alias("lone_parts"), F.count_if(~lone).alias("lone_entries"))
+    return sittings.binding_warnings(bound, unmatched).groupBy("pair").agg(F.count_if(lone).alias("lone_parts"),
+        F.count_if(~lone).alias("lone_entries"))

@@ -29,12 +29,19 @@ def package_checks(spark: SparkSession, d: str) -> DataFrame:
     qid = _str(k, "/", i)
     tables = {
         "paper": order.where(k % 50 != 0).select(k.alias("paper_id"), F.when(k % 7 != 0, "VALIDATED").alias("status")),
-        "paper_question": x.select(qid.alias("question_id"), k.alias("paper_id"), F.least(i, F.lit(3)).alias("ordinal"), F.lit("VALIDATED").alias("status")),
-        "question_part": x.select(_str(qid, "a").alias("question_part_id"), F.when(F.col("s") % 9 == 0, _str("lost ", qid)).otherwise(qid).alias("question_id"), F.lit("a").alias("anchor"), F.lit(1).alias("ordinal"), F.lit("ok").alias("status")),
-        "mark_scheme": order.select(F.floor(k / 4).alias("mark_scheme_id"), k.alias("paper_id"), F.lit("00").alias("content_sha256"), F.lit("ok").alias("status")),
-        "mark_point": x.select(_str(qid, "-p").alias("mark_point_id"), F.floor(k / 4).alias("mark_scheme_id"), F.when(F.col("f") == "R", F.when(F.col("p") % 6 == 0, "none").otherwise(_str(qid, "a"))).alias("question_part_id"), F.lit("ok").alias("status")),
+        "paper_question": x.select(qid.alias("question_id"), k.alias("paper_id"), F.least(i, F.lit(3)).alias("ordinal"),
+        F.lit("VALIDATED").alias("status")),
+        "question_part": x.select(_str(qid, "a").alias("question_part_id"),
+        F.when(F.col("s") % 9 == 0, _str("lost ", qid)).otherwise(qid).alias("question_id"), F.lit("a").alias("anchor"),
+        F.lit(1).alias("ordinal"), F.lit("ok").alias("status")),
+        "mark_scheme": order.select(F.floor(k / 4).alias("mark_scheme_id"), k.alias("paper_id"),
+        F.lit("00").alias("content_sha256"), F.lit("ok").alias("status")),
+        "mark_point": x.select(_str(qid, "-p").alias("mark_point_id"), F.floor(k / 4).alias("mark_scheme_id"),
+        F.when(F.col("f") == "R", F.when(F.col("p") % 6 == 0,
+        "none").otherwise(_str(qid, "a"))).alias("question_part_id"), F.lit("ok").alias("status")),
         "pictures": order}
-    return package.findings(tables).withColumn("check_id", F.col("check_id")).groupBy("check_id").agg(F.count(F.lit(1)).alias("n"))
+    return package.findings(tables).withColumn("check_id",
+        F.col("check_id")).groupBy("check_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""
@@ -45,13 +52,21 @@ UNION ALL SELECT 'no_points', count(*) FROM lineitem WHERE l_returnflag = 'N'
 """)
 def inventory_gates(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
-    papers = table(spark, d, "orders").select(k.alias("paper_id"), F.when(k % 7 == 0, "DRAFT").otherwise("VALIDATED").alias("status"), _str("q", k).alias("qp_document_id"), _str("m", k).alias("ms_document_id"))
-    identities = table(spark, d, "orders").where(k % 30 != 0).select(k.alias("paper_id"), F.when(k % 11 == 0, "other").otherwise(_str("q", k)).alias("qp_document_id"), _str("m", k).alias("ms_document_id"))
+    papers = table(spark, d, "orders").select(k.alias("paper_id"),
+        F.when(k % 7 == 0, "DRAFT").otherwise("VALIDATED").alias("status"), _str("q", k).alias("qp_document_id"),
+        _str("m", k).alias("ms_document_id"))
+    identities = table(spark, d, "orders").where(k % 30 != 0).select(k.alias("paper_id"),
+        F.when(k % 11 == 0, "other").otherwise(_str("q", k)).alias("qp_document_id"),
+        _str("m", k).alias("ms_document_id"))
     x = _lines(spark, d)
     vid = _str(F.col("k"), "/", F.col("i"))
-    versions = x.select(F.col("k").alias("paper_id"), vid.alias("version_id"), F.when(F.col("p") % 40 == 0, None).otherwise("VALIDATED").alias("status"), F.when(F.col("s") % 25 != 0, F.col("s")).alias("scheme_id"), F.when(F.col("s") % 35 == 0, "DRAFT").otherwise("VALIDATED").alias("scheme_status"))
+    versions = x.select(F.col("k").alias("paper_id"), vid.alias("version_id"),
+        F.when(F.col("p") % 40 == 0, None).otherwise("VALIDATED").alias("status"),
+        F.when(F.col("s") % 25 != 0, F.col("s")).alias("scheme_id"),
+        F.when(F.col("s") % 35 == 0, "DRAFT").otherwise("VALIDATED").alias("scheme_status"))
     points = x.where("f <> 'N'").select(vid.alias("version_id"))
-    return package.inventory_findings(papers, versions, points, identities).groupBy("check_id").agg(F.count(F.lit(1)).alias("n"))
+    return package.inventory_findings(papers, versions, points,
+        identities).groupBy("check_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""
@@ -59,7 +74,8 @@ WITH {_NUMBERED} SELECT k AS version_id, i AS ord, CASE WHEN f = 'N' THEN 'MP-'
 """)
 def inventory_points(spark: SparkSession, d: str) -> DataFrame:
     f, i = F.col("f"), F.col("i")
-    points = _lines(spark, d).select(F.col("k").alias("version_id"), i.alias("ord"), _case((f == "N", None), (f == "A", i.cast("string")), other=_str(i, "-b-ii")).alias("reference"))
+    points = _lines(spark, d).select(F.col("k").alias("version_id"), i.alias("ord"),
+        _case((f == "N", None), (f == "A", i.cast("string")), other=_str(i, "-b-ii")).alias("reference"))
     return package.inventory_points(points).select("version_id", "ord", "anchor", "part")
 
 
@@ -70,7 +86,9 @@ SELECT k AS doc_id, md AS markdown, sha256(md) AS sha256 FROM t
 def rendered_elements(spark: SparkSession, d: str) -> DataFrame:
     x = _lines(spark, d)
     heading = F.col("f") == "R"
-    return package.rendered(x.select(F.col("k").alias("doc_id"), F.col("i").alias("ord"), F.when(heading, "heading").otherwise("paragraph").alias("kind"), F.when(heading, F.col("i") % 3 + 1).alias("level"), _str("part ", F.col("p")).alias("text")))
+    return package.rendered(x.select(F.col("k").alias("doc_id"), F.col("i").alias("ord"),
+        F.when(heading, "heading").otherwise("paragraph").alias("kind"),
+        F.when(heading, F.col("i") % 3 + 1).alias("level"), _str("part ", F.col("p")).alias("text")))
 
 
 @query(f"""
@@ -81,9 +99,12 @@ FROM orders LEFT JOIN g ON o_orderkey = k
 """)
 def manifests(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
-    docs = table(spark, d, "orders").select(k.alias("doc_id"), F.lit("qp").alias("role"), _str("s", k).alias("sha256"), (k % 9).alias("n_pages"))
+    docs = table(spark, d, "orders").select(k.alias("doc_id"), F.lit("qp").alias("role"), _str("s", k).alias("sha256"),
+        (k % 9).alias("n_pages"))
     lost = F.col("f") == "N"
-    assets = _lines(spark, d).select(F.col("k").alias("doc_id"), F.col("i").alias("ord"), _str("c", F.col("i"), ".png").alias("name"), F.when(~lost, F.col("p").cast("string")).alias("sha256"), F.when(~lost, F.col("q").cast("long")).alias("bytes"), F.when(lost, "gone").alias("reason"))
+    assets = _lines(spark, d).select(F.col("k").alias("doc_id"), F.col("i").alias("ord"),
+        _str("c", F.col("i"), ".png").alias("name"), F.when(~lost, F.col("p").cast("string")).alias("sha256"),
+        F.when(~lost, F.col("q").cast("long")).alias("bytes"), F.when(lost, "gone").alias("reason"))
     return package.manifest(docs, assets, "layout")
 
 
@@ -93,9 +114,13 @@ SELECT mime, kind, count(*) AS n FROM (SELECT mime, unnest(CASE p % 4 WHEN 0 THE
 """)
 def parsed_by_media_type(spark: SparkSession, d: str) -> DataFrame:
     p = F.col("p_partkey")
-    path = _case((p % 4 == 0, _str("/x/", p, ".md")), (p % 4 == 1, _str("/x/", p, ".JSON")), (p % 4 == 2, _str("/x/notes/", p, ".md")), other=_str("/x/", p, ".bin"))
-    body = _case((p % 4 == 0, _str("# Part ", p, "\n\ntext")), (p % 4 == 1, _str('{"kids": [{"type": "heading", "content": "', p, '"}]}')), (p % 4 == 2, _str("- item ", p, "\n\nwords")), other=p.cast("string"))
-    files = table(spark, d, "part").select(path.alias("path"), engines.media_type(path).alias("mime"), body.cast("binary").alias("content"))
+    path = _case((p % 4 == 0, _str("/x/", p, ".md")), (p % 4 == 1, _str("/x/", p, ".JSON")),
+        (p % 4 == 2, _str("/x/notes/", p, ".md")), other=_str("/x/", p, ".bin"))
+    body = _case((p % 4 == 0, _str("# Part ", p, "\n\ntext")),
+        (p % 4 == 1, _str('{"kids": [{"type": "heading", "content": "', p, '"}]}')),
+        (p % 4 == 2, _str("- item ", p, "\n\nwords")), other=p.cast("string"))
+    files = table(spark, d, "part").select(path.alias("path"), engines.media_type(path).alias("mime"),
+        body.cast("binary").alias("content"))
     found, aside = engines.parse(files)
     ids = engines.identified(files, "2025-01-01T00:00:00Z").select("doc_id", "mime").distinct()
     rows = found.join(ids, "doc_id").select("mime", "kind").union(aside.select("mime", F.lit("set aside")))
@@ -111,7 +136,9 @@ def glyph_census(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
     glyph = F.element_at(F.array(*[F.lit(chr(0xE000 + j)) for j in range(5)]), (k % 5 + 1).cast("int"))
     control = F.element_at(F.array(*[F.lit(chr(1 + j)) for j in range(7)]), (k % 7 + 1).cast("int"))
-    docs = table(spark, d, "customer").select(k.alias("k"), F.concat(F.lit("a\tb"), F.repeat(glyph, (k % 3).cast("int")), F.lit("\n"), F.repeat(control, (k % 4).cast("int"))).alias("text"))
+    docs = table(spark, d, "customer").select(k.alias("k"),
+        F.concat(F.lit("a\tb"), F.repeat(glyph, (k % 3).cast("int")), F.lit("\n"),
+        F.repeat(control, (k % 4).cast("int"))).alias("text"))
     return glyphs.census(docs, "k", "text", {"\ue000": "x"}).select("k", "kind", "code_point", "n")
 
 
@@ -121,9 +148,11 @@ SELECT batch, count(*) AS n_texts, CAST(sum(n) AS BIGINT) AS n_artifacts, sum(n)
 """)
 def glyph_gate(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
-    said = F.concat(F.lit("text"), F.when(k % 9 == 0, "\ue001\uf8ff").otherwise(""), F.when(k % 8 == 0, "\x02").otherwise(""))
+    said = F.concat(F.lit("text"), F.when(k % 9 == 0, "\ue001\uf8ff").otherwise(""),
+        F.when(k % 8 == 0, "\x02").otherwise(""))
     docs = table(spark, d, "customer").select(k.alias("k"), F.col("c_nationkey").alias("batch"), said.alias("text"))
-    return glyphs.gate(docs, "k", "text", F.col("batch")).withColumn("failed", F.array_join(F.transform("failed", lambda x: x.cast("string")), ","))
+    return glyphs.gate(docs, "k", "text", F.col("batch")).withColumn("failed",
+        F.array_join(F.transform("failed", lambda x: x.cast("string")), ","))
 
 
 @query(r"""

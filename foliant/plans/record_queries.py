@@ -14,7 +14,8 @@ from foliant.sources import readers
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
     """(k, i, p, s, q, f): lines of orders numbered from 1."""
-    return _numbered(spark, d).select(F.col("l_orderkey").alias("k"), "i", F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"), "q", F.col("l_returnflag").alias("f"))
+    return _numbered(spark, d).select(F.col("l_orderkey").alias("k"), "i", F.col("l_partkey").alias("p"),
+        F.col("l_suppkey").alias("s"), "q", F.col("l_returnflag").alias("f"))
 
 
 def _case(*pairs: tuple[Column, str | Column | None], other: str | Column | None = None) -> Column:
@@ -38,8 +39,11 @@ UNION ALL SELECT id, 'line' FROM b WHERE NOT t AND NOT EXISTS (SELECT 1 FROM kep
 def drop_overlaps(spark: SparkSession, d: str) -> DataFrame:
     """Lines of an order as boxes of a page: not returned ones are text lines, the others tables."""
     x = _lines(spark, d)
-    box = {"x0": F.col("p") % 50, "y0": F.col("s") % 100, "x1": F.col("p") % 50 + 10 + F.col("q"), "y1": F.col("s") % 100 + 5 + F.col("i")}
-    blocks = x.select("k", (F.col("k") * 100 + F.col("i")).alias("id"), F.when(F.col("f") != "N", "table").otherwise("line").alias("kind"), F.lit("words").alias("text"), *[c.alias(n) for n, c in box.items()])
+    box = {"x0": F.col("p") % 50, "y0": F.col("s") % 100, "x1": F.col("p") % 50 + 10 + F.col("q"),
+        "y1": F.col("s") % 100 + 5 + F.col("i")}
+    blocks = x.select("k", (F.col("k") * 100 + F.col("i")).alias("id"),
+        F.when(F.col("f") != "N", "table").otherwise("line").alias("kind"), F.lit("words").alias("text"),
+        *[c.alias(n) for n, c in box.items()])
     return atoms.drop_overlaps(blocks, ["k"]).select("id", "kind")
 
 
@@ -49,8 +53,11 @@ SELECT kind, count(*) AS n FROM t GROUP BY kind
 """)
 def furniture_lines(spark: SparkSession, d: str) -> DataFrame:
     m = F.col("p_partkey") % 8
-    text = _case((m == 0, "Turn  over"), (m == 1, " BLANK PAGE. "), (m == 2, "Do not write in this area, please"), (m == 3, "Answer ALL questions..."), (m == 4, "(Total for Question 3 = 7 marks)"), (m == 5, "pmt"), other=F.col("p_name"))
-    return table(spark, d, "part").select(atoms.furniture(text).alias("kind")).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    text = _case((m == 0, "Turn  over"), (m == 1, " BLANK PAGE. "), (m == 2, "Do not write in this area, please"),
+        (m == 3, "Answer ALL questions..."), (m == 4, "(Total for Question 3 = 7 marks)"), (m == 5, "pmt"),
+        other=F.col("p_name"))
+    return table(spark, d,
+        "part").select(atoms.furniture(text).alias("kind")).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""
@@ -67,7 +74,8 @@ SELECT l_orderkey AS doc_id, count(*) AS n_pages, count(CASE WHEN l_discount * 1
   2 * count(CASE WHEN l_discount * 10 > 0.55 AND l_quantity * 10 < 250 THEN 1 END) > count(*) AS scanned FROM lineitem GROUP BY l_orderkey
 """)
 def page_kinds(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), (F.col("l_discount") * 10).alias("coverage"), (F.col("l_quantity") * 10).alias("n_chars"))
+    pages = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"),
+        (F.col("l_discount") * 10).alias("coverage"), (F.col("l_quantity") * 10).alias("n_chars"))
     return atoms.page_kinds(pages)
 
 
@@ -79,13 +87,17 @@ def layout_segments(spark: SparkSession, d: str) -> DataFrame:
     """A page for each question; totals of A lines are printed behind the last page, others where they belong."""
     x = _lines(spark, d)
     last = x.groupBy("k").agg(F.max("i").alias("last"))
-    line = lambda page, y, text: F.struct(page.cast("int").alias("page"), y.cast("double").alias("y0"), F.lit(10.0).alias("x0"), text.alias("text"))
+    line = lambda page, y, text: F.struct(page.cast("int").alias("page"), y.cast("double").alias("y0"),
+        F.lit(10.0).alias("x0"), text.alias("text"))
     i = F.col("i")
     total = _str("(Total for Question ", i, " = ", F.col("q"), " marks)")
     each = F.filter(F.array(
-        line(i, F.lit(10), _str(i, " Part ", F.col("p"))), line(i, F.lit(20), F.lit("is shipped.")), line(i, F.lit(790), F.lit("9 of the footer")),
-        F.when(F.col("f") == "R", line(i, F.lit(30), total)), F.when(F.col("f") == "A", line(F.col("last") + 1, i * 5, total))), lambda r: r.isNotNull())
-    rows = x.join(last, "k").select(F.col("k").cast("string").alias("doc_id"), F.explode(each).alias("r")).select("doc_id", "r.*")
+        line(i, F.lit(10), _str(i, " Part ", F.col("p"))), line(i, F.lit(20), F.lit("is shipped.")),
+        line(i, F.lit(790), F.lit("9 of the footer")),
+        F.when(F.col("f") == "R", line(i, F.lit(30), total)),
+        F.when(F.col("f") == "A", line(F.col("last") + 1, i * 5, total))), lambda r: r.isNotNull())
+    rows = x.join(last, "k").select(F.col("k").cast("string").alias("doc_id"),
+        F.explode(each).alias("r")).select("doc_id", "r.*")
     return atoms.segments(rows)
 
 
@@ -108,7 +120,8 @@ _PARTS = f"""{_NUMBERED}, x AS (SELECT k, chr(97 + CAST(i % 3 AS INTEGER)) AS pa
 
 def _parted(spark: SparkSession, d: str) -> DataFrame:
     return _lines(spark, d).select(
-        F.col("k").alias("key"), F.element_at(F.array(*map(F.lit, "abc")), (F.col("i") % 3 + 1).cast("int")).alias("part"),
+        F.col("k").alias("key"), F.element_at(F.array(*map(F.lit, "abc")),
+        (F.col("i") % 3 + 1).cast("int")).alias("part"),
         F.when(F.col("s") % 2 == 0, None).when(F.col("p") % 2 == 0, "i").otherwise("ii").alias("sub"), "q", "f", "i")
 
 
@@ -123,7 +136,8 @@ SELECT j.k AS key, j.part, j.sub, CAST(CASE WHEN j.sub IS NULL AND t IS NOT NULL
 def closed_parts(spark: SparkSession, d: str) -> DataFrame:
     x = _parted(spark, d)
     parts = x.groupBy("key", "part", "sub").agg(F.max(F.when(F.col("f") == "R", F.col("q"))).alias("marks"))
-    return atoms.close_parts(parts, x.where("f <> 'A'").select("key", "part", "sub", F.col("q").alias("marks"))).withColumn("marks", F.col("marks").cast("long"))
+    return atoms.close_parts(parts, x.where("f <> 'A'").select("key", "part", "sub",
+        F.col("q").alias("marks"))).withColumn("marks", F.col("marks").cast("long"))
 
 
 @query(f"""
@@ -132,8 +146,11 @@ WITH {_NUMBERED} SELECT CAST(k AS VARCHAR) AS doc_id, i AS ord, CASE WHEN f <> '
 def aligned_pages(spark: SparkSession, d: str) -> DataFrame:
     x = _lines(spark, d)
     doc = F.col("k").cast("string").alias("doc_id")
-    texts = x.select(doc, F.col("i").alias("ord"), F.when(F.col("f") == "N", _str("lost ", F.col("i"))).otherwise(_str(" part ", F.col("p"), "  line ", F.col("i"), "; ")).alias("text"))
-    pages = x.select(doc, F.col("i").alias("page"), _str("Order ", F.col("k"), "\n part ", F.col("p"), " line ", F.col("i"), "; more").alias("text"))
+    texts = x.select(doc, F.col("i").alias("ord"),
+        F.when(F.col("f") == "N", _str("lost ", F.col("i"))).otherwise(_str(" part ", F.col("p"), "  line ", F.col("i"),
+        "; ")).alias("text"))
+    pages = x.select(doc, F.col("i").alias("page"),
+        _str("Order ", F.col("k"), "\n part ", F.col("p"), " line ", F.col("i"), "; more").alias("text"))
     return atoms.align_pages(texts, pages)
 
 
@@ -142,10 +159,14 @@ SELECT c_custkey AS doc_id, CASE c_custkey % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'fai
 """)
 def identity_gate(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("c_custkey")
-    said = _case((c % 5 == 0, "Paper Reference 4CH1/1C (4CH1/1C)"), (c % 5 == 1, "WCH11/01"), (c % 5 == 2, "4CH1/1C and WCH11/01A"), other="none here, X4CH1/1C")
+    said = _case((c % 5 == 0, "Paper Reference 4CH1/1C (4CH1/1C)"), (c % 5 == 1, "WCH11/01"),
+        (c % 5 == 2, "4CH1/1C and WCH11/01A"), other="none here, X4CH1/1C")
     doc = table(spark, d, "customer").select(c.alias("doc_id"), F.explode(F.array(
-        F.struct(F.lit(1).alias("page"), said.alias("text")), F.struct(F.lit(2).alias("page"), F.lit("instructions").alias("text")), F.struct(F.lit(3).alias("page"), F.lit("4CH1/1C").alias("text")))).alias("r")).select("doc_id", "r.*")
-    return atoms.identity_gate(doc, table(spark, d, "customer").select(c.alias("doc_id"), F.lit("4CH1/1C").alias("reference")))
+        F.struct(F.lit(1).alias("page"), said.alias("text")),
+        F.struct(F.lit(2).alias("page"), F.lit("instructions").alias("text")),
+        F.struct(F.lit(3).alias("page"), F.lit("4CH1/1C").alias("text")))).alias("r")).select("doc_id", "r.*")
+    return atoms.identity_gate(doc, table(spark, d, "customer").select(c.alias("doc_id"),
+        F.lit("4CH1/1C").alias("reference")))
 
 
 @query(f"""
@@ -160,9 +181,11 @@ SELECT check_id, severity, count(*) AS n FROM (
 """)
 def scheme_integrity(spark: SparkSession, d: str) -> DataFrame:
     x = _lines(spark, d)
-    q = x.where("not (i = 2 and k % 6 = 0)").withColumn("total", F.when(F.col("f") != "N", F.col("q") + F.when(F.col("p") % 5 == 0, 1).otherwise(0)))
+    q = x.where("not (i = 2 and k % 6 = 0)").withColumn("total",
+        F.when(F.col("f") != "N", F.col("q") + F.when(F.col("p") % 5 == 0, 1).otherwise(0)))
     key = [F.col("k").alias("doc_id"), F.col("i").alias("question")]
-    points = q.select(*key, F.col("q").alias("marks"), F.when(F.col("s") % 17 == 0, " ").otherwise("text").alias("text"))
+    points = q.select(*key, F.col("q").alias("marks"),
+        F.when(F.col("s") % 17 == 0, " ").otherwise("text").alias("text"))
     witnesses = x.where("k % 4 <> 0").groupBy(F.col("k").alias("doc_id")).agg(F.sum("q").alias("total"))
     found = atoms.integrity_gate(q.select(*key, "total"), points, witnesses)
     return found.groupBy("check_id", "severity").agg(F.count(F.lit(1)).alias("n"))
@@ -176,7 +199,8 @@ SELECT k AS doc_id, CAST(sum(CASE f WHEN 'R' THEN 2 WHEN 'A' THEN 1 ELSE 0 END)
 def label_accounting(spark: SparkSession, d: str) -> DataFrame:
     x = _lines(spark, d).withColumn("doc_id", F.col("k"))
     f = F.col("f")
-    pages = x.select("doc_id", _case((f == "R", "M1 for it\nand A2(x) AM1 M123"), (f == "A", "B1 not, M10"), other="none").alias("text"))
+    pages = x.select("doc_id", _case((f == "R", "M1 for it\nand A2(x) AM1 M123"), (f == "A", "B1 not, M10"),
+        other="none").alias("text"))
     points = x.select("doc_id", F.when((f == "A") | (f == "R"), "M1").alias("label"))
     other = x.select("doc_id", F.when((f == "R") & (F.col("s") % 2 == 0), "see A2 (x)").otherwise("A 2").alias("text"))
     return atoms.label_accounting(pages, points, other)
@@ -188,8 +212,10 @@ o AS (SELECT *, min(CASE WHEN marks > 0 THEN i END) OVER (PARTITION BY k, part,
 SELECT k AS key, part, sub, ord, max(CASE WHEN i = ord THEN marks END) AS marks, coalesce(string_agg(CASE WHEN i <> ord THEN 'point ' || i END, '; ' ORDER BY i), '') AS alternatives FROM g GROUP BY k, part, sub, ord
 """)
 def merged_alternatives(spark: SparkSession, d: str) -> DataFrame:
-    points = _parted(spark, d).select("key", "part", "sub", F.col("i").alias("ord"), F.when(F.col("f") == "N", 0).otherwise(F.col("q")).alias("marks"), _str("point ", F.col("i")).alias("text"))
-    return atoms.merge_alternatives(points).select("key", "part", "sub", "ord", "marks", F.array_join("alternatives", "; ").alias("alternatives"))
+    points = _parted(spark, d).select("key", "part", "sub", F.col("i").alias("ord"),
+        F.when(F.col("f") == "N", 0).otherwise(F.col("q")).alias("marks"), _str("point ", F.col("i")).alias("text"))
+    return atoms.merge_alternatives(points).select("key", "part", "sub", "ord", "marks",
+        F.array_join("alternatives", "; ").alias("alternatives"))
 
 
 @query(f"""
@@ -198,8 +224,11 @@ SELECT k AS key, string_agg('- (' || part || ')' || CASE WHEN sub IS NULL THEN '
   || CASE WHEN q % 3 = 0 THEN ' — allow; ' || q ELSE '' END, chr(10) ORDER BY i) AS markdown FROM x GROUP BY k
 """)
 def rendered_points(spark: SparkSession, d: str) -> DataFrame:
-    notes_ = F.when(F.col("q") % 3 == 0, F.array(F.lit("allow"), F.col("q").cast("string"))).otherwise(F.array().cast("array<string>"))
-    return atoms.render_points(_parted(spark, d).select("key", "part", "sub", F.col("i").alias("ord"), _str("point ", F.col("i")).alias("text"), F.when(F.col("f") != "N", F.col("q")).alias("marks"), notes_.alias("notes")))
+    notes_ = F.when(F.col("q") % 3 == 0, F.array(F.lit("allow"),
+        F.col("q").cast("string"))).otherwise(F.array().cast("array<string>"))
+    return atoms.render_points(_parted(spark, d).select("key", "part", "sub", F.col("i").alias("ord"),
+        _str("point ", F.col("i")).alias("text"), F.when(F.col("f") != "N", F.col("q")).alias("marks"),
+        notes_.alias("notes")))
 
 
 @query("""
@@ -211,7 +240,8 @@ def json_leaf_diff(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
     made = lambda k, more: _str('{"k": ', k, more, "}")
     a = e.select("event_id", made(F.col("k"), F.lit("")).alias("json"))
-    b = e.select("event_id", made(F.when(F.col("event_id") % 5 == 0, F.col("k") + 1).otherwise(F.col("k")), F.when(F.col("event_id") % 7 == 0, ', "z": [1, {"a": "b"}]').otherwise("")).alias("json"))
+    b = e.select("event_id", made(F.when(F.col("event_id") % 5 == 0, F.col("k") + 1).otherwise(F.col("k")),
+        F.when(F.col("event_id") % 7 == 0, ', "z": [1, {"a": "b"}]').otherwise("")).alias("json"))
     return atoms.flat_diff(a, b, "event_id")
 
 
@@ -219,7 +249,9 @@ def json_leaf_diff(spark: SparkSession, d: str) -> DataFrame:
 
 def _illustrated(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("c_custkey")
-    return table(spark, d, "customer").select(c.alias("doc_id"), _str("![x](img/", c % 7, ".png) and <img class=\"a\" src='img/", c % 5, ".png'>\n![x](img/", c % 7, ".png) [no](img/9.png)").alias("text"))
+    return table(spark, d, "customer").select(c.alias("doc_id"),
+        _str("![x](img/", c % 7, ".png) and <img class=\"a\" src='img/", c % 5, ".png'>\n![x](img/", c % 7,
+        ".png) [no](img/9.png)").alias("text"))
 
 
 @query("""
@@ -235,7 +267,8 @@ SELECT c AS doc_id, CASE WHEN c % 2 = 0 THEN replace(t, 'img/' || (c % 7) || '.p
 """)
 def rewritten_urls(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("c_custkey")
-    mapping = table(spark, d, "customer").where(c % 2 == 0).select(c.alias("doc_id"), _str("img/", c % 7, ".png").alias("url"), _str("local/", c, ".png").alias("path"))
+    mapping = table(spark, d, "customer").where(c % 2 == 0).select(c.alias("doc_id"),
+        _str("img/", c % 7, ".png").alias("url"), _str("local/", c, ".png").alias("path"))
     return corpus.rewrite_urls(_illustrated(spark, d), mapping, "doc_id")
 
 
@@ -247,10 +280,12 @@ SELECT c AS doc_id, CASE WHEN c % 3 = 0 THEN 'keep' || chr(10) || 'see ![x](' ||
 def planned_removals(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("c_custkey")
     u = _str("u/", c, ".png")
-    docs = table(spark, d, "customer").select(c.alias("doc_id"), _str("keep\n![x](", u, ")\nsee ![x](", u, ") here\n<img src=\"", u, "\"/>").alias("text"))
+    docs = table(spark, d, "customer").select(c.alias("doc_id"),
+        _str("keep\n![x](", u, ")\nsee ![x](", u, ") here\n<img src=\"", u, "\"/>").alias("text"))
     removals = table(spark, d, "customer").where(c % 3 == 0).select(c.alias("doc_id"), u.alias("url"))
     edited, broken = corpus.plan_removal(docs, removals, "doc_id")
-    return edited.join(broken.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "doc_id", "left").select("doc_id", "text", F.coalesce("n", F.lit(0)).cast("long").alias("n_violations"))
+    return edited.join(broken.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "doc_id", "left").select("doc_id",
+        "text", F.coalesce("n", F.lit(0)).cast("long").alias("n_violations"))
 
 
 @query("""
@@ -267,8 +302,10 @@ SELECT * FROM j WHERE problem IS NOT NULL
 """)
 def verified_files(spark: SparkSession, d: str) -> DataFrame:
     p = F.col("p_partkey")
-    side = lambda where, content: table(spark, d, "part").where(where).select(_str("p/", p).alias("path"), F.sha2(content, 256).alias("sha256"))
-    return corpus.verify_files(side(p % 10 != 1, F.col("p_name")), side(p % 11 != 2, F.when(p % 9 == 0, "other").otherwise(F.col("p_name"))))
+    side = lambda where, content: table(spark, d, "part").where(where).select(_str("p/", p).alias("path"),
+        F.sha2(content, 256).alias("sha256"))
+    return corpus.verify_files(side(p % 10 != 1, F.col("p_name")),
+        side(p % 11 != 2, F.when(p % 9 == 0, "other").otherwise(F.col("p_name"))))
 
 
 @query("""
@@ -278,7 +315,8 @@ def orphan_references(spark: SparkSession, d: str) -> DataFrame:
     part = table(spark, d, "part")
     url = lambda c: _str("part ", F.col(c)).alias("url")
     refs = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), url("l_partkey"))
-    return corpus.orphans(refs, part.where("p_size < 40").select(url("p_partkey")), part.where("p_type = 'ECONOMY'").select(url("p_partkey"))).select("doc_id", "url")
+    return corpus.orphans(refs, part.where("p_size < 40").select(url("p_partkey")),
+        part.where("p_type = 'ECONOMY'").select(url("p_partkey"))).select("doc_id", "url")
 
 
 @query("""
@@ -294,18 +332,22 @@ def intake_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Four customers are a paper's files: one or two copies of the paper, schemes that may be missing or two, inserts."""
     c, k = F.col("c"), F.col("key")
     r = table(spark, d, "customer").select(F.floor(F.col("c_custkey") / 4).alias("key"), F.col("c_custkey").alias("c"))
-    kind = _case((c % 4 == 0, "qp"), (c % 4 == 1, "ms"), ((c % 4 == 2) & (k % 3 == 0), "qp"), (c % 4 == 2, "insert"), other="ms")
+    kind = _case((c % 4 == 0, "qp"), (c % 4 == 1, "ms"), ((c % 4 == 2) & (k % 3 == 0), "qp"), (c % 4 == 2, "insert"),
+        other="ms")
     given = r.where(~((c % 4 == 3) & (k % 5 != 0)) & ~((c % 4 == 1) & (k % 7 == 0))).withColumn("kind", kind)
-    found = given.select("key", "kind", F.sha2(F.when(F.col("kind") == "qp", _str("q", k)).otherwise(_str("c", c)), 256).alias("sha256"), _str("f", c).alias("file"))
+    found = given.select("key", "kind", F.sha2(F.when(F.col("kind") == "qp", _str("q", k)).otherwise(_str("c", c)),
+        256).alias("sha256"), _str("f", c).alias("file"))
     pairs, aside = corpus.intake_pairs(found, ["key"])
-    return pairs.select("key", F.lit("pair").alias("kind"), F.concat_ws("+", "qp", "ms").alias("file"), F.lit("OK").alias("reason")).union(aside.select("key", "kind", "file", "reason"))
+    return pairs.select("key", F.lit("pair").alias("kind"), F.concat_ws("+", "qp", "ms").alias("file"),
+        F.lit("OK").alias("reason")).union(aside.select("key", "kind", "file", "reason"))
 
 
 @query("""
 SELECT user_id, event_type, count(*) AS n_runs, count(DISTINCT CAST(floor(value / 25) AS BIGINT)) AS n_variants, count(DISTINCT CAST(floor(value / 25) AS BIGINT)) = 1 AS stable FROM events GROUP BY user_id, event_type
 """)
 def stable_runs(spark: SparkSession, d: str) -> DataFrame:
-    runs = table(spark, d, "events").select("user_id", "event_type", F.floor(F.col("value") / 25).cast("string").alias("content"))
+    runs = table(spark, d, "events").select("user_id", "event_type",
+        F.floor(F.col("value") / 25).cast("string").alias("content"))
     return corpus.stable(runs, ["user_id", "event_type"], "content")
 
 
@@ -314,7 +356,9 @@ SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN 'was ' || lang ELSE lang EN
 """)
 def rolled_back(spark: SparkSession, d: str) -> DataFrame:
     current = table(spark, d, "documents").select("doc_id", "lang", "source")
-    before = current.join(table(spark, d, "labels").where("toxic = 1").select("doc_id"), "doc_id", "left_semi").select("doc_id", _str("was ", F.col("lang")).alias("lang"), F.lit(None).cast("string").alias("source"))
+    before = current.join(table(spark, d, "labels").where("toxic = 1").select("doc_id"), "doc_id",
+        "left_semi").select("doc_id", _str("was ", F.col("lang")).alias("lang"),
+        F.lit(None).cast("string").alias("source"))
     return corpus.rollback(current, before, "doc_id", ["lang", "source"])
 
 
@@ -332,7 +376,8 @@ def record_flags(spark: SparkSession, d: str) -> DataFrame:
     key = [F.col("k").alias("doc_id"), F.col("i").alias("number")]
     plus = lambda m: F.when(F.col("p") % m == 0, 1).otherwise(0)
     q = x.where("i % 7 <> 0").select(*key, F.when(F.col("f") != "N", F.col("q")).alias("total"))
-    s = x.where("p % 11 <> 0").select(*key, F.when(F.col("s") % 4 != 0, F.col("q") + plus(5)).alias("ms_total"), (F.col("q") - plus(3)).alias("sum"))
+    s = x.where("p % 11 <> 0").select(*key, F.when(F.col("s") % 4 != 0, F.col("q") + plus(5)).alias("ms_total"),
+        (F.col("q") - plus(3)).alias("sum"))
     return records.paper_records(q, s).withColumn("flags", F.array_join("flags", ","))
 
 
@@ -342,10 +387,12 @@ SELECT l.k AS key, label, count(x.k) AS n, CAST(coalesce(sum(x.q), 0) AS BIGINT)
 """)
 def part_points(spark: SparkSession, d: str) -> DataFrame:
     x = _parted(spark, d)
-    label = F.when((F.col("i") % 2 == 0) | F.col("sub").isNull(), F.col("part")).otherwise(F.concat_ws("-", "part", "sub"))
+    label = F.when((F.col("i") % 2 == 0) | F.col("sub").isNull(),
+        F.col("part")).otherwise(F.concat_ws("-", "part", "sub"))
     parts = x.select("key", label.alias("label")).distinct()
     found = records.part_points(parts, x.where("f <> 'A'").select("key", "part", "sub", F.col("q").alias("marks")))
-    return found.groupBy("key", "label").agg(F.count("point_marks").alias("n"), F.coalesce(F.sum("point_marks"), F.lit(0)).alias("marks"))
+    return found.groupBy("key", "label").agg(F.count("point_marks").alias("n"),
+        F.coalesce(F.sum("point_marks"), F.lit(0)).alias("marks"))
 
 
 @query(f"""
@@ -355,7 +402,8 @@ SELECT x.k AS key, x.part, x.sub, i, letter FROM x LEFT JOIN a ON x.k = a.k AND
 def correct_options(spark: SparkSession, d: str) -> DataFrame:
     x = _parted(spark, d)
     letter = _case((F.col("q") % 4 == 0, "A"), (F.col("q") % 4 == 1, "B"), other="C")
-    return records.correct_options(x.select("key", "part", "sub", "i"), x.where("f = 'R'").select("key", "part", "sub", letter.alias("letter")))
+    return records.correct_options(x.select("key", "part", "sub", "i"),
+        x.where("f = 'R'").select("key", "part", "sub", letter.alias("letter")))
 
 
 @query("""
@@ -368,8 +416,10 @@ def figure_descriptions(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("c_custkey")
     base = table(spark, d, "customer")
     figures = base.select(F.floor(c / 5).alias("doc_id"), _str("Crop_", c % 5, ".png").alias("source_name"))
-    name = _case((c % 5 == 0, "out/CROP_0.PNG"), (c % 5 == 1, "p1-1.png"), (c % 5 == 2, "p1-2.png"), (c % 5 == 3, "p2_2.png"), other="other.png")
-    return records.attach_descriptions(figures, base.select(F.floor(c / 5).alias("doc_id"), name.alias("name"), _str("about ", c).alias("description")))
+    name = _case((c % 5 == 0, "out/CROP_0.PNG"), (c % 5 == 1, "p1-1.png"), (c % 5 == 2, "p1-2.png"),
+        (c % 5 == 3, "p2_2.png"), other="other.png")
+    return records.attach_descriptions(figures, base.select(F.floor(c / 5).alias("doc_id"), name.alias("name"),
+        _str("about ", c).alias("description")))
 
 
 @query(f"""
@@ -377,7 +427,9 @@ WITH {_PARTS}, o AS (SELECT k, i % 3 AS number, part, sub, i, row_number() OVER
 SELECT k AS doc_id, CAST(ord AS INTEGER) AS ord, 'e' || lpad(CAST(ord AS VARCHAR), 6, '0') AS element_id, 'Question ' || number AS section, 'q' || lpad(CAST(number AS VARCHAR), 2, '0') || coalesce('-' || sub, '') AS group_key FROM o
 """)
 def canonical_elements(spark: SparkSession, d: str) -> DataFrame:
-    blocks = _parted(spark, d).select(F.col("key").alias("doc_id"), (F.col("i") % 3).alias("number"), F.col("sub").alias("part"), F.col("i").alias("ord"), F.lit("paragraph").alias("kind"), F.lit("t").alias("text"), F.lit(1).alias("page"))
+    blocks = _parted(spark, d).select(F.col("key").alias("doc_id"), (F.col("i") % 3).alias("number"),
+        F.col("sub").alias("part"), F.col("i").alias("ord"), F.lit("paragraph").alias("kind"), F.lit("t").alias("text"),
+        F.lit(1).alias("page"))
     return records.canonical(blocks).select("doc_id", "ord", "element_id", "section", "group_key")
 
 
@@ -395,8 +447,10 @@ SELECT k AS doc_id, part AS number, string_agg(CASE WHEN sub IS NOT NULL AND n =
 def bank_markdown(spark: SparkSession, d: str) -> DataFrame:
     m = F.col("i") % 4
     blocks = _parted(spark, d).select(
-        F.col("key").alias("doc_id"), F.col("part").alias("number"), F.col("sub").alias("part"), F.col("i").alias("ord"), _case((m == 0, "figure"), (m == 1, "list_item"), other="paragraph").alias("kind"),
-        _case((m == 0, _str("img ", F.col("i"))), (m == 1, _str("item ", F.col("i"))), (m == 2, ""), other=_str("text ", F.col("i"))).alias("text"), F.lit("alt").alias("alt"))
+        F.col("key").alias("doc_id"), F.col("part").alias("number"), F.col("sub").alias("part"),
+        F.col("i").alias("ord"), _case((m == 0, "figure"), (m == 1, "list_item"), other="paragraph").alias("kind"),
+        _case((m == 0, _str("img ", F.col("i"))), (m == 1, _str("item ", F.col("i"))), (m == 2, ""),
+        other=_str("text ", F.col("i"))).alias("text"), F.lit("alt").alias("alt"))
     return records.bank_markdown(blocks)
 
 
@@ -409,9 +463,15 @@ SELECT check_id, count(*) AS n FROM (
 """)
 def validated_documents(spark: SparkSession, d: str) -> DataFrame:
     x = _lines(spark, d)
-    docs = x.select("k").distinct().select(F.col("k").alias("doc_id"), F.when(F.col("k") % 5 == 0, "MAY").otherwise("JUN").alias("series"), F.when(F.col("k") % 7 == 0, 1889).otherwise(2020).alias("year"), F.lit(4).alias("page_count"))
-    elements = x.select(F.col("k").alias("doc_id"), _str("e", F.when(F.col("i") == 3, 2).otherwise(F.col("i"))).alias("element_id"), F.col("i").alias("ord"), F.when(F.col("i") == 5, "blob").otherwise("paragraph").alias("kind"), F.col("i").alias("page"), (F.col("q") / 40).alias("confidence"))
-    sections = docs.select("doc_id", F.lit("s").alias("section"), F.array(F.lit("e1"), F.lit("e4")).alias("element_ids"))
+    docs = x.select("k").distinct().select(F.col("k").alias("doc_id"),
+        F.when(F.col("k") % 5 == 0, "MAY").otherwise("JUN").alias("series"),
+        F.when(F.col("k") % 7 == 0, 1889).otherwise(2020).alias("year"), F.lit(4).alias("page_count"))
+    elements = x.select(F.col("k").alias("doc_id"),
+        _str("e", F.when(F.col("i") == 3, 2).otherwise(F.col("i"))).alias("element_id"), F.col("i").alias("ord"),
+        F.when(F.col("i") == 5, "blob").otherwise("paragraph").alias("kind"), F.col("i").alias("page"),
+        (F.col("q") / 40).alias("confidence"))
+    sections = docs.select("doc_id", F.lit("s").alias("section"),
+        F.array(F.lit("e1"), F.lit("e4")).alias("element_ids"))
     return records.validate(docs, elements, sections).groupBy("check_id").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -421,7 +481,8 @@ m AS (SELECT *, sum(CASE WHEN regexp_matches(raw, '^[A-M]') THEN 1 ELSE 0 END) O
 SELECT doc_id, CAST(slice AS BIGINT) AS slice, CAST(min(line_no) AS INTEGER) AS first_line, CAST(max(line_no) AS INTEGER) AS last_line, count(*) AS n_lines FROM m WHERE slice > 0 GROUP BY doc_id, slice
 """)
 def line_slices(spark: SparkSession, d: str) -> DataFrame:
-    return records.slices(lines.explode_lines(table(spark, d, "documents"), "doc_id"), "doc_id", F.col("raw").rlike("^[A-M]"))
+    return records.slices(lines.explode_lines(table(spark, d, "documents"), "doc_id"), "doc_id",
+        F.col("raw").rlike("^[A-M]"))
 
 
 @query("""
@@ -429,7 +490,8 @@ SELECT s_suppkey AS id, s_name AS name, CASE WHEN s_suppkey % 3 = 0 THEN 'none'
 """)
 def upgraded_manifest(spark: SparkSession, d: str) -> DataFrame:
     s = F.col("s_suppkey")
-    old = table(spark, d, "supplier").select(s.alias("id"), F.col("s_name").alias("name"), F.when(s % 3 != 0, _str("v", s)).alias("tag"))
+    old = table(spark, d, "supplier").select(s.alias("id"), F.col("s_name").alias("name"),
+        F.when(s % 3 != 0, _str("v", s)).alias("tag"))
     return records.upgrade_manifest(old, {"tag": F.lit("none"), "version": F.lit(2)})
 
 
@@ -438,7 +500,8 @@ SELECT o_custkey AS batch_id, count(*) AS n FROM orders WHERE o_orderkey % 2 = 0
 """)
 def appended_log(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("batch_id"), F.col("o_orderkey").alias("row"))
-    return records.append_log(o.where("row % 2 = 0"), o.where("row % 2 = 1")).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    return records.append_log(o.where("row % 2 = 0"),
+        o.where("row % 2 = 1")).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""
@@ -448,9 +511,11 @@ def applied_embeddings(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings")
     bank = e.select("vec_id", "embedding", F.lit(1).alias("embed_rev"))
     size = e.select(F.size("embedding").alias("n")).first()[0]
-    fresh = e.where("label % 2 = 0").select("vec_id", F.transform("embedding", lambda x: x * F.lit(2.0).cast("float")).alias("embedding"))
+    fresh = e.where("label % 2 = 0").select("vec_id",
+        F.transform("embedding", lambda x: x * F.lit(2.0).cast("float")).alias("embedding"))
     out, _ = records.apply_embeddings(bank, fresh, "vec_id", size, 2)
-    return out.select("vec_id", "embed_rev", F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double")), 3).alias("total"))
+    return out.select("vec_id", "embed_rev", F.round(F.aggregate("embedding", F.lit(0.0), lambda s,
+        x: s + x.cast("double")), 3).alias("total"))
 
 
 # Files, images and notes
@@ -475,10 +540,13 @@ def image_records(spark: SparkSession, d: str) -> DataFrame:
     big = lambda c: F.lpad(F.hex(c), 8, "0")
     byte = lambda c, k: F.lpad(F.hex(F.floor(c / 256**k) % 256), 2, "0")
     little = lambda c, n: F.concat(*[byte(c, k) for k in range(n)])
-    raw = _case((p % 5 == 0, F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), big(w), big(h))), (p % 5 == 1, F.concat(F.lit("474946383961"), little(w, 2), little(h, 2))), (p % 5 == 2, "FFD8FFE0"),
-                (p % 5 == 3, F.concat(F.lit("424D00000000000000000000000000000000"), little(w, 4), little(h, 4))), other="00FF")
+    raw = _case((p % 5 == 0, F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), big(w), big(h))),
+        (p % 5 == 1, F.concat(F.lit("474946383961"), little(w, 2), little(h, 2))), (p % 5 == 2, "FFD8FFE0"),
+                (p % 5 == 3, F.concat(F.lit("424D00000000000000000000000000000000"), little(w, 4), little(h, 4))),
+                other="00FF")
     ending = _case((p % 5 == 0, ".png"), (p % 5 == 1, ".gif"), (p % 5 == 2, ".jpg"), (p % 5 == 3, ".png"), other=".bin")
-    files = table(spark, d, "part").select(F.concat(F.lit("f/"), p.cast("string"), ending).alias("path"), F.unhex(raw).alias("content"))
+    files = table(spark, d, "part").select(F.concat(F.lit("f/"), p.cast("string"), ending).alias("path"),
+        F.unhex(raw).alias("content"))
     return readers.images(files).select("path", "mime_type", "format_mismatch", "size.width", "size.height")
 
 
@@ -490,9 +558,12 @@ SELECT doc_id, ref, CASE WHEN doc_id % 5 < 2 THEN NULL ELSE coalesce(ep, CASE WH
 """)
 def resolved_assets(spark: SparkSession, d: str) -> DataFrame:
     s, c = F.col("s_suppkey"), F.col("c_custkey")
-    assets = table(spark, d, "supplier").select(_case((s % 4 == 0, "x/same.png"), (s % 4 == 1, "y/same.png"), other=_str("z/", s, ".png")).alias("relative_path"))
-    ref = _case((c % 5 == 0, "/z/2.png"), (c % 5 == 1, "z/../2.png"), (c % 5 == 2, "q/same.png"), (c % 5 == 3, _str("z/", c % 40, ".png")), other=_str("w/", c % 40, ".png"))
-    return readers.resolve_assets(table(spark, d, "customer").select(c.alias("doc_id"), ref.alias("ref")), assets, ["doc_id"], "ref")
+    assets = table(spark, d, "supplier").select(_case((s % 4 == 0, "x/same.png"), (s % 4 == 1, "y/same.png"),
+        other=_str("z/", s, ".png")).alias("relative_path"))
+    ref = _case((c % 5 == 0, "/z/2.png"), (c % 5 == 1, "z/../2.png"), (c % 5 == 2, "q/same.png"),
+        (c % 5 == 3, _str("z/", c % 40, ".png")), other=_str("w/", c % 40, ".png"))
+    return readers.resolve_assets(table(spark, d, "customer").select(c.alias("doc_id"), ref.alias("ref")), assets,
+        ["doc_id"], "ref")
 
 
 @query("""
@@ -501,8 +572,11 @@ SELECT CAST(c_custkey AS VARCHAR) AS doc_id, unnest([0, 1, 2, 3]) AS ord, unnest
 """)
 def engine_elements(spark: SparkSession, d: str) -> DataFrame:
     """An engine's tree for each customer: a heading, a paragraph inside an unknown kind, a list and a table."""
-    text = _str('{"kids": [{"type": "Heading", "heading level": 1, "content": "', F.col("c_name"), '", "page number": 1}, {"type": "blob", "kids": [{"type": "paragraph", "content": "In ', F.col("c_mktsegment"),
-                '", "page number": 1}]}, {"type": "list", "list items": [{"type": "list item", "content": "item ', F.col("c_custkey"), '", "page number": 2}]}, {"type": "table", "page number": 2, "rows": [{"cells": [{"content": "x"}]}]}]}')
+    text = _str('{"kids": [{"type": "Heading", "heading level": 1, "content": "', F.col("c_name"),
+        '", "page number": 1}, {"type": "blob", "kids": [{"type": "paragraph", "content": "In ', F.col("c_mktsegment"),
+                '", "page number": 1}]}, {"type": "list", "list items": [{"type": "list item", "content": "item ',
+                F.col("c_custkey"),
+                '", "page number": 2}]}, {"type": "table", "page number": 2, "rows": [{"cells": [{"content": "x"}]}]}]}')
     docs = table(spark, d, "customer").select(F.col("c_custkey").alias("doc_id"), text.alias("json"))
     return readers.engine_json(docs, "doc_id").select("doc_id", "ord", "kind", "text", "level", "page")
 
@@ -513,11 +587,14 @@ UNION ALL SELECT 'notes ' || p_partkey || '.txt', sha256(p_name), NULL, NULL, 'n
 """)
 def archive_records(spark: SparkSession, d: str) -> DataFrame:
     p = F.col("p_partkey")
-    name = F.when(p % 9 == 0, _str("notes ", p, ".txt")).otherwise(_str("wch_", p, "_", F.when(p % 2 == 0, "qp").otherwise("ms"), ".pdf"))
-    found = table(spark, d, "part").select(F.concat(F.lit("/in/"), name).alias("path"), F.col("p_name").cast("binary").alias("content"))
+    name = F.when(p % 9 == 0, _str("notes ", p, ".txt")).otherwise(_str("wch_", p, "_",
+        F.when(p % 2 == 0, "qp").otherwise("ms"), ".pdf"))
+    found = table(spark, d, "part").select(F.concat(F.lit("/in/"), name).alias("path"),
+        F.col("p_name").cast("binary").alias("content"))
     kept, aside = readers.archive(found, r"wch_(\d+)_(qp|ms)\.pdf", ["unit", "role"])
     null = F.lit(None).cast("string")
-    return kept.select("file", "sha256", "unit", "role", F.lit("kept").alias("status")).union(aside.select("file", "sha256", null, null, "reason"))
+    return kept.select("file", "sha256", "unit", "role",
+        F.lit("kept").alias("status")).union(aside.select("file", "sha256", null, null, "reason"))
 
 
 @query("""
@@ -526,8 +603,10 @@ SELECT CAST(c_custkey AS VARCHAR) AS k, unnest([0, 1, 2, 3, 4]) AS ord, unnest([
 """)
 def note_elements(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("c_custkey")
-    body = _str("## ", F.col("c_name"), "\nLives in ", F.col("c_nationkey"), "\nand buys.\n\n- item ", c, "\n![x](a/b", c, ".png)\n| a | b |\n| --- | --- |\n| 1 | 2 |\n")
-    return notes.elements(table(spark, d, "customer").select(c.alias("k"), body.alias("body")), "k").select(F.col("doc_id").alias("k"), "ord", "kind", "text", "level", "url")
+    body = _str("## ", F.col("c_name"), "\nLives in ", F.col("c_nationkey"), "\nand buys.\n\n- item ", c, "\n![x](a/b",
+        c, ".png)\n| a | b |\n| --- | --- |\n| 1 | 2 |\n")
+    return notes.elements(table(spark, d, "customer").select(c.alias("k"), body.alias("body")),
+        "k").select(F.col("doc_id").alias("k"), "ord", "kind", "text", "level", "url")
 
 
 @query("""
@@ -535,7 +614,8 @@ SELECT CAST(c_custkey AS VARCHAR) AS k, CAST(c_custkey % 3 AS INTEGER) AS inline
 """)
 def note_statistics(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("c_custkey")
-    body = F.concat(F.repeat(F.lit("cost \\$5 is $x$ here\n"), (c % 3).cast("int")), F.when(c % 2 == 1, "\n> **Spec point** 1.2\n").otherwise("\n> a quote\n"))
+    body = F.concat(F.repeat(F.lit("cost \\$5 is $x$ here\n"), (c % 3).cast("int")),
+        F.when(c % 2 == 1, "\n> **Spec point** 1.2\n").otherwise("\n> a quote\n"))
     return notes.statistics(table(spark, d, "customer").select(c.alias("k"), body.alias("body")), "k")
 
 
@@ -551,10 +631,14 @@ def note_sidecars(spark: SparkSession, d: str) -> DataFrame:
     s = F.col("s_suppkey")
     base = table(spark, d, "supplier")
     own = base.select(F.create_map(F.lit("note_id"), _str("rn_", s)).alias("meta"))
-    row = lambda where, id_, params, schema: base.where(where).select(id_.alias("note_id"), params.alias("params"), schema.alias("schema"))
-    side = row(s >= 0, _str("rn_", s), _str("p", s), F.when(s % 3 == 0, "v0").otherwise("v1")).union(row((s % 3 != 0) & (s % 4 == 0), _str("rn_", s), _str("q", s), F.lit("v1"))).union(row(s % 5 == 0, _str("rn_x", s), _str("p", s), F.lit("v1")))
+    row = lambda where, id_, params, schema: base.where(where).select(id_.alias("note_id"), params.alias("params"),
+        schema.alias("schema"))
+    side = row(s >= 0, _str("rn_", s), _str("p", s),
+        F.when(s % 3 == 0, "v0").otherwise("v1")).union(row((s % 3 != 0) & (s % 4 == 0), _str("rn_", s), _str("q", s),
+        F.lit("v1"))).union(row(s % 5 == 0, _str("rn_x", s), _str("p", s), F.lit("v1")))
     joined, aside = readers.with_sidecar(own, side, "v1")
-    return joined.select("note_id", "sidecar", F.lit(None).cast("string").alias("reason")).union(aside.select("note_id", "params", "reason"))
+    return joined.select("note_id", "sidecar", F.lit(None).cast("string").alias("reason")).union(aside.select("note_id",
+        "params", "reason"))
 
 
 # Glyphs, retrieval and joins
@@ -563,7 +647,8 @@ def note_sidecars(spark: SparkSession, d: str) -> DataFrame:
 SELECT doc_id, replace(replace(replace(text, 'ung', 'U'), 'th', 'T'), 'é', '') AS text, CAST(length(replace(replace(replace(text, 'ung', 'U'), 'th', 'T'), 'é', '')) - length(text) AS INTEGER) AS length_delta FROM documents
 """)
 def normalised_glyphs(spark: SparkSession, d: str) -> DataFrame:
-    return glyphs.normalise(table(spark, d, "documents").select("doc_id", "text"), "text", {"ung": "U", "th": "T", "é": ""})
+    return glyphs.normalise(table(spark, d, "documents").select("doc_id", "text"), "text",
+        {"ung": "U", "th": "T", "é": ""})
 
 
 @query("""
@@ -571,7 +656,8 @@ SELECT doc_id FROM documents WHERE contains(replace(text, 'sch', 's'), 'sch')
 """)
 def second_pass(spark: SparkSession, d: str) -> DataFrame:
     """A table whose values may make a key again: rows that a second pass would change."""
-    return glyphs.idempotent(table(spark, d, "documents").select("doc_id", "text"), "text", {"sch": "s"}).select("doc_id")
+    return glyphs.idempotent(table(spark, d, "documents").select("doc_id", "text"), "text",
+        {"sch": "s"}).select("doc_id")
 
 
 @query(f"""
@@ -583,8 +669,11 @@ def retrieval_chunks(spark: SparkSession, d: str) -> DataFrame:
     """Elements of a hundred tokens each, three to a chunk; all of an order on one page."""
     x = _lines(spark, d)
     page = x.groupBy("k").agg(F.min("q").alias("page"))
-    elements = x.join(page, "k").select(F.col("k").alias("doc_id"), "page", F.col("i").alias("ord"), _str("e", F.col("i")).alias("element_id"), F.rpad(_str("element ", F.col("p"), " "), 400, ".").alias("text"), F.lit(None).cast("string").alias("group_key"))
-    return bridges.chunks(elements).select("doc_id", "chunk", "content_sha256", "page_start", "page_end", F.array_join("element_ids", ",").alias("element_ids"), F.col("tokens").cast("long").alias("tokens"))
+    elements = x.join(page, "k").select(F.col("k").alias("doc_id"), "page", F.col("i").alias("ord"),
+        _str("e", F.col("i")).alias("element_id"), F.rpad(_str("element ", F.col("p"), " "), 400, ".").alias("text"),
+        F.lit(None).cast("string").alias("group_key"))
+    return bridges.chunks(elements).select("doc_id", "chunk", "content_sha256", "page_start", "page_end",
+        F.array_join("element_ids", ",").alias("element_ids"), F.col("tokens").cast("long").alias("tokens"))
 
 
 @query("""
@@ -602,9 +691,13 @@ WITH {_NUMBERED} SELECT k AS doc_id, i AS number, i || CASE WHEN i % 2 = 0 THEN
 """)
 def loose_questions(spark: SparkSession, d: str) -> DataFrame:
     i = F.col("i")
-    three = F.array(F.concat(_str(i), F.when(i % 2 == 0, ". ").otherwise(" "), _str("Part ", F.col("p"))), F.lit("Turn over"), F.concat(F.lit("tail"), F.when(F.col("f") == "R", _str(" (", F.col("q"), ")")).otherwise("")))
-    rows = _lines(spark, d).select(F.col("k").alias("doc_id"), i.alias("at"), F.posexplode(three).alias("j", "raw")).select("doc_id", (F.col("at") * 3 + F.col("j")).alias("line_no"), "raw")
-    return bridges.loose_questions(rows).select("doc_id", "number", "text", "marks", F.col("confidence").cast("double").alias("confidence"))
+    three = F.array(F.concat(_str(i), F.when(i % 2 == 0, ". ").otherwise(" "), _str("Part ", F.col("p"))),
+        F.lit("Turn over"), F.concat(F.lit("tail"), F.when(F.col("f") == "R",
+        _str(" (", F.col("q"), ")")).otherwise("")))
+    rows = _lines(spark, d).select(F.col("k").alias("doc_id"), i.alias("at"),
+        F.posexplode(three).alias("j", "raw")).select("doc_id", (F.col("at") * 3 + F.col("j")).alias("line_no"), "raw")
+    return bridges.loose_questions(rows).select("doc_id", "number", "text", "marks",
+        F.col("confidence").cast("double").alias("confidence"))
 
 
 @query(f"""
@@ -615,9 +708,13 @@ UNION ALL SELECT k, i || '-a-ii', 1, 'roman', 1, CAST(0.55 AS DOUBLE) FROM n WHE
 """)
 def loose_points(spark: SparkSession, d: str) -> DataFrame:
     i = F.col("i")
-    two = F.array(F.concat(F.when(i % 2 == 0, _str(i, " a ")).otherwise(_str(i, "(a) ")), _str("point ", F.col("p"), " (2)")), F.when(F.col("f") == "R", _str("M2 more ", F.col("s"))).otherwise("ii roman"))
-    rows = _lines(spark, d).select(F.col("k").alias("doc_id"), i.alias("at"), F.posexplode(two).alias("j", "raw")).select("doc_id", (F.col("at") * 2 + F.col("j")).alias("line_no"), "raw")
-    return bridges.loose_points(rows).select("doc_id", "ref", "ordinal", "text", "marks", F.col("confidence").cast("double").alias("confidence"))
+    two = F.array(F.concat(F.when(i % 2 == 0, _str(i, " a ")).otherwise(_str(i, "(a) ")),
+        _str("point ", F.col("p"), " (2)")), F.when(F.col("f") == "R",
+        _str("M2 more ", F.col("s"))).otherwise("ii roman"))
+    rows = _lines(spark, d).select(F.col("k").alias("doc_id"), i.alias("at"),
+        F.posexplode(two).alias("j", "raw")).select("doc_id", (F.col("at") * 2 + F.col("j")).alias("line_no"), "raw")
+    return bridges.loose_points(rows).select("doc_id", "ref", "ordinal", "text", "marks",
+        F.col("confidence").cast("double").alias("confidence"))
 
 
 @query("""
@@ -627,8 +724,10 @@ SELECT l.id, (SELECT r.s FROM r WHERE r.nk = l.nk ORDER BY abs(r.at - l.at), r.a
 """)
 def nearest_supplier(spark: SparkSession, d: str) -> DataFrame:
     """For each customer the supplier of the nation whose balance is nearest."""
-    left = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nk"), F.col("c_acctbal").alias("at"))
-    right = table(spark, d, "supplier").select(F.col("s_suppkey").alias("supplier"), F.col("s_nationkey").alias("nk"), F.col("s_acctbal").alias("at"))
+    left = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nk"),
+        F.col("c_acctbal").alias("at"))
+    right = table(spark, d, "supplier").select(F.col("s_suppkey").alias("supplier"), F.col("s_nationkey").alias("nk"),
+        F.col("s_acctbal").alias("at"))
     return reconcile.nearest(left, right, ["nk"], "at", "supplier").select("id", "supplier")
 
 
@@ -636,7 +735,8 @@ def nearest_supplier(spark: SparkSession, d: str) -> DataFrame:
 SELECT event_id, last_value(CASE WHEN event_type = 'error' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_error FROM events
 """)
 def asof_owner(spark: SparkSession, d: str) -> DataFrame:
-    return reconcile.asof_owner(table(spark, d, "events"), "user_id", "event_id", F.col("event_type") == "error", F.col("event_id"), "last_error").select("event_id", "last_error")
+    return reconcile.asof_owner(table(spark, d, "events"), "user_id", "event_id", F.col("event_type") == "error",
+        F.col("event_id"), "last_error").select("event_id", "last_error")
 
 
 @query("""
@@ -645,6 +745,9 @@ SELECT check_id, count(*) AS n FROM (SELECT 'repeated:parts' AS check_id FROM (S
 def package_findings(spark: SparkSession, d: str) -> DataFrame:
     """What stops a package: repeated names and lines whose part is left out."""
     part = table(spark, d, "part")
-    found = [gates.findings(gates.repeated_keys(part, ["p_name"]), F.col("p_name"), "repeated:parts", "fail", F.col("count")),
-             gates.findings(gates.dangling(table(spark, d, "lineitem").withColumnRenamed("l_partkey", "p_partkey"), ["p_partkey"], part.where("p_size < 40")), F.col("p_partkey"), "dangling:lines:small", "fail", F.lit("part"))]
+    found = [gates.findings(gates.repeated_keys(part, ["p_name"]), F.col("p_name"), "repeated:parts", "fail",
+        F.col("count")),
+             gates.findings(gates.dangling(table(spark, d, "lineitem").withColumnRenamed("l_partkey", "p_partkey"),
+             ["p_partkey"], part.where("p_size < 40")), F.col("p_partkey"), "dangling:lines:small", "fail",
+             F.lit("part"))]
     return gates.all_findings(found).groupBy("check_id").agg(F.count(F.lit(1)).alias("n"))

@@ -37,7 +37,8 @@ def marks_suite(spark: SparkSession, d: str) -> DataFrame:
     scheme_total = q + F.when(F.col("p") % 50 == 0, 1).otherwise(0)
     scheme = x.select("doc_id", "number", scheme_total.alias("total"), (F.col("s") % 10 != 0).alias("arithmetic_ok"))
     witnesses = x.where(k % 4 != 0).groupBy("doc_id").agg(F.sum("q").alias("value"))
-    second = x.where(~((k % 10 == 0) & (i == 3))).select("doc_id", "number", F.when((k % 9 == 0) & (i == 2), total + 1).otherwise(total).alias("total"))
+    second = x.where(~((k % 10 == 0) & (i == 3))).select("doc_id", "number",
+        F.when((k % 9 == 0) & (i == 2), total + 1).otherwise(total).alias("total"))
     sequence = x.where(~((k % 8 == 0) & (i == 1))).select("doc_id", "number", scheme_total.alias("total"))
     reference = x.where(i == 1).select("doc_id", "number", (q + F.when(k % 12 == 0, 1).otherwise(0)).alias("total"))
     found = suites.marks(_documents(spark, d), paper, scheme, witnesses, sequence, second, reference)
@@ -55,12 +56,15 @@ FROM docs LEFT JOIN g USING (k) LEFT JOIN e USING (k)
 def scheme_only_suite(spark: SparkSession, d: str) -> DataFrame:
     x = _lines(spark, d).withColumn("doc_id", F.col("k"))
     docs = _documents(spark, d)
-    scheme = x.where("not (k % 6 = 0 and i = 2)").select("doc_id", F.col("i").alias("number"), F.when(F.col("p") % 40 != 0, F.col("q")).alias("total"), (F.col("s") % 10 != 0).alias("arithmetic_ok"), F.when(F.col("q") % 25 == 0, 0).otherwise(F.col("q")).alias("n_points"))
+    scheme = x.where("not (k % 6 = 0 and i = 2)").select("doc_id", F.col("i").alias("number"),
+        F.when(F.col("p") % 40 != 0, F.col("q")).alias("total"), (F.col("s") % 10 != 0).alias("arithmetic_ok"),
+        F.when(F.col("q") % 25 == 0, 0).otherwise(F.col("q")).alias("n_points"))
     labels = docs.select("doc_id", (F.col("doc_id") % 11 != 0).alias("accounted"))
     refs = x.select("doc_id", _str("a/", F.col("i")).alias("path"))
     files = x.where("s % 30 <> 0").select("doc_id", _str("a/", F.col("i")).alias("path"))
     embedded = x.groupBy("doc_id").agg((F.count(F.lit(1)) + F.when(F.first("k") % 7 == 0, 1).otherwise(0)).alias("n"))
-    return suites.verdicts(suites.scheme_only(docs, scheme, labels, refs, files, embedded)).select("subject", F.array_join("failed", ",").alias("failed"))
+    return suites.verdicts(suites.scheme_only(docs, scheme, labels, refs, files, embedded)).select("subject",
+        F.array_join("failed", ",").alias("failed"))
 
 
 @query(f"""
@@ -80,14 +84,23 @@ def cleaned_suite(spark: SparkSession, d: str) -> DataFrame:
     docs = _documents(spark, d)
     k, i = F.col("k"), F.col("i")
     label = F.when(i % 2 == 0, "a").alias("label")
-    warn = lambda df, more: df.select("doc_id", F.explode(F.array_compact(F.array(F.lit("lost line: 3"), F.when(more, F.lit("odd mark: x")), F.lit("page 2 boilerplate-removed")))).alias("text"))
+    warn = lambda df, more: df.select("doc_id", F.explode(F.array_compact(F.array(F.lit("lost line: 3"),
+        F.when(more, F.lit("odd mark: x")), F.lit("page 2 boilerplate-removed")))).alias("text"))
     raw = {
-        "questions": x.select("doc_id", "number"), "parts": x.select("doc_id", "number", label, F.col("q").alias("marks")), "totals": x.where(~((k % 17 == 0) & (i == 2))).select("doc_id", "number", F.col("q").alias("total")),
-        "points": x.select("doc_id"), "warnings": warn(x, F.lit(False)), "conflicts": docs.select("doc_id", F.when(F.col("doc_id") % 4 != 3, F.col("doc_id") % 4 == 2).alias("conflict"))}
+        "questions": x.select("doc_id", "number"), "parts": x.select("doc_id", "number", label,
+        F.col("q").alias("marks")), "totals": x.where(~((k % 17 == 0) & (i == 2))).select("doc_id", "number",
+        F.col("q").alias("total")),
+        "points": x.select("doc_id"), "warnings": warn(x, F.lit(False)),
+        "conflicts": docs.select("doc_id", F.when(F.col("doc_id") % 4 != 3,
+        F.col("doc_id") % 4 == 2).alias("conflict"))}
     clean = {
-        "questions": c.select("doc_id", "number"), "parts": c.select("doc_id", "number", label, (F.col("q") + F.when(F.col("p") % 70 == 0, 1).otherwise(0)).alias("marks")),
-        "totals": c.select("doc_id", "number", (F.col("q") + F.when(F.col("s") % 60 == 0, 1).otherwise(0)).alias("total")), "points": x.select("doc_id").union(x.where((k % 13 == 0) & (i == 1)).select("doc_id")),
-        "warnings": warn(x, (F.col("f") == "R") & (k % 3 == 0)), "conflicts": docs.select("doc_id", (F.col("doc_id") % 4).isin(1, 2).alias("conflict"))}
+        "questions": c.select("doc_id", "number"), "parts": c.select("doc_id", "number", label,
+        (F.col("q") + F.when(F.col("p") % 70 == 0, 1).otherwise(0)).alias("marks")),
+        "totals": c.select("doc_id", "number", (F.col("q") + F.when(F.col("s") % 60 == 0,
+        1).otherwise(0)).alias("total")), "points": x.select("doc_id").union(x.where((k % 13 == 0)
+        & (i == 1)).select("doc_id")),
+        "warnings": warn(x, (F.col("f") == "R") & (k % 3 == 0)),
+        "conflicts": docs.select("doc_id", (F.col("doc_id") % 4).isin(1, 2).alias("conflict"))}
     return suites.cleaned(raw, clean, docs).groupBy("check_id", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -100,8 +113,11 @@ SELECT check_id, count(*) AS n FROM (SELECT 'unknown_paper' AS check_id FROM b W
 def bank_battery(spark: SparkSession, d: str) -> DataFrame:
     x = _lines(spark, d).withColumn("doc_id", F.col("k"))
     k = F.col("doc_id")
-    products = x.where(k % 20 != 0).groupBy("doc_id").agg((F.count(F.lit(1)) + F.when(F.first("k") % 9 == 0, 1).otherwise(0)).alias("n_questions"), (F.sum("q") + F.when(F.first("k") % 8 == 0, 1).otherwise(0)).alias("marks"))
-    questions = x.where(k % 25 != 0).select("doc_id", _str(F.col("k"), "/", F.col("i")).alias("id"), F.col("q").alias("marks"))
+    products = x.where(k % 20 != 0).groupBy("doc_id").agg((F.count(F.lit(1)) + F.when(F.first("k") % 9 == 0,
+        1).otherwise(0)).alias("n_questions"), (F.sum("q") + F.when(F.first("k") % 8 == 0,
+        1).otherwise(0)).alias("marks"))
+    questions = x.where(k % 25 != 0).select("doc_id", _str(F.col("k"), "/", F.col("i")).alias("id"),
+        F.col("q").alias("marks"))
     found = suites.bank(products, questions, x.select("doc_id", F.col("p").alias("id")), questions.repartition(3))
     return found.groupBy("check_id").agg(F.count(F.lit(1)).alias("n"))
 
@@ -114,10 +130,16 @@ SELECT p_partkey, concat_ws('; ', CASE WHEN p_partkey % 5 = 0 THEN 'missing:role
 def report_violations(spark: SparkSession, d: str) -> DataFrame:
     p = F.col("p_partkey")
     given = table(spark, d, "part").select(
-        "p_partkey", F.lit("x").alias("doc"), F.lit(1).alias("page"), _case((p % 5 == 0, None), (p % 5 == 1, "poster"), other="content").alias("role"), (p % 2 == 0).alias("has_question_content"),
-        _case((p % 7 == 0, None), (p % 7 == 1, "  "), other="a page").alias("description"), F.when(p % 3 == 0, "hand").otherwise("llm-vision").alias("provenance"), F.lit(False).alias("review_required"), F.when(p % 4 == 0, "t.md").alias("transcription_ref"),
-        F.lit("a.png").alias("png"), F.lit("00").alias("sha256"), F.lit("graph").alias("kind"), (p % 2 == 0).alias("carries_answer"), F.when(p % 6 == 2, "MS").otherwise("QP").alias("doc_kind"))
-    return given.select("p_partkey", F.array_join(suites.page_report(given.columns), "; ").alias("page"), F.array_join(suites.figure_report(given.columns), "; ").alias("figure"))
+        "p_partkey", F.lit("x").alias("doc"), F.lit(1).alias("page"),
+        _case((p % 5 == 0, None), (p % 5 == 1, "poster"), other="content").alias("role"),
+        (p % 2 == 0).alias("has_question_content"),
+        _case((p % 7 == 0, None), (p % 7 == 1, "  "), other="a page").alias("description"),
+        F.when(p % 3 == 0, "hand").otherwise("llm-vision").alias("provenance"), F.lit(False).alias("review_required"),
+        F.when(p % 4 == 0, "t.md").alias("transcription_ref"),
+        F.lit("a.png").alias("png"), F.lit("00").alias("sha256"), F.lit("graph").alias("kind"),
+        (p % 2 == 0).alias("carries_answer"), F.when(p % 6 == 2, "MS").otherwise("QP").alias("doc_kind"))
+    return given.select("p_partkey", F.array_join(suites.page_report(given.columns), "; ").alias("page"),
+        F.array_join(suites.figure_report(given.columns), "; ").alias("figure"))
 
 
 @query(f"""
@@ -130,10 +152,14 @@ SELECT k AS doc_id, number, side AS provenance, CASE WHEN side = 'preferred' THE
 def assembled_schemes(spark: SparkSession, d: str) -> DataFrame:
     """Points of a first reader where it has any of a question, else a second's; points of part b are a pool of four."""
     x = _parted(spark, d).withColumn("doc_id", F.col("key")).withColumn("number", F.col("i") % 3)
-    point = lambda marks: [F.col("i").alias("ord"), _str("M", F.col("i")).alias("label"), "part", "sub", marks.alias("marks"), F.lit("t").alias("text")]
-    totals = x.select("doc_id", "number").distinct().select("doc_id", "number", (5 + F.col("number")).alias("preferred"), F.lit(7).alias("fallback"))
-    pools = x.where("part = 'b'").select("doc_id", "number", _str("M", F.col("i")).alias("label"), F.lit("b").alias("pool"), F.lit(4).alias("cap"))
-    _, schemes = suites.assembled(x.where("f <> 'N'").select("doc_id", "number", *point(F.col("q"))), x.select("doc_id", "number", *point(F.col("q") + 1)), totals, pools)
+    point = lambda marks: [F.col("i").alias("ord"), _str("M", F.col("i")).alias("label"), "part", "sub",
+        marks.alias("marks"), F.lit("t").alias("text")]
+    totals = x.select("doc_id", "number").distinct().select("doc_id", "number",
+        (5 + F.col("number")).alias("preferred"), F.lit(7).alias("fallback"))
+    pools = x.where("part = 'b'").select("doc_id", "number", _str("M", F.col("i")).alias("label"),
+        F.lit("b").alias("pool"), F.lit(4).alias("cap"))
+    _, schemes = suites.assembled(x.where("f <> 'N'").select("doc_id", "number", *point(F.col("q"))),
+        x.select("doc_id", "number", *point(F.col("q") + 1)), totals, pools)
     return schemes
 
 
@@ -150,9 +176,14 @@ def scheme_elements(spark: SparkSession, d: str) -> DataFrame:
     x = _lines(spark, d).withColumn("doc_id", F.col("k")).withColumn("number", F.col("i") % 2)
     none = F.array().cast("array<string>")
     questions = (x.groupBy("doc_id", "number").agg(F.max(F.when(F.col("f") == "R", F.col("q"))).alias("printed"))
-                 .withColumn("verified", F.col("number") == 0).withColumn("guidance", F.when(F.col("doc_id") % 2 == 0, F.array(_str("see ", F.col("number")))).otherwise(none)))
-    points = x.select("doc_id", "number", F.col("i").alias("ord"), _str("M", F.col("i")).alias("label"), F.col("q").alias("marks"), _str("part ", F.col("p")).alias("text"), F.when(F.col("f") == "A", F.array(F.lit("x"), F.lit("y"))).otherwise(none).alias("allow"),
-                      none.alias("reject"), F.lit(None).cast("array<string>").alias("ignore"), F.when(F.col("s") % 2 == 0, F.array(_str("n", F.col("i")))).alias("notes"), F.col("q").alias("page"))
+                 .withColumn("verified", F.col("number") == 0).withColumn("guidance",
+                 F.when(F.col("doc_id") % 2 == 0, F.array(_str("see ", F.col("number")))).otherwise(none)))
+    points = x.select("doc_id", "number", F.col("i").alias("ord"), _str("M", F.col("i")).alias("label"),
+        F.col("q").alias("marks"), _str("part ", F.col("p")).alias("text"),
+        F.when(F.col("f") == "A", F.array(F.lit("x"), F.lit("y"))).otherwise(none).alias("allow"),
+                      none.alias("reject"), F.lit(None).cast("array<string>").alias("ignore"),
+                      F.when(F.col("s") % 2 == 0, F.array(_str("n", F.col("i")))).alias("notes"),
+                      F.col("q").alias("page"))
     return suites.scheme_elements(questions, points)
 
 
@@ -171,13 +202,19 @@ SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN '# ' || c_name WHEN 1 THEN c_na
 """)
 def service_responses(spark: SparkSession, d: str) -> DataFrame:
     c, name = F.col("c_custkey"), F.col("c_name")
-    body = _case((c % 6 == 0, _str('{"id": 1, "md_results": "# ', name, '"}')), (c % 6 == 1, _str('{"md_results": ["', name, '", "two"], "x": 2}')), (c % 6 == 2, '{"other": "x"}'), (c % 6 == 3, '{"md_results": {"a": 1}}'), (c % 6 == 4, '{"md_results": " \\n "}'), other='{"md_results": null}')
-    return table(spark, d, "customer").select("c_custkey", readers.response_markdown(body).alias("r")).select("c_custkey", "r.text", F.size("r.pages").alias("n_pages"), "r.problem")
+    body = _case((c % 6 == 0, _str('{"id": 1, "md_results": "# ', name, '"}')),
+        (c % 6 == 1, _str('{"md_results": ["', name, '", "two"], "x": 2}')), (c % 6 == 2, '{"other": "x"}'),
+        (c % 6 == 3, '{"md_results": {"a": 1}}'), (c % 6 == 4, '{"md_results": " \\n "}'), other='{"md_results": null}')
+    return table(spark, d, "customer").select("c_custkey",
+        readers.response_markdown(body).alias("r")).select("c_custkey", "r.text", F.size("r.pages").alias("n_pages"),
+        "r.problem")
 
 
 @query("""
 SELECT CASE WHEN p_partkey % 3 = 0 THEN 'unknown' ELSE p_brand END AS version, count(*) AS n FROM part GROUP BY 1
 """)
 def engine_versions(spark: SparkSession, d: str) -> DataFrame:
-    given = _case((F.col("p_partkey") % 6 == 0, None), (F.col("p_partkey") % 3 == 0, "  "), other=_str(F.col("p_brand"), " "))
-    return table(spark, d, "part").select(readers.engine_version(given).alias("version")).groupBy("version").agg(F.count(F.lit(1)).alias("n"))
+    given = _case((F.col("p_partkey") % 6 == 0, None), (F.col("p_partkey") % 3 == 0, "  "),
+        other=_str(F.col("p_brand"), " "))
+    return table(spark, d,
+        "part").select(readers.engine_version(given).alias("version")).groupBy("version").agg(F.count(F.lit(1)).alias("n"))

@@ -25,7 +25,8 @@ _MOVED = "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS old, list_transform(CAST
 def cosine_pairs(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings")
     other = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"))
-    return e.join(other, "vec_id").select("vec_id", F.round(v.cosine(F.col("embedding"), F.col("other")), 6).alias("similarity"))
+    return e.join(other, "vec_id").select("vec_id",
+        F.round(v.cosine(F.col("embedding"), F.col("other")), 6).alias("similarity"))
 
 
 @query(f"""
@@ -58,7 +59,9 @@ SELECT id AS vec_id, round(count(CASE WHEN a <= 10 AND b <= 10 THEN 1 END) / cou
 def neighbour_jaccard(spark: SparkSession, d: str) -> DataFrame:
     m = _moved(table(spark, d, "embeddings"))
     rows = m.select("vec_id", F.col("old").alias("embedding"))
-    near = lambda c, name: vectors.nearest(rows, m.where("vec_id % 100 = 0").select("vec_id", F.col(c).alias("embedding")), "vec_id", "embedding").groupBy(F.col("query_id").alias("vec_id")).agg(F.collect_set("neighbour_id").alias(name))
+    near = lambda c, name: vectors.nearest(rows,
+        m.where("vec_id % 100 = 0").select("vec_id", F.col(c).alias("embedding")), "vec_id",
+        "embedding").groupBy(F.col("query_id").alias("vec_id")).agg(F.collect_set("neighbour_id").alias(name))
     both = near("old", "a").join(near("new", "b"), "vec_id")
     return both.select("vec_id", F.round(v.jaccard(F.col("a"), F.col("b")), 6).alias("overlap"))
 
@@ -67,13 +70,15 @@ def neighbour_jaccard(spark: SparkSession, d: str) -> DataFrame:
 SELECT vec_id, label FROM (SELECT vec_id, label, CASE WHEN vec_id % 17 = 0 THEN NULL ELSE embedding END AS e, 1 + label % 3 AS rev FROM embeddings) WHERE e IS NULL OR rev < 2 ORDER BY vec_id LIMIT 100
 """)
 def tranche_selector(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "embeddings").select("vec_id", "label", F.when(F.col("vec_id") % 17 != 0, F.col("embedding")).alias("e"), (1 + F.col("label") % 3).alias("rev"))
+    e = table(spark, d, "embeddings").select("vec_id", "label",
+        F.when(F.col("vec_id") % 17 != 0, F.col("embedding")).alias("e"), (1 + F.col("label") % 3).alias("rev"))
     return vectors.tranche(e, "e", "rev", 2, "vec_id", 100).select("vec_id", "label")
 
 
 @query("SELECT CAST(len(embedding) AS INTEGER) AS dimension, count(*) AS n FROM embeddings GROUP BY 1")
 def dimension_census(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "embeddings").groupBy(F.size("embedding").alias("dimension")).agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, d,
+        "embeddings").groupBy(F.size("embedding").alias("dimension")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()

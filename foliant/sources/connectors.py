@@ -21,7 +21,8 @@ def page_ranges(n_pages: int, most: int = MAX_PAGES) -> list[tuple[int, int]]:
     return [(a, min(a + most - 1, n_pages)) for a in range(1, n_pages + 1, most)]
 
 
-def call(send: Transport, request: dict, attempts: int = 4, wait: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> tuple[int, str, int]:
+def call(send: Transport, request: dict, attempts: int = 4, wait: float = 1.0,
+        sleep: Callable[[float], None] = time.sleep) -> tuple[int, str, int]:
     """(status, body, attempts made): tries again on the statuses of RETRY, doubling the wait or as Retry-After says."""
     for k in range(1, attempts + 1):
         status, headers, body = send(request)
@@ -32,7 +33,8 @@ def call(send: Transport, request: dict, attempts: int = 4, wait: float = 1.0, s
     raise AssertionError
 
 
-def paced(items: Iterable, per_minute: float, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> Iterator:
+def paced(items: Iterable, per_minute: float, clock: Callable[[], float] = time.monotonic,
+        sleep: Callable[[float], None] = time.sleep) -> Iterator:
     """items, no faster than so many a minute."""
     due = clock()
     for x in items:
@@ -43,7 +45,8 @@ def paced(items: Iterable, per_minute: float, clock: Callable[[], float] = time.
         yield x
 
 
-def fetch(requests: DataFrame, key: str, payload: str, transport: Callable[[], Transport], attempts: int = 4, per_minute: float = 90, lanes: int = 1) -> DataFrame:
+def fetch(requests: DataFrame, key: str, payload: str, transport: Callable[[], Transport], attempts: int = 4,
+        per_minute: float = 90, lanes: int = 1) -> DataFrame:
     """(key, status, body, attempts) of each request row; transport() makes a lane's transport.
 
     Requests are dealt over `lanes` partitions, each with its share of the rate, so that all of them together keep to
@@ -65,6 +68,10 @@ def fetch(requests: DataFrame, key: str, payload: str, transport: Callable[[], T
                     out.append((k, *call(send, {"key": k, "payload": p}, attempts)))
                 except Exception as e:  # noqa: BLE001 - whatever a transport raises is that request's row
                     out.append((k, -1, f"{type(e).__name__}: {e}", attempts))
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.string(), pa.int32(), pa.string(), pa.int32()))], names=["key", "status", "body", "attempts"])
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i,
+                t in enumerate((pa.string(), pa.int32(), pa.string(), pa.int32()))],
+                names=["key", "status", "body", "attempts"])
 
-    return requests.select(requests[key].cast("string").alias("key"), requests[payload].cast("string").alias("payload")).repartition(lanes).mapInArrow(run, "key string, status int, body string, attempts int")
+    return requests.select(requests[key].cast("string").alias("key"),
+        requests[payload].cast("string").alias("payload")).repartition(lanes).mapInArrow(run,
+        "key string, status int, body string, attempts int")

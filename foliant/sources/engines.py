@@ -24,7 +24,9 @@ def _note_elements(docs: DataFrame) -> DataFrame:
 
 #: media type -> (doc_id, text) to elements.
 PARSERS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "text/markdown": lambda docs: markdown.elements(docs), "application/json": lambda docs: readers.engine_json(docs, "doc_id", "text"), "text/x-revision-note": _note_elements,
+    "text/markdown": lambda docs: markdown.elements(docs),
+    "application/json": lambda docs: readers.engine_json(docs, "doc_id", "text"),
+    "text/x-revision-note": _note_elements,
 }
 
 
@@ -36,10 +38,13 @@ def media_type(path: Column) -> Column:
     """By a file's ending; a markdown file in a folder named notes is a revision note."""
     ending = F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1))
     note = path.rlike(r"/notes/[^/]+$")
-    return F.when(ending.isin("md", "markdown"), F.when(note, "text/x-revision-note").otherwise("text/markdown")).when(ending == "json", "application/json").otherwise("application/octet-stream")
+    return F.when(ending.isin("md", "markdown"),
+        F.when(note, "text/x-revision-note").otherwise("text/markdown")).when(ending == "json",
+        "application/json").otherwise("application/octet-stream")
 
 
-def parse(files: DataFrame, parsers: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> tuple[DataFrame, DataFrame]:
+def parse(files: DataFrame, parsers: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> tuple[DataFrame,
+        DataFrame]:
     """(elements, files set aside) of (path, mime, content): each file goes to the parser of its media type.
 
     A document's id comes from its content, so copies are read once for each media type.
@@ -51,7 +56,8 @@ def parse(files: DataFrame, parsers: dict[str, Callable[[DataFrame], DataFrame]]
         own = docs.where(F.col("mime") == mime).select("doc_id", "text").dropDuplicates(["doc_id"])
         found = _shaped(f(own))
         out = found if out is None else out.union(found)
-    return out, files.where(~F.coalesce(F.col("mime").isin(*table), F.lit(False))).select("path", "mime", F.lit("no parser").alias("reason"))
+    return out, files.where(~F.coalesce(F.col("mime").isin(*table), F.lit(False))).select("path", "mime",
+        F.lit("no parser").alias("reason"))
 
 
 def identified(files: DataFrame, extracted_at: str | None = None) -> DataFrame:
@@ -63,5 +69,6 @@ def identified(files: DataFrame, extracted_at: str | None = None) -> DataFrame:
 def second_opinion(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, elements..) that another engine left as JSON files below path, one for each document, named by it."""
     found = readers.files(spark, path, "*.json")
-    docs = found.select(F.regexp_replace(readers.base_name(F.col("path")), r"\.json$", "").alias("doc_id"), F.decode("content", "UTF-8").alias("json"))
+    docs = found.select(F.regexp_replace(readers.base_name(F.col("path")), r"\.json$", "").alias("doc_id"),
+        F.decode("content", "UTF-8").alias("json"))
     return readers.engine_json(docs, "doc_id")

@@ -12,19 +12,29 @@ from foliant.sources import sinks
 TABLES: dict[str, dict] = {
     "package_metadata": {"key": ["key"], "required": ["value"]},
     "resource": {"key": ["resource_id"], "required": ["resource_type", "status"]},
-    "resource_version": {"key": ["resource_id", "version"], "required": ["status", "compiler_version", "created_at"], "refers": [(["resource_id"], "resource")]},
+    "resource_version": {"key": ["resource_id", "version"], "required": ["status", "compiler_version", "created_at"],
+    "refers": [(["resource_id"], "resource")]},
     "resource_provenance": {"key": ["provenance_id"], "required": ["source_type"]},
     "specification_point": {"key": ["specification_point_id"], "required": ["specification_id"]},
-    "revision_note": {"key": ["revision_note_id"], "required": ["resource_id", "version", "title", "content_path", "content_sha256", "status"], "refers": [(["resource_id", "version"], "resource_version")]},
+    "revision_note": {"key": ["revision_note_id"],
+    "required": ["resource_id", "version", "title", "content_path", "content_sha256", "status"],
+    "refers": [(["resource_id", "version"], "resource_version")]},
     "revision_note_specification_point": {
-        "key": ["revision_note_id", "specification_point_id"], "required": ["mapping_status"], "refers": [(["revision_note_id"], "revision_note"), (["specification_point_id"], "specification_point")]},
+        "key": ["revision_note_id", "specification_point_id"], "required": ["mapping_status"],
+        "refers": [(["revision_note_id"], "revision_note"), (["specification_point_id"], "specification_point")]},
     "paper": {"key": ["paper_id"], "required": ["status"]},
-    "paper_question": {"key": ["question_id"], "required": ["paper_id", "ordinal", "status"], "refers": [(["paper_id"], "paper")], "unique": [["paper_id", "ordinal"]]},
-    "question_part": {"key": ["question_part_id"], "required": ["question_id", "anchor", "ordinal", "status"], "refers": [(["question_id"], "paper_question")], "unique": [["question_id", "ordinal"]]},
-    "mark_scheme": {"key": ["mark_scheme_id"], "required": ["paper_id", "content_sha256", "status"], "refers": [(["paper_id"], "paper")]},
-    "mark_point": {"key": ["mark_point_id"], "required": ["mark_scheme_id", "anchor", "status"], "refers": [(["mark_scheme_id"], "mark_scheme"), (["question_part_id"], "question_part")]},
-    "parser_run": {"key": ["parser_run_id"], "required": ["source_sha256", "parser", "parser_version", "started_at", "status"]},
-    "validation_finding": {"key": ["finding_id"], "required": ["entity_type", "entity_id", "severity", "code", "message", "status"]},
+    "paper_question": {"key": ["question_id"], "required": ["paper_id", "ordinal", "status"],
+    "refers": [(["paper_id"], "paper")], "unique": [["paper_id", "ordinal"]]},
+    "question_part": {"key": ["question_part_id"], "required": ["question_id", "anchor", "ordinal", "status"],
+    "refers": [(["question_id"], "paper_question")], "unique": [["question_id", "ordinal"]]},
+    "mark_scheme": {"key": ["mark_scheme_id"], "required": ["paper_id", "content_sha256", "status"],
+    "refers": [(["paper_id"], "paper")]},
+    "mark_point": {"key": ["mark_point_id"], "required": ["mark_scheme_id", "anchor", "status"],
+    "refers": [(["mark_scheme_id"], "mark_scheme"), (["question_part_id"], "question_part")]},
+    "parser_run": {"key": ["parser_run_id"], "required": ["source_sha256", "parser", "parser_version", "started_at",
+    "status"]},
+    "validation_finding": {"key": ["finding_id"],
+    "required": ["entity_type", "entity_id", "severity", "code", "message", "status"]},
 }
 VALID = "VALIDATED"
 
@@ -37,8 +47,10 @@ def findings(tables: dict[str, DataFrame]) -> DataFrame:
     """What stops a package: unknown and missing tables, nulls in keys and required columns, repeated keys, references
     that nothing meets (null ones are free)."""
     spark = next(iter(tables.values())).sparkSession
-    shape = [(t, "unknown_table") for t in tables if t not in TABLES] + [(t, "missing_table") for t in TABLES if t not in tables]
-    out = [spark.createDataFrame([(t, c, "fail", "") for t, c in shape], "subject string, check_id string, severity string, detail string")]
+    shape = [(t, "unknown_table") for t in tables if t not in TABLES] + [(t, "missing_table") for t in TABLES
+        if t not in tables]
+    out = [spark.createDataFrame([(t, c, "fail", "") for t, c in shape],
+        "subject string, check_id string, severity string, detail string")]
     for name, rules in TABLES.items():
         if name not in tables:
             continue
@@ -48,13 +60,16 @@ def findings(tables: dict[str, DataFrame]) -> DataFrame:
         held = [c for c in [*key, *rules["required"]] if c in df.columns]
         empty = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in held]))
         own = [c for c in key if c in df.columns]
-        out.append(gates.findings(df.withColumn("_empty", empty).where(F.size("_empty") > 0), _id(own), f"required:{name}", "fail", F.array_join("_empty", ",")))
+        out.append(gates.findings(df.withColumn("_empty", empty).where(F.size("_empty") > 0), _id(own),
+            f"required:{name}", "fail", F.array_join("_empty", ",")))
         for cols in [key, *rules.get("unique", [])]:
             if all(c in df.columns for c in cols):
-                out.append(gates.findings(gates.repeated_keys(df.dropna(subset=cols), cols), _id(cols), f"repeated:{name}", "fail", F.col("count")))
+                out.append(gates.findings(gates.repeated_keys(df.dropna(subset=cols), cols), _id(cols),
+                    f"repeated:{name}", "fail", F.col("count")))
         for cols, of in rules.get("refers", []):
             if of in tables and all(c in df.columns and c in tables[of].columns for c in cols):
-                out.append(gates.findings(gates.dangling(df, cols, tables[of]), _id(cols), f"dangling:{name}:{of}", "fail", F.lit(of)))
+                out.append(gates.findings(gates.dangling(df, cols, tables[of]), _id(cols), f"dangling:{name}:{of}",
+                    "fail", F.lit(of)))
     return gates.all_findings(out)
 
 
@@ -84,24 +99,30 @@ def inventory_findings(papers: DataFrame, versions: DataFrame, points: DataFrame
     bound = papers.join(known, "paper_id", "left")
     return gates.all_findings([
         gates.findings(papers.where(off("status")), F.col("paper_id"), "paper_status", "fail", F.col("status")),
-        gates.findings(bound.where(~F.col("qp").eqNullSafe(F.col("qp_document_id"))), F.col("paper_id"), "paper_identity", "fail", F.col("qp")),
-        gates.findings(bound.where(~F.col("ms").eqNullSafe(F.col("ms_document_id"))), F.col("paper_id"), "scheme_identity", "fail", F.col("ms")),
+        gates.findings(bound.where(~F.col("qp").eqNullSafe(F.col("qp_document_id"))), F.col("paper_id"),
+        "paper_identity", "fail", F.col("qp")),
+        gates.findings(bound.where(~F.col("ms").eqNullSafe(F.col("ms_document_id"))), F.col("paper_id"),
+        "scheme_identity", "fail", F.col("ms")),
         gates.findings(versions.where(off("status")), F.col("version_id"), "version_status", "fail", F.col("status")),
-        gates.findings(versions.where(F.col("scheme_id").isNull() | off("scheme_status")), F.col("version_id"), "scheme_status", "fail", F.col("scheme_status")),
+        gates.findings(versions.where(F.col("scheme_id").isNull() | off("scheme_status")), F.col("version_id"),
+        "scheme_status", "fail", F.col("scheme_status")),
         gates.findings(bare, F.col("version_id"), "no_points", "fail", F.lit(""))])
 
 
 def inventory_points(points: DataFrame) -> DataFrame:
     """points (version_id, ord, reference) with anchor (MP- and the place where there is no reference) and part."""
     anchor = F.coalesce(F.col("reference"), F.concat(F.lit("MP-"), F.col("ord").cast("string")))
-    return points.withColumn("anchor", anchor).withColumn("part", F.when(F.col("reference").isNotNull(), point_part(F.col("reference"))))
+    return points.withColumn("anchor", anchor).withColumn("part",
+        F.when(F.col("reference").isNotNull(), point_part(F.col("reference"))))
 
 
 def rendered(elements: DataFrame) -> DataFrame:
     """(doc_id, markdown, sha256): elements in order, headings by their level, set apart by blank lines, ended by one break."""
-    mark = F.when((F.col("kind") == "heading") & (F.coalesce("level", F.lit(0)) > 0), F.concat(F.repeat(F.lit("#"), F.col("level").cast("int")), F.lit(" "))).otherwise("")
+    mark = F.when((F.col("kind") == "heading") & (F.coalesce("level", F.lit(0)) > 0),
+        F.concat(F.repeat(F.lit("#"), F.col("level").cast("int")), F.lit(" "))).otherwise("")
     rows = F.sort_array(F.collect_list(F.struct("ord", F.concat(mark, F.coalesce("text", F.lit(""))).alias("t"))))
-    out = elements.groupBy("doc_id").agg(F.concat(F.array_join(F.transform(rows, lambda x: x.t), "\n\n"), F.lit("\n")).alias("markdown"))
+    out = elements.groupBy("doc_id").agg(F.concat(F.array_join(F.transform(rows, lambda x: x.t), "\n\n"),
+        F.lit("\n")).alias("markdown"))
     return out.withColumn("sha256", F.sha2("markdown", 256))
 
 
@@ -114,10 +135,14 @@ def manifest(documents: DataFrame, assets: DataFrame, engine: str, version: Colu
     one = F.struct("ord", F.struct("name", "sha256", "bytes", "reason").alias("a"))
     listed = assets.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(one)), lambda x: x.a).alias("all"))
     none = F.array().cast("array<struct<name:string,sha256:string,bytes:bigint,reason:string>>")
-    held = documents.join(listed, "doc_id", "left").withColumn("all", F.coalesce(F.col("all").cast("array<struct<name:string,sha256:string,bytes:bigint,reason:string>>"), none))
+    held = documents.join(listed, "doc_id", "left").withColumn("all",
+        F.coalesce(F.col("all").cast("array<struct<name:string,sha256:string,bytes:bigint,reason:string>>"), none))
     fields = held.select(
-        "doc_id", F.lit(2).alias("manifest_version"), "role", "sha256", "n_pages", F.lit(engine).alias("engine"), v.alias("engine_version"),
-        F.filter("all", lambda a: a.reason.isNull()).alias("assets"), F.transform(F.filter("all", lambda a: a.reason.isNotNull()), lambda a: F.struct(a["name"].alias("name"), a.reason.alias("reason"))).alias("unfetched"))
+        "doc_id", F.lit(2).alias("manifest_version"), "role", "sha256", "n_pages", F.lit(engine).alias("engine"),
+        v.alias("engine_version"),
+        F.filter("all", lambda a: a.reason.isNull()).alias("assets"),
+        F.transform(F.filter("all", lambda a: a.reason.isNotNull()),
+        lambda a: F.struct(a["name"].alias("name"), a.reason.alias("reason"))).alias("unfetched"))
     names = [c for c in fields.columns if c != "doc_id"]
     return fields.select("doc_id", sinks.canonical_json(fields, names).alias("manifest"))
 

@@ -10,12 +10,15 @@ from foliant.operators import gates
 
 def canonical_json(df: DataFrame, columns: list[str]) -> Column:
     """A JSON text with fields in the given order, nulls left out, times in ISO form."""
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "true", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX"})
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "true",
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX"})
 
 
 def write_json(df: DataFrame, path: str, columns: list[str], key: str) -> None:
     """One text line for each row, in order of key."""
-    df.select(key, canonical_json(df, columns).alias("value")).repartitionByRange(key).sortWithinPartitions(key).select("value").write.mode("overwrite").text(path)
+    df.select(key,
+        canonical_json(df,
+        columns).alias("value")).repartitionByRange(key).sortWithinPartitions(key).select("value").write.mode("overwrite").text(path)
 
 
 def write_layout(df: DataFrame, path: str, by: list[str]) -> None:
@@ -23,7 +26,8 @@ def write_layout(df: DataFrame, path: str, by: list[str]) -> None:
     df.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
-def write_package(tables: dict[str, DataFrame], path: str, keys: dict[str, list[str]], references: list[tuple[str, list[str], str]]) -> DataFrame:
+def write_package(tables: dict[str, DataFrame], path: str, keys: dict[str, list[str]],
+        references: list[tuple[str, list[str], str]]) -> DataFrame:
     """Write the tables if every key is unique and every reference is met; the findings (empty if written).
 
     references are (table, columns, referred table), columns named as the referred table's key.
@@ -31,10 +35,13 @@ def write_package(tables: dict[str, DataFrame], path: str, keys: dict[str, list[
     first = next(iter(tables.values()))
     found = []
     for t, k in keys.items():
-        found.append(gates.findings(gates.repeated_keys(tables[t], k), F.concat_ws("/", *k), f"repeated:{t}", "fail", F.col("count")))
+        found.append(gates.findings(gates.repeated_keys(tables[t], k), F.concat_ws("/", *k), f"repeated:{t}", "fail",
+            F.col("count")))
     for t, cols, of in references:
-        found.append(gates.findings(gates.dangling(tables[t], cols, tables[of]), F.concat_ws("/", *cols), f"dangling:{t}:{of}", "fail", F.lit(of)))
-    out = gates.all_findings(found) if found else first.sparkSession.createDataFrame([], "subject string, check_id string, severity string, detail string")
+        found.append(gates.findings(gates.dangling(tables[t], cols, tables[of]), F.concat_ws("/", *cols),
+            f"dangling:{t}:{of}", "fail", F.lit(of)))
+    out = gates.all_findings(found) if found else first.sparkSession.createDataFrame([],
+        "subject string, check_id string, severity string, detail string")
     if out.isEmpty():
         for t, df in tables.items():
             df.write.mode("overwrite").parquet(f"{path}/{t}")

@@ -9,20 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def drain(spark: SparkSession, source: str, schema: str, sink: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+def drain(spark: SparkSession, source: str, schema: str, sink: str, checkpoint: str,
+        transform: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
     """Run transform over the files that came since the last run; a batch is written under its number, so that a replay overwrites itself."""
 
     def write(batch: DataFrame, number: int) -> None:
         transform(batch).write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
-    query = spark.readStream.schema(schema).parquet(source).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = spark.readStream.schema(schema).parquet(source).writeStream.foreachBatch(write).option("checkpointLocation",
+        checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
 def first_copies(stream: DataFrame, content: str, at: str, late: str = "1 hour") -> DataFrame:
     """Rows whose content did not come before within the watermark."""
-    return stream.withColumn("sha256", F.sha2(content, 256)).withWatermark(at, late).dropDuplicatesWithinWatermark(["sha256"])
+    return stream.withColumn("sha256", F.sha2(content, 256)).withWatermark(at,
+        late).dropDuplicatesWithinWatermark(["sha256"])
 
 
 def windowed_counts(stream: DataFrame, at: str, by: str, width: str = "1 hour", late: str = "1 hour") -> DataFrame:

@@ -65,7 +65,8 @@ def test_fuzzy_pairs_are_greedy(spark):
 
     from foliant.operators.reconcile import greedy_pairs
 
-    df = spark.createDataFrame([("f", ["ab1", "ab2", "zz"], ["ab2", "ab3"])], "folder string, a array<string>, b array<string>")
+    df = spark.createDataFrame([("f", ["ab1", "ab2", "zz"], ["ab2", "ab3"])],
+        "folder string, a array<string>, b array<string>")
     got = [(r.left, r.right) for r in greedy_pairs(df, "folder", "a", "b", 0.6).collect()]
     assert got == [("ab1", "ab2"), ("ab2", "ab3")]
     assert SequenceMatcher(None, "ab1", "ab2").ratio() >= 0.6

@@ -8,10 +8,12 @@ from foliant.functions import identity, register, text, vectors
 
 @pytest.fixture
 def q(spark):
-    return lambda value, f, kind="string": spark.createDataFrame([(value,)], f"x {kind}").select(f(F.col("x")).alias("y")).first()[0]
+    return lambda value, f, kind="string": spark.createDataFrame([(value,)],
+        f"x {kind}").select(f(F.col("x")).alias("y")).first()[0]
 
 
-@pytest.mark.parametrize(("given", "want"), [("a &amp;lt; &#65;", "a &lt; A"), ("&#x1F600; &#233;", "😀 é"), ("&#xD800; &#x110000; &foo; &", "&#xD800; &#x110000; &foo; &"), ("plain", "plain"), (None, None)])
+@pytest.mark.parametrize(("given", "want"), [("a &amp;lt; &#65;", "a &lt; A"), ("&#x1F600; &#233;", "😀 é"),
+    ("&#xD800; &#x110000; &foo; &", "&#xD800; &#x110000; &foo; &"), ("plain", "plain"), (None, None)])
 def test_entities(q, given, want):
     assert q(given, text.decode_entities) == want
 
@@ -20,7 +22,9 @@ def test_char_map_takes_the_longest_and_does_not_rescan(q):
     assert q("abc\x01\tz", lambda x: text.map_chars(x, {"a": "b", "ab": "a", "c": "", "b": "X"})) == "a \tz"
 
 
-@pytest.mark.parametrize(("given", "want"), [("(a) State the law.", "state"), ("Copper is extracted. Show that it melts.", "show that"), ("Showing off.", None), ("(a) (ii) Name, then list.", "name"), ("Deduce", "deduce"), (None, None)])
+@pytest.mark.parametrize(("given", "want"), [("(a) State the law.", "state"),
+    ("Copper is extracted. Show that it melts.", "show that"), ("Showing off.", None),
+    ("(a) (ii) Name, then list.", "name"), ("Deduce", "deduce"), (None, None)])
 def test_command_words(q, given, want):
     assert q(given, text.command_word) == want
 
@@ -34,7 +38,8 @@ def test_hint(q):
 def test_mark_points(q):
     got = q("a or b ecf (1) any two from (2) dependent on MP1, MP 2", text.mark_points)
     assert [(p.ordinal, p.text, p.marks, p.alternatives, p.ecf, p.any_two, p.dependent_on) for p in got] == [
-        (1, "a", 1, ["b ecf"], True, False, []), (2, "any two from", 2, [], False, True, []), (3, "dependent on MP1, MP 2", None, [], False, False, ["MP1", "MP2"])]
+        (1, "a", 1, ["b ecf"], True, False, []), (2, "any two from", 2, [], False, True, []),
+        (3, "dependent on MP1, MP 2", None, [], False, False, ["MP1", "MP2"])]
     assert q("no marker", text.mark_points) == [] and q("(1)", text.mark_points) == []
 
 
@@ -47,8 +52,10 @@ def test_small_ones(q):
     assert q("Q u e s  t i", text.collapse_spaced) == "Ques ti" and q("a bc d", text.collapse_spaced) == "a bc d"
     assert q(r"a $x$ \$ $", text.inline_math_count) == 1
     assert q("Do not accept: x", text.note_kind) == "reject" and q("Do not accept: x", text.note_text) == "x"
-    assert q("MP2 dependent on MP1", text.guidance_kind) == "dependent" and q("Example graph", text.guidance_kind) == "example-diagram"
-    assert q("The only correct answer is B", text.correct_letter) == "B" and q("(c)", text.correct_letter) == "c" and q("Because A", text.correct_letter) is None
+    assert q("MP2 dependent on MP1", text.guidance_kind) == "dependent" and q("Example graph",
+        text.guidance_kind) == "example-diagram"
+    assert q("The only correct answer is B", text.correct_letter) == "B" and q("(c)",
+        text.correct_letter) == "c" and q("Because A", text.correct_letter) is None
     assert q("abcde", text.estimated_tokens) == 2
 
 
@@ -68,14 +75,17 @@ def test_identity(spark, q):
 def test_images(q):
     png = bytes.fromhex("89504e470d0a1a0a0000000d49484452") + (640).to_bytes(4, "big") + (480).to_bytes(4, "big")
     gif = b"GIF89a" + (3).to_bytes(2, "little") + (5).to_bytes(2, "little")
-    assert q(bytearray(png), identity.mime, "binary") == "image/png" and tuple(q(bytearray(png), identity.size_of_image, "binary")) == (640, 480)
-    assert tuple(q(bytearray(gif), identity.size_of_image, "binary")) == (3, 5) and q(bytearray(b"xx"), identity.mime, "binary") is None
+    assert q(bytearray(png), identity.mime, "binary") == "image/png" and tuple(q(bytearray(png), identity.size_of_image,
+        "binary")) == (640, 480)
+    assert tuple(q(bytearray(gif), identity.size_of_image, "binary")) == (3, 5) and q(bytearray(b"xx"), identity.mime,
+        "binary") is None
     assert q(bytearray(b"RIFF0000WEBP"), identity.mime, "binary") == "image/webp"
 
 
 def test_vectors_and_names(spark):
     row = spark.sql("SELECT array(1D, 0D) a, array(1D, 1D) b, array(0D, 0D) z")
-    got = row.select(vectors.cosine(F.col("a"), F.col("b")), vectors.cosine(F.col("a"), F.col("z")), vectors.jaccard(F.array(), F.array())).first()
+    got = row.select(vectors.cosine(F.col("a"), F.col("b")), vectors.cosine(F.col("a"), F.col("z")),
+        vectors.jaccard(F.array(), F.array())).first()
     assert abs(got[0] - 0.5**0.5) < 1e-12 and got[1] == 0.0 and got[2] == 1.0
     assert len(register.register(spark)) == 4
     assert spark.sql("SELECT foliant_suffix('a-i'), foliant_estimated_tokens('abcde')").first()[:] == ("(a)(i)", 2)

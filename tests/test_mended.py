@@ -22,7 +22,8 @@ def test_pairs_in_two_folders(spark, tmp_path):
     tables, _ = bundle.build(spark, str(tmp_path / "in"))
     status = {r.pair.split("/")[-3]: r.status for r in tables["status"].collect()}
     assert set(status) == {"one", "two"} and status["two"] == "fail" and status["one"] != "fail"
-    assert main([str(tmp_path / "in" / "two"), str(tmp_path / "out")]) == 1 and main([str(tmp_path / "in" / "one"), str(tmp_path / "out")]) == 0
+    assert main([str(tmp_path / "in" / "two"), str(tmp_path / "out")]) == 1 and main([str(tmp_path / "in" / "one"),
+        str(tmp_path / "out")]) == 0
 
 
 def test_names_are_unique(spark):
@@ -33,16 +34,20 @@ def test_names_are_unique(spark):
     rng = random.Random(1)
     names = [rng.choice(["a", "p2_a", "p3_a", "p5_p2_a", "crop_4.bin"]) for _ in range(60)]
     assert len(set(readers.reserve(names))) == 60
-    df = spark.createDataFrame([(f, i, n) for f in (1, 2) for i, n in enumerate(["a", "a", "b"])], "folder int, place int, name string")
+    df = spark.createDataFrame([(f, i, n) for f in (1, 2) for i, n in enumerate(["a", "a", "b"])],
+        "folder int, place int, name string")
     got = readers.unique_names(df, "folder", "name", "place").collect()
-    assert {(r.folder, r.place): r.unique_name for r in got} == {(f, i): n for f in (1, 2) for i, n in enumerate(["a", "p2_a", "b"])}
+    assert {(r.folder, r.place): r.unique_name for r in got} == {(f, i): n for f in (1, 2) for i,
+        n in enumerate(["a", "p2_a", "b"])}
 
 
 def test_one_sidecar_a_note(spark):
     notes = spark.createDataFrame([({"note_id": "rn_1"},)], "meta map<string,string>")
-    side = spark.createDataFrame([("rn_1", "b", "v1"), ("rn_1", "a", "v1")], "note_id string, params string, schema string")
+    side = spark.createDataFrame([("rn_1", "b", "v1"), ("rn_1", "a", "v1")],
+        "note_id string, params string, schema string")
     joined, aside = readers.with_sidecar(notes, side, "v1")
-    assert [(r.note_id, r.sidecar) for r in joined.collect()] == [("rn_1", "a")] and [(r.params, r.reason) for r in aside.collect()] == [("b", "repeated")]
+    assert [(r.note_id, r.sidecar) for r in joined.collect()] == [("rn_1", "a")] and [(r.params, r.reason)
+        for r in aside.collect()] == [("b", "repeated")]
 
 
 def test_shared_folder_on_a_cluster():
@@ -84,16 +89,20 @@ def test_fetch_paces_and_keeps_failures(spark, tmp_path):
 
 
 def test_documents_are_taken_a_few_at_a_time(spark):
-    assert list(perdoc.portions([3, 3, 3, 9, 1], 6, 100)) == [(0, 2), (2, 1), (3, 1), (4, 1)] and list(perdoc.portions([1] * 5, 100, 2)) == [(0, 2), (2, 2), (4, 1)] and list(perdoc.portions([])) == []
+    assert list(perdoc.portions([3, 3, 3, 9, 1], 6, 100)) == [(0, 2), (2, 1), (3, 1),
+        (4, 1)] and list(perdoc.portions([1] * 5, 100, 2)) == [(0, 2), (2, 2),
+        (4, 1)] and list(perdoc.portions([])) == []
     df = spark.createDataFrame([("x" * 10, "k"), (None, "l")], "text string, c0 string")
-    got = perdoc.per_document(df, ["c0", "text", "text"], lambda k, t, u: [{"k": k, "n": len(t or ""), "same": t == u}], "k string, n int, same boolean").collect()
+    got = perdoc.per_document(df, ["c0", "text", "text"], lambda k, t, u: [{"k": k, "n": len(t or ""), "same": t == u}],
+        "k string, n int, same boolean").collect()
     assert {(r.k, r.n, r.same) for r in got} == {("k", 10, True), ("l", 0, True)}
 
 
 @pytest.mark.parametrize("size", [1, 3, 400])
 def test_batches_of_hot_keys(spark, size):
     rng = random.Random(size)
-    rows = [("hot" if rng.random() < 0.7 else rng.choice("abc"), i, "x") for i in rng.sample(range(5000), 1500)] + [(None, i, "y") for i in range(5)]
+    rows = [("hot" if rng.random() < 0.7 else rng.choice("abc"), i, "x")
+        for i in rng.sample(range(5000), 1500)] + [(None, i, "y") for i in range(5)]
     df = spark.createDataFrame(rows, "k string, o int, batch_of string").repartition(7)
     got = {(r.k, r.o): r.batch for r in gates.batches(df, ["k"], "o", size).collect()}
     want = {}
@@ -105,20 +114,26 @@ def test_batches_of_hot_keys(spark, size):
 
 def test_passages(spark):
     words = [f"w{i}" for i in range(30)]
-    items = spark.createDataFrame([(1, " ".join(words[:20])), (2, "Two  Words"), (3, ""), (4, None), (5, " ".join(words[10:18]))], "item_id int, text string")
-    docs = spark.createDataFrame([(1, "\n".join(words[5:13]).upper()), (2, "say two\twords, two words"), (3, None), (4, " ".join(words[3:30])), (5, "two")], "doc_id int, text string")
+    items = spark.createDataFrame([(1, " ".join(words[:20])), (2, "Two  Words"), (3, ""), (4, None),
+        (5, " ".join(words[10:18]))], "item_id int, text string")
+    docs = spark.createDataFrame([(1, "\n".join(words[5:13]).upper()), (2, "say two\twords, two words"), (3, None),
+        (4, " ".join(words[3:30])), (5, "two")], "doc_id int, text string")
     for sent in (10**6, 0):
         old, corpus.SENT = corpus.SENT, sent
-        got = {(r.doc_id, r.item_id): r.n_hits for r in corpus.shared_passages(docs, items, "doc_id", "item_id").collect()}
+        got = {(r.doc_id, r.item_id): r.n_hits for r in corpus.shared_passages(docs, items, "doc_id",
+            "item_id").collect()}
         corpus.SENT = old
         assert got == {(1, 1): 1, (2, 2): 1, (4, 1): 10, (4, 5): 1}
     assert corpus.shared_passages(docs, items.limit(0), "doc_id", "item_id").count() == 0
 
 
 def test_sections_and_chunks(spark):
-    docs = spark.createDataFrame([(1, "a\n# x\r\none\n\ntwo\n# y\n# z\nend"), (2, ""), (3, None), (4, "# only")], "k int, text string")
-    got = sorted((r.k, r.section, r.heading, r.first_line, r.n_lines, r.body) for r in lines.sections(docs, "k", lambda x: x.startswith("#")).collect())
-    assert got == [(1, 1, "# x", 1, 2, "one\ntwo"), (1, 2, "# y", 5, 0, ""), (1, 3, "# z", 6, 1, "end"), (4, 1, "# only", 0, 0, "")]
+    docs = spark.createDataFrame([(1, "a\n# x\r\none\n\ntwo\n# y\n# z\nend"), (2, ""), (3, None), (4, "# only")],
+        "k int, text string")
+    got = sorted((r.k, r.section, r.heading, r.first_line, r.n_lines, r.body)
+        for r in lines.sections(docs, "k", lambda x: x.startswith("#")).collect())
+    assert got == [(1, 1, "# x", 1, 2, "one\ntwo"), (1, 2, "# y", 5, 0, ""), (1, 3, "# z", 6, 1, "end"),
+        (4, 1, "# only", 0, 0, "")]
 
 
 def test_nearest_in_small_blocks(spark, monkeypatch):
@@ -128,7 +143,8 @@ def test_nearest_in_small_blocks(spark, monkeypatch):
     vecs = [rng.normal(size=4).round(1).tolist() for _ in range(60)]
     ids = [*range(55), 7, 7, 9, None, None]
     df = spark.createDataFrame(list(zip(ids, vecs)), "id long, v array<double>").repartition(5)
-    queries = spark.createDataFrame([(i, v) for i, v in zip(ids, vecs) if i is None or i % 3 == 0 or i == 7], "id long, v array<double>")
+    queries = spark.createDataFrame([(i, v) for i, v in zip(ids, vecs) if i is None or i % 3 == 0 or i == 7],
+        "id long, v array<double>")
     monkeypatch.setattr(vectors, "BLOCK", 3)
     monkeypatch.setattr(vectors, "SENT", 0)
     unit = lambda v: np.array(v) / max(np.linalg.norm(v), 1e-300)
@@ -136,7 +152,8 @@ def test_nearest_in_small_blocks(spark, monkeypatch):
     for r in vectors.nearest(df, queries.dropDuplicates(["id"]), "id", "v", 4).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.distance, r.neighbour_id))
     for q in queries.where("id is not null").dropDuplicates(["id"]).collect():
-        near = sorted((round(float(1 - unit(q.v) @ unit(v)), 12), i) for i, v in zip(ids, vecs) if i is not None and i != q.id)[:4]
+        near = sorted((round(float(1 - unit(q.v) @ unit(v)), 12), i) for i, v in zip(ids, vecs) if i is not None
+            and i != q.id)[:4]
         assert [(d, n) for _, d, n in sorted(got[q.id])] == near
     assert vectors.nearest(df, queries, "id", "v", 4).where("query_id = 7").count() == 4
     assert vectors.nearest(df, queries.limit(0), "id", "v").count() == 0
@@ -149,7 +166,8 @@ def test_drift_by_rank(spark):
     for n in (1, 2, 9, 10, 11, 200):
         xs = [round(rng.uniform(-1, 1), rng.choice([1, 3, 6])) for _ in range(n)]
         r = vectors.drift(spark.createDataFrame([(x,) for x in xs] + [(None,)], "s double"), "s").first()
-        assert (r.n, r.median_similarity, r.min_similarity, r.p10) == (n, round(statistics.median(xs), 6), min(xs), sorted(xs)[n // 10])
+        assert (r.n, r.median_similarity, r.min_similarity, r.p10) == (n, round(statistics.median(xs), 6), min(xs),
+            sorted(xs)[n // 10])
     assert vectors.drift(spark.createDataFrame([], "s double"), "s").first().n == 0
 
 
@@ -165,22 +183,27 @@ def test_reprints_are_settled_by_the_total():
     read = lambda *pages: grid.read(list(pages)).questions[0]
     q = read(first, divider + cell("   (a)  again", 2) + "Total 3")
     assert (q.total, q.sum(), len(q.points), q.guidance) == (3, 3, 2, ["other method: again"])
-    for again in (cell("   (a)  again", 3), cell("   (b)  again", 2), cell("   (a)  again", 2) + cell("   (a)  again", 2)):  # no twin, or over by another sum
+    for again in (cell("   (a)  again", 3), cell("   (b)  again", 2),
+        cell("   (a)  again", 2) + cell("   (a)  again", 2)):  # no twin, or over by another sum
         q = read(first, divider + again + "Total 3")
         assert q.sum() > 3 and not q.guidance
     assert read(first, divider + cell("   (c)  real", 2) + "Total 5").sum() == 5
 
 
 def test_rows_without_marks_become_notes():
-    g = grid.read([HEAD + cell("1  (a)  main", 2) + "   (b)  lost cell\n" + "   (c)  lost too\n" + cell("   (d)  Reject other words", 1) + "Total 3"])
+    g = grid.read([HEAD + cell("1  (a)  main",
+        2) + "   (b)  lost cell\n" + "   (c)  lost too\n" + cell("   (d)  Reject other words", 1) + "Total 3"])
     q = g.questions[0]
-    assert [(p.part, p.marks, p.text, p.notes) for p in q.points] == [("a", 2, "main", ["lost cell", "lost too"]), ("d", 1, "", ["Reject other words"])]
-    one_block = grid.read([HEAD + cell("1  (a)  main", 2) + "   (b)  M1  x\n" + "        M2  y\n" + "Total 4"]).questions[0]
+    assert [(p.part, p.marks, p.text, p.notes) for p in q.points] == [("a", 2, "main", ["lost cell", "lost too"]),
+        ("d", 1, "", ["Reject other words"])]
+    one_block = grid.read([HEAD + cell("1  (a)  main",
+        2) + "   (b)  M1  x\n" + "        M2  y\n" + "Total 4"]).questions[0]
     assert one_block.sum() == 4
 
 
 def test_labels_parted_from_their_digit():
-    g = grid.read([HEAD + "1  (a)  M\n" + "1      first step\n" + cell("", 1) + "2  (a)  M\n" + cell("2  (b)  other", 1) + "Total 1"])
+    g = grid.read([HEAD + "1  (a)  M\n" + "1      first step\n" + cell("", 1) + "2  (a)  M\n" + cell("2  (b)  other",
+        1) + "Total 1"])
     assert [(p.part, p.label) for p in g.questions[0].points][0] == ("a", "M1")
     assert grid._whole_labels([(0, "1 (a)  M"), (1, "2  (b) x")]) == [(0, "1 (a)  M"), (1, "2  (b) x")]
 
@@ -193,7 +216,8 @@ def code_row(label, value, codes):
 
 
 def test_codes_are_staged_for_the_next_opener():
-    text = CODES + code_row("1 x", 1, "M1") + "Total 1 marks\n" + code_row("   w", 2, "M1") + code_row("2 z", "", "A1") + "Total 2 marks\n" + code_row("  v", "", "B1 lost") + "Total 9 marks\n"
+    text = CODES + code_row("1 x", 1, "M1") + "Total 1 marks\n" + code_row("   w", 2, "M1") + code_row("2 z", "",
+        "A1") + "Total 2 marks\n" + code_row("  v", "", "B1 lost") + "Total 9 marks\n"
     c = grid.read_codes([text])
     assert [(r["question"], r["code"], r["ordinal"]) for r in c.rows] == [(1, "M1", 1), (2, "M1", 2), (2, "A1", 3)]
     assert c.problems[2][-1] == "no question for B1" and c.totals == {1: 1, 2: 2}
@@ -201,8 +225,10 @@ def test_codes_are_staged_for_the_next_opener():
 
 def test_codes_in_large_brackets():
     top, spine, bottom = "\uf0e6", "\uf0e7", "\uf0e8"
-    rows = code_row("", "", f"{top}M1 for one") + code_row("", "", f"{spine} or M1 for two") + code_row("", "", f"{bottom}M1 last")
+    rows = code_row("", "", f"{top}M1 for one") + code_row("", "", f"{spine} or M1 for two") + code_row("", "",
+        f"{bottom}M1 last")
     c = grid.read_codes([CODES + code_row("1 x", 3, "M2") + rows + code_row("", "", "A1 behind") + "Total 3 marks\n"])
-    assert [r["code"] for r in c.rows] == ["M2", "A1"] and sum("bracket" in p for p in c.problems[1]) == 3 and len(c.problems[1]) == 3
+    assert [r["code"] for r in c.rows] == ["M2", "A1"] and sum("bracket" in p
+        for p in c.problems[1]) == 3 and len(c.problems[1]) == 3
     inline = grid.read_codes([CODES + code_row("1 x", 3, f"M1 {top} 1 2 \uf0f6 A2")])
     assert [r["code"] for r in inline.rows] == ["M1", "A2"]

@@ -9,7 +9,8 @@ from foliant.plans.catalog import QUERIES
 #: One-row sides only: a total and the place of one element.
 ONE_ROW: set[str] = set()
 #: These run jobs while the plan is made.
-EAGER = {"sitting_bind", "sitting_findings", "sitting_health", "review_queue", "knn_top10", "neighbour_jaccard", "drift_gate", "batch_keys_400", "leakage_guard", "applied_embeddings"}
+EAGER = {"sitting_bind", "sitting_findings", "sitting_health", "review_queue", "knn_top10", "neighbour_jaccard",
+    "drift_gate", "batch_keys_400", "leakage_guard", "applied_embeddings"}
 
 
 def plan(df):
