@@ -53,9 +53,8 @@ def _cells(rows: DataFrame, limit: int) -> DataFrame:
     return out
 
 
-def directory(rows: DataFrame, limit: int) -> DataFrame:
-    """(depth, prefix, bytes, n, lo, hi) of the shards of (h, n_bytes) rows."""
-    cells = _cells(rows, limit)
+def directory(cells: DataFrame, limit: int) -> DataFrame:
+    """(depth, prefix, bytes, n, lo, hi) of the shards that hold the cells."""
     up = F.explode(F.sequence(F.lit(0), F.col("depth"))).alias("d")
     over = cells.select("*", up).select(
         F.col("d").alias("depth"), F.call_function("shiftright", F.col("prefix"), (F.col("depth") - F.col("d")).cast("int")).alias("prefix"), "bytes", "n", "lo", "hi")
@@ -68,13 +67,22 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def _assign(rows: DataFrame, limit: int) -> DataFrame:
-    """rows with depth, prefix, bytes, n, lo, hi of their shard: one equi-join, on the depths that shards have."""
-    shards = directory(rows, limit)
+    """rows with depth, prefix, bytes, n, lo, hi of their shard.
+
+    Cells, few against the rows, are joined to their shard first; a row then meets its cell.  Nearly all cells have one
+    depth, so a row is looked up once, and once more for each depth at which dense cells were counted again.
+    """
+    cells = written(_cells(rows, limit), "cells")
+    shards = directory(cells, limit)
     depths = sorted(r.depth for r in shards.select("depth").distinct().collect())  # at most 61
     if not depths:
         return rows.withColumns({"depth": F.lit(0), "prefix": F.lit(0).cast("long"), "bytes": F.lit(0).cast("long"), "n": F.lit(0).cast("long"), "lo": F.lit(0).cast("long"), "hi": F.lit(0).cast("long")})
-    keyed = rows.withColumn("depth", F.explode(F.array(*[F.lit(d) for d in depths]))).withColumn("prefix", _prefix(F.col("h"), F.col("depth")))
-    return keyed.join(shards, ["depth", "prefix"])
+    cell_depths = sorted(r.depth for r in cells.select("depth").distinct().collect())  # the first, and some six bits deeper each
+    up = cells.select(F.col("depth").alias("cell_depth"), F.col("prefix").alias("cell"), F.explode(F.array(*[F.lit(d) for d in depths])).alias("depth")).where("depth <= cell_depth")
+    placed = up.withColumn("prefix", F.call_function("shiftright", F.col("cell"), (F.col("cell_depth") - F.col("depth")).cast("int"))).join(shards, ["depth", "prefix"])
+    named = written(placed, "cell-shards")
+    keyed = rows.withColumn("cell_depth", F.explode(F.array(*[F.lit(d) for d in cell_depths]))).withColumn("cell", _prefix(F.col("h"), F.col("cell_depth")))
+    return keyed.join(named, ["cell_depth", "cell"]).drop("cell_depth", "cell")
 
 
 def shard(docs: DataFrame, key: str = "doc_id", limit: int = SHARD_BYTES) -> DataFrame:
