@@ -1,5 +1,8 @@
+import random
+
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from foliant.llm import quality, simhash, toxicity
 from foliant.llm.queries import ORACLES, QUERIES
@@ -34,6 +37,29 @@ def test_empty_input(spark, sf):
     assert docs.count() == 0
 
 
+def test_odd_rows_go_through_all_stages(spark, sf, odd):
+    """Nulls, repeated rows, copies, very long texts and clashing names: what stays, stays whole, and once."""
+    rng = random.Random(6)
+    good = lambda n: " ".join("".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 4))) for _ in range(n))
+    one, two, three, long = good(90), good(90), good(90), good(60_000)
+    rows = [(100, one), (100, one), (101, one), (None, two), (None, two), (102, three + " token=abcdefgh1"), (103, long)]
+    more = spark.createDataFrame([(i, t, *["x"] * (len(odd.columns) - 2)) for i, t in rows], odd.schema)
+    docs = odd.union(more).repartition(5)
+    for name, f in corpus_pipeline.STAGES:
+        before, docs = docs, corpus_pipeline.common.written(f(spark, docs, sf), f"odd-{name}")
+        if name != "packing":
+            assert docs.columns == odd.columns and docs.dtypes == odd.dtypes
+            if name != "secret_scan":
+                assert docs.exceptAll(before).count() == 0
+        else:
+            last = before
+    assert sorted((r.doc_id or 0, r.text) for r in last.collect()) == sorted([(100, one), (0, two), (102, three + " <SECRET>"), (103, long)])
+    assert {r.rejected_by for r in last.collect()} == {"x"}
+    encode = corpus_pipeline.packing.load_encoder()
+    total = {r.doc_id: r.n for r in docs.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert total == {r.doc_id: len(encode(r.text)) + 1 for r in last.collect()}
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_queries_run(spark, sf, name):
     df = QUERIES[name](spark, sf)

@@ -76,6 +76,52 @@ def test_packer_fits_best():
     assert [[x.doc_id for x in w.pieces] for w in out] == [[12, 4], [10, 6]] and [w.fill for w in p.open] == [5]
 
 
+def place(lengths, size, windows):
+    """Sequences and open windows as lists of (document, ids), straight from the rules."""
+    out, open_ = [], []
+    for d, n in enumerate(lengths):
+        while n >= size:
+            out.append([(d, size)])
+            n -= size
+        if not n:
+            continue
+        room = {k: size - sum(x for _, x in w) for k, w in enumerate(open_)}
+        fit = [k for k in room if room[k] >= n]
+        if fit:
+            k = min(fit, key=lambda k: (room[k], k))
+            open_[k].append((d, n))
+            if room[k] == n:
+                out.append(open_.pop(k))
+            continue
+        if len(open_) == windows:
+            k = min(room, key=lambda k: (room[k], k))
+            open_[k].append((d, room[k]))
+            n -= room[k]
+            out.append(open_.pop(k))
+        open_.append([(d, n)])
+    return out, open_
+
+
+@pytest.mark.parametrize(("size", "windows"), [(16, 1), (16, 3), (64, 4), (128, 16)])
+def test_packer_against_its_rules(size, windows):
+    rng = random.Random(size * windows)
+    for _ in range(40):
+        lengths = [rng.choice([1, 2, rng.randint(1, size), rng.randint(1, 3 * size)]) for _ in range(rng.randint(0, 80))]
+        emitted = []
+        p = packing.Packer(emitted.append, size, windows)
+        for d, n in enumerate(lengths):
+            p.add(packing.Piece(d, 0, n, np.arange(n, dtype=np.uint32)))
+            assert len(p.open) <= windows
+        shape = lambda ws: [[(x.doc_id, len(x.ids)) for x in w.pieces] for w in ws]
+        assert (shape(emitted), shape(p.open)) == place(lengths, size, windows)
+        ids = {}
+        for w in (*emitted, *p.open):
+            for x in w.pieces:
+                assert x.ids.tolist() == list(range(x.start, x.start + len(x.ids)))
+                ids.setdefault(x.doc_id, []).extend(x.ids.tolist())
+        assert {d: sorted(v) for d, v in ids.items()} == {d: list(range(n)) for d, n in enumerate(lengths)}
+
+
 def test_packing_of_odd_rows(odd, none):
     rows = packing.pack(odd, 64).collect()
     check_packing(rows, [], 64)
