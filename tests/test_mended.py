@@ -232,3 +232,13 @@ def test_codes_in_large_brackets():
         for p in c.problems[1]) == 3 and len(c.problems[1]) == 3
     inline = grid.read_codes([CODES + code_row("1 x", 3, f"M1 {top} 1 2 \uf0f6 A2")])
     assert [r["code"] for r in inline.rows] == ["M1", "A2"]
+
+
+def test_pages_that_are_no_grid_are_passed_over():
+    cover = "Mark Scheme\nEdexcel is one of the largest bodies\nA box. If you change your mind\n2019"
+    g = grid.read([cover, HEAD + cell("1  (a)  main", 2) + "Total 2", "Publications\nCode 2"])
+    assert g.unclassified == [] and [(q.number, q.total) for q in g.questions] == [(1, 2)]
+    for page in ("(ii)   D yellow   1", "c   change is small", "5 marks", "x M1", HEAD):
+        assert grid.is_grid(page.split("\n"))
+    split = grid.read([HEAD + cell("1  (a)  main", 2) + "reject all   Total\n" + cell("", 2)]).questions[0]
+    assert split.total == 2 and split.points[0].notes == ["reject all"]
