@@ -64,17 +64,19 @@ class OrdinalModel:
         least = self.cuts[0] + math.log(threshold / (1 - threshold))
         known: dict[str, tuple[str, ...]] = {}
         weights = self.weights
+        heads = {f.rstrip("*")[:4] for f in weights}  # all features of a word begin as it does
 
         def hits(words: list[str]) -> list[tuple[int, tuple[str, ...]]]:
             out = []
             for i, word in enumerate(words):
-                own = known.get(word)
-                if own is None:
-                    if len(known) > 300_000:
-                        known.clear()
-                    own = known[word] = tuple(f for f in features(word) if f in weights)
-                if own:
-                    out.append((i, own))
+                if word[:4] in heads:
+                    own = known.get(word)
+                    if own is None:
+                        if len(known) > 50_000:
+                            known.clear()
+                        own = known[word] = tuple(f for f in features(word) if f in weights)
+                    if own:
+                        out.append((i, own))
             return out
 
         def score(text: str | None) -> float:
