@@ -120,24 +120,24 @@ def measured(docs: DataFrame) -> tuple[DataFrame, str]:
     }), own
 
 
-def base_rules(own: str | None = None) -> list[Rule]:
-    """The two rules that the base measures decide."""
-    ws = words(F.col("text"))
+def base_rules(own: str | None = None, ws: Column | None = None) -> list[Rule]:
+    """The two rules that the base measures decide; see further_rules."""
     if own:
         n, repeated = F.col(f"{own}n_words"), F.col(f"{own}n_repeat_words")
         return [Rule("few_words", n < MIN_WORDS), Rule("repeated_words", 100 * repeated > MAX_REPEAT_PERCENT * n)]
-    return [Rule("few_words", F.size(ws) < MIN_WORDS), Rule("repeated_words", let(ws, lambda w: 100 * n_repeat_words(w) > MAX_REPEAT_PERCENT * F.size(w)))]
+    with_words = lambda body: body(ws) if ws is not None else let(words(F.col("text")), body)
+    return [Rule("few_words", with_words(lambda w: F.size(w) < MIN_WORDS)), Rule("repeated_words", with_words(lambda w: 100 * n_repeat_words(w) > MAX_REPEAT_PERCENT * F.size(w)))]
 
 
-def further_rules(own: str | None = None) -> list[Rule]:
+def further_rules(own: str | None = None, ws: Column | None = None) -> list[Rule]:
     """The other standard rules, in whole numbers, so that SQL gives the same.
 
-    Each stands alone on the column text, or reads what `measured` has at hand (own: the beginning of its names).
-    Marks, the most frequent word, open lines and bullets are work of their own, done only for rows that come to them.
+    Each stands alone on the column text, or takes its words (ws) where these are at hand, or reads what `measured` has
+    (own: the beginning of its names).  Marks, the most frequent word, open lines and bullets are work of their own, done only for rows that come to them.
     """
     t = F.col("text")
     m = lambda name, alone: F.col(f"{own}{name}") if own else alone
-    with_words = lambda body: body(F.col(f"{own}words")) if own else let(words(t), body)
+    with_words = lambda body: body(F.col(f"{own}words")) if own else body(ws) if ws is not None else let(words(t), body)
     with_lines = lambda body: body(F.col(f"{own}lines")) if own else let(lines_with_words(t), body)
     chars = lambda w: m("word_chars", word_chars(w))
     return [
@@ -151,9 +151,9 @@ def further_rules(own: str | None = None) -> list[Rule]:
     ]
 
 
-def rules() -> list[Rule]:
-    """All standard rules, each on the column text."""
-    return base_rules() + further_rules()
+def rules(ws: Column | None = None) -> list[Rule]:
+    """All standard rules, each on the column text, or with its words at hand."""
+    return base_rules(ws=ws) + further_rules(ws=ws)
 
 
 def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -214,9 +214,18 @@ def cascade(docs: DataFrame, given: list[Rule] | None = None, rows: int = SAMPLE
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of docs that no rule rejects, columns as they came."""
-    found = [r for r, *_ in order(sample(docs.select("text")), rules())]
-    return docs.where(verdict(found).isNull())
+    """The rows of docs that no rule rejects, columns as they came.
+
+    A text is cut into words once, for the sample as for the rules' CASE.
+    """
+    part = written(sample(docs.select("text")).withColumn("words", words(F.col("text"))), "quality-words")
+    found = [r.name for r, *_ in order(part, rules(F.col("words")))]
+
+    def rejected(ws: Column) -> Column:
+        by_name = {r.name: r for r in rules(ws)}
+        return verdict([by_name[n] for n in found])
+
+    return docs.where(let(words(F.col("text")), rejected).isNull())
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
