@@ -11,8 +11,8 @@ pattern matches either.
 
 from __future__ import annotations
 
+import json
 import math
-import random
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -147,8 +147,8 @@ def joined_names(words: Column) -> Column:
     return made
 
 
-def names_of_code(times: int = CODE_TIMES) -> list[list[str]]:
-    """Words of the public names in modules of Python's library, in `times` seeded orders: what identifiers are made of."""
+def names_of_code() -> list[str]:
+    """Words of the public names in modules of Python's library and of what it runs on: what identifiers are made of."""
     import importlib
 
     found = set()
@@ -158,8 +158,7 @@ def names_of_code(times: int = CODE_TIMES) -> list[list[str]]:
             inner = dir(getattr(m, name)) if isinstance(getattr(m, name), type) else []
             for n in (name, *inner):
                 found.update(w.lower() for w in re.findall("[A-Z]?[a-z]+", n) if len(w) > 2)
-    words = sorted(found)
-    return [random.Random(k).sample(words, len(words)) for k in range(times)]
+    return sorted(found)
 
 
 def samples(spark: SparkSession, docs: DataFrame, rows: int = TRAIN_DOCS, strings: int = TRAIN_STRINGS) -> DataFrame:
@@ -176,13 +175,18 @@ def samples(spark: SparkSession, docs: DataFrame, rows: int = TRAIN_DOCS, string
         F.concat_ws("-", (1970 + i % 80).cast("string"), F.lpad((1 + i % 12).cast("string"), 2, "0"), F.lpad((1 + i % 28).cast("string"), 2, "0")),
         F.repeat(F.element_at(F.array(*map(F.lit, "-=_/+")), (1 + i % 5).cast("int")), n))).alias("string"), F.lit(0).alias("random"))
     h = F.xxhash64(F.col("doc_id").cast("string"))
-    least = docs.select(h.alias("h")).distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
-    part = docs.where(h <= F.lit(least if least is not None else 0)).groupBy(h.alias("h")).agg(F.min("text").alias("t"))  # one text for each id
+    # a range of hashes that some four times as many rows fall into, so that the ids of all rows are never shuffled
+    count = docs.count()
+    near = docs.where(h <= F.lit(-(2**63) + min(2**64 - 1, 4 * rows * 2**64 // max(count, 1))))
+    least = near.select(h.alias("h")).distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    part = near.where(h <= F.lit(least if least is not None else 0)).groupBy(h.alias("h")).agg(F.min("text").alias("t"))  # one text for each id
     t = clear(F.col("t"))
     for pattern in (ASSIGN, f"AKIA[A-Z0-9]{{{MIN_ACCESS - 4},}}", f"[0-9a-f]{{{MIN_HEX},}}"):
         t = F.regexp_replace(t, pattern, " ")
     own = part.select(F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0)).alias("w"))
-    code = spark.createDataFrame([(w,) for w in names_of_code(CODE_TIMES if strings else 0)], "w array<string>")
+    names = F.from_json(F.lit(json.dumps(names_of_code())), "array<string>")
+    shuffled = F.transform(F.array_sort(F.transform(names, lambda w: F.struct(F.xxhash64(w, F.col("id")).alias("h"), w.alias("w")))), lambda x: x.w)
+    code = spark.range(0, CODE_TIMES if strings else 0, 1, CODE_TIMES).select(shuffled.alias("w"))
     ordinary = own.union(code).select(F.explode(F.concat("w", joined_names(F.col("w")))).alias("string")).where("length(string) > 2").withColumn("random", F.lit(0))
     return random_strings(spark, strings).select("string", F.lit(1).alias("random")).union(numbers).union(ordinary)
 
