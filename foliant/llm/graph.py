@@ -18,19 +18,23 @@ def _star(edges: DataFrame, large: bool, step: str) -> DataFrame:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), f"least-{step}")
+    least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")),
+        f"least-{step}")
     joined = both.join(least.hint("merge"), "a")
     if large:
         out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+        out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a",
+            F.col("m").alias("b")))
     return written(out.where("a <> b").distinct(), f"edges-{step}")
 
 
 def _settled(edges: DataFrame) -> bool:
     """Whether the edges are stars: each node hangs below one other, and none that hangs has others below it."""
-    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
-    return ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("up"),
+        F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("v").agg(F.sum("up").alias("up"),
+        F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -39,7 +43,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Empty edges give an empty table.  Self-links are ignored.  Each step is written, so that a lost executor costs
     one step.  The loop ends when the edges are stars around their least nodes.
     """
-    edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
+        F.least("a", "b").alias("b")).distinct(), "edges")
     for k in range(rounds):
         if _settled(edges):
             break

@@ -38,15 +38,18 @@ BREAKS = frozenset("""b big blockquote body br center code dd div dl dt em embed
     table tt u ul var""".split())  # end an open svg
 CLOSES = {
     "p": frozenset(["p"]), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
-    "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"]),
+    "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]),
+    "option": frozenset(["option"]),
 }
-SCOPE = {"li": frozenset(["ul", "ol"]), "tr": frozenset(["table"]), "td": frozenset(["tr"]), "th": frozenset(["tr"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"])}
+SCOPE = {"li": frozenset(["ul", "ol"]), "tr": frozenset(["table"]), "td": frozenset(["tr"]), "th": frozenset(["tr"]),
+    "dt": frozenset(["dl"]), "dd": frozenset(["dl"])}
 NO_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 GOOD = frozenset("article articlebody body content entry main post story text page prose copy maincontent".split())
 BAD = frozenset("""ad ads alert announcement adv advert advertisement banner bottom breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies copyright dialog disclaimer discuss disqus
     foot footer form gdpr head header hidden legal links login masthead menu meta modal nav navbar navigation newsletter notice notification pager pagination popup popular privacy
     promo promotion recommended related replies reply respond search share sharing sidebar side signup skip social sponsor sponsored subscribe tag tags teaser toolbar top topbar trending warning widget widgets""".split())
-TAGS = ("p", "h1", "h2", "h3", "li", "ul", "ol", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "blockquote", "pre", "td", "figure", "body")
+TAGS = ("p", "h1", "h2", "h3", "li", "ul", "ol", "div", "section", "article", "main", "nav", "header", "footer",
+    "aside", "form", "blockquote", "pre", "td", "figure", "body")
 
 # Attributes as browsers read them: a quote delimits a value only behind "=".  Every part is possessive, so a tag is
 # read once; only the end of the page can make it fail.
@@ -195,7 +198,8 @@ def parse(html: str | None, marks: bool = False) -> Page:
     def node(tag: str, attrs: str) -> int:
         good, bad = _tokens(attrs) if attrs else (0, 0)
         up = blocks[-1] if blocks else -1
-        for c, v in ((page.tag, _TAG_NO.get(tag, len(TAGS))), (page.parent, up), (page.depth, page.depth[up] + 1 if up >= 0 else 0), (page.good, good), (page.bad, bad),
+        for c, v in ((page.tag, _TAG_NO.get(tag, len(TAGS))), (page.parent, up),
+            (page.depth, page.depth[up] + 1 if up >= 0 else 0), (page.good, good), (page.bad, bad),
                      (page.chars, 0), (page.linked, 0), (page.words, 0), (page.stops, 0)):
             c.append(v)
         if marks:
@@ -352,7 +356,8 @@ class Batch:
         self.starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         self.page = np.repeat(np.arange(len(pages)), sizes)
         cat = lambda name: np.array([x for p in pages for x in getattr(p, name)], np.int64)
-        self.tag, self.depth, self.good, self.bad, self.chars, self.linked, self.words, self.stops = map(cat, ("tag", "depth", "good", "bad", "chars", "linked", "words", "stops"))
+        self.tag, self.depth, self.good, self.bad, self.chars, self.linked, self.words, self.stops = map(cat,
+            ("tag", "depth", "good", "bad", "chars", "linked", "words", "stops"))
         up = cat("parent")
         self.parent = np.where(up >= 0, up + self.starts[self.page], -1)
         self.levels = [np.flatnonzero(self.depth == d) for d in range(int(self.depth.max(initial=-1)) + 1)]
@@ -378,7 +383,8 @@ class Batch:
     def scores(self, trees: Trees, rows: int = 1 << 15) -> np.ndarray:
         """Scores of the nodes; the matrix is made for so many at a time."""
         cols, n = self.columns(), len(self.tag)
-        return np.concatenate([trees.score(self._stacked(cols, a, min(a + rows, n))) for a in range(0, n, rows)] or [np.zeros(0)])
+        return np.concatenate([trees.score(self._stacked(cols, a, min(a + rows, n))) for a in range(0, n, rows)]
+            or [np.zeros(0)])
 
     @staticmethod
     def _stacked(cols: list[np.ndarray], a: int, b: int) -> np.ndarray:
@@ -406,12 +412,16 @@ class Batch:
         np.minimum.at(firsts, group, order)
         rank = (order - firsts[group]) / np.where(has, nodes[up], np.bincount(self.page)[self.page])
         cols = [
-            self.depth, self.good > 0, self.bad > 0, self.down(self.good > 0) > 0, np.minimum(self.down(self.bad > 0), 3),
-            self.chars, self.words, self.stops / np.maximum(self.words, 1), self.linked / np.maximum(self.chars, 1), self.chars / np.maximum(self.words, 1),
-            sub["chars"], sub["words"] / nodes, sub["stops"] / np.maximum(sub["words"], 1), sub["linked"] / np.maximum(sub["chars"], 1), paras, links / nodes, sub_bad / nodes,
+            self.depth, self.good > 0, self.bad > 0, self.down(self.good > 0) > 0,
+            np.minimum(self.down(self.bad > 0), 3),
+            self.chars, self.words, self.stops / np.maximum(self.words, 1), self.linked / np.maximum(self.chars, 1),
+            self.chars / np.maximum(self.words, 1),
+            sub["chars"], sub["words"] / nodes, sub["stops"] / np.maximum(sub["words"], 1),
+            sub["linked"] / np.maximum(sub["chars"], 1), paras, links / nodes, sub_bad / nodes,
             sub["chars"] / np.maximum(total, 1), before / np.maximum(total, 1), kids, size, rank,
             of(self.bad > 0) / size, of(self.chars) / size, of(self.linked) / np.maximum(of(self.chars), 1),
-            np.where(has, sub["chars"][up], total), np.where(has, sub["linked"][up] / np.maximum(sub["chars"][up], 1), 0), np.where(has, paras[up], 0), np.where(has, sub["stops"][up] / np.maximum(sub["words"][up], 1), 0),
+            np.where(has, sub["chars"][up], total), np.where(has, sub["linked"][up] / np.maximum(sub["chars"][up], 1),
+            0), np.where(has, paras[up], 0), np.where(has, sub["stops"][up] / np.maximum(sub["words"][up], 1), 0),
         ]
         cols += [self.tag == i for i in range(len(TAGS))]
         for t in ("article", "main", "nav", "header", "footer", "aside", "form", "ul", "p", "section"):
@@ -461,7 +471,8 @@ def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Trees:
                 if not len(edges[j]):
                     continue
                 key = local * (BINS + 1) + binned[:, j]
-                gl, hl = (np.bincount(key, w, minlength=width * (BINS + 1)).reshape(width, -1).cumsum(axis=1) for w in (g, h))
+                gl, hl = (np.bincount(key, w, minlength=width * (BINS + 1)).reshape(width, -1).cumsum(axis=1)
+                    for w in (g, h))
                 gt, ht = gl[:, -1:], hl[:, -1:]
                 gain = gl**2 / (hl + 1) + (gt - gl) ** 2 / (ht - hl + 1) - gt**2 / (ht + 1)
                 gain = np.where((hl > 1e-3) & (ht - hl > 1e-3), gain, 0)[:, : len(edges[j])]
@@ -492,7 +503,8 @@ def decode(batch: Batch, score: np.ndarray) -> np.ndarray:
 
 def labelled_page(rng: random.Random) -> str:
     """A made-up page; data-y of a block is y (article) or n (not); blocks that hold both have none."""
-    parts = ["th", "er", "on", "an", "ing", "es", "ver", "lich", "que", "ment", "ción", "os", "eau", "en", "de", "la", "st", "ble"]
+    parts = ["th", "er", "on", "an", "ing", "es", "ver", "lich", "que", "ment", "ción", "os", "eau", "en", "de", "la",
+        "st", "ble"]
     word = lambda: "".join(rng.choices(parts, k=rng.randint(1, 4)))
 
     def prose(lo: int, hi: int) -> str:
@@ -520,55 +532,95 @@ def labelled_page(rng: random.Random) -> str:
 
     def nav() -> str:
         return rng.choice([
-            lambda: box("nav", named("main-nav", "menu") if rng.random() < 0.5 else "", "n", items("n", rng.randint(3, 9), link)),
-            lambda: box("div", ' class="' + rng.choice(["menu", "navbar", "nav top", "breadcrumb"]) + '"', "n", " ".join(link() for _ in range(rng.randint(3, 8)))),
-            lambda: box("nav", "", "n", rng.choice([" | ", " ", ""]).join(link(1, 1) for _ in range(rng.randint(2, 8))))])()
+            lambda: box("nav", named("main-nav", "menu") if rng.random() < 0.5 else "", "n",
+            items("n", rng.randint(3, 9), link)),
+            lambda: box("div", ' class="' + rng.choice(["menu", "navbar", "nav top", "breadcrumb"]) + '"', "n",
+            " ".join(link() for _ in range(rng.randint(3, 8)))),
+            lambda: box("nav", "", "n", rng.choice([" | ", " ", ""]).join(link(1, 1)
+            for _ in range(rng.randint(2, 8))))])()
 
     def header() -> str:
-        inner = rng.choice([lambda: box("h1", "", "n", prose(1, 4)), lambda: box("div", ' class="logo"', "n", link()), lambda: box("p", "", "n", prose(3, 10))])()
-        return rng.choice([lambda: box("header", named("site-header", "masthead"), "n", inner + (nav() if rng.random() < 0.5 else "")), lambda: box("div", f' class="{rng.choice(["header", "site-header", "masthead", "topbar"])}"', "n", inner)])()
+        inner = rng.choice([lambda: box("h1", "", "n", prose(1, 4)), lambda: box("div", ' class="logo"', "n", link()),
+            lambda: box("p", "", "n", prose(3, 10))])()
+        return rng.choice([lambda: box("header", named("site-header", "masthead"), "n",
+            inner + (nav() if rng.random() < 0.5 else "")),
+            lambda: box("div", f' class="{rng.choice(["header", "site-header", "masthead", "topbar"])}"', "n",
+            inner)])()
 
     def footer() -> str:
-        says = rng.choice(["&copy; ", "Copyright ", "&copy; 2024 ", ""]) + word() + ".example.com" + rng.choice([" &middot; ", " ", ". "]) + (prose(2, 25) if rng.random() < 0.8 else "")
-        inner = rng.choice([lambda: says, lambda: box("p", "", "n", says), lambda: box("div", "", "n", says) + items("n", 3, link)])()
-        return rng.choice([lambda: box("footer", named("footer", "site-footer") if rng.random() < 0.4 else "", "n", inner), lambda: box("div", f' class="{rng.choice(["footer", "bottom", "site-footer", "copyright"])}"', "n", inner)])()
+        says = rng.choice(["&copy; ", "Copyright ", "&copy; 2024 ",
+            ""]) + word() + ".example.com" + rng.choice([" &middot; ", " ", ". "]) + (prose(2, 25) if rng.random() < 0.8
+            else "")
+        inner = rng.choice([lambda: says, lambda: box("p", "", "n", says),
+            lambda: box("div", "", "n", says) + items("n", 3, link)])()
+        return rng.choice([lambda: box("footer", named("footer", "site-footer") if rng.random() < 0.4 else "", "n",
+            inner), lambda: box("div", f' class="{rng.choice(["footer", "bottom", "site-footer", "copyright"])}"', "n",
+            inner)])()
 
     def ad() -> str:
         inner = rng.choice([lambda: prose(2, 40), lambda: box("p", "", "n", prose(4, 40)), lambda: link(2, 9)])()
-        return box(rng.choice(["div", "div", "aside", "section"]), f' {rng.choice(["class", "id"])}="{rng.choice(["ad", "ads", "advert", "banner", "promo", "sponsored", "ad-box", "advertisement", "sponsor"])}"', "n", inner)
+        return box(rng.choice(["div", "div", "aside", "section"]),
+            f' {rng.choice(["class", "id"])}="{rng.choice(["ad", "ads", "advert", "banner", "promo", "sponsored", "ad-box", "advertisement", "sponsor"])}"',
+            "n", inner)
 
     def notice() -> str:
         inner = rng.choice([lambda: prose(5, 40), lambda: box("p", "", "n", prose(8, 50)) + "<button>OK</button>"])()
         if rng.random() < 0.2:
-            return box(rng.choice(["div", "p"]), f' role="{rng.choice(["alert", "dialog"])}"', "n", inner if "<p" not in inner else prose(4, 30))
-        return box("div", f' class="{rng.choice(["cookie", "cookie-notice", "notice", "consent", "gdpr-banner", "popup", "notification", "warning", "alert", "announcement"])}"', "n", inner)
+            return box(rng.choice(["div", "p"]), f' role="{rng.choice(["alert", "dialog"])}"', "n", inner
+                if "<p" not in inner else prose(4, 30))
+        return box("div",
+            f' class="{rng.choice(["cookie", "cookie-notice", "notice", "consent", "gdpr-banner", "popup", "notification", "warning", "alert", "announcement"])}"',
+            "n", inner)
 
     def aside() -> str:
         inner = rng.choice([
-            lambda: box("h3", "", "n", prose(1, 3)) + items("n", rng.randint(2, 7), link), lambda: box("h2", "", "n", prose(1, 3)) + box("p", "", "n", prose(8, 60)),
-            lambda: "".join(box("p", "", "n", prose(5, 40)) for _ in range(rng.randint(1, 4))), lambda: prose(4, 30), lambda: items("n", rng.randint(2, 6), lambda: prose(2, 12))])()
-        return rng.choice([lambda: box("aside", named("sidebar", "widget", "related") if rng.random() < 0.5 else "", "n", inner), lambda: box("div", f' class="{rng.choice(["sidebar", "widget", "related", "side", "recommended", "popular", "related-posts"])}"', "n", inner)])()
+            lambda: box("h3", "", "n", prose(1, 3)) + items("n", rng.randint(2, 7), link),
+            lambda: box("h2", "", "n", prose(1, 3)) + box("p", "", "n", prose(8, 60)),
+            lambda: "".join(box("p", "", "n", prose(5, 40)) for _ in range(rng.randint(1, 4))), lambda: prose(4, 30),
+            lambda: items("n", rng.randint(2, 6), lambda: prose(2, 12))])()
+        return rng.choice([lambda: box("aside", named("sidebar", "widget", "related") if rng.random() < 0.5 else "",
+            "n", inner),
+            lambda: box("div",
+            f' class="{rng.choice(["sidebar", "widget", "related", "side", "recommended", "popular", "related-posts"])}"',
+            "n", inner)])()
 
     def form() -> str:
-        inner = rng.choice([lambda: f"<label>{prose(1, 4)}</label><input name=q><button>{word()}</button>", lambda: box("p", "", "n", prose(4, 25)) + "<input type=text>", lambda: prose(3, 20) + "<input><select><option>a<option>b</select>"])()
-        return rng.choice([lambda: box("form", named("newsletter", "search", "subscribe", "login") if rng.random() < 0.6 else "", "n", inner), lambda: box("div", ' class="newsletter signup"', "n", box("form", "", "n", inner))])()
+        inner = rng.choice([lambda: f"<label>{prose(1, 4)}</label><input name=q><button>{word()}</button>",
+            lambda: box("p", "", "n", prose(4, 25)) + "<input type=text>",
+            lambda: prose(3, 20) + "<input><select><option>a<option>b</select>"])()
+        return rng.choice([lambda: box("form", named("newsletter", "search", "subscribe", "login") if rng.random() < 0.6
+            else "", "n", inner), lambda: box("div", ' class="newsletter signup"', "n", box("form", "", "n", inner))])()
 
     def comments() -> str:
-        one = lambda: rng.choice([lambda: box("p", "", "n", prose(4, 90)), lambda: box("b", "", "n", word()) + box("p", "", "n", prose(4, 90)) + link(1, 1)])()
-        each = [lambda: box("div", ' class="' + rng.choice(["comment", "reply", "comment-body", "comment"]) + '"', "n", one()), lambda: box("li", "", "n", one()), lambda: box("article", ' class="comment"', "n", one())]
+        one = lambda: rng.choice([lambda: box("p", "", "n", prose(4, 90)),
+            lambda: box("b", "", "n", word()) + box("p", "", "n", prose(4, 90)) + link(1, 1)])()
+        each = [lambda: box("div", ' class="' + rng.choice(["comment", "reply", "comment-body", "comment"]) + '"', "n",
+            one()), lambda: box("li", "", "n", one()), lambda: box("article", ' class="comment"', "n", one())]
         kind = rng.choice(each)
-        inner = (box("h2", "", "n", prose(1, 3)) if rng.random() < 0.6 else "") + "".join(kind() for _ in range(rng.randint(1, 7)))
-        return box(rng.choice(["section", "div", "ol", "ul"]), f' {rng.choice(["id", "class"])}="{rng.choice(["comments", "comment-list", "discussion comments", "replies", "respond", "disqus"])}"', "n", inner)
+        inner = (box("h2", "", "n", prose(1, 3)) if rng.random() < 0.6 else "") + "".join(kind()
+            for _ in range(rng.randint(1, 7)))
+        return box(rng.choice(["section", "div", "ol", "ul"]),
+            f' {rng.choice(["id", "class"])}="{rng.choice(["comments", "comment-list", "discussion comments", "replies", "respond", "disqus"])}"',
+            "n", inner)
 
     def share() -> str:
-        return box("div", f' class="{rng.choice(["share", "social", "tags", "meta share", "sharing", "pagination", "pager"])}"', "n", " ".join(link(1, 2) for _ in range(rng.randint(2, 5))))
+        return box("div",
+            f' class="{rng.choice(["share", "social", "tags", "meta share", "sharing", "pagination", "pager"])}"', "n",
+            " ".join(link(1, 2) for _ in range(rng.randint(2, 5))))
 
     def body() -> str:
         kinds = [
-            (12, lambda: box("p", "", "y", prose(1, 120))), (2, lambda: box("p", "", "y", "<b>" + prose(3, 30) + "</b> " + link() + prose(3, 40))), (1, lambda: f'<p data-y="y"><b>{prose(2, 50)}<br>'),
-            (1, lambda: box(rng.choice(["h2", "h3"]), "", "y", prose(1, 8))), (1, lambda: items("y", rng.randint(2, 7), lambda: prose(2, 25))), (1, lambda: box("blockquote", "", "y", box("p", "", "y", prose(8, 60)))),
-            (0.5, lambda: box("pre", "", "y", prose(3, 40))), (0.5, lambda: box("table", "", "y", "".join(box("tr", "", "y", "".join(box("td", "", "y", prose(1, 6)) for _ in range(3))) for _ in range(rng.randint(1, 4))))),
-            (0.5, lambda: box("figure", "", "y", "<img src=x>" + box("figcaption", "", "y", prose(3, 15)))), (0.6, lambda: box("div", "", "y", prose(4, 80)))]
+            (12, lambda: box("p", "", "y", prose(1, 120))),
+            (2, lambda: box("p", "", "y", "<b>" + prose(3, 30) + "</b> " + link() + prose(3, 40))),
+            (1, lambda: f'<p data-y="y"><b>{prose(2, 50)}<br>'),
+            (1, lambda: box(rng.choice(["h2", "h3"]), "", "y", prose(1, 8))),
+            (1, lambda: items("y", rng.randint(2, 7), lambda: prose(2, 25))),
+            (1, lambda: box("blockquote", "", "y", box("p", "", "y", prose(8, 60)))),
+            (0.5, lambda: box("pre", "", "y", prose(3, 40))),
+            (0.5, lambda: box("table", "", "y", "".join(box("tr", "", "y",
+            "".join(box("td", "", "y", prose(1, 6)) for _ in range(3))) for _ in range(rng.randint(1, 4))))),
+            (0.5, lambda: box("figure", "", "y", "<img src=x>" + box("figcaption", "", "y", prose(3, 15)))),
+            (0.6, lambda: box("div", "", "y", prose(4, 80)))]
         inside = [(0.25, ad), (0.25, share), (0.15, aside), (0.1, form), (0.1, notice)]
         n = rng.choice([1, 2, 3, 5, 8, 12, 20])
         weights = [w for w, _ in kinds]
@@ -592,14 +644,17 @@ def labelled_page(rng: random.Random) -> str:
     elif r < 0.6:
         core = box("main", "", "y", inner if rng.random() < 0.5 else box("article", "", "y", inner))
     elif r < 0.85:
-        core = box("div", f' {rng.choice(["class", "id"])}="{rng.choice(["content", "main-content", "post", "entry", "article-body", "story", "text", "page-content"])}"', "y", inner)
+        core = box("div",
+            f' {rng.choice(["class", "id"])}="{rng.choice(["content", "main-content", "post", "entry", "article-body", "story", "text", "page-content"])}"',
+            "y", inner)
     else:
         core = box(rng.choice(["div", "section"]), "", "y", inner)
     if within != talk:
         core += talk
     around = [(0.8, nav), (0.5, header), (0.5, ad), (0.3, notice), (0.3, aside), (0.2, form), (0.15, share)]
     above = [f() for p, f in around if rng.random() < p]
-    below = [f() for p, f in ((0.4, aside), (0.3, share), (0.3, ad), (0.25, form), (0.15, nav), (0.1, notice)) if rng.random() < p]
+    below = [f() for p, f in ((0.4, aside), (0.3, share), (0.3, ad), (0.25, form), (0.15, nav), (0.1, notice))
+        if rng.random() < p]
     rng.shuffle(above), rng.shuffle(below)
     bare = rng.random() < 0.06  # nothing but the article
     if bare:
@@ -643,6 +698,7 @@ def extract(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
             for at, n in portions(pc.coalesce(pc.binary_length(b.column(2)), 0).to_pylist(), BATCH_BYTES):
                 part = b.slice(at, n)
                 found = texts(part.column(2).to_pylist(), shared.value)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.string()),
+                    pa.array([len(t) for t in found], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")

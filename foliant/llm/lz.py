@@ -97,7 +97,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [text_of(Phrases().feed((t.as_py() or "").encode()).sketch()) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.string())], names=["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.string())],
+                names=["doc_id", "fingerprint"])
 
     return texts(docs).mapInArrow(run, "doc_id long, fingerprint string")
 
@@ -154,7 +155,8 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
         at = np.searchsorted(shared.value, doc_id.fillna(0).to_numpy(np.float64), "right")
         return pd.Series(np.where(doc_id.isna(), len(shared.value), at), dtype="int32")
 
-    heads = {r.b: r.head for r in ids.groupBy(range_of("doc_id").alias("b")).agg(F.min("doc_id").alias("head")).collect()}  # a row for each range
+    heads = {r.b: r.head
+        for r in ids.groupBy(range_of("doc_id").alias("b")).agg(F.min("doc_id").alias("head")).collect()}  # a row for each range
     used = sorted(heads)
     before = {b: used[k - 1] for k, b in enumerate(used)}  # the first range's head follows the last range
     head_of = spark.sparkContext.broadcast((heads, before))
@@ -162,11 +164,14 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     @F.pandas_udf("array<int>")
     def targets(doc_id: pd.Series) -> pd.Series:
         heads, before = head_of.value
-        at = np.where(doc_id.isna(), len(shared.value), np.searchsorted(shared.value, doc_id.fillna(0).to_numpy(np.float64), "right"))
+        at = np.where(doc_id.isna(), len(shared.value),
+            np.searchsorted(shared.value, doc_id.fillna(0).to_numpy(np.float64), "right"))
         own = [None if pd.isna(x) else int(x) for x in doc_id]
-        return pd.Series([[int(b), -1 - before[int(b)]] if heads[int(b)] == x else [int(b)] for b, x in zip(at, own)], dtype=object)
+        return pd.Series([[int(b), -1 - before[int(b)]] if heads[int(b)] == x else [int(b)] for b, x in zip(at, own)],
+            dtype=object)
 
     dealt = docs.select("doc_id", "text", F.explode(targets("doc_id")).alias("t"))
-    placed = dealt.select("doc_id", "text", (F.col("t") < 0).alias("tail"), F.when(F.col("t") < 0, -1 - F.col("t")).otherwise(F.col("t")).cast("int").alias("part"))
+    placed = dealt.select("doc_id", "text", (F.col("t") < 0).alias("tail"),
+        F.when(F.col("t") < 0, -1 - F.col("t")).otherwise(F.col("t")).cast("int").alias("part"))
     parts = placed.repartitionById(len(splits) + 1, F.col("part")).drop("part")
     return parts.sortWithinPartitions("tail", F.asc_nulls_last("doc_id"), "text").mapInArrow(_pairs, _OUT)

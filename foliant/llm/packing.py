@@ -41,7 +41,8 @@ class Piece:
     ids: np.ndarray
 
     def cut(self, n: int) -> tuple[Piece, Piece]:
-        return Piece(self.doc_id, self.start, self.total, self.ids[:n]), Piece(self.doc_id, self.start + n, self.total, self.ids[n:])
+        return Piece(self.doc_id, self.start, self.total, self.ids[:n]), Piece(self.doc_id, self.start + n, self.total,
+            self.ids[n:])
 
 
 @dataclass
@@ -119,7 +120,8 @@ def _rows(window: Window, sequence: int | None, part: int | None) -> list[tuple]
     out, at = [], 0
     for p in window.pieces:
         raw = p.ids.astype("<u4").tobytes()
-        out.append((p.doc_id, p.start, len(p.ids), crc32(raw), p.total, sequence, at, part, raw if sequence is None else None))
+        out.append((p.doc_id, p.start, len(p.ids), crc32(raw), p.total, sequence, at, part, raw if sequence is None
+            else None))
         at += len(p.ids)
     return out
 
@@ -163,7 +165,8 @@ def load_encoder(ranks_path: str | None = None, json_path: str | None = None) ->
     return encode
 
 
-def pack(docs: DataFrame, length: int = LENGTH, windows: int = WINDOWS, fan: int = FAN, ranks_path: str | None = None, json_path: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, length: int = LENGTH, windows: int = WINDOWS, fan: int = FAN, ranks_path: str | None = None,
+        json_path: str | None = None) -> DataFrame:
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Null and empty texts are the end id alone; repeated rows are packed each on its own; empty input: no rows.
@@ -196,7 +199,8 @@ def pack(docs: DataFrame, length: int = LENGTH, windows: int = WINDOWS, fan: int
         def one(df: pd.DataFrame) -> pd.DataFrame:
             df = df.sort_values(["part", "window"], kind="stable")
             group = int(df.part.iloc[0]) // fan
-            pieces = [Piece(None if pd.isna(r.doc_id) else int(r.doc_id), int(r.start), int(r.doc_tokens), np.frombuffer(r.ids, "<u4")) for r in df.itertuples()]
+            pieces = [Piece(None if pd.isna(r.doc_id) else int(r.doc_id), int(r.start), int(r.doc_tokens),
+                np.frombuffer(r.ids, "<u4")) for r in df.itertuples()]
             full, rest = chain(pieces, length, last)
             out = [r for k, w in enumerate(full) for r in _rows(w, level << 58 | group << 33 | k, group)]
             out += _rows(rest, None, group) if rest else []
@@ -215,7 +219,8 @@ def pack(docs: DataFrame, length: int = LENGTH, windows: int = WINDOWS, fan: int
         last = parts <= fan
         # start and doc_id tell the pieces of a partition apart: any fixed order will do
         ordered = left.withColumn("window", F.xxhash64("doc_id", "start", "ids_crc32", "offset"))
-        merged = written(ordered.groupBy((F.col("part") / fan).cast("long").alias("group")).applyInPandas(merge(last, level), SCHEMA), f"merged-{level}")
+        merged = written(ordered.groupBy((F.col("part") / fan).cast("long").alias("group")).applyInPandas(merge(last,
+            level), SCHEMA), f"merged-{level}")
         out.append(merged.where("sequence_id is not null"))
         if last:
             break
@@ -228,4 +233,5 @@ def pack(docs: DataFrame, length: int = LENGTH, windows: int = WINDOWS, fan: int
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows)) if rows else [[]] * len(_NAMES)
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if name == "ids" else pa.int64()) for name, c in zip(_NAMES, cols)], names=_NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if name == "ids" else pa.int64()) for name,
+        c in zip(_NAMES, cols)], names=_NAMES)

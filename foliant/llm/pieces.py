@@ -36,7 +36,8 @@ _NONE = np.int64(1) << 62  # no candidate
 # an agenda's entry: place of the score among all scores, place in the part, number of the piece that is made
 _SCORE, _PLACE, _PIECE = 40, 22, (1 << 22) - 1
 # Odd multipliers of a 64-bit mixing function.
-_K = tuple(map(np.uint64, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)))
+_K = tuple(map(np.uint64, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9,
+    0x94D049BB133111EB)))
 
 
 def mixed(key: np.ndarray, start: np.ndarray, mid: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -117,7 +118,8 @@ class PieceCoder:
                 self.char[ord(p)] = r
         self.space = int(self.char[ord(SPACE)])
         self.char[ord(SPACE)], self.char[ord(" ")] = -1, self.space  # a literal mark goes by its bytes
-        made = {(rank[p[:k]], rank[p[k:]]): r for p, r in rank.items() for k in range(1, len(p)) if p[:k] in rank and p[k:] in rank}
+        made = {(rank[p[:k]], rank[p[k:]]): r for p, r in rank.items() for k in range(1, len(p)) if p[:k] in rank
+            and p[k:] in rank}
         self.pairs, self.one = Pairs(made), made
         order = {x: k for k, x in enumerate(sorted(set(scores.values()), reverse=True))}
         self.order = [order[scores[p]] for p in by_rank]
@@ -203,7 +205,8 @@ class PieceCoder:
         sym, alive = self._merged(sym, cut, np.repeat(key, lengths), np.repeat(shift, lengths))
         return self._ids(sym, alive, cp, firsts)
 
-    def _merged(self, sym: np.ndarray, cut: np.ndarray, key: np.ndarray, shift: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _merged(self, sym: np.ndarray, cut: np.ndarray, key: np.ndarray, shift: np.ndarray) -> tuple[np.ndarray,
+            np.ndarray]:
         """Symbols after the merges at their first characters, and which of these are there."""
         n = len(sym)
         alive = np.ones(n, bool)
@@ -234,7 +237,8 @@ class PieceCoder:
         """Agendas of parts of at most width characters: entry k of a column is the pair that starts at character k."""
         rows = np.arange(width - 1)[:, None]
         at = base[None, :] + rows
-        agenda = self.entry[np.where(at + 1 < stop[None, :], first[np.minimum(at, len(first) - 1)], -1)] | rows << _PLACE
+        agenda = self.entry[np.where(at + 1 < stop[None, :], first[np.minimum(at, len(first) - 1)],
+            -1)] | rows << _PLACE
         while True:
             best = agenda.min(axis=0)
             live = best < _NONE
@@ -242,7 +246,8 @@ class PieceCoder:
                 keep = np.flatnonzero(live)
                 if not len(keep):
                     return
-                agenda, best, base, stop, key, shift = agenda[:, keep], best[keep], base[keep], stop[keep], key[keep], shift[keep]
+                agenda, best, base, stop, key, shift = agenda[:,
+                    keep], best[keep], base[keep], stop[keep], key[keep], shift[keep]
             i, made = (best & (1 << _SCORE) - 1) >> _PLACE, (best & _PIECE).astype(np.int32)
             a = base + i
             b = end[a]
@@ -344,7 +349,8 @@ def encode(docs: DataFrame, rate: float = RATE, seed: int = SEED, path: str | No
         c = coder(path, rate, seed)
         for b in batches:
             for part, _, ids in _runs(b, c):
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.astype("<i4") for x in ids], pa.list_(pa.int32()))], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0),
+                    pa.array([x.astype("<i4") for x in ids], pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -358,7 +364,8 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
             for at in range(0, len(b), 100):
                 part = b.slice(at, 100)
                 found = [None if x is None else c.decode(x) for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.string())], names=["doc_id", "text"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.string())],
+                    names=["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
@@ -378,7 +385,8 @@ def report(docs: DataFrame, rate: float = RATE, seed: int = SEED, path: str | No
                 rows = []
                 for doc_id, text, x in zip(part.column(0).to_pylist(), own, ids):
                     back = c.decode(x.tolist())
-                    rows.append((doc_id, len(text), len(x), crc32(x.astype("<u4").tobytes()), hashlib.sha256(back.encode()).hexdigest(), back == text))
+                    rows.append((doc_id, len(text), len(x), crc32(x.astype("<u4").tobytes()),
+                        hashlib.sha256(back.encode()).hexdigest(), back == text))
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), _TYPES)], names=names)
 
     return texts(docs).mapInArrow(run, _REPORT)

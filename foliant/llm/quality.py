@@ -51,29 +51,35 @@ def n_repeat_words(ws: Column) -> Column:
     """
 
     def windows(w: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(w) - 2), lambda i: F.xxhash64(F.element_at(w, i), F.element_at(w, i + 1), F.element_at(w, i + 2)))
+        return F.transform(F.sequence(F.lit(1), F.size(w) - 2),
+            lambda i: F.xxhash64(F.element_at(w, i), F.element_at(w, i + 1), F.element_at(w, i + 2)))
 
     def shifted(a: Column, start: int) -> Column:
         return F.slice(a, start, F.greatest(F.size(a) - 1, F.lit(0)))
 
     def twice(h: Column) -> Column:
-        return let(F.sort_array(h), lambda s: F.array_distinct(F.filter(F.zip_with(shifted(s, 1), shifted(s, 2), lambda a, b: F.when(a == b, a)), lambda x: x.isNotNull())))
+        return let(F.sort_array(h), lambda s: F.array_distinct(F.filter(F.zip_with(shifted(s, 1), shifted(s, 2),
+            lambda a, b: F.when(a == b, a)), lambda x: x.isNotNull())))
 
     def few(h: Column, dup: Column) -> Column:
         return F.filter(F.transform(h, lambda x, i: F.when(F.array_contains(dup, x), i)), lambda x: x.isNotNull())
 
     def many(h: Column) -> Column:
         pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("at"))))
-        same = let(pairs, lambda p: F.zip_with(shifted(p, 1), shifted(p, 2), lambda a, b: F.when(a.h == b.h, F.array(a.at, b.at))))
+        same = let(pairs, lambda p: F.zip_with(shifted(p, 1), shifted(p, 2), lambda a,
+            b: F.when(a.h == b.h, F.array(a.at, b.at))))
         return F.sort_array(F.array_distinct(F.flatten(F.filter(same, lambda x: x.isNotNull()))))
 
     def places(h: Column) -> Column:
         return let(twice(h), lambda dup: F.when(F.size(dup) <= 32, few(h, dup)).otherwise(many(h)))
 
     def covered(at: Column) -> Column:
-        return F.aggregate(F.zip_with(shifted(at, 1), shifted(at, 2), lambda a, b: F.least(F.lit(3), b - a)), F.lit(3), lambda s, x: s + x)
+        return F.aggregate(F.zip_with(shifted(at, 1), shifted(at, 2), lambda a, b: F.least(F.lit(3), b - a)), F.lit(3),
+            lambda s, x: s + x)
 
-    counted = let(ws, lambda w: F.when(F.size(w) < 4, F.lit(0)).otherwise(let(windows(w), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(let(places(h), covered)))))
+    counted = let(ws, lambda w: F.when(F.size(w) < 4,
+        F.lit(0)).otherwise(let(windows(w), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h),
+        F.lit(0)).otherwise(let(places(h), covered)))))
     return counted.cast("long")
 
 
@@ -115,8 +121,10 @@ def measured(docs: DataFrame) -> tuple[DataFrame, str]:
     out = docs.withColumns({f"{own}words": words(t), f"{own}lines": lines_with_words(t)})
     ws, ls = F.col(f"{own}words"), F.col(f"{own}lines")
     return out.withColumns({
-        f"{own}n_lines": F.size(ls).cast("long"), f"{own}n_words": F.size(ws).cast("long"), f"{own}word_chars": word_chars(ws), f"{own}n_symbols": n_symbols(t),
-        f"{own}n_dup_lines": (F.size(ls) - F.size(F.array_distinct(ls))).cast("long"), f"{own}n_repeat_words": n_repeat_words(ws),
+        f"{own}n_lines": F.size(ls).cast("long"), f"{own}n_words": F.size(ws).cast("long"),
+        f"{own}word_chars": word_chars(ws), f"{own}n_symbols": n_symbols(t),
+        f"{own}n_dup_lines": (F.size(ls) - F.size(F.array_distinct(ls))).cast("long"),
+        f"{own}n_repeat_words": n_repeat_words(ws),
     }), own
 
 
@@ -126,7 +134,8 @@ def base_rules(own: str | None = None, ws: Column | None = None) -> list[Rule]:
         n, repeated = F.col(f"{own}n_words"), F.col(f"{own}n_repeat_words")
         return [Rule("few_words", n < MIN_WORDS), Rule("repeated_words", 100 * repeated > MAX_REPEAT_PERCENT * n)]
     with_words = lambda body: body(ws) if ws is not None else let(words(F.col("text")), body)
-    return [Rule("few_words", with_words(lambda w: F.size(w) < MIN_WORDS)), Rule("repeated_words", with_words(lambda w: 100 * n_repeat_words(w) > MAX_REPEAT_PERCENT * F.size(w)))]
+    return [Rule("few_words", with_words(lambda w: F.size(w) < MIN_WORDS)),
+        Rule("repeated_words", with_words(lambda w: 100 * n_repeat_words(w) > MAX_REPEAT_PERCENT * F.size(w)))]
 
 
 def further_rules(own: str | None = None, ws: Column | None = None) -> list[Rule]:
@@ -137,16 +146,20 @@ def further_rules(own: str | None = None, ws: Column | None = None) -> list[Rule
     """
     t = F.col("text")
     m = lambda name, alone: F.col(f"{own}{name}") if own else alone
-    with_words = lambda body: body(F.col(f"{own}words")) if own else body(ws) if ws is not None else let(words(t), body)
+    with_words = lambda body: body(F.col(f"{own}words")) if own else body(ws) if ws is not None else let(words(t),
+        body)
     with_lines = lambda body: body(F.col(f"{own}lines")) if own else let(lines_with_words(t), body)
     chars = lambda w: m("word_chars", word_chars(w))
     return [
         Rule("symbols", with_words(lambda w: 100 * m("n_symbols", n_symbols(t)) > MAX_SYMBOL_PERCENT * F.size(w))),
-        Rule("repeated_lines", with_lines(lambda ls: 100 * m("n_dup_lines", F.size(ls) - F.size(F.array_distinct(ls))) > MAX_DUP_LINE_PERCENT * F.size(ls))),
-        Rule("word_length", with_words(lambda w: (chars(w) < MEAN_WORD[0] * F.size(w)) | (chars(w) > MEAN_WORD[1] * F.size(w)))),
+        Rule("repeated_lines", with_lines(lambda ls: 100 * m("n_dup_lines",
+        F.size(ls) - F.size(F.array_distinct(ls))) > MAX_DUP_LINE_PERCENT * F.size(ls))),
+        Rule("word_length", with_words(lambda w: (chars(w) < MEAN_WORD[0] * F.size(w))
+        | (chars(w) > MEAN_WORD[1] * F.size(w)))),
         Rule("marks", with_words(lambda w: 100 * n_marks(t) > MAX_MARK_PERCENT * chars(w))),
         Rule("top_word", with_words(lambda w: 100 * n_top_word(w) > MAX_TOP_WORD_PERCENT * F.size(w))),
-        Rule("open_lines", with_lines(lambda ls: 100 * n_lines_like(ls, OPEN_LINE) > MAX_OPEN_LINE_PERCENT * F.size(ls))),
+        Rule("open_lines", with_lines(lambda ls: 100 * n_lines_like(ls,
+        OPEN_LINE) > MAX_OPEN_LINE_PERCENT * F.size(ls))),
         Rule("bullets", with_lines(lambda ls: 100 * n_lines_like(ls, BULLET) > MAX_BULLET_PERCENT * F.size(ls))),
     ]
 
@@ -184,7 +197,8 @@ def order(part: DataFrame, given: list[Rule]) -> list[tuple[Rule, float, float]]
     if not given:
         return []
     hits = F.array(*[F.coalesce(r.rejects, F.lit(False)) for r in given])
-    left = {tuple(r.hits): r.n for r in part.groupBy(hits.alias("hits")).agg(F.count(F.lit(1)).alias("n")).collect()}  # no more than the sample's rows
+    left = {tuple(r.hits): r.n
+        for r in part.groupBy(hits.alias("hits")).agg(F.count(F.lit(1)).alias("n")).collect()}  # no more than the sample's rows
     seconds, out, open_ = costs(part, given), [], list(range(len(given)))
     while open_:
         total = sum(left.values())
@@ -240,8 +254,10 @@ def quality_report(docs: DataFrame) -> DataFrame:
     found = [r for r, *_ in order(written(measured(part)[0].where(passed), "quality-sample"), further)]
     out = table.withColumn(f"{own}by", verdict(base + found))
     return out.select(
-        "doc_id", *[F.col(own + c).alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
-        F.coalesce(F.col(f"{own}by").isin(*(r.name for r in base)), F.lit(False)).alias("base_failed"), F.col(f"{own}by").isNull().alias("kept"))
+        "doc_id", *[F.col(own + c).alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words")],
+        F.coalesce(F.col(f"{own}by").isin(*(r.name for r in base)), F.lit(False)).alias("base_failed"),
+        F.col(f"{own}by").isNull().alias("kept"))
 
 
 QUALITY_SQL = r"""

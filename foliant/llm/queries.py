@@ -50,6 +50,9 @@ def op10_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_secret_markov, op3_piece_dropout, op4_quality_cascade, op5_lz_fingerprint, op6_html_main_text, op7_simhash_near_dedup, op8_extendible_sharding, op9_online_packing, op10_toxicity_ordinal)}
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_secret_markov, op3_piece_dropout, op4_quality_cascade,
+    op5_lz_fingerprint, op6_html_main_text, op7_simhash_near_dedup, op8_extendible_sharding, op9_online_packing,
+    op10_toxicity_ordinal)}
 
-ORACLES = {"op1_warc_revisits": warc.REVISIT_SQL, "op4_quality_cascade": quality.QUALITY_SQL, "op8_extendible_sharding": sharding.SHARD_SQL}
+ORACLES = {"op1_warc_revisits": warc.REVISIT_SQL, "op4_quality_cascade": quality.QUALITY_SQL,
+    "op8_extendible_sharding": sharding.SHARD_SQL}

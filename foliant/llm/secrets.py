@@ -34,8 +34,10 @@ SIZE = 128
 EDGE = "\x02"  # stands for the start and the end of a string
 MARK = "\x01"
 BLOCK = 1024  # characters
-CODE_MODULES = ("os", "string", "logging", "unittest", "http", "http.client", "email.message", "threading", "socket", "subprocess", "argparse", "datetime", "decimal", "calendar", "csv", "json", "zipfile", "tarfile",
-                "urllib.request", "xml.dom.minidom", "sqlite3", "statistics", "inspect", "html.entities", "pyspark.sql.functions", "pyspark.sql", "pyarrow.compute", "pandas", "numpy")
+CODE_MODULES = ("os", "string", "logging", "unittest", "http", "http.client", "email.message", "threading", "socket",
+    "subprocess", "argparse", "datetime", "decimal", "calendar", "csv", "json", "zipfile", "tarfile",
+                "urllib.request", "xml.dom.minidom", "sqlite3", "statistics", "inspect", "html.entities",
+                "pyspark.sql.functions", "pyspark.sql", "pyarrow.compute", "pandas", "numpy")
 CODE_TIMES = 20
 EMPTY = "array<struct<s:int,k:int,e:int>>"
 
@@ -48,15 +50,18 @@ def before(values: Column, join, levels: int = 3) -> Column:
     none = F.array().cast("array<int>")
 
     def run(a: Column) -> Column:
-        step = F.aggregate(a, F.struct(F.lit(0).alias("n"), none.alias("out")), lambda s, x: F.struct(join(s.n, x).alias("n"), F.concat(s.out, F.array(s.n)).alias("out")))
+        step = F.aggregate(a, F.struct(F.lit(0).alias("n"), none.alias("out")), lambda s,
+            x: F.struct(join(s.n, x).alias("n"), F.concat(s.out, F.array(s.n)).alias("out")))
         return step.getField("out")
 
     if levels == 1:
         return run(values)
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / 64).cast("int")), lambda b: F.slice(values, b * 64 + 1, 64))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / 64).cast("int")),
+        lambda b: F.slice(values, b * 64 + 1, 64))
     whole = lambda a: F.aggregate(a, F.lit(0), join)
     return let(blocks, lambda bs: let(F.transform(bs, whole), lambda totals: F.flatten(
-        F.zip_with(F.transform(bs, run), before(totals, join, levels - 1), lambda own, off: F.transform(own, lambda x: join(off, x))))))
+        F.zip_with(F.transform(bs, run), before(totals, join, levels - 1), lambda own,
+        off: F.transform(own, lambda x: join(off, x))))))
 
 
 def gaps(spans: Column, length: Column) -> Column:
@@ -64,11 +69,14 @@ def gaps(spans: Column, length: Column) -> Column:
 
     The first gap starts at 0 and the last ends at length; both may be empty.
     """
-    far = let(spans, lambda xs: let(before(F.transform(xs, lambda x: x.e), lambda a, b: F.greatest(a, b)), lambda reach: F.filter(
-        F.zip_with(xs, F.transform(reach, lambda r, i: F.struct(r.alias("r"), i.alias("i"))), lambda x, y: F.when((x.s > y.r) | (y.i == 0), F.struct(y.r.alias("s"), x.s.alias("e")))),
+    far = let(spans, lambda xs: let(before(F.transform(xs, lambda x: x.e), lambda a, b: F.greatest(a, b)),
+        lambda reach: F.filter(
+        F.zip_with(xs, F.transform(reach, lambda r, i: F.struct(r.alias("r"), i.alias("i"))), lambda x,
+        y: F.when((x.s > y.r) | (y.i == 0), F.struct(y.r.alias("s"), x.s.alias("e")))),
         lambda g: g.isNotNull())))
     end = F.aggregate(spans, F.lit(0), lambda a, x: F.greatest(a, x.e))
-    return F.when(F.size(spans) == 0, F.array(F.struct(F.lit(0).alias("s"), length.alias("e")))).otherwise(F.concat(far, F.array(F.struct(end.alias("s"), length.alias("e")))))
+    return F.when(F.size(spans) == 0, F.array(F.struct(F.lit(0).alias("s"), length.alias("e")))).otherwise(F.concat(far,
+        F.array(F.struct(end.alias("s"), length.alias("e")))))
 
 
 def cut(text: Column, places: Column, then) -> Column:
@@ -81,8 +89,11 @@ def cut(text: Column, places: Column, then) -> Column:
     def piece(bs: Column, g: Column) -> Column:
         a, z = F.floor(g.s / BLOCK).cast("int"), F.floor((g.e - 1) / BLOCK).cast("int")
         block = lambda k: F.get(bs, k)
-        return F.when(g.s >= g.e, F.lit("")).when(a == z, F.substring(block(a), g.s % BLOCK + 1, g.e - g.s)).otherwise(F.concat(
-            F.substring(block(a), g.s % BLOCK + 1, F.lit(BLOCK)), F.array_join(F.slice(bs, a + 2, F.greatest(z - a - 1, F.lit(0))), ""), F.substring(block(z), F.lit(1), g.e - z * BLOCK)))
+        return F.when(g.s >= g.e, F.lit("")).when(a == z,
+            F.substring(block(a), g.s % BLOCK + 1, g.e - g.s)).otherwise(F.concat(
+            F.substring(block(a), g.s % BLOCK + 1, F.lit(BLOCK)),
+            F.array_join(F.slice(bs, a + 2, F.greatest(z - a - 1, F.lit(0))), ""),
+            F.substring(block(z), F.lit(1), g.e - z * BLOCK)))
 
     return let(blocks, lambda bs: let(places, lambda gs: F.transform(gs, lambda g, i: then(piece(bs, g), i, gs))))
 
@@ -93,7 +104,8 @@ def matches(text: Column, pattern: str, kind: int, good) -> Column:
 
     def spans(p: Column) -> Column:
         starts = before(F.transform(p, lambda x: F.length(x)), lambda a, b: a + b)
-        each = F.zip_with(p, starts, lambda x, s: F.struct(s.alias("s"), F.lit(kind).alias("k"), (s + F.length(x)).alias("e"), x.alias("x")))
+        each = F.zip_with(p, starts, lambda x, s: F.struct(s.alias("s"), F.lit(kind).alias("k"),
+            (s + F.length(x)).alias("e"), x.alias("x")))
         found = F.filter(each, lambda y, i: (i % 2 == 1) & good(y.x))
         return F.transform(found, lambda y: F.struct(y.s.alias("s"), y.k.alias("k"), y.e.alias("e")))
 
@@ -111,10 +123,13 @@ def base_spans(text: Column) -> Column:
     least number that counts (a shorter run cannot hold a longer one), assignments as they are.
     """
     none = F.array().cast(EMPTY)
-    assign = F.when(text.rlike(ASSIGN), matches(text, ASSIGN, 0, lambda x: F.length(F.regexp_extract(x, ASSIGN, 2)) >= MIN_ASSIGN)).otherwise(none)
-    access = F.when(F.contains(text, F.lit("AKIA")), matches(text, ACCESS, 1, lambda x: F.length(x) >= MIN_ACCESS)).otherwise(none)
+    assign = F.when(text.rlike(ASSIGN), matches(text, ASSIGN, 0,
+        lambda x: F.length(F.regexp_extract(x, ASSIGN, 2)) >= MIN_ASSIGN)).otherwise(none)
+    access = F.when(F.contains(text, F.lit("AKIA")),
+        matches(text, ACCESS, 1, lambda x: F.length(x) >= MIN_ACCESS)).otherwise(none)
     # a run of 24 or more has a digit or letter of 0-9a-f at every place, so also 24 in a row
-    hexed = F.when(text.rlike(f"[0-9a-f]{{{MIN_HEX}}}"), matches(text, f"[0-9a-f]{{{MIN_HEX},}}", 2, lambda x: F.length(x) >= MIN_HEX)).otherwise(none)
+    hexed = F.when(text.rlike(f"[0-9a-f]{{{MIN_HEX}}}"),
+        matches(text, f"[0-9a-f]{{{MIN_HEX},}}", 2, lambda x: F.length(x) >= MIN_HEX)).otherwise(none)
     return F.sort_array(F.concat(assign, access, hexed))
 
 
@@ -126,23 +141,29 @@ def random_strings(spark: SparkSession, strings: int = TRAIN_STRINGS, salt: str
     n = (16 + F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(49))).cast("int")
     b64 = F.regexp_replace(F.base64(F.unhex(digest("b"))), "[=\r\n]", "")
     hexed = digest("u")
-    dashed = F.concat_ws("-", *(F.substring(hexed, at, size) for at, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+    dashed = F.concat_ws("-", *(F.substring(hexed, at, size) for at,
+        size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
     forms = {
-        "hex": F.substring(digest("h"), F.lit(1), n), "HEX": F.upper(F.substring(digest("H"), F.lit(1), n)), "base64": F.substring(b64, F.lit(1), n), "url": F.translate(F.substring(b64, F.lit(9), n), "+/", "-_"),
+        "hex": F.substring(digest("h"), F.lit(1), n), "HEX": F.upper(F.substring(digest("H"), F.lit(1), n)),
+        "base64": F.substring(b64, F.lit(1), n), "url": F.translate(F.substring(b64, F.lit(9), n), "+/", "-_"),
         "letters": F.substring(plain("l"), F.lit(1), n), "lower": F.lower(F.substring(plain("w"), F.lit(1), n)),
         "base32": F.substring(F.translate(F.upper(plain("c")), "0189", "2345"), F.lit(1), n), "uuid": dashed,
     }
-    made = spark.range(strings, numPartitions=4).select(F.explode(F.map_from_arrays(F.array(*map(F.lit, forms)), F.array(*forms.values()))).alias("form", "string"))
+    made = spark.range(strings, numPartitions=4).select(F.explode(F.map_from_arrays(F.array(*map(F.lit, forms)),
+        F.array(*forms.values()))).alias("form", "string"))
     return made
 
 
 def joined_names(words: Column) -> Column:
     """Identifiers as code and addresses have them, made of three words in a row at every third place."""
-    threes = F.filter(F.transform(words, lambda x, k: F.when(k % 3 == 0, F.slice(words, k + 1, 3))), lambda x: x.isNotNull())
+    threes = F.filter(F.transform(words, lambda x, k: F.when(k % 3 == 0, F.slice(words, k + 1, 3))),
+        lambda x: x.isNotNull())
     lower = lambda ws: F.transform(ws, lambda w: F.lower(w))
     big = lambda ws: F.transform(ws, lambda w: F.initcap(w))
-    made = F.transform(threes, lambda ws, k: F.when(k % 7 == 0, F.array_join(big(ws), "")).when(k % 7 == 1, F.array_join(lower(ws), "_")).when(k % 7 == 2, F.upper(F.array_join(ws, "_")))
-                       .when(k % 7 == 3, F.array_join(lower(ws), "-")).when(k % 7 == 4, F.concat(F.lit("/"), F.array_join(lower(ws), "/"))).when(k % 7 == 5, F.array_join(lower(ws), ""))
+    made = F.transform(threes, lambda ws, k: F.when(k % 7 == 0, F.array_join(big(ws), "")).when(k % 7 == 1,
+        F.array_join(lower(ws), "_")).when(k % 7 == 2, F.upper(F.array_join(ws, "_")))
+                       .when(k % 7 == 3, F.array_join(lower(ws), "-")).when(k % 7 == 4,
+                       F.concat(F.lit("/"), F.array_join(lower(ws), "/"))).when(k % 7 == 5, F.array_join(lower(ws), ""))
                        .otherwise(F.concat(F.array_join(lower(ws), "_"), (k * 37 % 1000).cast("string"))))
     return made
 
@@ -172,22 +193,27 @@ def samples(spark: SparkSession, docs: DataFrame, rows: int = TRAIN_DOCS, string
     n = (3 + F.pmod(F.xxhash64("id"), F.lit(30))).cast("int")
     numbers = made.select(F.explode(F.array(
         F.substring(F.translate(F.sha2(F.concat(F.lit("n"), i.cast("string")), 256), "abcdef", "012345"), F.lit(1), n),
-        F.concat_ws("-", (1970 + i % 80).cast("string"), F.lpad((1 + i % 12).cast("string"), 2, "0"), F.lpad((1 + i % 28).cast("string"), 2, "0")),
-        F.repeat(F.element_at(F.array(*map(F.lit, "-=_/+")), (1 + i % 5).cast("int")), n))).alias("string"), F.lit(0).alias("random"))
+        F.concat_ws("-", (1970 + i % 80).cast("string"), F.lpad((1 + i % 12).cast("string"), 2, "0"),
+        F.lpad((1 + i % 28).cast("string"), 2, "0")),
+        F.repeat(F.element_at(F.array(*map(F.lit, "-=_/+")), (1 + i % 5).cast("int")), n))).alias("string"),
+        F.lit(0).alias("random"))
     h = F.xxhash64(F.col("doc_id").cast("string"))
     # a range of hashes that some four times as many rows fall into, so that the ids of all rows are never shuffled
     count = docs.count()
     near = docs.where(h <= F.lit(-(2**63) + min(2**64 - 1, 4 * rows * 2**64 // max(count, 1))))
     least = near.select(h.alias("h")).distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
-    part = near.where(h <= F.lit(least if least is not None else 0)).groupBy(h.alias("h")).agg(F.min("text").alias("t"))  # one text for each id
+    part = near.where(h <= F.lit(least if least is not None
+        else 0)).groupBy(h.alias("h")).agg(F.min("text").alias("t"))  # one text for each id
     t = clear(F.col("t"))
     for pattern in (ASSIGN, f"AKIA[A-Z0-9]{{{MIN_ACCESS - 4},}}", f"[0-9a-f]{{{MIN_HEX},}}"):
         t = F.regexp_replace(t, pattern, " ")
     own = part.select(F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0)).alias("w"))
     names = F.from_json(F.lit(json.dumps(names_of_code())), "array<string>")
-    shuffled = F.transform(F.array_sort(F.transform(names, lambda w: F.struct(F.xxhash64(w, F.col("id")).alias("h"), w.alias("w")))), lambda x: x.w)
+    shuffled = F.transform(F.array_sort(F.transform(names,
+        lambda w: F.struct(F.xxhash64(w, F.col("id")).alias("h"), w.alias("w")))), lambda x: x.w)
     code = spark.range(0, CODE_TIMES if strings else 0, 1, CODE_TIMES).select(shuffled.alias("w"))
-    ordinary = own.union(code).select(F.explode(F.concat("w", joined_names(F.col("w")))).alias("string")).where("length(string) > 2").withColumn("random", F.lit(0))
+    ordinary = own.union(code).select(F.explode(F.concat("w",
+        joined_names(F.col("w")))).alias("string")).where("length(string) > 2").withColumn("random", F.lit(0))
     return random_strings(spark, strings).select("string", F.lit(1).alias("random")).union(numbers).union(ordinary)
 
 
@@ -197,8 +223,10 @@ def train(labelled: DataFrame) -> list[int]:
     Entry 128 * a + b belongs to b after a; character 2 stands for either end.  Without samples all are 0.
     """
     chars = F.split(F.concat(F.lit(EDGE), "string", F.lit(EDGE)), "")
-    codes = labelled.where("string is not null and random is not null").select("random", F.filter(F.transform(chars, lambda c: F.ascii(c)), lambda x: (x > 0) & (x < SIZE)).alias("c"))
-    pairs = codes.select("random", F.explode(F.transform(F.sequence(F.lit(1), F.size("c") - 1), lambda i: F.element_at("c", i) * SIZE + F.element_at("c", i + 1))).alias("pair"))
+    codes = labelled.where("string is not null and random is not null").select("random",
+        F.filter(F.transform(chars, lambda c: F.ascii(c)), lambda x: (x > 0) & (x < SIZE)).alias("c"))
+    pairs = codes.select("random", F.explode(F.transform(F.sequence(F.lit(1), F.size("c") - 1),
+        lambda i: F.element_at("c", i) * SIZE + F.element_at("c", i + 1))).alias("pair"))
     got = pairs.groupBy("random", "pair").count().collect()  # at most 2 x 128 x 128 rows
     alphabet = sorted({r.pair // SIZE for r in got} | {r.pair % SIZE for r in got})
     seen = {(r.random, r.pair): r["count"] for r in got}
@@ -215,16 +243,19 @@ def ratio(token: Column, model: list[int]) -> Column:
     """Log-likelihood ratio of a token of ASCII characters, in thousandths of a nat."""
     table = F.from_json(F.lit(str(model)), "array<int>")
     codes = F.transform(F.split(F.concat(F.lit(EDGE), token, F.lit(EDGE)), ""), lambda c: F.ascii(c))
-    pairs = let(codes, lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda a, b: a * SIZE + b + 1))
+    pairs = let(codes, lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda a,
+        b: a * SIZE + b + 1))
     return let(pairs, lambda p: F.aggregate(p, F.lit(0), lambda s, x: s + F.element_at(table, x)))
 
 
 def markov_spans(text: Column, base: Column, model: list[int]) -> Column:
     """Spans of what the models call random among the tokens outside of the base spans, which cut tokens."""
     long_enough = f"[A-Za-z0-9+/_=-]{{{MIN_TOKEN}}}"
-    hide = lambda piece, i, gs: F.concat(piece, F.when(i + 1 < F.size(gs), F.repeat(F.lit(EDGE), F.get(gs, i + 1).s - F.get(gs, i).e)).otherwise(F.lit("")))
+    hide = lambda piece, i, gs: F.concat(piece, F.when(i + 1 < F.size(gs),
+        F.repeat(F.lit(EDGE), F.get(gs, i + 1).s - F.get(gs, i).e)).otherwise(F.lit("")))
     outside = F.when(F.size(base) == 0, text).otherwise(F.array_join(cut(text, gaps(base, F.length(text)), hide), ""))
-    found = let(outside, lambda t: matches(t, f"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}", len(KINDS), lambda x: ratio(x, model) > MARGIN))
+    found = let(outside, lambda t: matches(t, f"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}", len(KINDS),
+        lambda x: ratio(x, model) > MARGIN))
     return F.when(text.rlike(long_enough), found).otherwise(F.array().cast(EMPTY))
 
 
@@ -236,12 +267,14 @@ def scan(docs: DataFrame, model: list[int], base: str = "base_spans", every: str
     work = f"{every}_text"
     cleared = docs.withColumn(work, clear(F.col("text")))
     with_base = cleared.withColumn(base, base_spans(F.col(work)))
-    return with_base.withColumn(every, F.sort_array(F.concat(base, markov_spans(F.col(work), F.col(base), model)))).drop(work)
+    return with_base.withColumn(every, F.sort_array(F.concat(base,
+        markov_spans(F.col(work), F.col(base), model)))).drop(work)
 
 
 def joined(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in (*KINDS, "markov")])
-    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x.k + 1), x.s.cast("string"), x.e.cast("string"))), ",")
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x.k + 1), x.s.cast("string"),
+        x.e.cast("string"))), ",")
 
 
 def secrets_report(docs: DataFrame, model: list[int] | None = None) -> DataFrame:
@@ -251,7 +284,8 @@ def secrets_report(docs: DataFrame, model: list[int] | None = None) -> DataFrame
     count = lambda k: F.size(F.filter("all_spans", lambda x: x.k == k)).cast("long")
     return found.select(
         "doc_id", *[count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)],
-        F.sha2(joined(F.col("base_spans")), 256).alias("base_sha256"), joined(F.col("all_spans")).alias("spans"), count(len(KINDS)).alias("n_markov"))
+        F.sha2(joined(F.col("base_spans")), 256).alias("base_sha256"), joined(F.col("all_spans")).alias("spans"),
+        count(len(KINDS)).alias("n_markov"))
 
 
 def redact(docs: DataFrame, model: list[int] | None = None, mask: str = "<SECRET>") -> DataFrame:
@@ -260,7 +294,8 @@ def redact(docs: DataFrame, model: list[int] | None = None, mask: str = "<SECRET
     Rows and columns stay; null texts stay null.
     """
     model = train(samples(docs.sparkSession, docs)) if model is None else model
-    every = next(n for n in ("secret_spans" + "_" * k for k in range(1000)) if not {n, f"{n}_base", f"{n}_text"} & set(docs.columns))
+    every = next(n for n in ("secret_spans" + "_" * k for k in range(1000)) if not {n, f"{n}_base", f"{n}_text"}
+        & set(docs.columns))
     found = scan(docs, model, f"{every}_base", every)
 
     def rebuilt(spans: Column) -> Column:
@@ -269,5 +304,6 @@ def redact(docs: DataFrame, model: list[int] | None = None, mask: str = "<SECRET
     text = F.when(F.size(every) > 0, rebuilt(F.col(every))).otherwise(F.col("text"))
     out = found.withColumn("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size(every) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.size(every) > 0,
+            F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

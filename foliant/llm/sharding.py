@@ -38,14 +38,17 @@ def _cells(rows: DataFrame, limit: int) -> DataFrame:
     found, part = [], rows.select("h", "n_bytes")
     while True:
         at = F.lit(bits)
-        cells = written(part.groupBy(_prefix(F.col("h"), at).alias("prefix")).agg(F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).withColumn("depth", at), f"cells-{bits}")
+        cells = written(part.groupBy(_prefix(F.col("h"), at).alias("prefix")).agg(F.sum("n_bytes").alias("bytes"),
+            F.count(F.lit(1)).alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).withColumn("depth", at),
+            f"cells-{bits}")
         split = (F.col("bytes") > limit) & (F.col("lo") < F.col("hi"))
         large = cells.where(split)
         if bits >= BITS or large.isEmpty():
             found.append(cells)
             break
         found.append(cells.where(~split))
-        part = written(part.withColumn("prefix", _prefix(F.col("h"), at)).join(large.select("prefix"), "prefix", "left_semi").drop("prefix"), f"dense-{bits}")
+        part = written(part.withColumn("prefix", _prefix(F.col("h"), at)).join(large.select("prefix"), "prefix",
+            "left_semi").drop("prefix"), f"dense-{bits}")
         bits = min(BITS, bits + STEP)
     out = found[0]
     for x in found[1:]:
@@ -57,12 +60,15 @@ def directory(cells: DataFrame, limit: int) -> DataFrame:
     """(depth, prefix, bytes, n, lo, hi) of the shards that hold the cells."""
     up = F.explode(F.sequence(F.lit(0), F.col("depth"))).alias("d")
     over = cells.select("*", up).select(
-        F.col("d").alias("depth"), F.call_function("shiftright", F.col("prefix"), (F.col("depth") - F.col("d")).cast("int")).alias("prefix"), "bytes", "n", "lo", "hi")
-    nodes = written(over.groupBy("depth", "prefix").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")), "nodes")
+        F.col("d").alias("depth"), F.call_function("shiftright", F.col("prefix"),
+        (F.col("depth") - F.col("d")).cast("int")).alias("prefix"), "bytes", "n", "lo", "hi")
+    nodes = written(over.groupBy("depth", "prefix").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi")), "nodes")
     splits = (F.col("bytes") > limit) & (F.col("lo") < F.col("hi"))
     parents = nodes.where(splits).select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
     own = nodes.where(~splits)
-    below = own.where("depth > 0").withColumn("parent", F.call_function("shiftright", "prefix", F.lit(1))).join(parents, ["depth", "parent"], "left_semi").drop("parent")
+    below = own.where("depth > 0").withColumn("parent", F.call_function("shiftright", "prefix", F.lit(1))).join(parents,
+        ["depth", "parent"], "left_semi").drop("parent")
     return written(own.where("depth = 0").unionByName(below), "directory")
 
 
@@ -76,12 +82,17 @@ def _assign(rows: DataFrame, limit: int) -> DataFrame:
     shards = directory(cells, limit)
     depths = sorted(r.depth for r in shards.select("depth").distinct().collect())  # at most 61
     if not depths:
-        return rows.withColumns({"depth": F.lit(0), "prefix": F.lit(0).cast("long"), "bytes": F.lit(0).cast("long"), "n": F.lit(0).cast("long"), "lo": F.lit(0).cast("long"), "hi": F.lit(0).cast("long")})
-    cell_depths = sorted(r.depth for r in cells.select("depth").distinct().collect())  # the first, and some six bits deeper each
-    up = cells.select(F.col("depth").alias("cell_depth"), F.col("prefix").alias("cell"), F.explode(F.array(*[F.lit(d) for d in depths])).alias("depth")).where("depth <= cell_depth")
-    placed = up.withColumn("prefix", F.call_function("shiftright", F.col("cell"), (F.col("cell_depth") - F.col("depth")).cast("int"))).join(shards, ["depth", "prefix"])
+        return rows.withColumns({"depth": F.lit(0), "prefix": F.lit(0).cast("long"), "bytes": F.lit(0).cast("long"),
+            "n": F.lit(0).cast("long"), "lo": F.lit(0).cast("long"), "hi": F.lit(0).cast("long")})
+    cell_depths = sorted(r.depth
+        for r in cells.select("depth").distinct().collect())  # the first, and some six bits deeper each
+    up = cells.select(F.col("depth").alias("cell_depth"), F.col("prefix").alias("cell"),
+        F.explode(F.array(*[F.lit(d) for d in depths])).alias("depth")).where("depth <= cell_depth")
+    placed = up.withColumn("prefix", F.call_function("shiftright", F.col("cell"),
+        (F.col("cell_depth") - F.col("depth")).cast("int"))).join(shards, ["depth", "prefix"])
     named = written(placed, "cell-shards")
-    keyed = rows.withColumn("cell_depth", F.explode(F.array(*[F.lit(d) for d in cell_depths]))).withColumn("cell", _prefix(F.col("h"), F.col("cell_depth")))
+    keyed = rows.withColumn("cell_depth", F.explode(F.array(*[F.lit(d) for d in cell_depths]))).withColumn("cell",
+        _prefix(F.col("h"), F.col("cell_depth")))
     return keyed.join(named, ["cell_depth", "cell"]).drop("cell_depth", "cell")
 
 
@@ -92,16 +103,21 @@ def shard(docs: DataFrame, key: str = "doc_id", limit: int = SHARD_BYTES) -> Dat
     shard names its bits as depth:prefix, those of the second hash after salted/.  Empty input: no rows.
     """
     k = F.coalesce(F.col(key).cast("string"), F.lit("null"))
-    sized = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), hash60(k).alias("h"))
+    sized = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        hash60(k).alias("h"))
     rows = written(sized.withColumn("row", F.monotonically_increasing_id()), "sized")
     found = written(_assign(rows, limit), "sharded")
-    name = lambda p="": F.concat_ws(":", F.col(f"{p}depth").cast("string"), F.col(f"{p}prefix").cast("string"))
-    cols = lambda df, label, depth: df.select("doc_id", "n_bytes", label.alias("shard"), depth.alias("shard_depth"), F.col("bytes").alias("shard_bytes"), F.col("n").alias("shard_docs"), (F.col("bytes") > limit).alias("oversized"))
+    name = lambda p="": F.concat_ws(":", F.col(f"{p}depth").cast("string"),
+        F.col(f"{p}prefix").cast("string"))
+    cols = lambda df, label, depth: df.select("doc_id", "n_bytes", label.alias("shard"), depth.alias("shard_depth"),
+        F.col("bytes").alias("shard_bytes"), F.col("n").alias("shard_docs"),
+        (F.col("bytes") > limit).alias("oversized"))
     stubborn = (F.col("bytes") > limit) & (F.col("n") > 1)
     out = cols(found.where(~stubborn), name(), F.col("depth"))
     same = found.where(stubborn).select("doc_id", "n_bytes", "h", "row")
     if not same.isEmpty():
-        again = written(same, "stubborn").withColumn("h", hash60(F.concat_ws("#", F.col("h").cast("string"), F.col("row").cast("string"))))
+        again = written(same, "stubborn").withColumn("h",
+            hash60(F.concat_ws("#", F.col("h").cast("string"), F.col("row").cast("string"))))
         out = out.union(cols(_assign(again, limit), F.concat_ws("/", F.lit("salted"), name()), F.col("depth")))
     return out
 

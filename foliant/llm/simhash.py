@@ -42,7 +42,8 @@ def fingerprint(text: str | None) -> int:
     votes = np.zeros(64, np.int64)
     for at in range(0, len(h), 1 << 16):  # long texts in slices
         part = h[at : at + (1 << 16)].astype("<u8")
-        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0,
+            dtype=np.int64)
     return int(sum(1 << i for i in np.flatnonzero(2 * votes > len(h)).tolist())) if len(h) else 0
 
 
@@ -90,7 +91,8 @@ def _keyed(fps: DataFrame, level: int) -> DataFrame:
     base = F.lit(0) if level == 1 else F.col("kind") * 6
     nth = F.posexplode(F.slice(all_masks, base + 1, 6)).alias("n", "mask")
     old = F.lit(0).alias("base") if level == 1 else (F.col("kind") * 6).alias("base")
-    return fps.select("fp", old, nth).select((F.col("base") + F.col("n")).cast("int").alias("kind"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
+    return fps.select("fp", old, nth).select((F.col("base") + F.col("n")).cast("int").alias("kind"),
+        F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
 
 
 def _planes(block: np.ndarray) -> np.ndarray:
@@ -108,10 +110,12 @@ def bit_sliced_links(fps: np.ndarray, starts: np.ndarray, radius: int = RADIUS)
     """
     assert 0 <= radius <= 3
     sizes = np.diff(starts)
-    firsts = np.concatenate([np.arange(s, s + n, 64) for s, n in zip(starts[:-1], sizes)]) if len(sizes) else np.empty(0, np.int64)
+    firsts = np.concatenate([np.arange(s, s + n, 64) for s,
+        n in zip(starts[:-1], sizes)]) if len(sizes) else np.empty(0, np.int64)
     bucket_of = np.repeat(np.arange(len(sizes)), -(-sizes // 64))
     widths = np.minimum(64, starts[1:][bucket_of] - firsts)
-    planes = np.stack([_planes(fps[f : f + w]) for f, w in zip(firsts, widths)], axis=1) if len(firsts) else np.empty((64, 0), "<u8")
+    planes = np.stack([_planes(fps[f : f + w]) for f, w in zip(firsts, widths)],
+        axis=1) if len(firsts) else np.empty((64, 0), "<u8")
     # queries against the blocks at or after their own
     of_block, rows = [], []
     for k, (f, w, b) in enumerate(zip(firsts, widths, bucket_of)):
@@ -133,7 +137,8 @@ def bit_sliced_links(fps: np.ndarray, starts: np.ndarray, radius: int = RADIUS)
                 if bit % 8 == 7:  # abandon the blocks whose lanes all exceed the radius
                     alive = (_exceed(ones, twos, over, radius) | dead) != full
                     if not alive.all():
-                        q, blk, ones, twos, over, dead, value = (x[alive] for x in (q, blk, ones, twos, over, dead, value))
+                        q, blk, ones, twos, over, dead, value = (x[alive]
+                            for x in (q, blk, ones, twos, over, dead, value))
                 diff = planes[bit][blk] ^ (np.uint64(0) - ((value >> np.uint64(bit)) & np.uint64(1)))
                 carry = ones & diff
                 ones = ones ^ diff
@@ -178,17 +183,20 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[1:] = (kind[1:] != kind[:-1]) | (key[1:] != key[:-1])
         starts = np.append(np.flatnonzero(new), len(fp))
         many = np.diff(starts) > 1
-        rows = np.concatenate([np.arange(a, b) for a, b in zip(starts[:-1][many], starts[1:][many])]) if many.any() else np.empty(0, np.int64)
+        rows = np.concatenate([np.arange(a, b) for a,
+            b in zip(starts[:-1][many], starts[1:][many])]) if many.any() else np.empty(0, np.int64)
         if not len(rows):
             return None
         own = fp[rows]
-        root = _forest(len(own), *bit_sliced_links(own.view(np.uint64), np.concatenate([[0], np.cumsum(np.diff(starts)[many])])))
+        root = _forest(len(own), *bit_sliced_links(own.view(np.uint64),
+            np.concatenate([[0], np.cumsum(np.diff(starts)[many])])))
         moved = root != np.arange(len(own))
         return pa.RecordBatch.from_arrays([pa.array(own[moved]), pa.array(own[root[moved]])], names=["a", "b"])
 
     held = [np.empty(0, np.int64)] * 3
     for batch in batches:
-        now = [np.concatenate([h, batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64)]) for k, h in enumerate(held)]
+        now = [np.concatenate([h, batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64)]) for k,
+            h in enumerate(held)]
         if not len(now[0]):
             continue
         last = (now[0] == now[0][-1]) & (now[1] == now[1][-1])  # its bucket may go on in the next batch
@@ -206,13 +214,15 @@ def links(classes: DataFrame, bucket: int = BUCKET) -> DataFrame:
     for level in (1, 2, 3):
         keyed = written(_keyed(part, level), f"keys-{level}")
         if level < 3:
-            large = written(keyed.groupBy("kind", "key").count().where(F.col("count") > bucket).select("kind", "key"), f"large-{level}")
+            large = written(keyed.groupBy("kind", "key").count().where(F.col("count") > bucket).select("kind", "key"),
+                f"large-{level}")
             any_large = not large.isEmpty()
         else:
             any_large = False
         usual = keyed.join(large, ["kind", "key"], "left_anti") if any_large else keyed
         n = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        found.append(usual.select("kind", "key", "fp").repartition(n, "kind", "key").sortWithinPartitions("kind", "key").mapInArrow(_compare, "a long, b long"))
+        found.append(usual.select("kind", "key", "fp").repartition(n, "kind", "key").sortWithinPartitions("kind",
+            "key").mapInArrow(_compare, "a long, b long"))
         if not any_large:
             break
         part = written(keyed.join(large, ["kind", "key"], "left_semi").select("kind", "fp"), f"dense-{level}")
@@ -231,9 +241,11 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     fps = written(fingerprints(docs), "fps")
     classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
     roots = components(links(classes, bucket))
-    rooted = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    rooted = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "rep",
+        F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = written(written(rooted, "rooted").join(written(least, "least"), "root").select("fp", "component_id"), "named")
+    named = written(written(rooted, "rooted").join(written(least, "least"), "root").select("fp", "component_id"),
+        "named")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -260,5 +272,6 @@ def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
         lost = written(docs.where("doc_id is null").withColumn("doc_id", F.monotonically_increasing_id()), "unnamed")
         fps = fingerprints(lost).join(own.where("doc_id is null").select("fp").distinct(), "fp")
         alone = fps.groupBy("fp").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-        out = out.union(lost.join(alone, "doc_id").withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType)).select(*docs.columns))
+        out = out.union(lost.join(alone, "doc_id").withColumn("doc_id",
+            F.lit(None).cast(docs.schema["doc_id"].dataType)).select(*docs.columns))
     return out

@@ -131,7 +131,8 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Data
 
     Null labels and ids are left out; a document labelled twice has its higher label; repeated documents count once.
     """
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
     own = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     return texts(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
@@ -140,7 +141,8 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Data
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> OrdinalModel:
     """Train on a bounded labelled sample.  Without both classes (or rows) the model calls nothing toxic."""
     sample = written(labelled(docs, labels, rows), "labelled")
-    n = {bool(r.toxic): r.n for r in sample.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = {bool(r.toxic): r.n
+        for r in sample.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
         return OrdinalModel({}, [50.0])
 
@@ -151,15 +153,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> OrdinalMo
                 own = {f for w in set(words_of(t.as_py())) for f in features(w)}
                 found += own
                 toxic += [int(y > 0)] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(toxic, pa.int32())], names=["f", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(toxic, pa.int32())],
+                names=["f", "toxic"])
 
-    by = sample.mapInArrow(split, "f string, toxic int").groupBy("f").agg(F.sum("toxic").alias("yes"), F.count(F.lit(1)).alias("all"))
+    by = sample.mapInArrow(split, "f string, toxic int").groupBy("f").agg(F.sum("toxic").alias("yes"),
+        F.count(F.lit(1)).alias("all"))
     ratio = (F.col("yes") / n[True]) / ((F.col("all") - F.col("yes") + 0.5) / n[False])
     # how far the shares of toxic and of clean rows lie apart, in standard errors
     share = F.col("all") / (n[True] + n[False])
     z = (F.col("yes") / n[True] - (F.col("all") - F.col("yes")) / n[False]) / F.sqrt(share * (1 - share) * (1 / n[True] + 1 / n[False]))
     least = max(MIN_DOCS, MIN_SHARE * n[True])
-    telling = (by.where((F.col("all") >= least) & (share < 1)).select("f", ratio.alias("ratio"), z.alias("z")).where(F.abs("z") >= MIN_Z)
+    telling = (by.where((F.col("all") >= least) & (share < 1)).select("f", ratio.alias("ratio"),
+        z.alias("z")).where(F.abs("z") >= MIN_Z)
                .orderBy(F.desc(F.abs("z")), "f").limit(FEATURES).collect())
     used = {r.f: i for i, r in enumerate(telling)}
     marked = {r.f for r in telling if r.ratio >= MARKER_RATIO}
@@ -183,18 +188,23 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> OrdinalMo
                     n, x = 1, {used[f]: rate(c, size) for f, c in Counter(f for fs in own for f in fs).items()}
                 out.append((list(x), [v / n for v in x.values()], marks / n))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("toxic").cast(pa.int32()), pa.array([o[0] for o in out], pa.list_(pa.int32())), pa.array([o[1] for o in out], pa.list_(pa.float64())), pa.array([o[2] for o in out], pa.float64())],
+                [b.column("doc_id"), b.column("toxic").cast(pa.int32()),
+                pa.array([o[0] for o in out], pa.list_(pa.int32())),
+                pa.array([o[1] for o in out], pa.list_(pa.float64())), pa.array([o[2] for o in out], pa.float64())],
                 names=["doc_id", "toxic", "at", "rates", "marks"],
             )
 
-    got = sorted((r.doc_id, r.toxic, r.marks, sorted(zip(r.at, r.rates))) for r in sample.mapInArrow(counted, "doc_id long, toxic int, at array<int>, rates array<double>, marks double").collect())
+    got = sorted((r.doc_id, r.toxic, r.marks, sorted(zip(r.at, r.rates)))
+        for r in sample.mapInArrow(counted,
+        "doc_id long, toxic int, at array<int>, rates array<double>, marks double").collect())
     grades = np.array([0 if toxic <= 0 else 1 + sum(marks >= g for g in GRADE_RATES) for _, toxic, marks, _ in got])
     weights, cuts = train([p for *_, p in got], grades, len(used))
     names = list(used)
     return OrdinalModel({names[i]: float(weights[i]) for i in np.flatnonzero(weights)}, [float(c) for c in cuts])
 
 
-def train(pairs: list[list[tuple[int, float]]], grades: np.ndarray, size: int, steps: int = 1500, l1: float = 5e-5) -> tuple[np.ndarray, np.ndarray]:
+def train(pairs: list[list[tuple[int, float]]], grades: np.ndarray, size: int, steps: int = 1500,
+        l1: float = 5e-5) -> tuple[np.ndarray, np.ndarray]:
     """Proximal AdaGrad on the mean log-loss over all thresholds, with an L1 penalty.  pairs: (feature, value) by row."""
     levels = np.unique(grades[grades > 0])
     grades = np.searchsorted(levels, grades, side="right")  # grades that no row has need no threshold
@@ -230,7 +240,8 @@ def score(docs: DataFrame, model: OrdinalModel, threshold: float = THRESHOLD) ->
         of, m = shared.value.scorer(threshold), shared.value
         for b in batches:
             over = m.over(np.array([of(t.as_py()) for t in b.column(1)], float))
-            cols = [b.column(0), pa.array(over.sum(axis=1)), pa.array((over > 0.5).sum(axis=1), pa.int32()), pa.array(over[:, 0] >= threshold)]
+            cols = [b.column(0), pa.array(over.sum(axis=1)), pa.array((over > 0.5).sum(axis=1), pa.int32()),
+                pa.array(over[:, 0] >= threshold)]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "expected_severity", "severity", "toxic"])
 
     return texts(docs).mapInArrow(run, "doc_id long, expected_severity double, severity int, toxic boolean")

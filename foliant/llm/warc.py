@@ -27,16 +27,19 @@ def canonical_url(url: Column) -> Column:
     The scheme and the fragment are dropped.  Null stays null.
     """
     bare = F.regexp_replace(F.regexp_replace(F.trim(url), "#.*$", ""), "^[A-Za-z][A-Za-z0-9+.-]*://", "")
-    host = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract(bare, "^[^/?]*", 0)), ":(80|443)$", ""), r"^www\.", "")
+    host = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract(bare, "^[^/?]*", 0)), ":(80|443)$", ""),
+        r"^www\.", "")
     path = F.regexp_replace(F.regexp_extract(bare, r"^[^/?]*([^?]*)", 1), "/+$", "")
     query = F.regexp_extract(bare, r"\?(.*)$", 1)
     kept = F.array_sort(F.filter(F.split(query, "&"), lambda x: (x != "") & ~x.rlike(TRACKING)))
-    return F.concat(host, F.when(path == "", "/").otherwise(path), F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
+    return F.concat(host, F.when(path == "", "/").otherwise(path),
+        F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
 
 
 def lower_names(headers: Column) -> Column:
     """Headers under lower-case names; of names that differ in case only, the value of the last one by name counts."""
-    entries = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e.key).alias("key"), e.value.alias("value")))
+    entries = F.transform(F.map_entries(headers),
+        lambda e: F.struct(F.lower(e.key).alias("key"), e.value.alias("value")))
     ordered = F.array_sort(entries)
     last = F.filter(ordered, lambda e, i: F.get(ordered, i + 1).isNull() | (F.get(ordered, i + 1).key != e.key))
     return F.map_from_entries(last)
@@ -54,9 +57,11 @@ def resolve(records: DataFrame) -> DataFrame:
     Of responses in the same second the greatest record_id counts; repeated revisits are each answered.
     """
     fields = ("record_id", "kind", "url", "t", "etag", "last_modified", "digest")
-    r = records.select(*fields, lower_names(F.col("headers")).alias("headers"), canonical_url(F.col("url")).alias("canonical_url"))
+    r = records.select(*fields, lower_names(F.col("headers")).alias("headers"),
+        canonical_url(F.col("url")).alias("canonical_url"))
     full = (r.where("kind = 'response' and t is not null and canonical_url is not null").groupBy("canonical_url", "t")
-            .agg(F.max_by(F.struct("record_id", "etag", "last_modified", "headers", "digest"), "record_id").alias("full")))
+            .agg(F.max_by(F.struct("record_id", "etag", "last_modified", "headers", "digest"),
+            "record_id").alias("full")))
     placed = "t is not null and canonical_url is not null"
     asked = r.where(f"kind = 'revisit' and {placed}")
     lost = r.where(f"kind = 'revisit' and not ({placed})")  # no join: they would all share one key
@@ -64,27 +69,34 @@ def resolve(records: DataFrame) -> DataFrame:
     instants = full.select("canonical_url", "t", F.col("t").alias("ref")).union(
         asked.select("canonical_url", "t").distinct().withColumn("ref", F.lit(None).cast("long"))).withColumn("day", day)
     before = W.partitionBy("canonical_url", "day").orderBy("t").rangeBetween(W.unboundedPreceding, -1)
-    within = instants.withColumn("own", F.max("ref").over(before)).where("ref is null").select("canonical_url", "t", "day", "own")
+    within = instants.withColumn("own", F.max("ref").over(before)).where("ref is null").select("canonical_url", "t",
+        "day", "own")
     days = instants.groupBy("canonical_url", "day").agg(F.max("ref").alias("last"))
-    carried = days.withColumn("carry", F.max("last").over(W.partitionBy("canonical_url").orderBy("day").rowsBetween(W.unboundedPreceding, -1)))
-    answers = within.join(carried, ["canonical_url", "day"]).select("canonical_url", "t", F.coalesce("own", "carry").alias("ref"))
+    carried = days.withColumn("carry",
+        F.max("last").over(W.partitionBy("canonical_url").orderBy("day").rowsBetween(W.unboundedPreceding, -1)))
+    answers = within.join(carried, ["canonical_url", "day"]).select("canonical_url", "t",
+        F.coalesce("own", "carry").alias("ref"))
     found = asked.join(answers, ["canonical_url", "t"], "left")
     own = full.withColumnRenamed("t", "ref")
     both = found.join(own, ["canonical_url", "ref"], "left")
     weak = lambda c: F.regexp_replace(c, "^W/", "")
     f = F.col("full")
     status = (F.when(f.isNull(), "no_earlier")
-              .when(F.col("etag").isNotNull(), F.when(weak(F.col("etag")) == weak(f.etag), "resolved").otherwise("validator_mismatch"))
-              .when(F.col("last_modified").isNotNull(), F.when(F.col("last_modified") == f.last_modified, "resolved").otherwise("validator_mismatch"))
+              .when(F.col("etag").isNotNull(), F.when(weak(F.col("etag")) == weak(f.etag),
+              "resolved").otherwise("validator_mismatch"))
+              .when(F.col("last_modified").isNotNull(), F.when(F.col("last_modified") == f.last_modified,
+              "resolved").otherwise("validator_mismatch"))
               .otherwise("no_validator"))
     none = F.create_map().cast("map<string,string>")
     update = F.map_filter(F.coalesce("headers", none), lambda k, v: k.isin(*PERMITTED))
     merged = F.map_concat(F.map_filter(F.coalesce(f.headers, none), lambda k, v: ~F.map_contains_key(update, k)), update)
     found = both.withColumn("status", status).select(
         "record_id", "canonical_url", "status", f.record_id.alias("response_id"),
-        F.when(F.col("status") == "resolved", f.digest).alias("digest"), F.when(F.col("status") == "resolved", merged).alias("headers"))
+        F.when(F.col("status") == "resolved", f.digest).alias("digest"),
+        F.when(F.col("status") == "resolved", merged).alias("headers"))
     text = F.lit(None).cast("string")
-    return found.union(lost.select("record_id", "canonical_url", F.lit("no_earlier"), text, text, F.lit(None).cast("map<string,string>")))
+    return found.union(lost.select("record_id", "canonical_url", F.lit("no_earlier"), text, text,
+        F.lit(None).cast("map<string,string>")))
 
 
 def captures(pages: DataFrame) -> DataFrame:
@@ -98,28 +110,39 @@ def captures(pages: DataFrame) -> DataFrame:
     html = F.coalesce("html", F.lit(""))
     t = F.lit(1_700_000_000) + F.pmod(p * 7919, F.lit(2_592_000))
     # explode makes the kinds from small values: the page itself is read into two digests first
-    base = pages.select(p.alias("p"), F.col("url").alias("u"), t.cast("long").alias("t0"), F.md5(html).alias("a"), F.md5(F.concat(html, F.lit("v2"))).alias("b"))
+    base = pages.select(p.alias("p"), F.col("url").alias("u"), t.cast("long").alias("t0"), F.md5(html).alias("a"),
+        F.md5(F.concat(html, F.lit("v2"))).alias("b"))
     last = F.when(F.pmod("p", F.lit(3)) == 0, F.col("b")).otherwise(F.col("a"))
     tag = lambda d: F.concat(F.lit('"'), F.substring(d, 1, 16), F.lit('"'))
     modified = lambda d: F.concat(F.lit("m"), F.substring(d, 17, 8))
     text = lambda x: F.lit(x).cast("string")
     none = text(None)
-    ask = F.when(F.pmod("p", F.lit(11)) == 2, none).when(F.pmod("p", F.lit(7)) == 1, none).when(F.pmod("p", F.lit(5)) == 0, F.concat(F.lit('"old'), F.col("p").cast("string"), F.lit('"'))).otherwise(F.concat(F.lit("W/"), tag(last)))
-    ask_modified = F.when(F.pmod("p", F.lit(11)) == 2, none).when(F.pmod("p", F.lit(7)) == 1, modified(last)).otherwise(none)
-    variant = F.concat(F.regexp_replace("u", "#.*$", ""), F.when(F.contains("u", F.lit("?")), F.lit("&utm_medium=mail#x")).otherwise(F.lit("?utm_medium=mail#x")))
+    ask = F.when(F.pmod("p", F.lit(11)) == 2, none).when(F.pmod("p", F.lit(7)) == 1,
+        none).when(F.pmod("p", F.lit(5)) == 0, F.concat(F.lit('"old'), F.col("p").cast("string"),
+        F.lit('"'))).otherwise(F.concat(F.lit("W/"), tag(last)))
+    ask_modified = F.when(F.pmod("p", F.lit(11)) == 2, none).when(F.pmod("p", F.lit(7)) == 1,
+        modified(last)).otherwise(none)
+    variant = F.concat(F.regexp_replace("u", "#.*$", ""),
+        F.when(F.contains("u", F.lit("?")), F.lit("&utm_medium=mail#x")).otherwise(F.lit("?utm_medium=mail#x")))
 
     def record(name: str, kind: str, url: Column, at: Column, etag: Column, mod: Column, digest: Column) -> Column:
         head = F.map_filter(F.create_map(
-            F.lit("date"), at.cast("string"), F.lit("etag"), etag, F.lit("last-modified"), mod, F.lit("content-type"), text("text/html"),
-            F.lit("cache-control"), F.concat(F.lit("max-age="), F.pmod(at, F.lit(600)).cast("string")), F.lit("server"), text(kind)), lambda k, v: v.isNotNull())
-        return F.struct(F.concat(F.lit(f"{name}-"), F.col("p").cast("string")).alias("record_id"), F.lit(kind).alias("kind"), url.alias("url"), at.cast("long").alias("t"), etag.alias("etag"), mod.alias("last_modified"), head.alias("headers"), digest.alias("digest"))
+            F.lit("date"), at.cast("string"), F.lit("etag"), etag, F.lit("last-modified"), mod, F.lit("content-type"),
+            text("text/html"),
+            F.lit("cache-control"), F.concat(F.lit("max-age="), F.pmod(at, F.lit(600)).cast("string")), F.lit("server"),
+            text(kind)), lambda k, v: v.isNotNull())
+        return F.struct(F.concat(F.lit(f"{name}-"), F.col("p").cast("string")).alias("record_id"),
+            F.lit(kind).alias("kind"), url.alias("url"), at.cast("long").alias("t"), etag.alias("etag"),
+            mod.alias("last_modified"), head.alias("headers"), digest.alias("digest"))
 
     u, t0 = F.col("u"), F.col("t0")
     each = F.filter(F.array(
         record("first", "response", u, t0, tag(F.col("a")), modified(F.col("a")), F.col("a")),
-        F.when(F.pmod("p", F.lit(3)) == 0, record("second", "response", u, t0 + 5 * DAY, tag(F.col("b")), modified(F.col("b")), F.col("b"))),
+        F.when(F.pmod("p", F.lit(3)) == 0, record("second", "response", u, t0 + 5 * DAY, tag(F.col("b")),
+        modified(F.col("b")), F.col("b"))),
         record("again", "revisit", variant, t0 + 10 * DAY, ask, ask_modified, none),
-        F.when(F.pmod("p", F.lit(13)) == 3, record("early", "revisit", u, t0 - DAY, tag(F.col("a")), none, none))), lambda x: x.isNotNull())
+        F.when(F.pmod("p", F.lit(13)) == 3, record("early", "revisit", u, t0 - DAY, tag(F.col("a")), none, none))),
+        lambda x: x.isNotNull())
     return base.select(F.explode(each).alias("r")).select("r.*")
 
 
@@ -129,7 +152,8 @@ def revisits(spark: SparkSession, pages: DataFrame) -> DataFrame:
     The captures are written once, since the join reads them four times; pages and their digests are read once.
     """
     found = resolve(written(captures(pages), "captures"))
-    lines = F.array_join(F.transform(F.array_sort(F.map_entries("headers")), lambda x: F.concat_ws(": ", x.key, x.value)), "\n")
+    lines = F.array_join(F.transform(F.array_sort(F.map_entries("headers")),
+        lambda x: F.concat_ws(": ", x.key, x.value)), "\n")
     return found.select("record_id", "canonical_url", "status", "response_id", "digest", lines.alias("headers"))
 
 

@@ -31,7 +31,8 @@ LAYOUTS = {
         ["Rebuilding", ONE, TWO, THREE, "stone --fix"]),
     "custom": (f"""<app-root><site-nav class="menu">{LINKS}</site-nav><article><title-card><h1>Old bridge</h1></title-card><p>{ONE}</p><noscript><p>{TWO}</p></noscript><p>{THREE}</p></article>
         <newsletter-form class="newsletter"><form><label>Get our letter</label><input></form></newsletter-form></app-root>""", ["Old bridge", ONE, TWO, THREE]),
-    "open head": (f"<head><title>T</title><meta name=x><h1>Old bridge</h1><p>{ONE}<p>{TWO}<p>{THREE}", ["Old bridge", ONE, TWO, THREE]),
+    "open head": (f"<head><title>T</title><meta name=x><h1>Old bridge</h1><p>{ONE}<p>{TWO}<p>{THREE}",
+    ["Old bridge", ONE, TWO, THREE]),
 }
 
 
@@ -71,8 +72,10 @@ def test_markup(page, want):
     assert [t for _, t in html.parse(page).segments] == want
 
 
-@pytest.mark.parametrize("unit", ["<a", "i<n ", '<a x="', '<a x=">" ', "<a '", "<div>", "<b></i>", "<!--", "<svg>", "<button>", "<title>", "<object>", "<p>x", "<table><td>", "<li>x<ul>", "<a =", "<select>",
-                                  "<i><div>", "<tr><td><p>", "</", "<a href=/>", "&#99999999999999999999", "<script>", "<textarea>"])
+@pytest.mark.parametrize("unit", ["<a", "i<n ", '<a x="', '<a x=">" ', "<a '", "<div>", "<b></i>", "<!--", "<svg>",
+    "<button>", "<title>", "<object>", "<p>x", "<table><td>", "<li>x<ul>", "<a =", "<select>",
+                                  "<i><div>", "<tr><td><p>", "</", "<a href=/>", "&#99999999999999999999", "<script>",
+                                  "<textarea>"])
 @pytest.mark.parametrize("tail", ["", ">", "<p>x</p>", '"> </button></select>'])
 def test_time_is_linear(unit, tail):
     def took(n):
@@ -91,7 +94,8 @@ def test_large_pages_are_held_a_few_at_a_time():
     pages = ["<article>" + "<p>some words, here</p>" * 45_000 + "</article>"] * 6  # of about 1 MB
     sizes = [len(p) for p in pages]
     assert [n for _, n in portions(sizes, html.BATCH_BYTES)] == [2, 2, 2] and list(portions([], 9)) == []
-    assert [n for _, n in portions([5] * 500, 1 << 20)] == [200, 200, 100] and [n for _, n in portions([9, 9], 8)] == [1, 1]
+    assert [n for _, n in portions([5] * 500, 1 << 20)] == [200, 200, 100] and [n for _,
+        n in portions([9, 9], 8)] == [1, 1]
     trees = html.model()
     tracemalloc.start()
     got = [t for at, n in portions(sizes, html.BATCH_BYTES) for t in html.texts(pages[at : at + n], trees)]

@@ -44,14 +44,17 @@ def repeats(text):
 
 def test_repeated_words(spark):
     rng = random.Random(3)
-    texts = ["", "a", "a a a a", "a b c a b c", "x " * 500] + [" ".join(rng.choice("abcdefgh"[: rng.randint(2, 8)]) for _ in range(rng.randint(1, 90))) for _ in range(150)]
-    texts += [" ".join(f"w{rng.randint(0, 400)}" for _ in range(900)) + " " + " ".join(f"v{i}" for i in range(60)) + " " + " ".join(f"v{i}" for i in range(60))]
+    texts = ["", "a", "a a a a", "a b c a b c", "x " * 500] + [" ".join(rng.choice("abcdefgh"[: rng.randint(2, 8)])
+        for _ in range(rng.randint(1, 90))) for _ in range(150)]
+    texts += [" ".join(f"w{rng.randint(0, 400)}" for _ in range(900)) + " " + " ".join(f"v{i}"
+        for i in range(60)) + " " + " ".join(f"v{i}" for i in range(60))]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r for r in quality.quality_report(df).collect()}
     for i, t in enumerate(texts):
         w = WORD.findall(t)
         ls = [x for x in t.split("\n") if WORD.search(x)]
-        assert (got[i].n_words, got[i].word_chars, got[i].n_repeat_words, got[i].n_dup_lines) == (len(w), sum(map(len, w)), repeats(t), len(ls) - len(set(ls)))
+        assert (got[i].n_words, got[i].word_chars, got[i].n_repeat_words, got[i].n_dup_lines) == (len(w),
+            sum(map(len, w)), repeats(t), len(ls) - len(set(ls)))
 
 
 def test_quality_of_odd_rows(odd, none):
@@ -83,15 +86,23 @@ def test_cascade_keeps_the_same_whatever_the_order(spark, sf):
 def test_further_rules_by_hand(spark):
     plain = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
     texts = {
-        "symbols": " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)} # $" for i in range(60)), "repeated_lines": "\n".join([plain] + [f"q{chr(97 + i // 3)}" for i in range(60)]),
-        "word_length": " ".join(chr(97 + i % 26) for i in range(26)) + " " + " ".join("x" * 90 + chr(97 + i) for i in range(26)),
-        "marks": " ".join(f"{i * 7919:07d}" for i in range(60)), "top_word": " ".join(w for i in range(30) for w in (f"a{chr(97 + i % 26)}{chr(97 + i // 26)}b", "the", "the")[: 3 if i % 2 else 2] + ("the",)),
-        "open_lines": "\n".join(w + (" ..." if i % 3 else "") for i, w in enumerate(plain.split(" "))), "bullets": "\n".join("* " + w for w in plain.split(" ")), None: plain,
+        "symbols": " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)} # $" for i in range(60)),
+        "repeated_lines": "\n".join([plain] + [f"q{chr(97 + i // 3)}" for i in range(60)]),
+        "word_length": " ".join(chr(97 + i % 26) for i in range(26)) + " " + " ".join("x" * 90 + chr(97 + i)
+        for i in range(26)),
+        "marks": " ".join(f"{i * 7919:07d}" for i in range(60)),
+        "top_word": " ".join(w for i in range(30) for w in (f"a{chr(97 + i % 26)}{chr(97 + i // 26)}b", "the",
+        "the")[: 3 if i % 2 else 2] + ("the",)),
+        "open_lines": "\n".join(w + (" ..." if i % 3 else "") for i, w in enumerate(plain.split(" "))),
+        "bullets": "\n".join("* " + w for w in plain.split(" ")), None: plain,
     }
     df = spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")
-    alone = {r.doc_id: [n for n, x in r.asDict().items() if n != "doc_id" and x] for r in df.select("doc_id", *[x.rejects.alias(x.name) for x in quality.rules()]).collect()}
+    alone = {r.doc_id: [n for n, x in r.asDict().items() if n != "doc_id" and x]
+        for r in df.select("doc_id", *[x.rejects.alias(x.name) for x in quality.rules()]).collect()}
     table, own = quality.measured(df)
-    ready = {r.doc_id: [n for n, x in r.asDict().items() if n != "doc_id" and x] for r in table.select("doc_id", *[x.rejects.alias(x.name) for x in quality.base_rules(own) + quality.further_rules(own)]).collect()}
+    ready = {r.doc_id: [n for n, x in r.asDict().items() if n != "doc_id" and x]
+        for r in table.select("doc_id", *[x.rejects.alias(x.name)
+        for x in quality.base_rules(own) + quality.further_rules(own)]).collect()}
     assert alone == ready
     for i, name in enumerate(texts):
         assert (name in alone[i]) if name else alone[i] == [], (name, alone[i])
@@ -101,7 +112,8 @@ def test_order_is_greedy_on_what_is_left(spark, monkeypatch):
     """By rejections per second; a rule whose rejections another has taken goes last."""
     df = spark.range(100).selectExpr("id as doc_id", "cast(id as string) as text")
     rule = lambda name, sql: quality.Rule(name, F.expr(sql))
-    given = [rule("a", "doc_id < 40"), rule("b", "doc_id < 50"), rule("c", "doc_id >= 90"), rule("null", "cast(null as boolean)")]
+    given = [rule("a", "doc_id < 40"), rule("b", "doc_id < 50"), rule("c", "doc_id >= 90"),
+        rule("null", "cast(null as boolean)")]
     monkeypatch.setattr(quality, "costs", lambda part, rules: [1.0, 1.0, 0.5, 0.1])
     found = quality.order(df, given)
     assert [(r.name, round(share, 3)) for r, _, share in found] == [("b", 0.5), ("c", 0.2), ("null", 0.0), ("a", 0.0)]
@@ -132,8 +144,10 @@ def base(text):
 def test_secret_spans(spark):
     hexed = hashlib.sha1(b"a").hexdigest()
     texts = [
-        None, "", "plain words only", f'token = "{hexed}" tail', "secret: token: abcdef", "password=token=abcdefgh PassWord : x1y2z3w4", "AKIA" + "A" * 15, "AKIA" + "A" * 16 + " AKIAAKIA" + "B" * 20,
-        f"é😀 {hexed[:24]} {hexed[:23]}", "api_key='abc' apikey=\"abcdefg", "\x01 token=abcdefgh \x01", " ".join(f"token={hashlib.md5(str(i).encode()).hexdigest()}" for i in range(300)), "api-key = abcdefgh",
+        None, "", "plain words only", f'token = "{hexed}" tail', "secret: token: abcdef",
+        "password=token=abcdefgh PassWord : x1y2z3w4", "AKIA" + "A" * 15, "AKIA" + "A" * 16 + " AKIAAKIA" + "B" * 20,
+        f"é😀 {hexed[:24]} {hexed[:23]}", "api_key='abc' apikey=\"abcdefg", "\x01 token=abcdefgh \x01",
+        " ".join(f"token={hashlib.md5(str(i).encode()).hexdigest()}" for i in range(300)), "api-key = abcdefgh",
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     model = secrets.train(secrets.samples(spark, df.limit(0)))
@@ -142,7 +156,8 @@ def test_secret_spans(spark):
         want = base(t)
         joined = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in want)
         assert got[i].base_sha256 == hashlib.sha256(joined.encode()).hexdigest(), t
-        assert (got[i].n_assign, got[i].n_access, got[i].n_hex) == tuple(sum(k == x for _, k, _ in want) for x in range(3))
+        assert (got[i].n_assign, got[i].n_access, got[i].n_hex) == tuple(sum(k == x for _, k, _ in want)
+            for x in range(3))
         assert set(filter(None, joined.split(","))) <= set(filter(None, got[i].spans.split(",")))
 
 
@@ -154,15 +169,20 @@ def trained(spark):
 
 def found_in(spark, model, strings):
     df = spark.createDataFrame([(i, f"see {x} here") for i, x in enumerate(strings)], "doc_id long, text string")
-    return {r.doc_id for r in secrets.secrets_report(df, model).where("n_markov + n_hex + n_access + n_assign > 0").collect()}
+    return {r.doc_id for r in secrets.secrets_report(df,
+        model).where("n_markov + n_hex + n_access + n_assign > 0").collect()}
 
 
 #: Forms of random strings, none made as the training's are; least share to be found.
 FORMS = {
-    "letters 16": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 16, "{}", 0.9), "letters 24": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 24, "{}", 0.97),
-    "letters 40": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 40, "{}", 0.99), "base32 20": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 20, "{}", 0.95),
-    "lower 24": ("abcdefghijklmnopqrstuvwxyz0123456789", 24, "{}", 0.95), "hex 20": ("0123456789abcdef", 20, "{}", 0.9), "HEX 32": ("0123456789ABCDEF", 32, "{}", 0.97),
-    "base64 43": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 43, "{}=", 0.97), "json 32": ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-", 32, '{{"key": "{}"}}', 0.97),
+    "letters 16": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 16, "{}", 0.9),
+    "letters 24": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 24, "{}", 0.97),
+    "letters 40": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 40, "{}", 0.99),
+    "base32 20": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 20, "{}", 0.95),
+    "lower 24": ("abcdefghijklmnopqrstuvwxyz0123456789", 24, "{}", 0.95), "hex 20": ("0123456789abcdef", 20, "{}", 0.9),
+    "HEX 32": ("0123456789ABCDEF", 32, "{}", 0.97),
+    "base64 43": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 43, "{}=", 0.97),
+    "json 32": ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-", 32, '{{"key": "{}"}}', 0.97),
     "address 24": ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 24, "https://x.example/a?k={}&b=1", 0.95),
 }
 
@@ -183,14 +203,22 @@ def test_uuids(spark, trained):
 
 def test_ordinary_names_are_left_alone(spark, trained, sf):
     rng = random.Random(12)
-    german = "Donau Dampf Schiff Fahrt Gesellschaft Kapitän Wetter Dienst Straßen Verkehr Ordnung Versicherung Arbeit Geber Verband Recht Schutz Bund Amt".replace("ä", "a").replace("ß", "ss").split()
+    german = "Donau Dampf Schiff Fahrt Gesellschaft Kapitän Wetter Dienst Straßen Verkehr Ordnung Versicherung Arbeit Geber Verband Recht Schutz Bund Amt".replace("ä",
+        "a").replace("ß", "ss").split()
     english = "get user account number from customer order line total value default network connection manager abstract factory bean proxy internal server error message handler request response body parser config file".split()
     cases = {
-        "camel": ["".join(w.title() for w in rng.sample(english, 5)) for _ in range(200)], "lowerCamel": ["get" + "".join(w.title() for w in rng.sample(english, 4)) for _ in range(200)],
-        "snake": ["_".join(rng.sample(english, 5)) for _ in range(200)], "const": ["_".join(rng.sample(english, 4)).upper() for _ in range(200)], "kebab": ["-".join(rng.sample(english, 6)) for _ in range(200)],
-        "path": ["/".join(["", "usr", "share", *rng.sample(english, 4)]) for _ in range(200)], "address": ["https://www.example.com/2024/05/17/" + "-".join(rng.sample(english, 6)) + ".html" for _ in range(200)],
-        "german": ["".join(w if k == 0 else w.lower() for k, w in enumerate(rng.sample(german, 4))) for _ in range(200)], "rules": ["-" * 40, "=" * 60, "_" * 30] * 10,
-        "numbers": ["".join(rng.choice("0123456789") for _ in range(20)) for _ in range(200)], "dates": ["2024-05-17/2024-06-30", "1999-12-31_2000-01-01"] * 20,
+        "camel": ["".join(w.title() for w in rng.sample(english, 5)) for _ in range(200)],
+        "lowerCamel": ["get" + "".join(w.title() for w in rng.sample(english, 4)) for _ in range(200)],
+        "snake": ["_".join(rng.sample(english, 5)) for _ in range(200)],
+        "const": ["_".join(rng.sample(english, 4)).upper() for _ in range(200)],
+        "kebab": ["-".join(rng.sample(english, 6)) for _ in range(200)],
+        "path": ["/".join(["", "usr", "share", *rng.sample(english, 4)]) for _ in range(200)],
+        "address": ["https://www.example.com/2024/05/17/" + "-".join(rng.sample(english, 6)) + ".html"
+        for _ in range(200)],
+        "german": ["".join(w if k == 0 else w.lower() for k, w in enumerate(rng.sample(german, 4)))
+        for _ in range(200)], "rules": ["-" * 40, "=" * 60, "_" * 30] * 10,
+        "numbers": ["".join(rng.choice("0123456789") for _ in range(20)) for _ in range(200)],
+        "dates": ["2024-05-17/2024-06-30", "1999-12-31_2000-01-01"] * 20,
     }
     false = {name: len(found_in(spark, trained, strings)) / len(strings) for name, strings in cases.items()}
     assert all(x <= 0.02 for x in false.values()), false
@@ -225,8 +253,10 @@ def test_model_and_ratio_by_direct_computation(spark, sf):
 
 def test_model_does_not_depend_on_the_layout(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    docs = docs.union(docs.limit(20)).union(spark.createDataFrame([(3, "another text under an id"), (None, "no id"), (None, None)], "doc_id long, text string"))
-    one, many = (secrets.train(secrets.samples(spark, d, 60, 200)) for d in (docs.coalesce(1), docs.repartition(8).orderBy("text")))
+    docs = docs.union(docs.limit(20)).union(spark.createDataFrame([(3, "another text under an id"), (None, "no id"),
+        (None, None)], "doc_id long, text string"))
+    one, many = (secrets.train(secrets.samples(spark, d, 60, 200))
+        for d in (docs.coalesce(1), docs.repartition(8).orderBy("text")))
     assert one == many
     assert sum(r.random == 0 for r in secrets.samples(spark, docs, 60, 0).collect()) > 1000
 
@@ -248,10 +278,12 @@ def test_pieces_between_spans(spark):
     rows = []
     for i in range(120):
         text = "".join(rng.choice("aé😀b\n") for _ in range(rng.choice([0, 3, 70, 1023, 1024, 1025, 5000])))
-        spans = sorted((s, 0, min(len(text), s + rng.randint(1, rng.choice([3, 2500])))) for s in (rng.randrange(len(text)) for _ in range(rng.choice([0, 1, 5, 200]) if text else 0)))
+        spans = sorted((s, 0, min(len(text), s + rng.randint(1, rng.choice([3, 2500]))))
+            for s in (rng.randrange(len(text)) for _ in range(rng.choice([0, 1, 5, 200]) if text else 0)))
         rows.append((i, text, spans))
     df = spark.createDataFrame(rows, "id int, text string, spans array<struct<s:int,k:int,e:int>>")
-    got = df.select("id", secrets.cut(F.col("text"), secrets.gaps(F.col("spans"), F.length("text")), lambda p, i, gs: p).alias("p")).collect()
+    got = df.select("id", secrets.cut(F.col("text"), secrets.gaps(F.col("spans"), F.length("text")), lambda p, i,
+        gs: p).alias("p")).collect()
     for (_, text, spans), r in zip(rows, sorted(got)):
         want, at = [], 0
         for k, (s, _, e) in enumerate(spans):
@@ -294,7 +326,8 @@ def test_secrets_of_odd_rows(odd, none):
 
 def test_redaction(spark):
     h = hashlib.sha1(b"b").hexdigest()
-    df = spark.createDataFrame([(1, f'a é token = "{h}" b {h} c', 9), (2, "clean", 5), (3, None, None), (4, f"token={h}", 1)], "doc_id long, text string, n_chars long")
+    df = spark.createDataFrame([(1, f'a é token = "{h}" b {h} c', 9), (2, "clean", 5), (3, None, None),
+        (4, f"token={h}", 1)], "doc_id long, text string, n_chars long")
     model = secrets.train(secrets.samples(spark, df))
     got = {r.doc_id: (r.text, r.n_chars) for r in secrets.redact(df, model).collect()}
     assert got == {1: ('a é <SECRET>" b <SECRET> c', 26), 2: ("clean", 5), 3: (None, None), 4: ("<SECRET>", 8)}
@@ -327,7 +360,8 @@ def test_sharding_by_splits(spark):
 
 
 def test_sharding_of_repeated_keys_and_large_rows(spark, odd, none):
-    df = spark.createDataFrame([(1 if i < 60 else i, "x" * 500) for i in range(90)] + [(1, "y" * 9000)], "doc_id long, text string")
+    df = spark.createDataFrame([(1 if i < 60 else i, "x" * 500) for i in range(90)] + [(1, "y" * 9000)],
+        "doc_id long, text string")
     got = sharding.shard(df, limit=2000).collect()
     assert len(got) == 91
     assert [r.n_bytes for r in got if r.oversized] == [9000]
@@ -347,17 +381,26 @@ def record(spark, rows):
 def test_revisits(spark):
     h = {"etag": "x", "date": "1", "content-type": "t", "vary": "a"}
     rows = [
-        ("a", "response", "http://www.A.org:80/p/?b=2&a=1#f", 100, '"x"', "m1", h, "d1"), ("b", "response", "https://a.org/p?a=1&b=2&utm_source=q", 200, '"y"', None, None, "d2"),
-        ("c", "response", "https://a.org/p?a=1&b=2", 200, '"z"', "m2", h, "d3"), ("r1", "revisit", "http://a.org/p?b=2&a=1", 150, 'W/"x"', None, {"date": "9", "content-type": "no", "server": "s"}, None),
-        ("r2", "revisit", "http://a.org/p?b=2&a=1", 200, '"x"', None, None, None), ("r3", "revisit", "http://a.org/p?b=2&a=1", 300, '"x"', None, None, None), ("r4", "revisit", "http://a.org/p?b=2&a=1", 900_000, None, "m2", {"etag": "new"}, None),
-        ("r5", "revisit", "http://a.org/p?b=2&a=1", 100, None, None, None, None), ("r6", "revisit", None, 100, None, None, None, None), ("r7", "revisit", "http://a.org/p?b=2&a=1", None, '"x"', None, None, None),
-        ("r8", "revisit", "http://a.org/p?b=2&a=1", 900_000, None, None, None, None), ("r8", "revisit", "http://a.org/p?b=2&a=1", 900_000, None, None, None, None),
+        ("a", "response", "http://www.A.org:80/p/?b=2&a=1#f", 100, '"x"', "m1", h, "d1"),
+        ("b", "response", "https://a.org/p?a=1&b=2&utm_source=q", 200, '"y"', None, None, "d2"),
+        ("c", "response", "https://a.org/p?a=1&b=2", 200, '"z"', "m2", h, "d3"),
+        ("r1", "revisit", "http://a.org/p?b=2&a=1", 150, 'W/"x"', None,
+        {"date": "9", "content-type": "no", "server": "s"}, None),
+        ("r2", "revisit", "http://a.org/p?b=2&a=1", 200, '"x"', None, None, None),
+        ("r3", "revisit", "http://a.org/p?b=2&a=1", 300, '"x"', None, None, None),
+        ("r4", "revisit", "http://a.org/p?b=2&a=1", 900_000, None, "m2", {"etag": "new"}, None),
+        ("r5", "revisit", "http://a.org/p?b=2&a=1", 100, None, None, None, None),
+        ("r6", "revisit", None, 100, None, None, None, None),
+        ("r7", "revisit", "http://a.org/p?b=2&a=1", None, '"x"', None, None, None),
+        ("r8", "revisit", "http://a.org/p?b=2&a=1", 900_000, None, None, None, None),
+        ("r8", "revisit", "http://a.org/p?b=2&a=1", 900_000, None, None, None, None),
     ]
     got = warc.resolve(record(spark, rows)).collect()
     assert sum(r.record_id == "r8" for r in got) == 2
     by = {r.record_id: r for r in got}
     assert {k: (r.status, r.response_id) for k, r in by.items()} == {
-        "r1": ("resolved", "a"), "r2": ("resolved", "a"), "r3": ("validator_mismatch", "c"), "r4": ("resolved", "c"), "r5": ("no_earlier", None), "r6": ("no_earlier", None), "r7": ("no_earlier", None), "r8": ("no_validator", "c")}
+        "r1": ("resolved", "a"), "r2": ("resolved", "a"), "r3": ("validator_mismatch", "c"), "r4": ("resolved", "c"),
+        "r5": ("no_earlier", None), "r6": ("no_earlier", None), "r7": ("no_earlier", None), "r8": ("no_validator", "c")}
     assert by["r1"].headers == {"etag": "x", "date": "9", "content-type": "t", "vary": "a"} and by["r1"].digest == "d1"
     assert by["r4"].headers["etag"] == "new" and by["r3"].headers is None
     assert warc.resolve(record(spark, rows).limit(0)).count() == 0
@@ -365,7 +408,8 @@ def test_revisits(spark):
 
 def test_hot_url_against_brute_force(spark):
     rng = random.Random(8)
-    rows = [(f"x{i}", rng.choice(["response", "revisit"]), "http://hot.org/" if rng.random() < 0.7 else f"http://h{rng.randint(0, 9)}.org/", rng.randint(0, 400_000), None, None, None, None) for i in range(800)]
+    rows = [(f"x{i}", rng.choice(["response", "revisit"]), "http://hot.org/" if rng.random() < 0.7
+        else f"http://h{rng.randint(0, 9)}.org/", rng.randint(0, 400_000), None, None, None, None) for i in range(800)]
     got = {r.record_id: r.response_id for r in warc.resolve(record(spark, rows)).collect()}
     for i, kind, url, t, *_ in rows:
         if kind == "revisit":
@@ -374,6 +418,7 @@ def test_hot_url_against_brute_force(spark):
 
 
 def test_captures_of_odd_pages(spark):
-    pages = spark.createDataFrame([(1, None, None, "c"), (None, "http://x.org", "", "c"), (3, "", "<p>", "c"), (3, "", "<p>", "c")], "page_id long, url string, html string, t0 string")
+    pages = spark.createDataFrame([(1, None, None, "c"), (None, "http://x.org", "", "c"), (3, "", "<p>", "c"),
+        (3, "", "<p>", "c")], "page_id long, url string, html string, t0 string")
     assert warc.revisits(spark, pages).where("status is null").count() == 0
     assert warc.revisits(spark, pages.limit(0)).count() == 0

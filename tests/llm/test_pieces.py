@@ -33,13 +33,16 @@ def mixed(key, start, mid, end):
 
 def naive(model, coder, rate, text, doc_id):
     """Over the whole text: of all neighbours whose union is a piece, not skipped before, the best score, then the leftmost."""
-    score = {model.id_to_piece(i): model.get_score(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))}
+    score = {model.id_to_piece(i): model.get_score(i) for i in range(model.get_piece_size())
+        if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))}
     key, bad = coder.key(doc_id), "\0"
-    sym = [SPACE, *(bad + c if c == SPACE or (SPACE if c == " " else c) not in score else SPACE if c == " " else c for c in text)]
+    sym = [SPACE, *(bad + c if c == SPACE or (SPACE if c == " " else c) not in score else SPACE if c == " " else c
+        for c in text)]
     sym = [(s, k, k + 1) for k, s in enumerate(sym)]
     skipped = set()
     while True:
-        open_ = [(-score[a[0] + b[0]], k) for k, (a, b) in enumerate(zip(sym, sym[1:])) if a[0] + b[0] in score and (a[1], b[1], b[2]) not in skipped]
+        open_ = [(-score[a[0] + b[0]], k) for k, (a, b) in enumerate(zip(sym, sym[1:])) if a[0] + b[0] in score
+            and (a[1], b[1], b[2]) not in skipped]
         if not open_:
             break
         k = min(open_)[1]
@@ -136,8 +139,10 @@ def test_skips_of_candidates_are_independent(rate):
     same = np.full(n, keys[0])
     line = np.arange(n)
     for a, b in (
-        (one, c.skipped(keys, start, start + 1, start + 3)), (one, c.skipped(keys, start + 1, start + 2, start + 3)), (one, c.skipped(np.roll(keys, 1), start, start + 1, start + 2)),
-        (c.skipped(same, line, line + 1, line + 2), c.skipped(same, line + 1, line + 2, line + 3)), (c.skipped(same, line, line + 1, line + 2), c.skipped(same, line, line + 2, line + 3)),
+        (one, c.skipped(keys, start, start + 1, start + 3)), (one, c.skipped(keys, start + 1, start + 2, start + 3)),
+        (one, c.skipped(np.roll(keys, 1), start, start + 1, start + 2)),
+        (c.skipped(same, line, line + 1, line + 2), c.skipped(same, line + 1, line + 2, line + 3)),
+        (c.skipped(same, line, line + 1, line + 2), c.skipped(same, line, line + 2, line + 3)),
     ):
         both = (a & b).mean()
         assert abs(both - rate * rate) < 5 * np.sqrt(rate * rate / n) + 1e-6

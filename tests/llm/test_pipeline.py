@@ -27,7 +27,8 @@ def test_stages(spark, sf):
     whole = seen[5].groupBy("doc_id", "doc_tokens").sum("length").where("doc_tokens <> `sum(length)`")
     assert whole.count() == 0
     got = corpus_pipeline.run(spark, sf)
-    assert got.select("doc_id", "start", "length", "ids_crc32").exceptAll(seen[5].select("doc_id", "start", "length", "ids_crc32")).count() == 0
+    assert got.select("doc_id", "start", "length",
+        "ids_crc32").exceptAll(seen[5].select("doc_id", "start", "length", "ids_crc32")).count() == 0
 
 
 def test_empty_input(spark, sf):
@@ -40,9 +41,11 @@ def test_empty_input(spark, sf):
 def test_odd_rows_go_through_all_stages(spark, sf, odd):
     """Nulls, repeated rows, copies, very long texts and clashing names: what stays, stays whole, and once."""
     rng = random.Random(6)
-    good = lambda n: " ".join("".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 4))) for _ in range(n))
+    good = lambda n: " ".join("".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou")
+        for _ in range(rng.randint(1, 4))) for _ in range(n))
     one, two, three, long = good(90), good(90), good(90), good(60_000)
-    rows = [(100, one), (100, one), (101, one), (None, two), (None, two), (102, three + " token=abcdefgh1"), (103, long)]
+    rows = [(100, one), (100, one), (101, one), (None, two), (None, two), (102, three + " token=abcdefgh1"),
+        (103, long)]
     more = spark.createDataFrame([(i, t, *["x"] * (len(odd.columns) - 2)) for i, t in rows], odd.schema)
     docs = odd.union(more).repartition(5)
     for name, f in corpus_pipeline.STAGES:
@@ -53,7 +56,8 @@ def test_odd_rows_go_through_all_stages(spark, sf, odd):
                 assert docs.exceptAll(before).count() == 0
         else:
             last = before
-    assert sorted((r.doc_id or 0, r.text) for r in last.collect()) == sorted([(100, one), (0, two), (102, three + " <SECRET>"), (103, long)])
+    assert sorted((r.doc_id or 0, r.text) for r in last.collect()) == sorted([(100, one), (0, two),
+        (102, three + " <SECRET>"), (103, long)])
     assert {r.rejected_by for r in last.collect()} == {"x"}
     encode = corpus_pipeline.packing.load_encoder()
     total = {r.doc_id: r.n for r in docs.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}

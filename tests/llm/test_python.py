@@ -11,7 +11,8 @@ import pytest
 from foliant.llm import html, lz, packing, toxicity
 
 TEXTS = [
-    "", " ", "  ", "a", "\n", "\n\n", "a \nb", "a  b", "  x  ", "\n a", " \n", "▁", "a▁b ▁", "é́ 😀 ﬁ", "\ta\t", "x" * 100 + " y", "ab" * 300 + "  " + "(" * 77, "a\n\n  b\r\nc ", "\x00\x01",
+    "", " ", "  ", "a", "\n", "\n\n", "a \nb", "a  b", "  x  ", "\n a", " \n", "▁", "a▁b ▁", "é́ 😀 ﬁ", "\ta\t",
+    "x" * 100 + " y", "ab" * 300 + "  " + "(" * 77, "a\n\n  b\r\nc ", "\x00\x01",
     "<|endoftext|> it's we'll 123456 ..." + " " * 40 + "end", "The quick brown fox. Él lleva años, über alles!",
 ]
 
@@ -23,9 +24,11 @@ def tokenizer():
 
 
 def test_token_ids_are_those_of_the_vocabulary(spark, sf):
-    texts = TEXTS + ["a" * 30000, " " * 30000, "é" * 9000] + [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    texts = TEXTS + ["a" * 30000, " " * 30000, "é" * 9000] + [r.text
+        for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     encode, t = packing.load_encoder(), tokenizer()
-    texts += ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x<|endoftext|", "  <|endoftext|>  \n", "<|endoftext|>" * 300 + "y", "x<|EndOfText|>", "<|endoftext|>" + " " * 30000 + "é" * 9000 + "<|endoftext|>"]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x<|endoftext|", "  <|endoftext|>  \n",
+        "<|endoftext|>" * 300 + "y", "x<|EndOfText|>", "<|endoftext|>" + " " * 30000 + "é" * 9000 + "<|endoftext|>"]
     assert encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
     for x in texts:
         assert encode(x).tolist() == t.encode(x, add_special_tokens=False).ids
@@ -106,7 +109,8 @@ def place(lengths, size, windows):
 def test_packer_against_its_rules(size, windows):
     rng = random.Random(size * windows)
     for _ in range(40):
-        lengths = [rng.choice([1, 2, rng.randint(1, size), rng.randint(1, 3 * size)]) for _ in range(rng.randint(0, 80))]
+        lengths = [rng.choice([1, 2, rng.randint(1, size), rng.randint(1, 3 * size)])
+            for _ in range(rng.randint(0, 80))]
         emitted = []
         p = packing.Packer(emitted.append, size, windows)
         for d, n in enumerate(lengths):
@@ -161,7 +165,8 @@ def test_sketch_estimates_shared_phrases():
     rng = random.Random(3)
     for share in (0.0, 0.3, 0.6, 0.9, 1.0):
         common = [rng.getrandbits(60) for _ in range(int(3000 * share))]
-        a, b = (np.array(common + [rng.getrandbits(60) for _ in range(3000 - len(common))], np.uint64) for _ in range(2))
+        a, b = (np.array(common + [rng.getrandbits(60) for _ in range(3000 - len(common))], np.uint64)
+            for _ in range(2))
         union = 6000 - len(common)
         assert abs(lz.likeness(lz.sketch(a), lz.sketch(b)) - len(common) / union) < 0.13
     assert lz.likeness(lz.sketch(np.array([], np.uint64)), lz.sketch(np.array([5], np.uint64))) == 0
@@ -178,7 +183,8 @@ def test_report_against_brute_force(spark, sf):
         other = rows[(k + 1) % len(rows)][1]
         e = lz.edit(t, other)
         r = got[i]
-        assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(t), hashlib.sha256(e.encode()).hexdigest(), lz.text_of(fp(t)), lz.text_of(fp(e)))
+        assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(t),
+            hashlib.sha256(e.encode()).hexdigest(), lz.text_of(fp(t)), lz.text_of(fp(e)))
         assert (r.near_edited, r.near_next) == (lz.likeness(fp(t), fp(e)), lz.likeness(fp(t), fp(other)))
     near = sorted(r.near_edited for r in got.values())
     far = sorted(r.near_next for r in got.values())
@@ -213,7 +219,8 @@ def test_main_text_of_pages(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     got = {r.page_id: r for r in html.extract(pages).collect()}
     for r in pages.collect():
-        inner = re.sub("<[^>]*>", "", re.sub("</?(?:h1|p)>", "\x00", re.sub("<br>", " ", r.html[r.html.index("<article>") : r.html.index("</article>")])))
+        inner = re.sub("<[^>]*>", "", re.sub("</?(?:h1|p)>", "\x00",
+            re.sub("<br>", " ", r.html[r.html.index("<article>") : r.html.index("</article>")])))
         want = "\n".join(x for x in (" ".join(unescape(t).split()) for t in inner.split("\x00")) if x)
         assert got[r.page_id].text == want and got[r.page_id].n_chars == len(want) and got[r.page_id].url == r.url
 
@@ -231,12 +238,16 @@ def test_decoding_is_consistent():
 
     for root in np.flatnonzero(batch.parent == -1)[:10]:
         rows = [n for n in range(len(keep)) if batch.page[n] == batch.page[root]]
-        assert abs(sum(score[n] * (batch.chars[n] + 1) for n in rows if keep[n]) - sum(max(0.0, best(r)) for r in rows if batch.parent[r] == -1)) < 1e-6
+        assert abs(sum(score[n] * (batch.chars[n] + 1) for n in rows if keep[n]) - sum(max(0.0, best(r)) for r in rows
+            if batch.parent[r] == -1)) < 1e-6
 
 
 def test_odd_pages(spark):
-    odd = [None, "", "no markup", "<<<>>>< p", "<div><a href='x\"'>t", "<p>a<p>b", "<script>x", "<!-- ", "<table><tr><td>a<td>b<tr><td>c", "</div></p>", "<div>" * 3000 + "deep", "<p " + "a='" * 2000, "&#x110000;&bogus;", "<ul><li>a<li>b</ul>" * 500]
-    df = spark.createDataFrame([(i, None, h, "clash") for i, h in enumerate(odd)] + [(None, "u", "<p>x", "clash")], "page_id long, url string, html string, text string")
+    odd = [None, "", "no markup", "<<<>>>< p", "<div><a href='x\"'>t", "<p>a<p>b", "<script>x", "<!-- ",
+        "<table><tr><td>a<td>b<tr><td>c", "</div></p>", "<div>" * 3000 + "deep", "<p " + "a='" * 2000,
+        "&#x110000;&bogus;", "<ul><li>a<li>b</ul>" * 500]
+    df = spark.createDataFrame([(i, None, h, "clash") for i, h in enumerate(odd)] + [(None, "u", "<p>x", "clash")],
+        "page_id long, url string, html string, text string")
     got = html.extract(df).collect()
     assert len(got) == len(odd) + 1 and all(r.text is not None and r.n_chars == len(r.text) for r in got)
     assert html.extract(df.limit(0)).count() == 0
@@ -247,7 +258,8 @@ def test_toxicity_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.fit(docs, labels.where("doc_id % 2 = 0"))
     assert model.cuts == sorted(model.cuts) and len(model.weights) <= toxicity.FEATURES
-    held = toxicity.score(docs, model).join(labels.where("doc_id % 2 = 1").withColumnRenamed("toxic", "label"), "doc_id").collect()
+    held = toxicity.score(docs, model).join(labels.where("doc_id % 2 = 1").withColumnRenamed("toxic", "label"),
+        "doc_id").collect()
     yes, no = [r for r in held if r.label], [r for r in held if not r.label]
     assert sum(r.toxic for r in no) <= 0.01 * len(no)
     assert sum(r.toxic for r in yes) >= 0.8 * len(yes)
@@ -300,7 +312,9 @@ def test_windows():
 def test_severity_does_not_follow_length(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.fit(docs, labels)
-    rows = docs.join(labels, "doc_id").where("lang = 'en' and length(text) between 600 and 1400").orderBy("doc_id").select("text", "toxic").collect()
+    rows = docs.join(labels,
+        "doc_id").where("lang = 'en' and length(text) between 600 and 1400").orderBy("doc_id").select("text",
+        "toxic").collect()
     of = model.scorer()
     severity = lambda t: float(model.expected(np.array([of(t)]))[0])
     clean = [r.text for r in rows if not r.toxic and of(r.text) <= 0][:200]
@@ -308,14 +322,16 @@ def test_severity_does_not_follow_length(spark):
     bad = [r.text for r in rows if r.toxic and of(r.text) > model.cuts[0] + 1][:40]
     assert len(bad) >= 15 and len(filler) > 100_000
     alone = np.array([severity(t) for t in bad])
-    often, within = (np.array([severity(f(t)) for t in bad]) for f in (lambda t: " ".join([t] * 30), lambda t: f"{filler} {t} {filler}"))
+    often, within = (np.array([severity(f(t)) for t in bad])
+        for f in (lambda t: " ".join([t] * 30), lambda t: f"{filler} {t} {filler}"))
     assert alone.min() > 0.5 and within.min() > 0.5
     for other in (often, within):  # windows fall otherwise, so single ones differ a little either way
         assert abs((other - alone).mean()) < 0.35 and np.abs(other - alone).mean() < 0.45
 
 
 def test_toxicity_of_odd_rows(spark, odd, none):
-    labels = spark.createDataFrame([(3, 1, 1), (3, 1, 0), (4, 0, 0), (None, 1, 1), (5, None, None), (99, 1, 1)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(3, 1, 1), (3, 1, 0), (4, 0, 0), (None, 1, 1), (5, None, None), (99, 1, 1)],
+        "doc_id long, quality int, toxic int")
     got = toxicity.toxicity(odd, labels).collect()
     assert len(got) == odd.count() and all(r.toxic is not None for r in got)
     assert len({r.expected_severity for r in got if r.doc_id in (5, 6)}) == 1
@@ -325,9 +341,14 @@ def test_toxicity_of_odd_rows(spark, odd, none):
 
 
 @pytest.mark.parametrize("page", [
-    '<p>one</p><svg class="x"/><p>two</p><p>three</p>', '<p>one</p><svg-icon name="a"></svg-icon><p>two</p><p>three</p>', "<p>one</p><title-bar>two</title-bar><p>three</p>",
-    "<p>one</p><template-x></template-x><style-x>two</style-x><p>three</p>", "<p>one</p><!--><p>two</p><!---><p>three</p><!-- no -->", "<p>one</p><svg><title>no</title></svg ><p>two</p><p>three</p>",
-    "<html><head><meta charset=x><title>no</title><p>one</p><p>two</p><p>three</p>", "<head><title>no</title>one<p>two</p>three", "<head><link rel=x><script>no</script><b>one</b> two<p>three",
+    '<p>one</p><svg class="x"/><p>two</p><p>three</p>',
+    '<p>one</p><svg-icon name="a"></svg-icon><p>two</p><p>three</p>',
+    "<p>one</p><title-bar>two</title-bar><p>three</p>",
+    "<p>one</p><template-x></template-x><style-x>two</style-x><p>three</p>",
+    "<p>one</p><!--><p>two</p><!---><p>three</p><!-- no -->",
+    "<p>one</p><svg><title>no</title></svg ><p>two</p><p>three</p>",
+    "<html><head><meta charset=x><title>no</title><p>one</p><p>two</p><p>three</p>",
+    "<head><title>no</title>one<p>two</p>three", "<head><link rel=x><script>no</script><b>one</b> two<p>three",
     "<p>one</p><svg a='>' /><p>two</p><script>no</script x><p>three</p>",
 ])
 def test_pages_are_read_to_their_end(page):

@@ -47,7 +47,8 @@ def test_bit_sliced_links(radius):
             rows.append(x)
         starts.append(len(rows))
     i, j = simhash.bit_sliced_links(np.array(rows, np.uint64), np.array(starts), radius)
-    want = {(a, b) for s, e in zip(starts, starts[1:]) for a in range(s, e) for b in range(a + 1, e) if bin(rows[a] ^ rows[b]).count("1") <= radius}
+    want = {(a, b) for s, e in zip(starts, starts[1:]) for a in range(s, e) for b in range(a + 1, e)
+        if bin(rows[a] ^ rows[b]).count("1") <= radius}
     assert set(zip(i.tolist(), j.tolist())) == want
 
 
@@ -91,7 +92,8 @@ def test_odd_rows(spark, odd, none):
     assert same == [5, 5, 5]
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
-    assert sorted(str(r.doc_id) for r in kept.select("doc_id").collect()) == sorted(str(x) for x in {r.component_id for r in got})
+    assert sorted(str(r.doc_id) for r in kept.select("doc_id").collect()) == sorted(str(x)
+        for x in {r.component_id for r in got})
     assert simhash.near_duplicates(none).count() == 0 and simhash.keep_one(none).count() == 0
 
 
