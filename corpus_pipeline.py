@@ -32,7 +32,8 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("quality_rules", keep_good), ("simhash_near_dedup", one_of_each), ("secret_scan", without_secrets), ("packing", sequences)]
+STAGES = [("toxicity", drop_toxic), ("quality_rules", keep_good), ("simhash_near_dedup", one_of_each),
+    ("secret_scan", without_secrets), ("packing", sequences)]
 
 #: The classifier's training, fingerprints and tokens are not SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
