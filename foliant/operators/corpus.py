@@ -114,23 +114,21 @@ def shared_passages(docs: DataFrame, items: DataFrame, key: str, item: str, size
     """
     bare = lambda c: F.array_remove(F.split(F.lower(F.coalesce(c, F.lit(""))), r"[\x20\x09-\x0D]+"), "")
 
-    def windows(ws: str, n: Column) -> Column:
-        gram = lambda i: F.array_join(F.slice(ws, i, n), " ")
-        both = F.transform(F.sequence(F.lit(1), F.size(ws) - n + 1),
-            lambda i: F.struct(F.xxhash64(gram(i)).alias("a"), F.xxhash64(gram(i), F.lit("second")).alias("b")))
-        return F.array_distinct(F.when((n > 0) & (F.size(ws) >= n),
-            both).otherwise(F.array().cast("array<struct<a:bigint,b:bigint>>")))
+    def windows(n: int) -> Column:
+        words = lambda i: [F.element_at("_w", i + k) for k in range(n)]
+        both = F.transform(F.sequence(F.lit(1), F.size("_w") - n + 1),
+            lambda i: F.struct(F.xxhash64(*words(i)).alias("a"), F.xxhash64(F.lit("second"), *words(i)).alias("b")))
+        return F.when(F.size("_w") >= n, both).otherwise(F.array().cast("array<struct<a:bigint,b:bigint>>"))
 
     own = items.select(item, bare(F.col(text)).alias("_w")).withColumn("_n", F.least(F.size("_w"), F.lit(size)))
-    wanted = own.select(item, "_n", F.explode(windows("_w", F.col("_n"))).alias("_g")).distinct()
-    sizes = sorted(r[0] for r in wanted.select("_n").distinct().collect())  # at most `size`
-    few = wanted.limit(SENT + 1).count() <= SENT
+    sizes = sorted(r[0] for r in own.where("_n > 0").select("_n").distinct().collect())  # at most `size`
     split = docs.select(key, bare(F.col(text)).alias("_w"))
     out = None
     for n in sizes:
-        held = split.select(key, F.explode(windows("_w", F.lit(n))).alias("_g"))
-        of = wanted.where(F.col("_n") == n).select(item, "_g")
-        found = held.join(F.broadcast(of) if few else of, "_g").select(key, item)
+        held = split.select(key, F.explode(windows(n)).alias("_g")).select(key, "_g.*")
+        of = own.where(F.col("_n") == n).select(item, F.explode(windows(n)).alias("_g")).select(item, "_g.*").distinct()
+        few = of.limit(SENT + 1).count() <= SENT
+        found = held.join(F.broadcast(of) if few else of, ["a", "b"]).select(key, item, "a", "b").distinct()
         out = found if out is None else out.union(found)
     if out is None:
         return docs.select(key, F.lit(None).cast(dict(items.dtypes)[item]).alias(item),
