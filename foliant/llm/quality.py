@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from foliant.llm.common import free, let, words, written
 
-SAMPLE_ROWS, RUNS = 2_000, 3
+SAMPLE_ROWS, RUNS, SAMPLE_PARTS = 2_000, 2, 4
 MIN_WORDS, MAX_REPEAT_PERCENT, MAX_DUP_LINE_PERCENT, MAX_SYMBOL_PERCENT = 50, 50, 50, 50
 MAX_MARK_PERCENT, MAX_TOP_WORD_PERCENT, MAX_OPEN_LINE_PERCENT, MAX_BULLET_PERCENT = 50, 60, 50, 90
 MEAN_WORD = (2, 25)
@@ -170,9 +170,10 @@ def rules(ws: Column | None = None) -> list[Rule]:
 
 
 def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """About `rows` documents, spread over all partitions; its size doesn't grow with the table."""
+    """About `rows` documents from all partitions, in few files; its size doesn't grow with the table."""
     n = docs.count()
-    return written(docs.sample(min(1.0, rows / n) if n else 1.0, seed=17), "quality-sample")
+    part = docs.sample(min(1.0, rows / n) if n else 1.0, seed=17)
+    return written(part.repartition(SAMPLE_PARTS), "quality-sample")  # else every partition of a large table would leave a file
 
 
 def costs(part: DataFrame, given: list[Rule], runs: int = RUNS) -> list[float]:
