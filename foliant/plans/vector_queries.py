@@ -34,8 +34,12 @@ WITH m AS ({_MOVED}), c AS (SELECT round({_COS.format(a='old', b='new')}, 6) AS
 SELECT CAST(len(xs) AS BIGINT) AS n, round(list_median(xs), 6) AS median_similarity, xs[1] AS min_similarity, xs[len(xs) // 10 + 1] AS p10, list_median(xs) >= 0.85 AS passed FROM l
 """)
 def drift_gate(spark: SparkSession, d: str) -> DataFrame:
+    """In the SQL a row without a vector counts as null, and a vector without length has NaN."""
     m = _moved(table(spark, d, "embeddings"))
-    return vectors.drift(m.select(F.round(v.cosine(F.col("old"), F.col("new")), 6).alias("similarity")), "similarity")
+    cosine = F.when(v.dot(F.col("old"), F.col("old")) == 0, float("nan")).when(F.col("old").isNotNull(),
+        v.cosine(F.col("old"), F.col("new")))
+    found = vectors.drift(m.select(F.round(cosine, 6).alias("similarity")), "similarity", missing=True)
+    return found.withColumn("n", F.nullif("n", F.lit(0)))
 
 
 @query(f"""

@@ -171,6 +171,33 @@ def test_drift_by_rank(spark):
     assert vectors.drift(spark.createDataFrame([], "s double"), "s").first().n == 0
 
 
+def test_drift_rounds_a_median_between_places_as_sql_does(spark):
+    import duckdb
+
+    for a, b in ((0.766123, 0.766124), (0.5, 0.500001), (-0.766124, -0.766123), (-0.000003, -0.000002)):
+        r = vectors.drift(spark.createDataFrame([(a,), (b,)], "s double"), "s").first()
+        want = duckdb.execute(f"SELECT round(list_median([{a}::DOUBLE, {b}::DOUBLE]), 6)").fetchone()[0]
+        assert r.median_similarity == want
+
+
+@pytest.mark.parametrize("made", ["given", "nulls", "no length", "no rows", "only nulls"])
+def test_drift_gate_equals_sql(spark, tmp_path, made):
+    import duckdb
+
+    from foliant.plans import catalog
+
+    e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")  # its median lies between six places
+    odd = {"given": "embedding", "nulls": "IF(vec_id % 3 = 0, NULL, embedding)",
+        "no length": "IF(vec_id % 5 < 3, transform(embedding, x -> 0f), embedding)", "no rows": "embedding",
+        "only nulls": "IF(vec_id < 0, embedding, NULL)"}[made]
+    e = e.selectExpr("vec_id", f"{odd} AS embedding", "label").where("false" if made == "no rows" else "true")
+    e.coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    got = [tuple(r) for r in catalog.QUERIES["drift_gate"](spark, str(tmp_path)).collect()]
+    assert repr(got) == repr(con.execute(catalog.ORACLES["drift_gate"]).fetchall())
+
+
 HEAD = "Question  Answer                                              Notes                   Marks\n"
 
 
